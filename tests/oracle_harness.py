@@ -42,13 +42,15 @@ def _kind(dtype) -> str:
         return "float"
     if "bool" in s:
         return "bool"
+    if s == "object":
+        return "other"
     if "datetime" in s or "timestamp" in s:
         return "time"
     return "other"
 
 
 def _norm_value(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float) or isinstance(v, np.floating):
         if math.isnan(v):
@@ -82,7 +84,9 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
         res["ok"] = False
         return res
     kinds = {c: (_kind(spark_pdf[c].dtype), _kind(duck_pdf[c].dtype)) for c in spark_pdf.columns}
-    res["type_diffs"] = {c: k for c, k in kinds.items() if k[0] != k[1] and len(spark_pdf) and len(duck_pdf)}
+    # object columns (nullable booleans from Spark) are checked by value only
+    res["type_diffs"] = {c: k for c, k in kinds.items()
+                         if k[0] != k[1] and "other" not in k and len(spark_pdf) and len(duck_pdf)}
     a, b = _rows(spark_pdf), _rows(duck_pdf)
     res["rows_match"] = len(a) == len(b)
     exact = a == b
