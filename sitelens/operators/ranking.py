@@ -73,22 +73,37 @@ def score_candidates(pairs: DataFrame, persona_col: str = "persona") -> DataFram
             .withColumn("score", persona_score(persona_col)))
 
 
-def recommend(queries: DataFrame, venues: DataFrame, k: int = 10, *, cell_deg: float | None = None,
-              rows_per_split: int | None = None, extra_cols: Sequence[str] = ()) -> DataFrame:
-    """For every query point: venues within its radius, persona score, top k
-    by score (ties by row_id). Output: query_id, persona, rank, row_id, name,
-    city, rating, price_nis, distance_km, score, google_maps_url."""
+def candidates(queries: DataFrame, venues: DataFrame, *, cell_deg: float | None = None,
+               rows_per_split: int | None = None, extra_cols: Sequence[str] = ()) -> DataFrame:
+    """Every eligible venue within each query's radius, with its persona
+    score (unranked): the radius join plus M15."""
     kwargs = {"cell_deg": cell_deg}
     if rows_per_split is not None:
         kwargs["rows_per_split"] = rows_per_split
     v = venues.select("row_id", "lat", "lng", "name", "city", "rating", "price_nis", "google_maps_url",
                       *extra_cols)
     pairs = radius_join(queries.select("query_id", "lat", "lng", "persona", "max_dist_km"), v, **kwargs)
-    scored = score_candidates(pairs)
+    return score_candidates(pairs)
+
+
+RANKED_COLS = ["query_id", "persona", "rank", "row_id", "name", "city", "rating", "price_nis", "distance_km",
+               "score", "google_maps_url"]
+
+
+def rank_candidates(scored: DataFrame, k: int = 10, extra_cols: Sequence[str] = ()) -> DataFrame:
+    """Top k per query by score, ties by row_id."""
     ranked = top_k_per_group(scored, "query_id", [F.col("score").desc(), F.col("row_id")], k)
-    return ranked.select("query_id", "persona", F.col("rank").cast("bigint").alias("rank"), "row_id",
-                         "name", "city", "rating", "price_nis", "distance_km", "score",
-                         "google_maps_url", *extra_cols)
+    ranked = ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    return ranked.select(*RANKED_COLS, *extra_cols)
+
+
+def recommend(queries: DataFrame, venues: DataFrame, k: int = 10, *, cell_deg: float | None = None,
+              rows_per_split: int | None = None, extra_cols: Sequence[str] = ()) -> DataFrame:
+    """For every query point: venues within its radius, persona score, top k
+    by score (ties by row_id). Output: query_id, persona, rank, row_id, name,
+    city, rating, price_nis, distance_km, score, google_maps_url."""
+    scored = candidates(queries, venues, cell_deg=cell_deg, rows_per_split=rows_per_split, extra_cols=extra_cols)
+    return rank_candidates(scored, k, extra_cols)
 
 
 def display_round(df: DataFrame) -> DataFrame:

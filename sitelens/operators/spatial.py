@@ -199,8 +199,12 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     t_cols = list(t_cols) if t_cols is not None else cols
     d = len(cols)
     xs = [f"_x{i}" for i in range(d)]
-    q_all = queries.select(F.col(q_id).alias("_qid"), *[F.col(c).alias("q" + x) for c, x in zip(cols, xs)])
-    t_all = targets.select(F.col(t_id).alias("_tid"), *[F.col(c).alias("t" + x) for c, x in zip(t_cols, xs)])
+    # Both sides are read once per round: materialise them (reliable
+    # checkpoint in the shared folder) so rounds do not re-run their lineage.
+    q_all = queries.select(F.col(q_id).alias("_qid"),
+                           *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)]).checkpoint()
+    t_all = targets.select(F.col(t_id).alias("_tid"),
+                           *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)]).checkpoint()
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),
                       *[F.min("t" + x).alias("lo" + x) for x in xs],
@@ -248,8 +252,8 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
         if last:
             done.append(best)
             break
+        best = best.checkpoint()
         final = best.filter(F.col("nn_dist") <= F.lit(side))
-        final = final.checkpoint() if r % 3 == 2 else final
         done.append(final)
         open_q = open_q.join(final.select("_qid"), "_qid", "left_anti")
         if open_q.isEmpty():
