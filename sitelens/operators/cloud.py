@@ -9,6 +9,9 @@ fixed-size algebra (3x3 eigenproblems, 4-point rigid fits).
 from __future__ import annotations
 
 import math
+import os
+import sys
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,11 +22,17 @@ from pyspark.sql import functions as F
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.functions.scalar import deviation_color
 from sitelens.operators.ranking import top_k_per_group
-from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, knn_radius, nn_join, split_hot_cells
+from sitelens.operators.spatial import (DEFAULT_ROWS_PER_SPLIT, _offsets, knn_radius, nn_join, split_hot_cells,
+                                        spread)
 
 XYZ = ["x", "y", "z"]
 
 
+def _debug(msg: str) -> None:
+    if os.environ.get("SITELENS_DEBUG"):
+        print(f"[sitelens {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+
+
 def with_cloud(df: DataFrame, cloud_id: int = 1) -> DataFrame:
     return df if "cloud_id" in df.columns else df.withColumn("cloud_id", F.lit(cloud_id).cast("long"))
 
@@ -83,23 +92,33 @@ def align_quality(source: DataFrame, target: DataFrame, max_dist: float) -> Data
 TRI = ["ax", "ay", "az", "bx", "by_", "bz", "cx", "cy", "cz"]
 
 
+def triangle_constants_sql() -> dict[str, str]:
+    """Per-triangle columns: edge vectors ab, ac and their dot products."""
+    out = {}
+    for a, (ta, tb, tc) in zip("xyz", [("ax", "bx", "cx"), ("ay", "by_", "cy"), ("az", "bz", "cz")]):
+        out[f"ab{a}"] = f"({tb} - {ta})"
+        out[f"ac{a}"] = f"({tc} - {ta})"
+    out["abab"] = " + ".join(f"ab{a} * ab{a}" for a in "xyz")
+    out["abac"] = " + ".join(f"ab{a} * ac{a}" for a in "xyz")
+    out["acac"] = " + ".join(f"ac{a} * ac{a}" for a in "xyz")
+    return out
+
+
+TRI_CONST_STAGES = [["abx", "aby", "abz", "acx", "acy", "acz"], ["abab", "abac", "acac"]]
+
+
 def point_triangle_sql(px: str = "px", py: str = "py", pz: str = "pz") -> tuple[dict[str, str], str]:
-    """Unsigned point-triangle distance by Voronoi regions of the triangle
-    (closest point on vertex, edge or face), as two stages of SQL
-    expressions that Spark and DuckDB evaluate alike."""
-    s1 = {}
-    for a, (p, ta, tb, tc) in zip("xyz", [(px, "ax", "bx", "cx"), (py, "ay", "by_", "cy"), (pz, "az", "bz", "cz")]):
-        s1[f"ab{a}"] = f"({tb} - {ta})"
-        s1[f"ac{a}"] = f"({tc} - {ta})"
-        s1[f"ap{a}"] = f"({p} - {ta})"
-        s1[f"bp{a}"] = f"({p} - {tb})"
-        s1[f"cp{a}"] = f"({p} - {tc})"
-
-    def dot(u, v):
-        return " + ".join(f"{s1[u + a]} * {s1[v + a]}" for a in "xyz")
-    s2 = {"d1": dot("ab", "ap"), "d2": dot("ac", "ap"), "d3": dot("ab", "bp"), "d4": dot("ac", "bp"),
-          "d5": dot("ab", "cp"), "d6": dot("ac", "cp")}
-    s3 = {"va": "d3 * d6 - d5 * d4", "vb": "d5 * d2 - d1 * d6", "vc": "d1 * d4 - d3 * d2"}
+    """Unsigned point-triangle distance by the Voronoi regions of the
+    triangle (closest point on a vertex, an edge or the face), as SQL
+    expressions that Spark and DuckDB evaluate alike. Needs the columns of
+    ``triangle_constants_sql``; per pair only two dot products are formed,
+    the other four follow from the triangle constants (bp = ap - ab,
+    cp = ap - ac)."""
+    st = {"apx": f"({px} - ax)", "apy": f"({py} - ay)", "apz": f"({pz} - az)"}
+    st["d1"] = " + ".join(f"ab{a} * ap{a}" for a in "xyz")
+    st["d2"] = " + ".join(f"ac{a} * ap{a}" for a in "xyz")
+    st.update({"d3": "d1 - abab", "d4": "d2 - abac", "d5": "d1 - abac", "d6": "d2 - acac"})
+    st.update({"va": "d3 * d6 - d5 * d4", "vb": "d5 * d2 - d1 * d6", "vc": "d1 * d4 - d3 * d2"})
     conds = ["d1 <= 0 AND d2 <= 0", "d3 >= 0 AND d4 <= d3", "vc <= 0 AND d1 >= 0 AND d3 <= 0",
              "d6 >= 0 AND d5 <= d6", "vb <= 0 AND d2 >= 0 AND d6 <= 0",
              "va <= 0 AND (d4 - d3) >= 0 AND (d5 - d6) >= 0"]
@@ -109,84 +128,109 @@ def point_triangle_sql(px: str = "px", py: str = "py", pz: str = "pz") -> tuple[
 
     def case(vals):
         return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in zip(conds, vals)) + f" ELSE {vals[-1]} END"
-    s4 = {"tv": case(v_vals), "tw": case(w_vals)}
-    comps = [f"({p} - ({ta} + tv * {s1['ab' + a]} + tw * {s1['ac' + a]}))"
-             for a, p, ta in zip("xyz", (px, py, pz), ("ax", "ay", "az"))]
-    final = "sqrt(" + " + ".join(f"{c} * {c}" for c in comps) + ")"
-    stages = {**s2, **s3, **s4}
-    return stages, final
+    st.update({"tv": case(v_vals), "tw": case(w_vals)})
+    comps = [f"(tv * ab{a} + tw * ac{a} - ap{a})" for a in "xyz"]
+    return st, "sqrt(" + " + ".join(f"{c} * {c}" for c in comps) + ")"
+
+
+PAIR_STAGES = [["apx", "apy", "apz"], ["d1", "d2"], ["d3", "d4", "d5", "d6"], ["va", "vb", "vc"], ["tv", "tw"]]
+
+
+def _tri_constants(df: DataFrame) -> DataFrame:
+    tc = triangle_constants_sql()
+    for names in TRI_CONST_STAGES:
+        df = df.withColumns({n: F.expr(tc[n]) for n in names})
+    return df
 
 
 def _tri_dist_cols(df: DataFrame) -> DataFrame:
     stages, final = point_triangle_sql()
-    order = [["d1", "d2", "d3", "d4", "d5", "d6"], ["va", "vb", "vc"], ["tv", "tw"]]
-    for names in order:
+    for names in PAIR_STAGES:
         df = df.withColumns({n: F.expr(stages[n]) for n in names})
-    return df.withColumn("tri_dist", F.expr(final)).drop(*[n for g in order for n in g])
+    return df.withColumn("tri_dist", F.expr(final)).drop(*[n for g in PAIR_STAGES for n in g])
 
 
 def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None = None,
-                  max_rounds: int = 30, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
+                  rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
     """Unsigned distance of each point to the nearest triangle.
 
-    Triangles are listed in every grid cell their bounding box touches; a
-    point probes the 3^3 cells around its own. A triangle whose closest
-    point is within one cell side of the query is always among the probed
-    ones, so a best distance <= side is final; other points retry with a
-    doubled side until the side covers the whole mesh (exact, no cap).
+    One exact pass, no search rounds:
+    1. ``ub`` = distance to the nearest mesh vertex (an NN join), an upper
+       bound on the distance to the mesh;
+    2. triangles are listed in every grid cell their bounding box touches;
+       a point probes only the cells within ``ub``, per axis shrunk by its
+       gap to the mesh's bounding box on the other two axes (the closest
+       point of the nearest triangle lies inside that box), clamped to it;
+    3. a pair meets in exactly one shared cell, a box-distance lower bound
+       drops triangles farther than ``ub`` before the exact point-triangle
+       distance, and one narrow (distance, id) min picks the winner.
     Output: pt_id, x, y, z, deviation_m, tri_id.
     """
-    tri = triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI]).checkpoint()
-    pts = points.select("pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ]).checkpoint()
-    lo_hi = tri.agg(F.least(F.min("ax"), F.min("bx"), F.min("cx")).alias("lox"),
-                      F.greatest(F.max("ax"), F.max("bx"), F.max("cx")).alias("hix"),
-                      F.least(F.min("ay"), F.min("by_"), F.min("cy")).alias("loy"),
-                      F.greatest(F.max("ay"), F.max("by_"), F.max("cy")).alias("hiy"),
-                      F.least(F.min("az"), F.min("bz"), F.min("cz")).alias("loz"),
-                      F.greatest(F.max("az"), F.max("bz"), F.max("cz")).alias("hiz"),
-                      F.avg(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("cy") - F.col("ay")),
-                                       F.abs(F.col("cx") - F.col("ax")))).alias("size"),
-                      F.count(F.lit(1)).alias("n")).first()
-    if lo_hi["n"] == 0:
+    tri = spread(_tri_constants(triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI]))).checkpoint()
+    pts = spread(points.select("pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ])).checkpoint()
+    st = tri.agg(F.least(F.min("ax"), F.min("bx"), F.min("cx")).alias("lox"),
+                 F.greatest(F.max("ax"), F.max("bx"), F.max("cx")).alias("hix"),
+                 F.least(F.min("ay"), F.min("by_"), F.min("cy")).alias("loy"),
+                 F.greatest(F.max("ay"), F.max("by_"), F.max("cy")).alias("hiy"),
+                 F.least(F.min("az"), F.min("bz"), F.min("cz")).alias("loz"),
+                 F.greatest(F.max("az"), F.max("bz"), F.max("cz")).alias("hiz"),
+                 F.avg(F.greatest(F.greatest("ax", "bx", "cx") - F.least("ax", "bx", "cx"),
+                                  F.greatest("ay", "by_", "cy") - F.least("ay", "by_", "cy"),
+                                  F.greatest("az", "bz", "cz") - F.least("az", "bz", "cz"))).alias("size"),
+                 F.count(F.lit(1)).alias("n")).first()
+    if st["n"] == 0:
         return pts.withColumn("deviation_m", F.lit(None).cast("double")).withColumn("tri_id", F.lit(None).cast("long"))
-    extent = max(lo_hi["hix"] - lo_hi["lox"], lo_hi["hiy"] - lo_hi["loy"], lo_hi["hiz"] - lo_hi["loz"], 1e-12)
-    side = cell or max(2.0 * (lo_hi["size"] or extent), extent * 1e-6)
-    offs = F.array(*[F.array(*[F.lit(v) for v in o]) for o in _offsets(3, 1)])
-    done, open_p = [], pts
-    for r in range(max_rounds):
-        last = side > extent or r == max_rounds - 1
-        if last:
-            side = max(side, extent * 1.0001 + 1e-9)
-        s = F.lit(side)
-        tcells = tri.withColumn("_g0", F.explode(F.sequence(F.floor(F.least("ax", "bx", "cx") / s).cast("long"),
-                                                            F.floor(F.greatest("ax", "bx", "cx") / s).cast("long"))))
-        tcells = tcells.withColumn("_g1", F.explode(F.sequence(F.floor(F.least("ay", "by_", "cy") / s).cast("long"),
-                                                               F.floor(F.greatest("ay", "by_", "cy") / s).cast("long"))))
-        tcells = tcells.withColumn("_g2", F.explode(F.sequence(F.floor(F.least("az", "bz", "cz") / s).cast("long"),
-                                                               F.floor(F.greatest("az", "bz", "cz") / s).cast("long"))))
-        probe = (open_p.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"),
-                               *[F.floor(F.col(a) / s).cast("long").alias(f"_g{i}") for i, a in enumerate(XYZ)])
-                 .withColumn("_off", F.explode(offs))
-                 .withColumns({f"_g{i}": F.col(f"_g{i}") + F.col("_off")[i] for i in range(3)}).drop("_off"))
-        keys = ["_g0", "_g1", "_g2"]
-        build, probe, jkeys = split_hot_cells(tcells, probe, keys, "tri_id", rows_per_split)
-        pairs = _tri_dist_cols(probe.join(build, jkeys))
-        best = (pairs.groupBy("pt_id").agg(F.min(F.struct("tri_dist", "tri_id")).alias("m"))
-                .select("pt_id", F.col("m.tri_dist").alias("deviation_m"), F.col("m.tri_id").alias("tri_id")))
-        best = best.checkpoint()
-        if last:
-            done.append(best)
-            break
-        final = best.filter(F.col("deviation_m") <= F.lit(side))
-        done.append(final)
-        open_p = open_p.join(final.select("pt_id"), "pt_id", "left_anti")
-        if open_p.isEmpty():
-            break
-        side *= 2.0
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return pts.join(out, "pt_id")
+    lo = {a: st["lo" + a] for a in "xyz"}
+    hi = {a: st["hi" + a] for a in "xyz"}
+    extent = max(max(hi[a] - lo[a] for a in "xyz"), 1e-12)
+    side = cell or max(st["size"] or extent, extent * 1e-6)
+    s = F.lit(side)
+
+    # 1. upper bound from the nearest vertex
+    corners = [("ax", "ay", "az"), ("bx", "by_", "bz"), ("cx", "cy", "cz")]
+    verts = None
+    for cx_, cy_, cz_ in corners:
+        v = tri.select(F.col(cx_).alias("x"), F.col(cy_).alias("y"), F.col(cz_).alias("z"))
+        verts = v if verts is None else verts.unionByName(v)
+    verts = verts.distinct().withColumn("pt_id", F.xxhash64("x", "y", "z"))
+    ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id").select(
+        "pt_id", (F.col("nn_dist") * F.lit(1.0 + 1e-9) + F.lit(1e-12)).alias("ub"))
+
+    # 2. probe cells within the bound, clamped to the mesh box
+    q = pts.join(ub, "pt_id")
+    gap = {a: F.greatest(F.lit(lo[a]) - F.col(a), F.col(a) - F.lit(hi[a]), F.lit(0.0)) for a in "xyz"}
+    probe = q
+    for i, a in enumerate("xyz"):
+        others = [b for b in "xyz" if b != a]
+        r = F.sqrt(F.greatest(F.col("ub") * F.col("ub") - gap[others[0]] * gap[others[0]]
+                              - gap[others[1]] * gap[others[1]], F.lit(0.0)))
+        c_lo = F.floor(F.greatest(F.col(a) - r, F.lit(lo[a])) / s).cast("long")
+        c_hi = F.floor(F.least(F.col(a) + r, F.lit(hi[a])) / s).cast("long")
+        probe = (probe.withColumn(f"_q{i}", c_lo)
+                 .withColumn(f"_g{i}", F.explode(F.sequence(c_lo, F.greatest(c_lo, c_hi)))))
+    probe = probe.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"), "ub",
+                         "_q0", "_q1", "_q2", "_g0", "_g1", "_g2")
+    tcells = tri
+    for i, (a_, b_, c_) in enumerate([("ax", "bx", "cx"), ("ay", "by_", "cy"), ("az", "bz", "cz")]):
+        t_lo = F.floor(F.least(a_, b_, c_) / s).cast("long")
+        tcells = tcells.withColumn(f"_t{i}", t_lo).withColumn(
+            f"_g{i}", F.explode(F.sequence(t_lo, F.floor(F.greatest(a_, b_, c_) / s).cast("long"))))
+    keys = ["_g0", "_g1", "_g2"]
+    build, probe, jkeys = split_hot_cells(tcells, probe, keys, "tri_id", rows_per_split)
+
+    # 3. each pair once, cheap bound first, exact distance, narrow argmin
+    once, lb2 = None, None
+    for i, (p_, a_, b_, c_) in enumerate((("px", "ax", "bx", "cx"), ("py", "ay", "by_", "cy"),
+                                          ("pz", "az", "bz", "cz"))):
+        c = F.col(f"_g{i}") == F.greatest(F.col(f"_t{i}"), F.col(f"_q{i}"))
+        once = c if once is None else once & c
+        g = F.greatest(F.least(a_, b_, c_) - F.col(p_), F.col(p_) - F.greatest(a_, b_, c_), F.lit(0.0))
+        lb2 = g * g if lb2 is None else lb2 + g * g
+    cand = probe.join(build, jkeys).filter(once).filter(lb2 <= F.col("ub") * F.col("ub"))
+    pairs = _tri_dist_cols(cand)
+    best = (pairs.groupBy("pt_id").agg(F.min(F.struct("tri_dist", "tri_id")).alias("m"))
+            .select("pt_id", F.col("m.tri_dist").alias("deviation_m"), F.col("m.tri_id").alias("tri_id")))
+    return pts.join(best, "pt_id")
 
 
 # --------------------------------------------------------------------------

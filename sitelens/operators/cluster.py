@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sitelens.functions.hashing import hash32, unit_hash
-from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, split_hot_cells
+from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, split_hot_cells, spread
 
 # Feature lists of the venue model and of the regional model.
 FEATURE_COLS = ["price_nis", "rating", "reviews_count"]
@@ -297,80 +297,90 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
     return labels
 
 
+def _cross_cell_pairs(probe: DataFrame, build: DataFrame, offsets: list[list[int]], d: int, eps: float,
+                      rows_per_split: int, probe_keep: Sequence[str] = (), build_keep: Sequence[str] = ()) -> DataFrame:
+    """Pairs (a, b) within eps whose cells differ by one of ``offsets``.
+    Inputs carry ``_id``, ``_x{i}``, ``_g{i}``. Only the probe side is
+    exploded; hot build cells are salted."""
+    gk = [f"_g{i}" for i in range(d)]
+    off_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])
+    p = (probe.withColumn("_off", F.explode(off_arr))
+         .select(F.col("_id").alias("a"), *[F.col(f"_x{i}").alias(f"a_x{i}") for i in range(d)],
+                 *[(F.col(f"_g{i}") + F.col("_off")[i]).alias(f"_g{i}") for i in range(d)], *probe_keep))
+    b = build.select(F.col("_id").alias("b"), *[F.col(f"_x{i}").alias(f"b_x{i}") for i in range(d)], *gk,
+                     *build_keep)
+    b, p, keys = split_hot_cells(b, p, gk, "b", rows_per_split)
+    sq = None
+    for i in range(d):
+        t = (F.col(f"a_x{i}") - F.col(f"b_x{i}")) * (F.col(f"a_x{i}") - F.col(f"b_x{i}"))
+        sq = t if sq is None else sq + t
+    return p.join(b, keys).filter(sq <= F.lit(float(eps) ** 2))
+
+
 def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples: int = 5,
            id_col: str = "pt_id", rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
     """DBSCAN (M6) with the scan-order numbering of the usual library.
 
-    Grid of side eps/sqrt(d): two points in one cell are always neighbours,
-    so pairs are only generated *between* cells (a dense cell never emits
-    its own all-pairs), a cell's row count gives the in-cell degree, and all
-    core points of a cell share one graph node. Components run on that cell
-    graph. Core: degree (self included) >= min_samples. Clusters are numbered
-    by their smallest core id; a border point takes the lowest cluster number
-    among its core neighbours; noise is -1.
-
-    Output: ``id_col``, ``cluster`` (int), ``is_core``.
+    Grid of side eps/sqrt(d): two points of one cell are always neighbours.
+    So (1) every point of a cell holding >= min_samples points is core with
+    no pair work at all, and only points of sparse cells get their degree
+    counted from neighbour pairs; (2) all core points of a cell share one
+    graph node, and core-core links between cells are reduced on the fly to
+    distinct (cell, cell) edges by a map-side-combined aggregate, so no pair
+    table is ever materialised and a dense cell never emits its all-pairs;
+    (3) components run on the cell graph (min-label propagation with pointer
+    jumping). Clusters are numbered by their smallest core id; a border
+    point takes the lowest cluster number among its core neighbours; noise
+    is -1. Output: ``id_col``, ``cluster`` (int), ``is_core``.
     """
     cols = list(cols)
     d = len(cols)
-    side = eps / math.sqrt(d)
-    reach = int(math.ceil(math.sqrt(d) - 1e-12))
-    pts = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    pts = pts.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)})
+    side = eps / math.sqrt(d) * (1.0 - 1e-12)   # in-cell distance stays <= eps under rounding
+    reach = int(math.ceil(eps / side))
     gk = [f"_g{i}" for i in range(d)]
+    pts = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    pts = spread(pts.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)})).checkpoint()
     cell_n = pts.groupBy(*gk).agg(F.count(F.lit(1)).alias("_cell_n"))
+    pts_n = pts.join(cell_n, gk)
 
-    # cross-cell neighbour pairs (a -> b, a's cell != b's cell)
-    offs = [o for o in _offsets(d, reach) if any(o)]
-    # drop offsets whose nearest cell corners are already farther than eps
-    def _min_gap(o):
+    def min_gap(o):
         return math.sqrt(sum(max(abs(v) - 1, 0) ** 2 for v in o)) * side
-    offs = [o for o in offs if _min_gap(o) <= eps]
-    off_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offs])
-    probe = (pts.withColumn("_off", F.explode(off_arr))
-             .select(F.col("_id").alias("a"), *[F.col(f"_x{i}").alias(f"a_x{i}") for i in range(d)],
-                     *[(F.col(f"_g{i}") + F.col("_off")[i]).alias(f"_g{i}") for i in range(d)]))
-    build = pts.select(F.col("_id").alias("b"), *[F.col(f"_x{i}").alias(f"b_x{i}") for i in range(d)], *gk)
-    build, probe, keys = split_hot_cells(build, probe, gk, "b", rows_per_split)
-    sq = None
-    for i in range(d):
-        t = (F.col(f"a_x{i}") - F.col(f"b_x{i}")) * (F.col(f"a_x{i}") - F.col(f"b_x{i}"))
-        sq = t if sq is None else sq + t
-    pairs = probe.join(build, keys).filter(sq <= F.lit(float(eps) ** 2)).select("a", "b")
-    pairs = pairs.checkpoint()
-
-    deg_x = pairs.groupBy(F.col("a").alias("_id")).agg(F.count(F.lit(1)).alias("_deg_x"))
-    info = (pts.join(cell_n, gk).join(deg_x, "_id", "left")
+    offs = [o for o in _offsets(d, reach) if any(o) and min_gap(o) <= eps]
+    half = [o for o in offs if next(v for v in o if v != 0) > 0]
+
+    # (1) degrees only where the cell count does not settle it
+    sparse = pts_n.filter(F.col("_cell_n") < min_samples)
+    deg_x = (_cross_cell_pairs(sparse, pts, offs, d, eps, rows_per_split)
+             .groupBy(F.col("a").alias("_id")).agg(F.count(F.lit(1)).alias("_deg_x")))
+    info = (pts_n.join(deg_x, "_id", "left")
             .withColumn("is_core", (F.col("_cell_n") + F.coalesce(F.col("_deg_x"), F.lit(0))) >= min_samples)
-            .select("_id", *gk, "is_core"))
-    info = info.checkpoint()
+            .select("_id", *[f"_x{i}" for i in range(d)], *gk, "is_core")).checkpoint()
     core = info.filter("is_core")
     cell_node = core.groupBy(*gk).agg(F.min("_id").alias("node"))
-    core_node = core.join(cell_node, gk).select("_id", "node")
-    # node graph: core-core pairs across cells
-    cn_a = core_node.withColumnsRenamed({"_id": "a", "node": "src"})
-    cn_b = core_node.withColumnsRenamed({"_id": "b", "node": "dst"})
-    edges = pairs.join(cn_a, "a").join(cn_b, "b").select("src", "dst").distinct()
+    core_n = core.join(cell_node, gk).select("_id", *[f"_x{i}" for i in range(d)], *gk, "node")
+
+    # (2) cell graph: distinct (node, node) links, half the offsets (undirected)
+    edges = (_cross_cell_pairs(core_n, core_n, half, d, eps, rows_per_split,
+                               probe_keep=[F.col("node").alias("src")], build_keep=[F.col("node").alias("dst")])
+             .select("src", "dst").distinct())
     comps = connected_components(edges, cell_node.select("node"))
-    # number clusters 0.. by smallest core id (one row per cluster, not per point)
     numbering = (comps.select("comp").distinct()
                  .withColumn("cluster", (F.row_number().over(Window.orderBy("comp")) - 1).cast("int")))
-    node_cluster = comps.join(numbering, "comp").select("node", "cluster")
-    core_cluster = core_node.join(node_cluster, "node").select("_id", "cluster")
-    # border points: lowest cluster among core neighbours (same cell or across)
-    cell_cluster = cell_node.join(node_cluster, "node").select(*gk, F.col("cluster").alias("cell_cluster"))
+    node_cluster = comps.join(numbering, "comp").select("node", "cluster").checkpoint()
+    core_cluster = core_n.select("_id", "node").join(node_cluster, "node").select("_id", "cluster")
+
+    # (3) border points: lowest cluster among core neighbours (same cell or across)
     non_core = info.filter(~F.col("is_core"))
-    same_cell = non_core.join(cell_cluster, gk).select("_id", F.col("cell_cluster").alias("cand"))
-    across = (pairs.join(non_core.select(F.col("_id").alias("a")), "a")
-              .join(core_cluster.withColumnsRenamed({"_id": "b", "cluster": "cand"}), "b")
-              .select(F.col("a").alias("_id"), "cand"))
-    border = same_cell.unionByName(across).groupBy("_id").agg(F.min("cand").alias("cluster"))
-    labelled = (info.join(core_cluster, "_id", "left")
-                .join(border.withColumnRenamed("cluster", "border_cluster"), "_id", "left")
-                .select(F.col("_id").alias(id_col),
-                        F.coalesce(F.col("cluster"), F.col("border_cluster"), F.lit(-1)).cast("int").alias("cluster"),
-                        "is_core"))
-    return labelled
+    cell_cluster = cell_node.join(node_cluster, "node").select(*gk, F.col("cluster").alias("cand"))
+    same_cell = non_core.join(cell_cluster, gk).select("_id", "cand")
+    core_cl = core_n.join(node_cluster, "node")
+    across = (_cross_cell_pairs(non_core, core_cl, offs, d, eps, rows_per_split, build_keep=[F.col("cluster")])
+              .select(F.col("a").alias("_id"), F.col("cluster").alias("cand")))
+    border = same_cell.unionByName(across).groupBy("_id").agg(F.min("cand").alias("border_cluster"))
+    return (info.select("_id", "is_core").join(core_cluster, "_id", "left").join(border, "_id", "left")
+            .select(F.col("_id").alias(id_col),
+                    F.coalesce(F.col("cluster"), F.col("border_cluster"), F.lit(-1)).cast("int").alias("cluster"),
+                    "is_core"))
 
 
 # --------------------------------------------------------------------------

@@ -30,6 +30,14 @@ MAX_BROADCAST_HOT_CELLS = 1_000_000
 SALT = "_salt"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Before materialising an input that later rounds re-read: if it has
+    fewer partitions than the cluster has cores (one small file), spread it
+    so exploding and probing run on every core. Wide inputs are untouched."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], salt_source: str,
                     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> tuple[DataFrame, DataFrame, list[str]]:
     """Salt hot cells: returns (build, probe, join keys incl. the salt column).
@@ -176,6 +184,35 @@ def knn_radius(points: DataFrame, cols: Sequence[str], radius: float, max_nn: in
             .filter(F.col("nn_rank") <= max_nn))
 
 
+def argmin_per_key(pairs: DataFrame, key: str, dist: str, cand: str) -> DataFrame:
+    """Per ``key``: the smallest ``dist`` and, among equal distances, the
+    smallest ``cand``. Two hash aggregates (min distance, then min id over
+    the rows at that distance) instead of a min over structs, which Spark
+    can only run as a sort-based aggregate over every candidate pair."""
+    slim = pairs.select(key, cand, dist)
+    best = slim.groupBy(key).agg(F.min(dist).alias("_best"))
+    return (slim.join(best, key).filter(F.col(dist) == F.col("_best"))
+            .groupBy(key).agg(F.min(cand).alias(cand), F.min(dist).alias(dist)))
+
+
+def auto_cell(extents: Sequence[float], n: int, per_cell: float = 2.0) -> float:
+    """Grid side giving about ``per_cell`` points per occupied cell. Axes
+    thinner than the cell are treated as flat, so a surface scan (a sheet in
+    3-D) gets a 2-D density estimate instead of a volume one."""
+    ext = sorted(max(e, 0.0) for e in extents)
+    target = max(1.0, n / per_cell)
+    ext = [e for e in ext if e > 0]
+    while ext:
+        vol = 1.0
+        for e in ext:
+            vol *= max(e, 1e-300)
+        cell = (vol / target) ** (1.0 / len(ext))
+        if ext[0] >= cell:
+            return cell
+        ext = ext[1:]
+    return 0.0
+
+
 def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id: str = "pt_id",
             t_id: str = "pt_id", t_cols: Sequence[str] | None = None, cell: float | None = None,
             max_rounds: int = 40, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
@@ -202,9 +239,11 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     # Both sides are read once per round: materialise them (reliable
     # checkpoint in the shared folder) so rounds do not re-run their lineage.
     q_all = queries.select(F.col(q_id).alias("_qid"),
-                           *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)]).checkpoint()
+                           *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)])
+    q_all = spread(q_all).checkpoint()
     t_all = targets.select(F.col(t_id).alias("_tid"),
-                           *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)]).checkpoint()
+                           *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
+    t_all = spread(t_all).checkpoint()
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),
                       *[F.min("t" + x).alias("lo" + x) for x in xs],
@@ -213,14 +252,20 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     if n_t == 0:
         return q_all.select(F.col("_qid").alias(q_id), F.lit(None).cast("long").alias("nn_id"),
                             F.lit(None).cast("double").alias("nn_dist"))
-    extent = max(max(stats["hi" + x] - stats["lo" + x] for x in xs), 1e-12)
+    qst = q_all.agg(*[F.min("q" + x).alias("lo" + x) for x in xs], *[F.max("q" + x).alias("hi" + x) for x in xs]).first()
+    # once the side exceeds the extent of queries and targets together, the
+    # 3^d block around any query holds every target: the last round is exact
+    extent = 1e-12
+    for x in xs:
+        lo = min(v for v in (stats["lo" + x], qst["lo" + x]) if v is not None)
+        hi = max(v for v in (stats["hi" + x], qst["hi" + x]) if v is not None)
+        extent = max(extent, hi - lo)
     if max_dist is not None:
         cell = float(max_dist)
         max_rounds = 1
     elif cell is None:
-        # about two targets per cell on average over the bounding box
-        cell = extent / max(1.0, (n_t / 2.0) ** (1.0 / d))
-        cell = max(cell, extent * 1e-6)
+        cell = auto_cell([stats["hi" + x] - stats["lo" + x] for x in xs], n_t)
+        cell = extent if cell <= 0 else min(max(cell, extent * 1e-6), extent)
 
     done: list[DataFrame] = []
     open_q = q_all
@@ -241,10 +286,10 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
         sq = _sq_dist(["q" + x for x in xs], ["t" + x for x in xs])
         if max_dist is not None:
             pairs = pairs.filter(sq <= F.lit(float(max_dist) ** 2))
-        # min over (sq distance, target id) per query: an aggregate that
-        # combines map-side, so a hot cell yields one row per query per task.
-        best = (pairs.groupBy("_qid").agg(F.min(F.struct(sq.alias("sq"), F.col("_tid").alias("tid"))).alias("m"))
-                .select("_qid", F.col("m.tid").alias("nn_id"), F.sqrt(F.col("m.sq")).alias("nn_dist")))
+        # nearest target per query (ties: smallest id); both aggregates
+        # combine map-side, so a hot cell yields one row per query per task
+        best = (argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid")
+                .select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist")))
         if max_dist is not None:
             got = open_q.select("_qid").join(best, "_qid", "left")
             done.append(got)

@@ -170,10 +170,13 @@ def q_mesh_distance(spark, sf):
 
 
 def _mesh_sql() -> str:
+    tc = CL.triangle_constants_sql()
     stages, final = CL.point_triangle_sql()
-    s1 = ", ".join(f"{stages[n]} AS {n}" for n in ["d1", "d2", "d3", "d4", "d5", "d6"])
-    s2 = ", ".join(f"{stages[n]} AS {n}" for n in ["va", "vb", "vc"])
-    s3 = ", ".join(f"{stages[n]} AS {n}" for n in ["tv", "tw"])
+    tri_sel = ", ".join(f"{tc[n]} AS {n}" for n in CL.TRI_CONST_STAGES[0])
+    tri_sel2 = ", ".join(f"{tc[n]} AS {n}" for n in CL.TRI_CONST_STAGES[1])
+    steps = ",\n".join(f"st{i} AS (SELECT *, {', '.join(f'{stages[n]} AS {n}' for n in g)} FROM {'cand' if i == 0 else f'st{i - 1}'})"
+                       for i, g in enumerate(CL.PAIR_STAGES))
+    last = f"st{len(CL.PAIR_STAGES) - 1}"
     # Exact candidate set: the distance to the nearest mesh vertex bounds the
     # distance to the mesh, and only triangles whose box lies within that
     # bound of the point can be closer.
@@ -182,11 +185,12 @@ def _mesh_sql() -> str:
    UNION ALL SELECT cx, cy, cz FROM mesh_triangles) v),
 ub AS (SELECT p.pt_id, p.x, p.y, p.z, min(sqrt((p.x - v.x) * (p.x - v.x) + (p.y - v.y) * (p.y - v.y) + (p.z - v.z) * (p.z - v.z))) * 1.000001 + 1e-9 AS ub
    FROM cloud_source p, verts v GROUP BY p.pt_id, p.x, p.y, p.z),
-cand AS (SELECT p.pt_id, p.x AS px, p.y AS py, p.z AS pz, t.* FROM ub p JOIN mesh_triangles t
+tri0 AS (SELECT *, {tri_sel} FROM mesh_triangles), tri AS (SELECT *, {tri_sel2} FROM tri0),
+cand AS (SELECT p.pt_id, p.x AS px, p.y AS py, p.z AS pz, t.* FROM ub p JOIN tri t
   ON p.x BETWEEN least(t.ax, t.bx, t.cx) - p.ub AND greatest(t.ax, t.bx, t.cx) + p.ub
  AND p.y BETWEEN least(t.ay, t.by_, t.cy) - p.ub AND greatest(t.ay, t.by_, t.cy) + p.ub),
-st1 AS (SELECT *, {s1} FROM cand), st2 AS (SELECT *, {s2} FROM st1), st3 AS (SELECT *, {s3} FROM st2)
-SELECT pt_id, round(min({final}), 6) AS deviation_m FROM st3 GROUP BY pt_id""", "cloud_source", "mesh_triangles")
+{steps}
+SELECT pt_id, round(min({final}), 6) AS deviation_m FROM {last} GROUP BY pt_id""", "cloud_source", "mesh_triangles")
 
 
 MESH_SQL = _mesh_sql()
