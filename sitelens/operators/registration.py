@@ -111,15 +111,16 @@ def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: i
     co-grouped and solved in NumPy, then a hash argmin over the B partial
     results. Group size is bounded by ``block_rows`` on each side; the work
     is the inherent sources x targets distance count, never collected.
-    Output: src_id, tgt_id, fdist."""
+    Output: src_id, tgt_id, fdist. (Both sides' group keys must have the
+    same types, or co-grouping pairs the wrong groups.)"""
     n_s, n_t = src.count(), tgt.count()
     a_n = max(1, math.ceil(n_s / block_rows))
     b_n = max(1, math.ceil(n_t / block_rows))
     s = (src.select(F.col("pt_id").alias("id"), F.col(feat).alias("f"))
-         .withColumn("ca", F.pmod(hash32("id", "chunk"), F.lit(a_n)))
+         .withColumn("ca", F.pmod(hash32("id", "chunk"), F.lit(a_n)).cast("int"))
          .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(b_n - 1)))))
     t = (tgt.select(F.col("pt_id").alias("id"), F.col(feat).alias("f"))
-         .withColumn("cb", F.pmod(hash32("id", "block"), F.lit(b_n)))
+         .withColumn("cb", F.pmod(hash32("id", "block"), F.lit(b_n)).cast("int"))
          .withColumn("ca", F.explode(F.sequence(F.lit(0), F.lit(a_n - 1)))))
 
     def solve(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
