@@ -49,3 +49,16 @@ SELECT query_id, persona, rank, row_id, name, city, rating, price_nis, round(dis
        round(score, 2) AS score, google_maps_url
 FROM ranked WHERE rank <= 10
 """, "venues", "clicks")
+
+
+def radius_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 alone: every (click, venue) pair within the click's radius."""
+    from sitelens.operators.spatial import radius_join
+    v = common.venues(spark, sf_dir).select("row_id", "lat", "lng")
+    q = common.clicks(spark, sf_dir).select("query_id", "lat", "lng", "max_dist_km")
+    return radius_join(q, v).select("query_id", "row_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+RADIUS_JOIN_SQL = with_views(f"""SELECT q.query_id, v.row_id, round({haversine_sql('q.lat', 'q.lng', 'v.lat', 'v.lng')}, 6) AS distance_km
+FROM clicks q JOIN venues v ON v.lat BETWEEN q.lat - q.max_dist_km / 100.0E0 AND q.lat + q.max_dist_km / 100.0E0
+WHERE {haversine_sql('q.lat', 'q.lng', 'v.lat', 'v.lng')} <= q.max_dist_km""", "venues", "clicks")
