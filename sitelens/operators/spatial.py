@@ -184,15 +184,16 @@ def knn_radius(points: DataFrame, cols: Sequence[str], radius: float, max_nn: in
             .filter(F.col("nn_rank") <= max_nn))
 
 
-def argmin_per_key(pairs: DataFrame, key: str, dist: str, cand: str) -> DataFrame:
+def argmin_per_key(pairs: DataFrame, key: str, dist: str, cand: str, carry: Sequence[str] = ()) -> DataFrame:
     """Per ``key``: the smallest ``dist`` and, among equal distances, the
     smallest ``cand``. Two hash aggregates (min distance, then min id over
     the rows at that distance) instead of a min over structs, which Spark
     can only run as a sort-based aggregate over every candidate pair."""
-    slim = pairs.select(key, cand, dist)
+    slim = pairs.select(key, cand, dist, *carry)
     best = slim.groupBy(key).agg(F.min(dist).alias("_best"))
     return (slim.join(best, key).filter(F.col(dist) == F.col("_best"))
-            .groupBy(key).agg(F.min(cand).alias(cand), F.min(dist).alias(dist)))
+            .groupBy(key).agg(F.min(cand).alias(cand), F.min(dist).alias(dist),
+                              *[F.max(c).alias(c) for c in carry]))
 
 
 def auto_cell(extents: Sequence[float], n: int, per_cell: float = 2.0) -> float:
@@ -267,16 +268,51 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
         cell = auto_cell([stats["hi" + x] - stats["lo" + x] for x in xs], n_t)
         cell = extent if cell <= 0 else min(max(cell, extent * 1e-6), extent)
 
+    # Per-axis sides. An axis along which the targets are flat (thinner
+    # than the cell, e.g. the normal of a scanned surface) gets one cell
+    # spanning the joint extent, so every probed block reaches the targets;
+    # only the other axes grow round by round.
+    joint = []
+    for x in xs:
+        lo = min(v for v in (stats["lo" + x], qst["lo" + x]) if v is not None)
+        hi = max(v for v in (stats["hi" + x], qst["hi" + x]) if v is not None)
+        joint.append(max(hi - lo, 1e-12) * 1.0001 + 1e-9)
+    sides = [cell] * d
+    if max_dist is None:
+        for i, x in enumerate(xs):
+            if stats["hi" + x] - stats["lo" + x] < cell:
+                sides[i] = max(cell, joint[i])
+    gaps = [F.greatest(F.lit(stats["lo" + x]) - F.col("q" + x), F.col("q" + x) - F.lit(stats["hi" + x]),
+                       F.lit(0.0)) for x in xs]
+
     done: list[DataFrame] = []
     open_q = q_all
-    side = cell
     for r in range(max_rounds):
-        last = max_dist is None and (side > extent or r == max_rounds - 1)
+        covering = [sides[i] >= joint[i] for i in range(d)]
+        last = max_dist is None and (all(covering) or r == max_rounds - 1)
         if last:
-            side = max(side, extent * 1.0001 + 1e-9)
-        build = t_all.withColumns(_cells(["t" + x for x in xs], side))
+            sides = [max(sides[i], joint[i]) for i in range(d)]
+        # A target outside the probed block is farther than side_i along some
+        # axis i that does not cover the joint extent, and along every other
+        # axis at least as far as the query's gap to the targets' box: that
+        # bound, minimised over i, is the distance up to which a hit is final.
+        margins = []
+        for i in range(d):
+            if sides[i] >= joint[i]:
+                continue
+            m2 = F.lit(sides[i] * sides[i])
+            for j in range(d):
+                if j != i:
+                    m2 = m2 + gaps[j] * gaps[j]
+            margins.append(F.sqrt(m2))
+        margin = (F.lit(float("inf")) if not margins else margins[0] if len(margins) == 1
+                  else F.least(*margins))
+        build = t_all.withColumns({f"_g{i}": F.floor(F.col("t" + x) / F.lit(sides[i])).cast("long")
+                                   for i, x in enumerate(xs)})
         offs = F.array(*[F.array(*[F.lit(v) for v in o]) for o in _offsets(d, 1)])
-        probe = (open_q.withColumns(_cells(["q" + x for x in xs], side))
+        probe = (open_q.withColumns({f"_g{i}": F.floor(F.col("q" + x) / F.lit(sides[i])).cast("long")
+                                     for i, x in enumerate(xs)})
+                 .withColumn("_margin", margin)
                  .withColumn("_off", F.explode(offs))
                  .withColumns({f"_g{i}": F.col(f"_g{i}") + F.col("_off")[i] for i in range(d)})
                  .drop("_off"))
@@ -288,22 +324,22 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
             pairs = pairs.filter(sq <= F.lit(float(max_dist) ** 2))
         # nearest target per query (ties: smallest id); both aggregates
         # combine map-side, so a hot cell yields one row per query per task
-        best = (argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid")
-                .select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist")))
+        best = (argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid", carry=["_margin"])
+                .select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist"), "_margin"))
         if max_dist is not None:
-            got = open_q.select("_qid").join(best, "_qid", "left")
+            got = open_q.select("_qid").join(best.drop("_margin"), "_qid", "left")
             done.append(got)
             break
         if last:
-            done.append(best)
+            done.append(best.drop("_margin"))
             break
         best = best.checkpoint()
-        final = best.filter(F.col("nn_dist") <= F.lit(side))
+        final = best.filter(F.col("nn_dist") <= F.col("_margin")).drop("_margin")
         done.append(final)
         open_q = open_q.join(final.select("_qid"), "_qid", "left_anti")
         if open_q.isEmpty():
             break
-        side *= 2.0
+        sides = [sides[i] if sides[i] >= joint[i] else sides[i] * 2.0 for i in range(d)]
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

@@ -68,15 +68,15 @@ def member_centroids(assigned: DataFrame, cols) -> DataFrame:
     return assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def venue_labels(spark: SparkSession, sf: str) -> DataFrame:
-    model, split = venue_model(spark, sf)
+def venue_labels(spark: SparkSession, sf: str, fitted=None) -> DataFrame:
+    model, split = fitted or venue_model(spark, sf)
     cents = member_centroids(model.predict(split), ["price_nis", "rating"])
     th = P.label_thresholds(common.venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th)
 
 
-def region_labels_df(spark: SparkSession, sf: str) -> DataFrame:
-    model, v = region_model_seeded(spark, sf)
+def region_labels_df(spark: SparkSession, sf: str, fitted=None) -> DataFrame:
+    model, v = fitted or region_model_seeded(spark, sf)
     cents = member_centroids(model.predict(v), ["price_nis", "rating", "lat"]).withColumn("area", sub_area("lat"))
     th = P.label_thresholds(haifa_venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th, area_col="area")
@@ -256,22 +256,22 @@ def predict(queries: DataFrame, venues: DataFrame, model: K.CentroidModel, label
 
 
 def q_predict(spark, sf):
-    model, _ = venue_model(spark, sf)
-    out = predict(common.clicks(spark, sf), common.venues(spark, sf), model, venue_labels(spark, sf))
+    fitted = venue_model(spark, sf)
+    out = predict(common.clicks(spark, sf), common.venues(spark, sf), fitted[0], venue_labels(spark, sf, fitted))
     return display_round(out).select("query_id", "rank", "row_id", "distance_km", "score",
                                      F.col("cluster").cast("int").alias("cluster"), "label")
 
 
 def q_predict_region(spark, sf):
-    model, _ = region_model_seeded(spark, sf)
-    out = predict(common.clicks(spark, sf), haifa_venues(spark, sf), model, region_labels_df(spark, sf))
+    fitted = region_model_seeded(spark, sf)
+    out = predict(common.clicks(spark, sf), haifa_venues(spark, sf), fitted[0], region_labels_df(spark, sf, fitted))
     return display_round(out).select("query_id", "rank", "row_id", "distance_km", "score",
                                      F.col("cluster").cast("int").alias("cluster"), "label")
 
 
 def q_cluster_counts(spark, sf):
-    model, split = venue_model(spark, sf)
-    lab = venue_labels(spark, sf)
+    model, split = fitted = venue_model(spark, sf)
+    lab = venue_labels(spark, sf, fitted)
     return (model.predict(split).join(F.broadcast(lab.select("cluster", "label")), "cluster")
             .groupBy("label").agg(F.count(F.lit(1)).alias("venues")))
 
@@ -284,8 +284,9 @@ def q_label_order(spark, sf):
 def q_filter_cluster_label(spark, sf):
     """Ranked lists kept only for one chosen label (F7): the label of the
     cluster with the smallest id."""
-    model, _ = venue_model(spark, sf)
-    lab = venue_labels(spark, sf)
+    fitted = venue_model(spark, sf)
+    model = fitted[0]
+    lab = venue_labels(spark, sf, fitted)
     chosen = lab.orderBy("cluster").first()["label"]
     cands, extra = predict_candidates(common.clicks(spark, sf), common.venues(spark, sf), model, lab)
     ranked = rank_candidates(cands.filter(F.col("label") == F.lit(chosen)), 10, extra)
