@@ -23,6 +23,14 @@ from pyspark.sql.window import Window
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, split_hot_cells, spread
 
+def _debug(msg: str) -> None:
+    import os
+    import sys
+    import time
+    if os.environ.get("SITELENS_DEBUG"):
+        print(f"[sitelens {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+
+
 # Feature lists of the venue model and of the regional model.
 FEATURE_COLS = ["price_nis", "rating", "reviews_count"]
 REGION_FEATURE_COLS = ["price_nis", "rating", "lat", "lng"]
@@ -276,7 +284,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
     executor recomputes from the last checkpoint. ``edges``: (src, dst), any
     direction; ``nodes``: (node). Output: node, comp."""
     e = edges.select(F.col("src"), F.col("dst"))
-    both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    # the edge list is read every round: materialise it once
+    both = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct().checkpoint()
     labels = nodes.select("node", F.col("node").alias("comp"))
     for r in range(max_rounds):
         nb = (both.join(labels.withColumnRenamed("node", "dst"), "dst")
@@ -292,6 +301,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
                    .filter(F.col("n.comp") != F.col("o.comp")).limit(1).count())
         labels.unpersist()
         labels = jump
+        _debug(f"components round {r} changed={changed}")
         if changed == 0:
             break
     return labels
@@ -363,7 +373,9 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
     edges = (_cross_cell_pairs(core_n, core_n, half, d, eps, rows_per_split,
                                probe_keep=[F.col("node").alias("src")], build_keep=[F.col("node").alias("dst")])
              .select("src", "dst").distinct())
+    _debug("dbscan: core flags done")
     comps = connected_components(edges, cell_node.select("node"))
+    _debug("dbscan: components done")
     numbering = (comps.select("comp").distinct()
                  .withColumn("cluster", (F.row_number().over(Window.orderBy("comp")) - 1).cast("int")))
     node_cluster = comps.join(numbering, "comp").select("node", "cluster").checkpoint()

@@ -69,11 +69,14 @@ def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], sal
 # --------------------------------------------------------------------------
 
 def default_cell_deg(queries: DataFrame, radius_col: str) -> float:
-    """Cell side near the median search radius, so a query covers few cells."""
+    """Cell side of half the median search radius: a typical query covers
+    about 5x5 cells, which keeps the candidate box close to the circle
+    without exploding queries into many cells (measured best on the
+    fixture among 1, 1/2 and 1/4 of the median)."""
     med = queries.agg(F.percentile_approx(radius_col, 0.5).alias("m")).first()["m"]
     if med is None or med <= 0:
         return 0.01
-    return float(min(max(math.degrees(med / EARTH_RADIUS_KM), 1e-4), 10.0))
+    return float(min(max(math.degrees(med / EARTH_RADIUS_KM) / 2.0, 1e-4), 10.0))
 
 
 def _lat_cell(lat: Column, cell: float) -> Column:
