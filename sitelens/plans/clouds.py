@@ -227,6 +227,34 @@ def q_mesh_sample(spark, sf):
     return s.select("pt_id", "tri_id", r6("x"), r6("y"), r6("z"))
 
 
+def _mesh_sample_sql(n: int = 5000, thin: float = 0.005, seed: int = 42) -> str:
+    from sitelens.functions.hashing import unit_hash_sql
+    cx_ = "(by_ - ay) * (cz - az) - (bz - az) * (cy - ay)"
+    cy_ = "(bz - az) * (cx - ax) - (bx - ax) * (cz - az)"
+    cz_ = "(bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax)"
+    key = "concat(CAST(tri_id AS VARCHAR), ':', CAST(i AS VARCHAR))"
+    coord = {a: f"(1.0E0 - sqrt(r1)) * a{a} + sqrt(r1) * (1.0E0 - r2) * {'by_' if a == 'y' else 'b' + a} + sqrt(r1) * r2 * c{a}"
+             for a in "xyz"}
+    d2 = " + ".join(f"(p.{a} - q.{a}) * (p.{a} - q.{a})" for a in "xyz")
+    return with_views(f""", tri AS (SELECT *, sqrt(({cx_}) * ({cx_}) + ({cy_}) * ({cy_}) + ({cz_}) * ({cz_})) / 2 AS area
+   FROM mesh_triangles),
+tot AS (SELECT sum(area) AS total FROM tri),
+cnt AS (SELECT tri.*, CAST(floor({float(n)!r} * area / tot.total + {unit_hash_sql('tri_id', f'{seed}:n')}) AS INTEGER) AS k
+   FROM tri, tot),
+rep AS (SELECT cnt.*, i FROM cnt, range(0, k) r(i) WHERE k > 0),
+uv AS (SELECT *, {unit_hash_sql(key, f'{seed}:u')} AS r1, {unit_hash_sql(key, f'{seed}:v')} AS r2 FROM rep),
+pts AS (SELECT tri_id * {1 << 20} + i AS pt_id, tri_id, {coord['x']} AS x, {coord['y']} AS y, {coord['z']} AS z FROM uv),
+hp AS (SELECT *, {hash32_sql('pt_id', seed)} AS h FROM pts),
+beaten AS (SELECT DISTINCT p.pt_id FROM hp p JOIN hp q
+   ON abs(p.x - q.x) <= {thin} AND abs(p.y - q.y) <= {thin} AND p.pt_id <> q.pt_id
+   WHERE {d2} <= {thin * thin!r} AND (q.h < p.h OR (q.h = p.h AND q.pt_id < p.pt_id)))
+SELECT pt_id, tri_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM pts
+WHERE pt_id NOT IN (SELECT pt_id FROM beaten)""", "mesh_triangles")
+
+
+MESH_SAMPLE_SQL = _mesh_sample_sql()
+
+
 def q_knn_radius(spark, sf):
     from sitelens.operators.spatial import knn_radius
     k = knn_radius(common.cloud_target(spark, sf), CL.XYZ, 2 * VOXEL, 30, id_col="pt_id")
@@ -291,7 +319,7 @@ for _name, _fn, _sql in [
     ("mesh_distance", q_mesh_distance, MESH_SQL),
     ("union_vertices", q_union_vertices, UNION_SQL),
     ("estimate_normals", q_estimate_normals, None),
-    ("mesh_sample", q_mesh_sample, None),
+    ("mesh_sample", q_mesh_sample, MESH_SAMPLE_SQL),
     ("knn_radius", q_knn_radius, KNN_SQL),
     ("eps_pairs", q_eps_pairs, EPS_SQL),
     ("nn_join", q_nn_join, NN_JOIN_SQL),
