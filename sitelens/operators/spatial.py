@@ -245,8 +245,13 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     q_all = queries.select(F.col(q_id).alias("_qid"),
                            *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)])
     q_all = spread(q_all).checkpoint()
-    t_all = targets.select(F.col(t_id).alias("_tid"),
-                           *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
+    # Copies at identical coordinates collapse to their smallest id before
+    # the search (exact: same distance, and ties go to the smallest id), so
+    # a group of copies holding a third of the table costs one row, not a
+    # third of the table per nearby query. The aggregate combines map-side.
+    t_all = (targets.select(F.col(t_id).alias("_tid"),
+                            *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
+             .groupBy(*["t" + x for x in xs]).agg(F.min("_tid").alias("_tid")))
     t_all = spread(t_all).checkpoint()
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),
@@ -270,6 +275,12 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     elif cell is None:
         cell = auto_cell([stats["hi" + x] - stats["lo" + x] for x in xs], n_t)
         cell = extent if cell <= 0 else min(max(cell, extent * 1e-6), extent)
+        # a hot spot far denser than the average gets finer starting cells
+        # (sparse regions then simply take a few more rings)
+        top = (t_all.groupBy(*[F.floor(F.col("t" + x) / F.lit(cell)) for x in xs]).count()
+               .agg(F.max("count").alias("m")).first()["m"] or 0)
+        if top > 256:
+            cell = max(cell / min(16.0, (top / 64.0) ** (1.0 / d)), extent * 1e-6)
 
     # Per-axis sides. An axis along which the targets are flat (thinner
     # than the cell, e.g. the normal of a scanned surface) gets one cell

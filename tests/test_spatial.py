@@ -132,3 +132,22 @@ def test_mesh_distance_matches_brute_force(spark):
     for pid, x, y, z in pts:
         want = float(np.min(np.linalg.norm(grids - np.array([x, y, z])[None, :], axis=1)))
         assert got[pid] <= want + 1e-9 and got[pid] == pytest.approx(want, abs=5e-3)
+
+
+def test_nn_join_hot_group_of_copies(spark):
+    """A third of the targets are copies of one point, next to a hot spot of
+    distinct points: results equal brute force (ties -> smallest id)."""
+    rnd = np.random.default_rng(21)
+    t = {i: tuple(map(float, rnd.random(3))) for i in range(300)}
+    t.update({5000 + i: (0.4, 0.4, 0.4) for i in range(200)})                       # group of copies
+    t.update({9000 + i: tuple(map(float, 0.6 + rnd.random(3) * 1e-3)) for i in range(400)})  # dense spot
+    q = {i: tuple(map(float, rnd.random(3))) for i in range(120)}
+    q.update({800: (0.4, 0.4, 0.4), 801: (0.6005, 0.6005, 0.6005)})
+    qdf = spark.createDataFrame([(i, *p) for i, p in q.items()], "pt_id long, x double, y double, z double")
+    tdf = spark.createDataFrame([(i, *p) for i, p in t.items()], "pt_id long, x double, y double, z double")
+    got = {r.pt_id: (r.nn_id, r.nn_dist) for r in nn_join(qdf, tdf, ["x", "y", "z"], rows_per_split=50).collect()}
+    want = _brute_nn(q, t)
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k][0] == want[k][0]
+        assert got[k][1] == pytest.approx(want[k][1], abs=1e-12)
