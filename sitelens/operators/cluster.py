@@ -348,9 +348,15 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
     side = eps / math.sqrt(d) * (1.0 - 1e-12)   # in-cell distance stays <= eps under rounding
     reach = int(math.ceil(eps / side))
     gk = [f"_g{i}" for i in range(d)]
-    pts = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    pts = spread(pts.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)})).checkpoint()
-    cell_n = pts.groupBy(*gk).agg(F.count(F.lit(1)).alias("_cell_n"))
+    xcols = [f"_x{i}" for i in range(d)]
+    pts0 = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+    # Copies at identical coordinates become one representative (smallest
+    # id) with a weight: they share degree, core flag and label, and a copy
+    # group holding a third of the table then costs one row in every pair
+    # step instead of one row per copy. The aggregate combines map-side.
+    reps = pts0.groupBy(*xcols).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"))
+    pts = spread(reps.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)})).checkpoint()
+    cell_n = pts.groupBy(*gk).agg(F.sum("_w").alias("_cell_n"))
     pts_n = pts.join(cell_n, gk)
 
     def min_gap(o):
@@ -360,8 +366,8 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
 
     # (1) degrees only where the cell count does not settle it
     sparse = pts_n.filter(F.col("_cell_n") < min_samples)
-    deg_x = (_cross_cell_pairs(sparse, pts, offs, d, eps, rows_per_split)
-             .groupBy(F.col("a").alias("_id")).agg(F.count(F.lit(1)).alias("_deg_x")))
+    deg_x = (_cross_cell_pairs(sparse, pts, offs, d, eps, rows_per_split, build_keep=[F.col("_w")])
+             .groupBy(F.col("a").alias("_id")).agg(F.sum("_w").alias("_deg_x")))
     info = (pts_n.join(deg_x, "_id", "left")
             .withColumn("is_core", (F.col("_cell_n") + F.coalesce(F.col("_deg_x"), F.lit(0))) >= min_samples)
             .select("_id", *[f"_x{i}" for i in range(d)], *gk, "is_core")).checkpoint()
@@ -389,10 +395,11 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
     across = (_cross_cell_pairs(non_core, core_cl, offs, d, eps, rows_per_split, build_keep=[F.col("cluster")])
               .select(F.col("a").alias("_id"), F.col("cluster").alias("cand")))
     border = same_cell.unionByName(across).groupBy("_id").agg(F.min("cand").alias("border_cluster"))
-    return (info.select("_id", "is_core").join(core_cluster, "_id", "left").join(border, "_id", "left")
-            .select(F.col("_id").alias(id_col),
-                    F.coalesce(F.col("cluster"), F.col("border_cluster"), F.lit(-1)).cast("int").alias("cluster"),
-                    "is_core"))
+    rep_label = (info.select("_id", *xcols, "is_core").join(core_cluster, "_id", "left").join(border, "_id", "left")
+                 .select(*xcols, F.coalesce(F.col("cluster"), F.col("border_cluster"), F.lit(-1)).cast("int").alias("cluster"),
+                         "is_core"))
+    # every copy takes its representative's label
+    return pts0.join(rep_label, xcols).select(F.col("_id").alias(id_col), "cluster", "is_core")
 
 
 # --------------------------------------------------------------------------

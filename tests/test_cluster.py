@@ -118,3 +118,15 @@ def test_cluster_labels_dedup(spark):
     assert lab[2] == "Good & Expensive (₪51)"
     assert lab[3] == "Below Average & Affordable"
     assert len(set(lab.values())) == 4
+
+
+def test_dbscan_copy_group_matches_scan_order(spark):
+    """A third of the points are copies of one point: same labels as the
+    scan-order algorithm on the uncollapsed points."""
+    rnd = np.random.default_rng(8)
+    base = [tuple(map(float, p)) for p in np.vstack([rnd.normal((0.3, 0.3), 0.04, size=(60, 2)), rnd.random((30, 2))])]
+    pts = base + [(0.31, 0.29)] * 45 + [(0.9, 0.9)] * 3          # a big copy group and a small one
+    got = {r.pt_id: (r.cluster, r.is_core) for r in K.dbscan(_df(spark, pts), ["f0", "f1"], 0.05, 4).collect()}
+    lab, core = scan_dbscan(pts, 0.05, 4)
+    assert [got[i][0] for i in range(len(pts))] == lab
+    assert [got[i][1] for i in range(len(pts))] == core
