@@ -39,9 +39,8 @@ def with_cloud(df: DataFrame, cloud_id: int = 1) -> DataFrame:
 
 def cloud_sample(cloud: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """min(n, size) points per cloud without replacement, repeatable."""
-    c = with_cloud(cloud)
-    out = top_k_per_group(c, "cloud_id", [hash32("pt_id", seed), F.col("pt_id")], n, rank_col="_r")
-    return out.drop("_r")
+    from sitelens.operators.ranking import sample_per_group
+    return sample_per_group(with_cloud(cloud), "cloud_id", n, "pt_id", seed)
 
 
 def voxel_downsample(cloud: DataFrame, voxel: float = 0.05) -> DataFrame:

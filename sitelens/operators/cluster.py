@@ -200,7 +200,8 @@ def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str
     cols = list(cols)
     data = df.select(F.col(id_col).alias("_id"), F.col(cluster_col).cast("long").alias("_c"),
                      *[F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(cols)])
-    anchors_df = data.orderBy(hash32("_id", seed), F.col("_id")).limit(sample_rows)
+    from sitelens.operators.ranking import sample_rows as _sample
+    anchors_df = _sample(data, sample_rows, id_col="_id", seed=seed)
     anchors = anchors_df.toPandas()
     n_anchor = len(anchors)
     if n_anchor == 0:

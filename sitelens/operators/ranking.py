@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -61,10 +62,56 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, rank_col: str = "rank"
     return top.withColumn(rank_col, F.row_number().over(w))
 
 
+def hash_threshold(n: int, total: int, slack: float = 1.0) -> float:
+    """A 32-bit hash bound expected to keep about 1.2 n of ``total`` rows
+    (uniform hash), with a few standard deviations of headroom."""
+    if total <= 0:
+        return float(1 << 32)
+    want = (1.2 * n + 6.0 * math.sqrt(n) + 100.0) * slack
+    return min(1.0, want / total) * float(1 << 32)
+
+
 def sample_rows(df: DataFrame, n: int, id_col: str = "row_id", seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, repeatable for any layout (T4): the n
-    smallest seeded hashes (ties by id)."""
-    return df.orderBy(hash32(id_col, seed), F.col(id_col)).limit(n)
+    smallest seeded hashes (ties by id).
+
+    A plain ``orderBy(hash).limit(n)`` merges every partition's n-row heap in
+    one task (partitions x n rows). The hash is uniform, so rows above a
+    bound expected to keep ~1.2 n rows are dropped first; the candidate count
+    is verified (the bound doubles if it is short, so the result stays
+    exact) and only the candidates are ordered."""
+    h = hash32(id_col, seed)
+    d = df.withColumn("_h", h)
+    total = d.count()
+    if total <= n:
+        return d.orderBy("_h", id_col).drop("_h")
+    slack = 1.0
+    while True:
+        bound = hash_threshold(n, total, slack)
+        cand = d.filter(F.col("_h") < F.lit(bound))
+        if bound >= float(1 << 32) or cand.count() >= n:
+            break
+        slack *= 2.0
+    return cand.orderBy("_h", id_col).limit(n).drop("_h")
+
+
+def sample_per_group(df: DataFrame, group: str, n: int, id_col: str, seed: int = 42) -> DataFrame:
+    """min(n, group size) rows per group by smallest seeded hash (C1). Per
+    group the same hash bound is applied first (group sizes come from one
+    grouped count, one row per group), groups whose candidates fall short
+    keep all their rows, and the per-group top-n then runs on candidates."""
+    d = df.withColumn("_h", hash32(id_col, seed))
+    sizes = d.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    want = 1.2 * n + 6.0 * math.sqrt(n) + 100.0
+    bound = F.least(F.lit(1.0), F.lit(want) / F.col("_n")) * F.lit(float(1 << 32))
+    sized = d.join(sizes, group).withColumn("_b", bound)
+    cand_n = sized.filter(F.col("_h") < F.col("_b")).groupBy(group).agg(F.count(F.lit(1)).alias("_c"))
+    short = sizes.join(cand_n, group, "left").filter(F.coalesce(F.col("_c"), F.lit(0)) < F.least(F.col("_n"), F.lit(n)))
+    keep_all = short.select(group, F.lit(True).alias("_all"))
+    cand = (sized.join(keep_all, group, "left")
+            .filter(F.col("_all").isNotNull() | (F.col("_h") < F.col("_b"))))
+    out = top_k_per_group(cand, group, [F.col("_h"), F.col(id_col)], n, rank_col="_r")
+    return out.drop("_r", "_h", "_n", "_b", "_all")
 
 
 def score_candidates(pairs: DataFrame, persona_col: str = "persona") -> DataFrame:

@@ -32,3 +32,20 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan.replace("WindowGroupLimit", "")
     assert "Aggregate" in plan
+
+
+def test_sampling_equals_full_order(spark):
+    """The hash-bound prefilter returns exactly the n smallest hashes."""
+    from sitelens.functions.hashing import hash32
+    from sitelens.operators.cloud import cloud_sample
+    from sitelens.operators.ranking import sample_rows
+    df = spark.range(20000).select(F.col("id").alias("pt_id"), (F.col("id") % 3).alias("cloud_id"),
+                                   F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))
+    full = df.orderBy(hash32("pt_id", 42), "pt_id").limit(500)
+    got = sample_rows(df, 500, id_col="pt_id")
+    assert sorted(r.pt_id for r in got.collect()) == sorted(r.pt_id for r in full.collect())
+    assert sample_rows(df.limit(10), 500, id_col="pt_id").count() == 10
+    per = cloud_sample(df, 300)
+    from sitelens.operators.ranking import top_k_per_group
+    ref = top_k_per_group(df, "cloud_id", [hash32("pt_id", 42), F.col("pt_id")], 300, rank_col="_r")
+    assert sorted(r.pt_id for r in per.collect()) == sorted(r.pt_id for r in ref.collect())
