@@ -277,6 +277,21 @@ def k_sweep(train_z: DataFrame, z_cols: Sequence[str], id_col: str, ks: Sequence
 # M6 DBSCAN
 # --------------------------------------------------------------------------
 
+def global_rank(df: DataFrame, col: str) -> DataFrame:
+    """0-based rank of ``col`` over the whole table without a one-task
+    window: range-partition (frozen by a checkpoint so every later read
+    sees the same partitions), count rows per partition (one row each),
+    offset each partition by the counts before it, number rows within it."""
+    par = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    parts = df.repartitionByRange(par, col).withColumn("_pid", F.spark_partition_id()).checkpoint()
+    sizes = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_sz"))
+    offs = sizes.withColumn("_off", F.coalesce(
+        F.sum("_sz").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rn = F.row_number().over(Window.partitionBy("_pid").orderBy(col)) - 1
+    return (parts.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+            .withColumn("_rank", F.col("_off") + rn).drop("_pid", "_off"))
+
+
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200,
                          checkpoint_every: int = 4) -> DataFrame:
     """Smallest node id of each node's component: min-label propagation plus
@@ -383,8 +398,7 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
     _debug("dbscan: core flags done")
     comps = connected_components(edges, cell_node.select("node"))
     _debug("dbscan: components done")
-    numbering = (comps.select("comp").distinct()
-                 .withColumn("cluster", (F.row_number().over(Window.orderBy("comp")) - 1).cast("int")))
+    numbering = global_rank(comps.select("comp").distinct(), "comp").withColumn("cluster", F.col("_rank").cast("int")).drop("_rank")
     node_cluster = comps.join(numbering, "comp").select("node", "cluster").checkpoint()
     core_cluster = core_n.select("_id", "node").join(node_cluster, "node").select("_id", "cluster")
 

@@ -130,3 +130,10 @@ def test_dbscan_copy_group_matches_scan_order(spark):
     lab, core = scan_dbscan(pts, 0.05, 4)
     assert [got[i][0] for i in range(len(pts))] == lab
     assert [got[i][1] for i in range(len(pts))] == core
+
+
+def test_global_rank_matches_sort(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 10007).alias("v"))
+    got = {r.v: r._rank for r in K.global_rank(df, "v").collect()}
+    want = {v: i for i, v in enumerate(sorted(got))}
+    assert got == want
