@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sitelens.functions.hashing import hash32, unit_hash
-from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, split_hot_cells, spread
+from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, right_size, split_hot_cells, spread
 
 def _debug(msg: str) -> None:
     import os
@@ -173,7 +173,7 @@ def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, sc
 
     scaler = scaler or Scaler.fit(train, cols)
     z = scaler.transform(train)
-    vec = VectorAssembler(inputCols=scaler.z_cols(), outputCol="_features").transform(z).select("_features")
+    vec = right_size(VectorAssembler(inputCols=scaler.z_cols(), outputCol="_features").transform(z).select("_features"))
     model = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=max_iter).fit(vec)
     centers = [[float(v) for v in c] for c in model.clusterCenters()]
     return CentroidModel(scaler, centers, algorithm="KMeans", info={"cost": float(model.summary.trainingCost)})
@@ -227,7 +227,7 @@ def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str
             yield pd.DataFrame({"anchor": np.arange(len(sums), dtype=np.int64), "cluster": np.int64(c),
                                 "dsum": sums, "cnt": np.int64(cnt[0])})
 
-    sums = (data.mapInPandas(partial, "anchor long, cluster long, dsum double, cnt long")
+    sums = (right_size(data).mapInPandas(partial, "anchor long, cluster long, dsum double, cnt long")
             .groupBy("anchor", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt")))
     own = spark.createDataFrame(pd.DataFrame({"anchor": np.arange(n_anchor, dtype=np.int64),
                                               "own": anchors["_c"].astype(np.int64)}))
@@ -262,7 +262,7 @@ def k_sweep(train_z: DataFrame, z_cols: Sequence[str], id_col: str, ks: Sequence
     from pyspark.ml.feature import VectorAssembler
 
     vec = VectorAssembler(inputCols=list(z_cols), outputCol="_features").transform(train_z)
-    vec = vec.select(id_col, *z_cols, "_features").cache()
+    vec = right_size(vec.select(id_col, *z_cols, "_features")).cache()
     scores = []
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cl").fit(vec)
@@ -462,6 +462,7 @@ def ward_cluster(train_z: DataFrame, z_cols: Sequence[str], k: int, micro: int =
     spark = train_z.sparkSession
     vec = VectorAssembler(inputCols=list(z_cols), outputCol="_features").transform(train_z)
     n = vec.count()
+    vec = right_size(vec, n).cache()
     m = int(min(micro, n))
     km = KMeans(k=m, seed=seed, featuresCol="_features", predictionCol="_micro").fit(vec)
     assigned = km.transform(vec)

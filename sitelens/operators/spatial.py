@@ -38,6 +38,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
+def right_size(df: DataFrame, rows: int | None = None, rows_per_part: int = 1_000_000) -> DataFrame:
+    """Before caching or iterating over an input: about ``rows_per_part``
+    rows per partition, never fewer partitions than cores. Cached plans keep
+    the shuffle's partition count (AQE does not coalesce them), so a small
+    table left at 200 partitions would run 200 tiny tasks per pass."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n = df.count() if rows is None else rows
+    target = max(par, int(math.ceil(n / rows_per_part)))
+    have = df.rdd.getNumPartitions()
+    if have > 2 * target:
+        return df.coalesce(target)
+    if have < par:
+        return df.repartition(par)
+    return df
+
+
 def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], salt_source: str,
                     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> tuple[DataFrame, DataFrame, list[str]]:
     """Salt hot cells: returns (build, probe, join keys incl. the salt column).
