@@ -99,11 +99,16 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
     return res
 
 
-def run(names: list[str] | None, sf_dir: str, verbose: bool = True) -> dict:
+def run(names: list[str] | None, sf_dir: str, verbose: bool = True, vanilla: bool = False) -> dict:
     import __spark_entry__ as entry
     from sitelens.session import get_session
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if vanilla:   # a plain session with Spark's defaults, as a driver might make
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     qs, oracles = entry.queries(), entry.oracle_sql()
     con = duck_connect(sf_dir)
     results = {}
@@ -133,8 +138,11 @@ if __name__ == "__main__":
     ap = argparse.ArgumentParser()
     ap.add_argument("names", nargs="*")
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--vanilla", action="store_true", help="use a plain session with Spark defaults")
     args = ap.parse_args()
-    res = run(args.names or None, args.sf)
+    t0 = time.time()
+    res = run(args.names or None, args.sf, vanilla=args.vanilla)
+    print(f"TOTAL {time.time() - t0:.1f} s")
     bad = [n for n, r in res.items() if r.get("ok") is False]
     print("SUMMARY ok=%d no_oracle=%d bad=%d %s" % (
         sum(1 for r in res.values() if r.get("ok")), sum(1 for r in res.values() if r.get("ok") is None),
