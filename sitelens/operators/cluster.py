@@ -388,15 +388,54 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
             .withColumn("is_core", (F.col("_cell_n") + F.coalesce(F.col("_deg_x"), F.lit(0))) >= min_samples)
             .select("_id", *[f"_x{i}" for i in range(d)], *gk, "is_core")).checkpoint()
     core = info.filter("is_core")
-    cell_node = core.groupBy(*gk).agg(F.min("_id").alias("node"))
-    core_n = core.join(cell_node, gk).select("_id", *[f"_x{i}" for i in range(d)], *gk, "node")
-
-    # (2) cell graph: distinct (node, node) links, half the offsets (undirected)
-    edges = (_cross_cell_pairs(core_n, core_n, half, d, eps, rows_per_split,
-                               probe_keep=[F.col("node").alias("src")], build_keep=[F.col("node").alias("dst")])
-             .select("src", "dst").distinct())
+    cell_node = core.groupBy(*gk).agg(F.min("_id").alias("node")).checkpoint()
+    core_n = core.join(cell_node, gk).select("_id", *[f"_x{i}" for i in range(d)], *gk, "node").checkpoint()
+
+    # (2) cell graph. (a) Sure links without point pairs: on sub-cells of
+    # half the side, two occupied core sub-cells whose farthest corners are
+    # within eps link their cells (decided on distinct sub-cells, not on
+    # points). (b) Components over the sure links. (c) Point pairs only
+    # between neighbouring cells still in different components (true
+    # cluster boundaries), so two dense adjacent cells never form all pairs.
+    ss = side / 2.0
+    hk = [f"_h{i}" for i in range(d)]
+    core_sub = core_n.select("node", *[F.floor(F.col(f"_x{i}") / F.lit(ss)).cast("long").alias(f"_h{i}")
+                                       for i in range(d)]).distinct()
+    sure_offs = [o for o in _offsets(d, 2 * reach) if any(o) and next(v for v in o if v != 0) > 0
+                 and math.sqrt(sum((abs(v) + 1) ** 2 for v in o)) * ss <= eps]
+    sure_arr = F.array(*[F.array(*[F.lit(v) for v in o]) for o in sure_offs])
+    sure = (core_sub.withColumn("_off", F.explode(sure_arr))
+            .select(F.col("node").alias("src"), *[(F.col(f"_h{i}") + F.col("_off")[i]).alias(f"_h{i}") for i in range(d)])
+            .join(core_sub.withColumnRenamed("node", "dst"), hk)
+            .filter(F.col("src") != F.col("dst")).select("src", "dst").distinct())
+    comps1 = connected_components(sure, cell_node.select("node"))
+    cell_comp = cell_node.join(comps1, "node")
+    off_half = F.array(*[F.array(*[F.lit(v) for v in o]) for o in half])
+    allowed = (cell_comp.withColumn("_off", F.explode(off_half))
+               .select(F.col("node").alias("node_a"), F.col("comp").alias("comp_a"),
+                       *[(F.col(f"_g{i}") + F.col("_off")[i]).alias(f"_g{i}") for i in range(d)])
+               .join(cell_comp.select(*gk, F.col("comp").alias("comp_b")), gk)
+               .filter(F.col("comp_a") != F.col("comp_b")))
+    probe = (core_n.select(F.col("_id").alias("a"), *[F.col(f"_x{i}").alias(f"a_x{i}") for i in range(d)],
+                           F.col("node").alias("node_a"))
+             .join(allowed, "node_a"))
+    build = core_n.join(comps1, "node").select(F.col("_id").alias("b"),
+                                               *[F.col(f"_x{i}").alias(f"b_x{i}") for i in range(d)], *gk)
+    build, probe, keys = split_hot_cells(build, probe, gk, "b", rows_per_split)
+    sq = None
+    for i in range(d):
+        t = (F.col(f"a_x{i}") - F.col(f"b_x{i}")) * (F.col(f"a_x{i}") - F.col(f"b_x{i}"))
+        sq = t if sq is None else sq + t
+    links = (probe.join(build, keys).filter(sq <= F.lit(float(eps) ** 2))
+             .select(F.col("comp_a").alias("src"), F.col("comp_b").alias("dst")).distinct())
     _debug("dbscan: core flags done")
-    comps = connected_components(edges, cell_node.select("node"))
+    links = links.checkpoint()
+    if links.isEmpty():
+        comps = comps1
+    else:
+        comps2 = connected_components(links, comps1.select(F.col("comp").alias("node")).distinct())
+        comps = (comps1.join(comps2.select(F.col("node").alias("comp"), F.col("comp").alias("final")), "comp")
+                 .select("node", F.col("final").alias("comp")))
     _debug("dbscan: components done")
     numbering = global_rank(comps.select("comp").distinct(), "comp").withColumn("cluster", F.col("_rank").cast("int")).drop("_rank")
     node_cluster = comps.join(numbering, "comp").select("node", "cluster").checkpoint()

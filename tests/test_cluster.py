@@ -137,3 +137,18 @@ def test_global_rank_matches_sort(spark):
     got = {r.v: r._rank for r in K.global_rank(df, "v").collect()}
     want = {v: i for i, v in enumerate(sorted(got))}
     assert got == want
+
+
+@pytest.mark.parametrize("gap", [0.095, 0.105])
+def test_dbscan_link_only_through_boundary_pair(spark, gap):
+    """Two dense strips joined (or not) only by a point pair near eps:
+    no sure sub-cell link can see it, so the boundary pair check must."""
+    rnd = np.random.default_rng(3)
+    left = [(float(x), float(y)) for x, y in zip(rnd.uniform(-0.3, 0.0, 80), rnd.uniform(0, 0.3, 80))]
+    right = [(float(x), float(y)) for x, y in zip(rnd.uniform(gap, gap + 0.3, 80), rnd.uniform(0, 0.3, 80))]
+    pts = left + [(0.0, 0.15)] + right + [(gap, 0.15)]
+    got = {r.pt_id: (r.cluster, r.is_core) for r in K.dbscan(_df(spark, pts), ["f0", "f1"], 0.1, 3).collect()}
+    lab, core = scan_dbscan(pts, 0.1, 3)
+    assert [got[i][0] for i in range(len(pts))] == lab
+    assert [got[i][1] for i in range(len(pts))] == core
+    assert len(set(lab) - {-1}) == (1 if gap < 0.1 else 2)
