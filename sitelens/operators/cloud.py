@@ -192,7 +192,7 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
         v = tri.select(F.col(cx_).alias("x"), F.col(cy_).alias("y"), F.col(cz_).alias("z"))
         verts = v if verts is None else verts.unionByName(v)
     verts = verts.distinct().withColumn("pt_id", F.xxhash64("x", "y", "z"))
-    ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id").select(
+    ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id", collapse_copies=False).select(
         "pt_id", (F.col("nn_dist") * F.lit(1.0 + 1e-9) + F.lit(1e-12)).alias("ub"))
 
     # 2. probe cells within the bound, clamped to the mesh box

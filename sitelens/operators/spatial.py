@@ -236,7 +236,7 @@ def auto_cell(extents: Sequence[float], n: int, per_cell: float = 2.0) -> float:
 def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id: str = "pt_id",
             t_id: str = "pt_id", t_cols: Sequence[str] | None = None, cell: float | None = None,
             max_rounds: int = 40, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
-            max_dist: float | None = None) -> DataFrame:
+            max_dist: float | None = None, collapse_copies: bool = True) -> DataFrame:
     """Exact 1-nearest neighbour of every query point among the targets.
 
     Ring growth: in round r the grid side is ``cell * 2**r``; each open query
@@ -265,9 +265,10 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     # the search (exact: same distance, and ties go to the smallest id), so
     # a group of copies holding a third of the table costs one row, not a
     # third of the table per nearby query. The aggregate combines map-side.
-    t_all = (targets.select(F.col(t_id).alias("_tid"),
-                            *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
-             .groupBy(*["t" + x for x in xs]).agg(F.min("_tid").alias("_tid")))
+    t_all = targets.select(F.col(t_id).alias("_tid"),
+                           *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
+    if collapse_copies:   # skip only when the caller knows targets are distinct
+        t_all = t_all.groupBy(*["t" + x for x in xs]).agg(F.min("_tid").alias("_tid"))
     t_all = spread(t_all).checkpoint()
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),

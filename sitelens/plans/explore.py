@@ -339,7 +339,7 @@ def synthetic_queries(ids: DataFrame, id_col: str, seed: int = 42, bbox: dict =
 
 def q_synthetic_queries(spark: SparkSession, sf: str) -> DataFrame:
     from sitelens.sources.fixtures import read_table
-    ev = read_table(spark, sf, "events").filter(F.col("event_type") != "click")
+    ev = read_table(spark, sf, "events")
     return synthetic_queries(ev, "event_id").select("query_id", r6("lat"), r6("lng"))
 
 
@@ -347,7 +347,7 @@ _B = HAIFA_BBOX
 SYNTH_SQL = f"""SELECT event_id AS query_id,
   round({_B['lat_min']!r}E0 + {_B['lat_max'] - _B['lat_min']!r}E0 * {unit_hash_sql('event_id', '42:lat')}, 6) AS lat,
   round({_B['lng_min']!r}E0 + {_B['lng_max'] - _B['lng_min']!r}E0 * {unit_hash_sql('event_id', '42:lng')}, 6) AS lng
-FROM events WHERE event_type <> 'click'"""
+FROM events"""
 
 
 def city_query_point(users: DataFrame, venues: DataFrame) -> DataFrame:
