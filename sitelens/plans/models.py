@@ -132,6 +132,11 @@ def q_silhouette_sampled(spark, sf):
     return s.select(r6("silhouette"), "n_anchors", r6("stderr"))
 
 
+def q_silhouette_squared(spark, sf):
+    v = K.silhouette_squared(points_assigned(spark, sf), PT_COLS, "cluster")
+    return spark.createDataFrame([(v,)], "silhouette_sq double").select(r6("silhouette_sq"))
+
+
 def q_dbscan(spark, sf):
     return K.dbscan(common.cluster_points(spark, sf), PT_COLS, eps=0.5, min_samples=5, id_col="pt_id")
 
@@ -435,6 +440,16 @@ SELECT round(avg(s), 6) AS silhouette, count(*) AS n_anchors, {tail} FROM sv"""
 
 
 SIL_EXACT_SQL = with_views(silhouette_sql(None), "cluster_points")
+
+_sq = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PT_COLS)
+SIL_SQUARED_SQL = with_views(f""", {PT_ASSIGN_CTE},
+per AS (SELECT a.pt_id, a.cluster AS ca, b.cluster AS cb, sum({_sq}) AS ds, count(*) AS n
+   FROM passg a, passg b GROUP BY a.pt_id, a.cluster, b.cluster),
+agg AS (SELECT pt_id, max(CASE WHEN cb = ca THEN n END) AS n_own, max(CASE WHEN cb = ca THEN ds END) AS d_own,
+   min(CASE WHEN cb <> ca THEN ds / n END) AS b FROM per GROUP BY pt_id),
+sv AS (SELECT CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0E0
+   ELSE (b - d_own / (n_own - 1)) / greatest(d_own / (n_own - 1), b) END AS s FROM agg)
+SELECT round(avg(s), 6) AS silhouette_sq FROM sv""", "cluster_points")
 SIL_SAMPLED_SQL = with_views(silhouette_sql(500), "cluster_points")
 
 
@@ -547,6 +562,7 @@ for _name, _fn, _sql in [
     ("k_sweep", q_k_sweep, None),
     ("silhouette_exact", q_silhouette_exact, SIL_EXACT_SQL),
     ("silhouette_sampled", q_silhouette_sampled, SIL_SAMPLED_SQL),
+    ("silhouette_squared", q_silhouette_squared, SIL_SQUARED_SQL),
     ("dbscan", q_dbscan, DBSCAN_SQL),
     ("dbscan_assign", q_dbscan_assign, DBSCAN_ASSIGN_SQL),
     ("ward_cluster", q_ward_cluster, None),
