@@ -151,3 +151,19 @@ def test_nn_join_hot_group_of_copies(spark):
     for k in want:
         assert got[k][0] == want[k][0]
         assert got[k][1] == pytest.approx(want[k][1], abs=1e-12)
+
+
+def test_knn_radius_dense_spot_staged(spark):
+    """A dense spot (staged radii) next to sparse points equals brute force."""
+    rnd = np.random.default_rng(17)
+    pts = {i: tuple(map(float, rnd.random(2))) for i in range(150)}
+    pts.update({1000 + i: tuple(map(float, 0.5 + rnd.random(2) * 0.01)) for i in range(300)})
+    df = spark.createDataFrame([(i, *p) for i, p in pts.items()], "pt_id long, f0 double, f1 double")
+    k = knn_radius(df, ["f0", "f1"], 0.1, 5).collect()
+    by_a = {}
+    for r in k:
+        by_a.setdefault(r.a, []).append((r.nn_rank, r.b))
+    assert set(by_a) == set(pts)
+    for a, lst in by_a.items():
+        full = sorted((math.dist(pts[a], pts[b]), b) for b in pts if math.dist(pts[a], pts[b]) <= 0.1)
+        assert [b for _, b in sorted(lst)] == [b for _, b in full[:5]]
