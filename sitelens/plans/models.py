@@ -39,21 +39,22 @@ def r6(c: str) -> F.Column:
 
 # ---------------------------------------------------------------- Spark side
 
-def eligible_venues(spark: SparkSession, sf: str, cols=K.FEATURE_COLS) -> DataFrame:
-    return C.eligible(common.venues(spark, sf), ["rating", "price_nis"] if cols == K.FEATURE_COLS else cols)
+def eligible_venues(spark: SparkSession, sf: str, cols=K.FEATURE_COLS, venues: DataFrame | None = None) -> DataFrame:
+    v = venues if venues is not None else common.venues(spark, sf)
+    return C.eligible(v, ["rating", "price_nis"] if cols == K.FEATURE_COLS else cols)
 
 
-def venue_split(spark: SparkSession, sf: str, cols=K.FEATURE_COLS) -> DataFrame:
-    return K.split_train_test(eligible_venues(spark, sf, cols), "row_id", TEST_FRACTION, SEED)
+def venue_split(spark: SparkSession, sf: str, cols=K.FEATURE_COLS, venues: DataFrame | None = None) -> DataFrame:
+    return K.split_train_test(eligible_venues(spark, sf, cols, venues), "row_id", TEST_FRACTION, SEED)
 
 
 def haifa_venues(spark: SparkSession, sf: str) -> DataFrame:
     return C.bbox_filter(common.venues(spark, sf))
 
 
-def venue_model(spark: SparkSession, sf: str) -> tuple[K.CentroidModel, DataFrame]:
+def venue_model(spark: SparkSession, sf: str, venues: DataFrame | None = None) -> tuple[K.CentroidModel, DataFrame]:
     """Deterministic venue model: train-split scaler, hash-seeded centres."""
-    split = venue_split(spark, sf)
+    split = venue_split(spark, sf, venues=venues)
     train = split.filter(F.col("split") == "train")
     return K.seeded_model(train, K.FEATURE_COLS, K_VENUES, "row_id", SEED), split
 
@@ -68,10 +69,10 @@ def member_centroids(assigned: DataFrame, cols) -> DataFrame:
     return assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def venue_labels(spark: SparkSession, sf: str, fitted=None) -> DataFrame:
-    model, split = fitted or venue_model(spark, sf)
+def venue_labels(spark: SparkSession, sf: str, fitted=None, venues: DataFrame | None = None) -> DataFrame:
+    model, split = fitted or venue_model(spark, sf, venues)
     cents = member_centroids(model.predict(split), ["price_nis", "rating"])
-    th = P.label_thresholds(common.venues(spark, sf)).first().asDict()
+    th = P.label_thresholds(venues if venues is not None else common.venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th)
 
 
@@ -261,8 +262,11 @@ def predict(queries: DataFrame, venues: DataFrame, model: K.CentroidModel, label
 
 
 def q_predict(spark, sf):
-    fitted = venue_model(spark, sf)
-    out = predict(common.clicks(spark, sf), common.venues(spark, sf), fitted[0], venue_labels(spark, sf, fitted))
+    # the clean table feeds the fit, the labels, the cell size and the join:
+    # materialise it once (reliable checkpoint) instead of re-cleaning per job
+    venues = common.venues(spark, sf).checkpoint()
+    fitted = venue_model(spark, sf, venues)
+    out = predict(common.clicks(spark, sf), venues, fitted[0], venue_labels(spark, sf, fitted, venues))
     return display_round(out).select("query_id", "rank", "row_id", "distance_km", "score",
                                      F.col("cluster").cast("int").alias("cluster"), "label")
 
