@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_codec, exact_dedup, language_id, quality, token_count, url_filter, warc
+from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, quality, token_count, url_filter, warc
 from sitelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,12 +27,62 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+# Exact pairs and components over all documents that share a shingle.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, md5_number(array_to_string(ws[i:i + 4], ' ')) AS sh
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+-- a pair that links shares a shingle among the (n - ceil(0.85 n) + 1) first by hash
+p AS (SELECT doc_id, sh, row_number() OVER (PARTITION BY doc_id ORDER BY sh) AS r FROM s),
+f AS (SELECT p.doc_id, sh FROM p JOIN n USING (doc_id) WHERE r <= n - (85 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.sh = b.sh AND a.doc_id < b.doc_id
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id WHERE 100 * least(na.n, nb.n) >= 85 * greatest(na.n, nb.n)),
+k AS (SELECT c.a, c.b, count(*) AS hits FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.sh = x.sh GROUP BY ALL),
+e AS (SELECT a, b FROM k JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * hits >= 85 * (na.n + nb.n - hits)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+t(a, b) AS (SELECT a, b FROM u UNION SELECT t.a, u.b FROM t JOIN u ON t.b = u.a),
+m AS (SELECT a AS doc_id, min(b) AS low FROM t GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, m.low) AS component_id,
+       d.doc_id = least(d.doc_id, m.low) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id
+"""
+
+
+@_query("op1_minhash_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components at Jaccard 0.85."""
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_bpe_codec")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
     return bpe_codec.encode_documents(table(spark, sf_dir, "documents"))
 
 
+OP3_SQL = r"""
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT kind, id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM t),
+s AS (SELECT DISTINCT kind, id, ws[i:i + 4] AS sh
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i) WHERE len(ws) > 0),
+q AS (SELECT id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, any_value(q.n) AS item_shingles, count(*) / any_value(q.n) AS containment
+FROM s d JOIN s i ON d.sh = i.sh AND d.kind = 'd' AND i.kind = 'i' JOIN q ON q.id = i.id
+GROUP BY d.id, i.id HAVING 100 * count(*) >= 80 * any_value(q.n)
+"""
+
+
+@_query("op3_decontamination", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the items."""
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP4_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
