@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitelens.llm import bpe_codec, exact_dedup, quality
+from sitelens.llm import bpe_codec, decontam, exact_dedup, minhash_dedup, quality
 from sitelens.llm.common import materialize, prepare, table
 
 
@@ -26,6 +26,18 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked at Jaccard 0.85 or more the smallest doc_id stays."""
+    prepare(spark)
+    return minhash_dedup.drop_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that contain a benchmark item."""
+    prepare(spark)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded texts."""
     prepare(spark)
@@ -35,6 +47,8 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("quality", quality_classifier),
     ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("decontamination", decontamination),
     ("bpe", bpe_encoding),
 ]
 

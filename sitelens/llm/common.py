@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -57,6 +58,13 @@ def text_list(column: pa.Array) -> list[str]:
     return ["" if v is None else v for v in column.to_pylist()]
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: its cleaner acts
+    once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int,
                   hot_keys: int = HOT_KEYS, how: str = "inner") -> DataFrame:
     """Give every row its group's columns when one group may hold a third of

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, quality, token_count, url_filter, warc
+from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, quality, suffix_dedup, token_count, url_filter, warc
 from sitelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,29 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.train(docs))
 
 
+OP7_SQL = """
+WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM x, LATERAL (SELECT unnest(range(0, length(h) // 2 - 49)) AS i)),
+m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s),
+g AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE low < doc_id),
+e AS (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM g),
+n AS (SELECT doc_id, i, sum((p IS NULL OR i > p + 50)::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
+r AS (SELECT doc_id, k, min(i) AS lo, max(i) + 50 AS hi FROM n GROUP BY ALL),
+t AS (SELECT r.doc_id, r.lo, r.hi, coalesce(lag(hi) OVER (PARTITION BY r.doc_id ORDER BY lo), 0) AS prev FROM r),
+c AS (SELECT t.doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans, max(hi) AS last,
+        string_agg(substr(x.h, 2 * prev + 1, 2 * (lo - prev)), '' ORDER BY lo) AS kept FROM t JOIN x ON x.doc_id = t.doc_id GROUP BY t.doc_id)
+SELECT x.doc_id, (length(x.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN c.doc_id IS NULL THEN x.h ELSE kept || substr(x.h, 2 * last + 1) END)) AS kept_sha256
+FROM x LEFT JOIN c ON c.doc_id = x.doc_id
+"""
+
+
+@_query("op7_suffix_dedup", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 50-byte passages of earlier ones."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @_query("op8_url_filter")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule or classifier verdict on every page URL."""
