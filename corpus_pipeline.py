@@ -27,9 +27,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at Jaccard 0.85 or more the smallest doc_id stays."""
+    """Of documents linked at Jaccard 0.8 or more the smallest doc_id stays."""
     prepare(spark)
-    return minhash_dedup.drop_near_copies(docs)
+    return minhash_dedup.drop_near_copies(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 Every permutation of the shingle digests gives two signature values, its
 minimum and its maximum, so half as many permutations are evaluated as values
-are kept. Three permutations (six values) make a band. Two sets with Jaccard
-similarity 0.85 share none of the 42 bands with a chance below 1e-8; whatever
-shares one is compared on the full sets.
+are kept. Three permutations (six values) make a band, and there are so many
+bands that two sets at the threshold share none with a chance below 1e-8 (39
+bands at 0.85, 61 at 0.8). Whatever shares one is compared on the full sets.
 
 Documents with equal sets form one class first. Within a bucket nothing is
 paired with everything: first every member meets the bucket's pivot, which
@@ -17,6 +17,7 @@ that share a band.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,34 +29,40 @@ from sitelens.llm.common import attach_groups, binary_list, materialize, prepare
 from sitelens.llm.components import components
 from sitelens.llm.shingles import Hasher, mix, overlap
 
-BANDS = 42
 PER_BAND = 3             # permutations of a band, two values each
+MISS = 1e-8              # chance that a pair at the threshold shares no band
 SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>"
 LINKS = "src long, dst long"
 _RNG = np.random.default_rng(8_128)
-_A = (_RNG.integers(0, 2 ** 32, BANDS * PER_BAND, dtype=np.uint32) | np.uint32(1))[:, None]
-_B = _RNG.integers(0, 2 ** 32, BANDS * PER_BAND, dtype=np.uint32)[:, None]
+_DRAWN = _RNG.integers(0, 2 ** 32, (2, 4096), dtype=np.uint32)
 _STEP = 1024             # shingles hashed at a time
 _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
+def bands_for(percent: int) -> int:
+    """Bands needed so that MISS holds at a threshold of percent / 100."""
+    agree = (percent / 100) ** (2 * PER_BAND)
+    return min(_DRAWN.shape[1] // PER_BAND, max(1, math.ceil(math.log(MISS) / math.log1p(-agree)))) if percent < 100 else 1
+
+
+def band_keys(shingles: np.ndarray, bands: int) -> np.ndarray:
     """The 64-bit bucket keys of a document, one per band."""
-    low = np.full(len(_A), 0xFFFFFFFF, np.uint32)
-    high = np.zeros(len(_A), np.uint32)
+    a, b = _DRAWN[0, :bands * PER_BAND, None] | np.uint32(1), _DRAWN[1, :bands * PER_BAND, None]
+    low = np.full(len(a), 0xFFFFFFFF, np.uint32)
+    high = np.zeros(len(a), np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(x), _STEP):
-        h = _A * x[at:at + _STEP] + _B
+        h = a * x[at:at + _STEP] + b
         np.minimum(low, h.min(axis=1), out=low)
         np.maximum(high, h.max(axis=1), out=high)
-    value = ((low.astype(np.uint64) << np.uint64(32)) | high).reshape(BANDS, PER_BAND)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    value = ((low.astype(np.uint64) << np.uint64(32)) | high).reshape(bands, PER_BAND)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(PER_BAND):
         key = mix(key * _FOLD + value[:, i])
     return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, bands: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest of the whole set (null if empty), bands."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +72,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array([band_keys(s) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                 pa.array([band_keys(s, bands) if len(s) else None for s in sets], pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "digest", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SIGNATURE)
@@ -123,7 +130,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     pivot rounds that come before the rest of the pairs, never the pairs."""
     spark = docs.sparkSession
     prepare(spark)
-    sig = materialize(signatures(docs, id_col, text_col), "minhash-signatures")
+    sig = materialize(signatures(docs, bands_for(percent), id_col, text_col), "minhash-signatures")
     sets = sig.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = materialize(sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
                                                      F.count(F.lit(1)).alias("size")), "minhash-classes")
