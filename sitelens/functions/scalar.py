@@ -31,10 +31,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# What counts as a number in text: decimal digits with an optional sign,
+# fraction and exponent. Casts alone would also read '12d' and '5f'.
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_double(c) -> Column:
-    """Text to double; anything that is not a number (or is NaN) becomes null."""
-    v = F.trim(_c(c).cast("string")).try_cast("double")
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    """Text to double; anything that isn't a finite number becomes null."""
+    text = F.trim(_c(c).cast("string"))
+    v = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
 
 
 def row_mean(cols: list) -> Column:

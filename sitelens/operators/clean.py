@@ -44,7 +44,8 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_i
 
 def clean_venues(raw: DataFrame) -> DataFrame:
     """The whole cleaning step (P1-P9): rename, coerce, price choice, counts,
-    parking flag, drop missing coordinates, keep-first de-duplication."""
+    parking flag, drop missing coordinates, keep-first de-duplication. A review
+    count beyond the integer range gives a null ratings_count."""
     df = rename_coordinates(raw)
     df = coerce_numeric(df)
     if "price_turkey_shawarma_pita" in df.columns:
@@ -53,7 +54,7 @@ def clean_venues(raw: DataFrame) -> DataFrame:
         price = F.lit(None).cast("double")
     df = df.withColumns({
         "price_nis": price,
-        "ratings_count": F.coalesce(F.col("reviews_count"), F.lit(0.0)).cast("int"),
+        "ratings_count": F.coalesce(F.col("reviews_count"), F.lit(0.0)).try_cast("int"),
         "car_park_nearby": text_to_bool("car_park_nearby"),
     })
     df = df.na.drop(subset=["lat", "lng"])
@@ -74,7 +75,7 @@ def build_features(df: DataFrame, user_lat: float, user_lng: float) -> DataFrame
     if "price_nis" not in df.columns:
         df = df.withColumn("price_nis", row_mean([c for c in PRICE_COLS if c in df.columns]))
     if "ratings_count" not in df.columns:
-        df = df.withColumn("ratings_count", F.coalesce("reviews_count", F.lit(0.0)).cast("int"))
+        df = df.withColumn("ratings_count", F.coalesce("reviews_count", F.lit(0.0)).try_cast("int"))
     return df.withColumn("distance_km", haversine_km(F.lit(float(user_lat)), F.lit(float(user_lng)),
                                                      "lat", "lng"))
 

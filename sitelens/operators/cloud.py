@@ -75,11 +75,12 @@ def cloud_distance(source: DataFrame, target: DataFrame, **kw) -> DataFrame:
 
 def align_quality(source: DataFrame, target: DataFrame, max_dist: float) -> DataFrame:
     """fitness = share of source points with a target within ``max_dist``;
-    inlier_rmse = root mean square of those distances (C11)."""
+    inlier_rmse = root mean square of those distances (C11). An empty source
+    has no fitness (null)."""
     nn = nn_join(source, target, XYZ, q_id="pt_id", t_id="pt_id", max_dist=max_dist)
     hit = F.col("nn_id").isNotNull()
     return nn.agg(
-        (F.count(F.when(hit, 1)) / F.count(F.lit(1))).alias("fitness"),
+        F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("fitness"),
         F.sqrt(F.avg(F.when(hit, F.col("nn_dist") * F.col("nn_dist")))).alias("inlier_rmse"),
         F.count(F.when(hit, 1)).alias("n_inliers"))
 
@@ -110,7 +111,8 @@ def point_triangle_sql(px: str = "px", py: str = "py", pz: str = "pz") -> tuple[
     """Unsigned point-triangle distance by the Voronoi regions of the
     triangle (closest point on a vertex, an edge or the face), as SQL
     expressions that Spark and DuckDB evaluate alike. Needs the columns of
-    ``triangle_constants_sql``; per pair only two dot products are formed,
+    ``triangle_constants_sql``; an edge of length 0 leaves its region to the
+    others, so triangles may be degenerate. Per pair only two dot products are formed,
     the other four follow from the triangle constants (bp = ap - ab,
     cp = ap - ac)."""
     st = {"apx": f"({px} - ax)", "apy": f"({py} - ay)", "apz": f"({pz} - az)"}
@@ -118,9 +120,9 @@ def point_triangle_sql(px: str = "px", py: str = "py", pz: str = "pz") -> tuple[
     st["d2"] = " + ".join(f"ac{a} * ap{a}" for a in "xyz")
     st.update({"d3": "d1 - abab", "d4": "d2 - abac", "d5": "d1 - abac", "d6": "d2 - acac"})
     st.update({"va": "d3 * d6 - d5 * d4", "vb": "d5 * d2 - d1 * d6", "vc": "d1 * d4 - d3 * d2"})
-    conds = ["d1 <= 0 AND d2 <= 0", "d3 >= 0 AND d4 <= d3", "vc <= 0 AND d1 >= 0 AND d3 <= 0",
-             "d6 >= 0 AND d5 <= d6", "vb <= 0 AND d2 >= 0 AND d6 <= 0",
-             "va <= 0 AND (d4 - d3) >= 0 AND (d5 - d6) >= 0"]
+    conds = ["d1 <= 0 AND d2 <= 0", "d3 >= 0 AND d4 <= d3", "vc <= 0 AND d1 >= 0 AND d3 <= 0 AND abab > 0",
+             "d6 >= 0 AND d5 <= d6", "vb <= 0 AND d2 >= 0 AND d6 <= 0 AND acac > 0",
+             "va <= 0 AND (d4 - d3) >= 0 AND (d5 - d6) >= 0 AND (d4 - d3) + (d5 - d6) > 0"]
     bc_t = "(d4 - d3) / ((d4 - d3) + (d5 - d6))"
     v_vals = ["0.0E0", "1.0E0", "d1 / (d1 - d3)", "0.0E0", "0.0E0", f"1.0E0 - {bc_t}", "vb / (va + vb + vc)"]
     w_vals = ["0.0E0", "0.0E0", "0.0E0", "1.0E0", "d2 / (d2 - d6)", bc_t, "vc / (va + vb + vc)"]

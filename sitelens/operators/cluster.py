@@ -13,6 +13,7 @@ import json
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,9 @@ FEATURE_COLS = ["price_nis", "rating", "reviews_count"]
 REGION_FEATURE_COLS = ["price_nis", "rating", "lat", "lng"]
 
 
+# k-means stops on its tolerance; this only bounds a run that doesn't.
+KMEANS_MAX_ITER = 300
+
 # --------------------------------------------------------------------------
 # M1 split, M2 scaling
 # --------------------------------------------------------------------------
@@ -134,10 +138,9 @@ class CentroidModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "CentroidModel | None":
-        try:
-            row = spark.read.parquet(path).first()
-        except Exception:  # missing path -> None, like the reference loader
-            return None
+        from sitelens.sources.io import _exists
+
+        row = spark.read.parquet(path).first() if _exists(spark, path) else None
         if row is None:
             return None
         m = json.loads(row["model"])
@@ -166,8 +169,10 @@ def seeded_model(train: DataFrame, cols: Sequence[str], k: int, id_col: str, see
 
 
 def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, scaler: Scaler | None = None,
-               max_iter: int = 20) -> CentroidModel:
-    """k-means (k-means|| start) with pyspark.ml on scaled features (M3)."""
+               max_iter: int = KMEANS_MAX_ITER) -> CentroidModel:
+    """k-means (k-means|| start) with pyspark.ml on scaled features (M3). It
+    stops on its tolerance; ``info`` holds the rounds taken and whether it
+    converged before ``max_iter``."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
@@ -176,74 +181,91 @@ def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, sc
     vec = right_size(VectorAssembler(inputCols=scaler.z_cols(), outputCol="_features").transform(z).select("_features"))
     model = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=max_iter).fit(vec)
     centers = [[float(v) for v in c] for c in model.clusterCenters()]
-    return CentroidModel(scaler, centers, algorithm="KMeans", info={"cost": float(model.summary.trainingCost)})
+    return CentroidModel(scaler, centers, algorithm="KMeans", info={"cost": float(model.summary.trainingCost), "iterations": int(model.summary.numIter),
+                               "converged": int(model.summary.numIter) < max_iter})
 
 
 # --------------------------------------------------------------------------
-# M5 Euclidean silhouette (exact up to ``sample_rows`` rows, sampled beyond)
+# M5 Euclidean silhouette, exact or sampled as the caller says
 # --------------------------------------------------------------------------
 
-def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str,
-               sample_rows: int = 10_000, seed: int = 42) -> DataFrame:
-    """Mean silhouette with Euclidean distance (not ``ClusteringEvaluator``'s
-    squared distance).
-
-    Anchors: all rows when there are at most ``sample_rows`` (the exact
-    value), else the ``sample_rows`` rows with the smallest seeded hash (an
-    unbiased estimate; ``stderr`` reports its standard error). The anchors,
-    bounded by ``sample_rows``, are broadcast; every partition of the full
-    table adds its distances to them in NumPy blocks and emits only
-    (anchor, cluster) partial sums, which one grouped aggregate combines.
-    Work is rows x anchors, never rows x rows beyond the limit.
-    """
-    spark = df.sparkSession
-    cols = list(cols)
-    data = df.select(F.col(id_col).alias("_id"), F.col(cluster_col).cast("long").alias("_c"),
-                     *[F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(cols)])
-    from sitelens.operators.ranking import sample_rows as _sample
-    anchors_df = _sample(data, sample_rows, id_col="_id", seed=seed)
-    anchors = anchors_df.toPandas()
-    n_anchor = len(anchors)
-    if n_anchor == 0:
-        return spark.createDataFrame([(None, 0, True, None)],
-                                     "silhouette double, n_anchors long, exact boolean, stderr double")
-    a_x = anchors[[f"_f{i}" for i in range(len(cols))]].to_numpy(dtype=np.float64)
-    bc = spark.sparkContext.broadcast(a_x)
-    block = max(1, 4_000_000 // max(1, n_anchor))
+_SUMS = "anchor long, own long, cluster long, dsum double, cnt long"
+
+
+def _distance_sums(ids, own, ax, x, clusters) -> pd.DataFrame:
+    """Per anchor and cluster: sum of distances to the rows x, and their number."""
+    out = []
+    step = max(1, 2_000_000 // max(1, len(ax)))
+    for c in np.unique(clusters):
+        rows = x[clusters == c]
+        total = np.zeros(len(ax))
+        for s in range(0, len(rows), step):
+            diff = ax[:, None, :] - rows[None, s:s + step, :]
+            total += np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)).sum(axis=1)
+        out.append(pd.DataFrame({"anchor": ids, "own": own, "cluster": np.int64(c), "dsum": total, "cnt": np.int64(len(rows))}))
+    return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _SUMS.split(", ")})
+
+
+def _exact_sums(data: DataFrame, cols: list[str], block_rows: int) -> DataFrame:
+    """All rows against all rows in blocks: chunk i meets chunk j in a task of
+    its own, so no task or driver holds more than two chunks. Work is rows x
+    rows, which the exact value needs."""
+    n = max(1, math.ceil(data.count() / block_rows))
+    chunk = F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left, right = data.withColumn("i", chunk).withColumn("j", every), data.withColumn("j", chunk).withColumn("i", every)
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return _distance_sums(a["_id"].to_numpy(), a["_c"].to_numpy(), a[cols].to_numpy(np.float64), b[cols].to_numpy(np.float64),
+                              b["_c"].to_numpy())
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(meet, _SUMS)
+
+
+def _sampled_sums(data: DataFrame, cols: list[str], anchors: pd.DataFrame) -> DataFrame:
+    """The anchors against all rows; the anchors are broadcast, their number
+    is a parameter."""
+    bc = data.sparkSession.sparkContext.broadcast((anchors["_id"].to_numpy(), anchors["_c"].to_numpy(), anchors[cols].to_numpy(np.float64)))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ax = bc.value
-        acc: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
-            for s in range(0, len(pdf), block):
-                part = pdf.iloc[s:s + block]
-                x = part[[f"_f{i}" for i in range(ax.shape[1])]].to_numpy(dtype=np.float64)
-                diff = x[:, None, :] - ax[None, :, :]
-                dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-                for c, idx in part.groupby("_c").indices.items():
-                    sums, cnt = acc.get(int(c), (np.zeros(ax.shape[0]), np.zeros(1)))
-                    acc[int(c)] = (sums + dist[idx].sum(axis=0), cnt + len(idx))
-        for c, (sums, cnt) in acc.items():
-            yield pd.DataFrame({"anchor": np.arange(len(sums), dtype=np.int64), "cluster": np.int64(c),
-                                "dsum": sums, "cnt": np.int64(cnt[0])})
-
-    sums = (right_size(data).mapInPandas(partial, "anchor long, cluster long, dsum double, cnt long")
-            .groupBy("anchor", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt")))
-    own = spark.createDataFrame(pd.DataFrame({"anchor": np.arange(n_anchor, dtype=np.int64),
-                                              "own": anchors["_c"].astype(np.int64)}))
-    j = sums.join(own, "anchor")
-    per = j.groupBy("anchor").agg(
-        F.max(F.when(F.col("cluster") == F.col("own"), F.col("cnt"))).alias("n_own"),
-        F.max(F.when(F.col("cluster") == F.col("own"), F.col("dsum"))).alias("d_own"),
-        F.min(F.when(F.col("cluster") != F.col("own"), F.col("dsum") / F.col("cnt"))).alias("b"))
+            yield _distance_sums(*bc.value, pdf[cols].to_numpy(np.float64), pdf["_c"].to_numpy())
+
+    return right_size(data).mapInPandas(partial, _SUMS)
+
+
+def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str, method: str = "exact",
+               sample_rows: int = 10_000, seed: int = 42, block_rows: int = 5_000) -> DataFrame:
+    """Mean silhouette with Euclidean distance (not ``ClusteringEvaluator``'s
+    squared distance), one row: silhouette, n_anchors, method, stderr.
+
+    The caller names the method, the number of rows never does. ``exact``
+    compares all rows with all rows in blocks on the executors. ``sampled``
+    averages over the ``sample_rows`` rows with the smallest seeded hash
+    against all rows (an unbiased estimate; ``stderr`` is its standard error).
+    A row alone in its cluster, or with no distance to anything, counts 0."""
+    if method not in ("exact", "sampled"):
+        raise ValueError(f"unknown silhouette method {method!r}")
+    from sitelens.operators.ranking import sample_rows as _sample
+
+    fs = [f"_f{i}" for i in range(len(cols))]
+    data = df.select(F.col(id_col).alias("_id"), F.col(cluster_col).cast("long").alias("_c"),
+                     *[F.col(c).cast("double").alias(f) for c, f in zip(cols, fs)])
+    if method == "exact":
+        data = data.checkpoint()
+        sums = _exact_sums(data, fs, block_rows)
+    else:
+        sums = _sampled_sums(data, fs, _sample(data, sample_rows, id_col="_id", seed=seed).toPandas())
+    sums = sums.groupBy("anchor", "own", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+    mine = F.col("cluster") == F.col("own")
+    per = sums.groupBy("anchor").agg(F.max(F.when(mine, F.col("cnt"))).alias("n_own"), F.max(F.when(mine, F.col("dsum"))).alias("d_own"),
+                                     F.min(F.when(~mine, F.col("dsum") / F.col("cnt"))).alias("b"))
     a = F.col("d_own") / (F.col("n_own") - 1)
-    s = (F.when((F.col("n_own") <= 1) | F.col("b").isNull(), F.lit(0.0))
+    s = (F.when((F.col("n_own") <= 1) | F.col("b").isNull(), F.lit(0.0)).when(F.greatest(a, F.col("b")) == 0, F.lit(0.0))
          .otherwise((F.col("b") - a) / F.greatest(a, F.col("b"))))
-    exact = n_anchor < sample_rows or data.count() == n_anchor
-    return per.select(s.alias("s")).agg(
-        F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_anchors"),
-        F.lit(exact).alias("exact"),
-        (F.stddev_samp("s") / F.sqrt(F.count(F.lit(1)))).alias("stderr"))
+    stderr = F.stddev_samp("s") / F.sqrt(F.count(F.lit(1)))
+    return per.select(s.alias("s")).agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_anchors"), F.lit(method).alias("method"),
+                                        (F.lit(0.0) if method == "exact" else stderr).alias("stderr"))
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str], cluster_col: str) -> float:
@@ -261,18 +283,29 @@ def silhouette_squared(df: DataFrame, cols: Sequence[str], cluster_col: str) ->
     return float(ev.evaluate(vec))
 
 
-def silhouette_value(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str,
-                     sample_rows: int = 10_000) -> float:
-    """Silhouette as a number; fewer than two clusters -> 0.0."""
+class Score(NamedTuple):
+    """A silhouette with how it came about."""
+    value: float
+    method: str
+    anchors: int
+    stderr: float | None
+
+
+def silhouette_value(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str, method: str = "sampled",
+                     sample_rows: int = 10_000) -> Score:
+    """Silhouette as a number with its method, anchors and standard error;
+    fewer than two clusters -> 0.0 (D9)."""
     if df.select(cluster_col).distinct().limit(2).count() < 2:
-        return 0.0
-    v = silhouette(df, cols, cluster_col, id_col, sample_rows).first()["silhouette"]
-    return float(v) if v is not None else 0.0
+        return Score(0.0, method, 0, None)
+    r = silhouette(df, cols, cluster_col, id_col, method, sample_rows).first()
+    return Score(float(r["silhouette"] or 0.0), r["method"], r["n_anchors"], r["stderr"])
 
 
 def k_sweep(train_z: DataFrame, z_cols: Sequence[str], id_col: str, ks: Sequence[int] = range(3, 9),
-            seed: int = 42, sample_rows: int = 10_000, scaler: Scaler | None = None) -> tuple[int, list[tuple[int, float]]]:
-    """Fit k-means for each k and score by silhouette; first best k wins (M4)."""
+            seed: int = 42, method: str = "sampled", sample_rows: int = 10_000,
+            max_iter: int = KMEANS_MAX_ITER) -> tuple[int, list[tuple[int, Score]]]:
+    """Fit k-means for each k and score by the named silhouette; first best k
+    wins (M4)."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
@@ -280,11 +313,11 @@ def k_sweep(train_z: DataFrame, z_cols: Sequence[str], id_col: str, ks: Sequence
     vec = right_size(vec.select(id_col, *z_cols, "_features")).cache()
     scores = []
     for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cl").fit(vec)
+        model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cl", maxIter=max_iter).fit(vec)
         labelled = model.transform(vec)
-        scores.append((k, silhouette_value(labelled, z_cols, "_cl", id_col, sample_rows)))
+        scores.append((k, silhouette_value(labelled, z_cols, "_cl", id_col, method, sample_rows)))
     vec.unpersist()
-    best = max(scores, key=lambda t: (t[1], -t[0]))[0]
+    best = max(scores, key=lambda t: (t[1].value, -t[0]))[0]
     return best, scores
 
 
@@ -307,12 +340,13 @@ def global_rank(df: DataFrame, col: str) -> DataFrame:
             .withColumn("_rank", F.col("_off") + rn).drop("_pid", "_off"))
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200,
+def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 10_000,
                          checkpoint_every: int = 4) -> DataFrame:
     """Smallest node id of each node's component: min-label propagation plus
     pointer jumping (label := label of label), checkpointed to the shared
     checkpoint folder every few rounds so lineage stays short and a lost
-    executor recomputes from the last checkpoint. ``edges``: (src, dst), any
+    executor recomputes from the last checkpoint. Raises rather than return unfinished
+    labels after ``max_rounds``. ``edges``: (src, dst), any
     direction; ``nodes``: (node). Output: node, comp."""
     e = edges.select(F.col("src"), F.col("dst"))
     # the edge list is read every round: materialise it once
@@ -334,8 +368,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 2
         labels = jump
         _debug(f"components round {r} changed={changed}")
         if changed == 0:
-            break
-    return labels
+            return labels
+    raise RuntimeError(f"components still changing after {max_rounds} rounds")
 
 
 def _cross_cell_pairs(probe: DataFrame, build: DataFrame, offsets: list[list[int]], d: int, eps: float,
@@ -504,12 +538,12 @@ def weighted_ward(centers: np.ndarray, weights: np.ndarray, k: int) -> np.ndarra
     return group
 
 
-def ward_cluster(train_z: DataFrame, z_cols: Sequence[str], k: int, micro: int = 256,
+def ward_micro(train_z: DataFrame, z_cols: Sequence[str], k: int, micro: int = 256,
                  seed: int = 42, id_col: str = "row_id") -> tuple[DataFrame, dict]:
-    """Ward clustering (M8): k-means into ``micro`` micro-clusters on Spark,
-    exact weighted Ward on their centres on the driver (``micro`` rows), map
-    back with a ``micro``-row lookup. With micro >= distinct rows it is exact
-    Ward; otherwise an approximation, reported in ``info``."""
+    """Micro-cluster Ward (M8), an approximation at every size: k-means into
+    ``micro`` micro-clusters on Spark, weighted Ward on their centres on the
+    driver (``micro`` rows, a parameter), map back with a ``micro``-row lookup.
+    ``info`` names the method and ``micro``."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
@@ -518,7 +552,7 @@ def ward_cluster(train_z: DataFrame, z_cols: Sequence[str], k: int, micro: int =
     n = vec.count()
     vec = right_size(vec, n).cache()
     m = int(min(micro, n))
-    km = KMeans(k=m, seed=seed, featuresCol="_features", predictionCol="_micro").fit(vec)
+    km = KMeans(k=m, seed=seed, featuresCol="_features", predictionCol="_micro", maxIter=KMEANS_MAX_ITER).fit(vec)
     assigned = km.transform(vec)
     w = assigned.groupBy("_micro").agg(F.count(F.lit(1)).alias("w")).collect()
     weights = np.zeros(m)
@@ -529,7 +563,7 @@ def ward_cluster(train_z: DataFrame, z_cols: Sequence[str], k: int, micro: int =
     groups = weighted_ward(centers[used], weights[used], min(k, len(used)))
     lookup = spark.createDataFrame([(int(u), int(g)) for u, g in zip(used, groups)], "_micro int, cluster int")
     out = assigned.join(F.broadcast(lookup), "_micro").drop("_micro", "_features")
-    return out, {"micro": m, "exact": bool(m >= n), "linkage": "ward"}
+    return out, {"micro": m, "method": "ward_micro"}
 
 
 # --------------------------------------------------------------------------

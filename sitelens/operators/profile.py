@@ -53,7 +53,8 @@ def quality_counts(raw: DataFrame, clean: DataFrame, filtered: DataFrame) -> Dat
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Per column: engine type name, non-null, null count and null % with one
-    decimal (A3). One aggregate over all columns, then unpivoted."""
+    decimal (A3; null for an empty table). One aggregate over all columns,
+    then unpivoted."""
     cols = df.columns
     stats = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(cols)])
     types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
@@ -61,7 +62,7 @@ def null_profile(df: DataFrame) -> DataFrame:
                                  F.lit(types[c]).alias("dtype"), F.col(f"_nn{i}").alias("non_null"))
                         for i, c in enumerate(cols)])
     long = stats.select("_n", F.explode(entries).alias("e")).select("_n", "e.*")
-    pct = F.round(F.col("nulls") * 100.0 / F.col("_n"), 1)
+    pct = F.round(F.when(F.col("_n") > 0, F.col("nulls") * 100.0 / F.col("_n")), 1)
     return (long.withColumn("nulls", F.col("_n") - F.col("non_null"))
             .withColumn("null_pct", F.concat(pct.cast("string"), F.lit("%")))
             .select("pos", "column", "dtype", "non_null", "nulls", "null_pct"))
@@ -157,8 +158,9 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 def city_rating_top(df: DataFrame, min_venues: int = 5, top_n: int = 20) -> DataFrame:
     """Mean rating and venue count per city, cities with >= ``min_venues``
-    rated venues, best ``top_n`` (A12); ties by city."""
-    g = (df.filter(F.col("rating").isNotNull()).groupBy("city")
+    rated venues, best ``top_n`` (A12); ties by city. Venues without a city
+    count for none."""
+    g = (df.filter(F.col("rating").isNotNull() & F.col("city").isNotNull()).groupBy("city")
          .agg(F.avg("rating").alias("avg_rating"), F.count(F.lit(1)).alias("venues"))
          .filter(F.col("venues") >= min_venues))
     return g.orderBy(F.round("avg_rating", 9).desc(), F.col("city")).limit(top_n)

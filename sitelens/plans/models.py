@@ -2,9 +2,10 @@
 labels, prediction and baselines (sections 2.6-2.7), with oracles where a
 deterministic model makes SQL possible.
 
-Deterministic models (hash-seeded centres) stand in for k-means wherever an
-oracle must reproduce the result; the k-means plans themselves are checked
-by invariants (tests) and rows-only at the driver.
+Where an oracle must reproduce a fitted model, k-means starts at hash-seeded
+centres and takes ``LLOYD_STEPS`` update steps, which the SQL unrolls; labels
+come from that model's centres. The k-means plans with a random start are
+checked by invariants (tests) and rows-only at the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from sitelens.functions.hashing import hash32_sql, unit_hash_sql
 from sitelens.operators import clean as C
 from sitelens.operators import cluster as K
 from sitelens.operators import profile as P
-from sitelens.operators.ranking import (candidates, display_round, label_order_key, persona_score,
+from sitelens.operators.ranking import (DEFAULT_PERSONA, candidates, display_round, label_order_key, persona_score,
                                         rank_candidates, recommend, top_k_per_group)
 from sitelens.operators.spatial import nn_join, radius_join
 from sitelens.plans import common
@@ -29,10 +30,15 @@ from sitelens.sources.fixtures import with_views
 SEED = 42
 TEST_FRACTION = 0.30
 K_VENUES = 4
+LLOYD_STEPS = 5
 K_POINTS = 6
 PT_COLS = ["f0", "f1", "f2"]
 
 
+# Columns of a score in a result table: value, method, anchors, standard error.
+SCORE_COLS = "{0} double, {0}_method string, {0}_anchors long, {0}_stderr double"
+
+
 def r6(c: str) -> F.Column:
     return F.round(F.col(c), 6).alias(c)
 
@@ -53,32 +59,28 @@ def haifa_venues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def venue_model(spark: SparkSession, sf: str, venues: DataFrame | None = None) -> tuple[K.CentroidModel, DataFrame]:
-    """Deterministic venue model: train-split scaler, hash-seeded centres."""
+    """Deterministic venue model: train-split scaler, k-means from hash-seeded
+    centres."""
     split = venue_split(spark, sf, venues=venues)
     train = split.filter(F.col("split") == "train")
-    return K.seeded_model(train, K.FEATURE_COLS, K_VENUES, "row_id", SEED), split
+    return K.seeded_model(train, K.FEATURE_COLS, K_VENUES, "row_id", SEED, LLOYD_STEPS), split
 
 
 def region_model_seeded(spark: SparkSession, sf: str) -> tuple[K.CentroidModel, DataFrame]:
     v = K.split_train_test(C.eligible(haifa_venues(spark, sf), K.REGION_FEATURE_COLS), "row_id", TEST_FRACTION, SEED)
-    return K.seeded_model(v.filter(F.col("split") == "train"), K.REGION_FEATURE_COLS, K_VENUES, "row_id", SEED), v
-
-
-def member_centroids(assigned: DataFrame, cols) -> DataFrame:
-    """Centre of each cluster as the mean of its members (original units)."""
-    return assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in cols])
+    return K.seeded_model(v.filter(F.col("split") == "train"), K.REGION_FEATURE_COLS, K_VENUES, "row_id", SEED, LLOYD_STEPS), v
 
 
 def venue_labels(spark: SparkSession, sf: str, fitted=None, venues: DataFrame | None = None) -> DataFrame:
-    model, split = fitted or venue_model(spark, sf, venues)
-    cents = member_centroids(model.predict(split), ["price_nis", "rating"])
+    model, _ = fitted or venue_model(spark, sf, venues)
+    cents = model.centroid_frame(spark).select("cluster", "price_nis", "rating")
     th = P.label_thresholds(venues if venues is not None else common.venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th)
 
 
 def region_labels_df(spark: SparkSession, sf: str, fitted=None) -> DataFrame:
-    model, v = fitted or region_model_seeded(spark, sf)
-    cents = member_centroids(model.predict(v), ["price_nis", "rating", "lat"]).withColumn("area", sub_area("lat"))
+    model, _ = fitted or region_model_seeded(spark, sf)
+    cents = model.centroid_frame(spark).select("cluster", "price_nis", "rating", "lat").withColumn("area", sub_area("lat"))
     th = P.label_thresholds(haifa_venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th, area_col="area")
 
@@ -120,16 +122,17 @@ def q_k_sweep(spark, sf):
     train = split.filter(F.col("split") == "train")
     sc = K.Scaler.fit(train, K.FEATURE_COLS)
     best, scores = K.k_sweep(sc.transform(train), sc.z_cols(), "row_id", range(3, 9), SEED)
-    return spark.createDataFrame([(k, float(s), k == best) for k, s in scores], "k int, silhouette double, best boolean")
+    return spark.createDataFrame([(k, s.value, s.method, s.anchors, s.stderr, k == best) for k, s in scores],
+                                 f"k int, {SCORE_COLS.format('silhouette')}, best boolean")
 
 
 def q_silhouette_exact(spark, sf):
-    s = K.silhouette(points_assigned(spark, sf), PT_COLS, "cluster", "pt_id", sample_rows=1_000_000)
-    return s.select(r6("silhouette"), "n_anchors", "exact")
+    s = K.silhouette(points_assigned(spark, sf), PT_COLS, "cluster", "pt_id", method="exact")
+    return s.select(r6("silhouette"), "n_anchors", "method")
 
 
 def q_silhouette_sampled(spark, sf):
-    s = K.silhouette(points_assigned(spark, sf), PT_COLS, "cluster", "pt_id", sample_rows=500)
+    s = K.silhouette(points_assigned(spark, sf), PT_COLS, "cluster", "pt_id", method="sampled", sample_rows=500)
     return s.select(r6("silhouette"), "n_anchors", r6("stderr"))
 
 
@@ -158,8 +161,8 @@ def q_dbscan_assign(spark, sf):
 
 def q_ward_cluster(spark, sf):
     sp = points_split(spark, sf).filter(F.col("split") == "train")
-    out, _ = K.ward_cluster(sp, PT_COLS, K_POINTS, micro=64, seed=SEED, id_col="pt_id")
-    return out.select("pt_id", "cluster")
+    out, info = K.ward_micro(sp, PT_COLS, K_POINTS, micro=64, seed=SEED, id_col="pt_id")
+    return out.select("pt_id", "cluster", F.lit(info["method"]).alias("method"), F.lit(info["micro"]).alias("micro"))
 
 
 def q_ward_assign(spark, sf):
@@ -174,19 +177,23 @@ def q_ward_assign(spark, sf):
 
 
 def compare_algorithms(split: DataFrame, cols, id_col: str = "row_id", eps: float = 0.5, min_samples: int = 5,
-                       ks=range(3, 9), sample_rows: int = 10_000, micro: int = 256) -> DataFrame:
-    """KMeans, DBSCAN and Ward on one split, one metrics row each."""
+                       ks=range(3, 9), method: str = "sampled", sample_rows: int = 10_000, micro: int = 256) -> DataFrame:
+    """KMeans, DBSCAN and micro-cluster Ward on one split, one metrics row each
+    (M10). ``method`` names the silhouette that scores all of them."""
     spark = split.sparkSession
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     sc = K.Scaler.fit(train, cols)
     zc = sc.z_cols()
     tr_z, te_z = sc.transform(train).cache(), sc.transform(test).cache()
-    best_k, _ = K.k_sweep(tr_z, zc, id_col, ks, 42, sample_rows)
+    best_k, _ = K.k_sweep(tr_z, zc, id_col, ks, 42, method, sample_rows)
+
+    def score(df: DataFrame) -> K.Score:
+        return K.silhouette_value(df, zc, "cluster", id_col, method, sample_rows)
+
     km = K.kmeans_fit(train, cols, best_k, 42, scaler=sc)
     km_tr, km_te = km.predict(train), km.predict(test)
-    rows = [("KMeans", best_k, K.silhouette_value(sc.transform(km_tr), zc, "cluster", id_col, sample_rows),
-             K.silhouette_value(sc.transform(km_te), zc, "cluster", id_col, sample_rows), None)]
+    rows = [("KMeans", best_k, *score(sc.transform(km_tr)), *score(sc.transform(km_te)), None)]
     db = K.dbscan(tr_z.withColumnRenamed(id_col, "pt_id"), zc, eps, min_samples, id_col="pt_id")
     db = db.withColumnRenamed("pt_id", id_col).cache()
     n_tr = db.count()
@@ -197,19 +204,18 @@ def compare_algorithms(split: DataFrame, cols, id_col: str = "row_id", eps: floa
         nn = nn_join(te_z, core, zc, q_id=id_col, t_id=id_col)
         db_te = te_z.join(nn.join(core.select(F.col(id_col).alias("nn_id"), "cluster"), "nn_id")
                           .select(id_col, "cluster"), id_col)
-        db_test = K.silhouette_value(db_te, zc, "cluster", id_col, sample_rows)
+        db_test = score(db_te)
     else:
-        db_test = 0.0
-    rows.append(("DBSCAN", None, K.silhouette_value(db_tr, zc, "cluster", id_col, sample_rows), db_test, noise_pct))
-    ward_tr, _info = K.ward_cluster(tr_z, zc, best_k, micro=micro, id_col=id_col)
+        db_test = K.Score(0.0, method, 0, None)
+    rows.append(("DBSCAN", None, *score(db_tr), *db_test, noise_pct))
+    ward_tr, _ = K.ward_micro(tr_z, zc, best_k, micro=micro, id_col=id_col)
     ward_tr = ward_tr.cache()
     nn = nn_join(te_z, ward_tr, zc, q_id=id_col, t_id=id_col)
     ward_te = te_z.join(nn.join(ward_tr.select(F.col(id_col).alias("nn_id"), "cluster"), "nn_id")
                         .select(id_col, "cluster"), id_col)
-    rows.append(("Agglomerative", best_k, K.silhouette_value(ward_tr, zc, "cluster", id_col, sample_rows),
-                 K.silhouette_value(ward_te, zc, "cluster", id_col, sample_rows), None))
-    out = spark.createDataFrame(rows, "algorithm string, k int, train_silhouette double, test_silhouette double, "
-                                      "noise_pct double")
+    rows.append((f"Agglomerative (micro={micro})", best_k, *score(ward_tr), *score(ward_te), None))
+    out = spark.createDataFrame(rows, f"algorithm string, k int, {SCORE_COLS.format('train_silhouette')}, "
+                                      f"{SCORE_COLS.format('test_silhouette')}, noise_pct double")
     return out.withColumn("kpi_pass", F.col("test_silhouette") >= 0.45)
 
 
@@ -236,9 +242,10 @@ def q_region_model(spark, sf):
     model = K.kmeans_fit(train, K.REGION_FEATURE_COLS, best, SEED, scaler=sc)
     tr = sc.transform(model.predict(train))
     te = sc.transform(model.predict(test))
-    row = ("KMeans-Haifa", best, K.silhouette_value(tr, sc.z_cols(), "cluster", "row_id"),
-           K.silhouette_value(te, sc.z_cols(), "cluster", "row_id"))
-    return spark.createDataFrame([row], "algorithm string, k int, train_silhouette double, test_silhouette double")
+    row = ("KMeans-Haifa", best, *K.silhouette_value(tr, sc.z_cols(), "cluster", "row_id"),
+           *K.silhouette_value(te, sc.z_cols(), "cluster", "row_id"))
+    return spark.createDataFrame([row], f"algorithm string, k int, {SCORE_COLS.format('train_silhouette')}, "
+                                        f"{SCORE_COLS.format('test_silhouette')}")
 
 
 def predict_candidates(queries: DataFrame, venues: DataFrame, model: K.CentroidModel,
@@ -313,15 +320,17 @@ PERSONA_THRESHOLDS = {"student": {"min_rating": 4.0, "max_price": 52.0}, "qualit
 
 
 def persona_eligible(df: DataFrame, persona_col: str = "persona") -> DataFrame:
-    """Optional persona thresholds (F9), as a CASE filter per row."""
-    p = F.col(persona_col)
+    """Optional persona thresholds (F9), as a CASE filter per row. An unknown
+    or null persona has those of the default persona, as in the weights."""
+    def passes(t: dict):
+        c = F.col("rating") >= F.lit(t["min_rating"])
+        return c if t["max_price"] is None else c & (F.col("price_nis") <= F.lit(t["max_price"]))
+
     cond = None
     for name, t in PERSONA_THRESHOLDS.items():
-        c = F.col("rating") >= F.lit(t["min_rating"])
-        if t["max_price"] is not None:
-            c = c & (F.col("price_nis") <= F.lit(t["max_price"]))
-        cond = F.when(p == name, c) if cond is None else cond.when(p == name, c)
-    return df.filter(cond.otherwise(F.lit(False)))
+        hit = F.col(persona_col) == name
+        cond = F.when(hit, passes(t)) if cond is None else cond.when(hit, passes(t))
+    return df.filter(cond.otherwise(passes(PERSONA_THRESHOLDS[DEFAULT_PERSONA])))
 
 
 def q_persona_eligible(spark, sf):
@@ -367,7 +376,9 @@ def _split_sql(table: str, id_col: str) -> str:
 
 def model_ctes(src: str, cols: list[str], k: int, prefix: str, fill_zero: bool = True) -> str:
     """CTEs: {prefix}train, {prefix}st (scaler), {prefix}z (all src rows
-    scaled), {prefix}cen (seeded centres), {prefix}asg (row_id, cluster)."""
+    scaled), {prefix}cen0 (seeded centres), {prefix}cen1.. (after each Lloyd
+    step over the train rows), {prefix}cen (the last), {prefix}asg (row_id,
+    cluster) and {prefix}orig (centres in original units)."""
     def v(c):
         return f"coalesce({c}, 0.0E0)" if fill_zero else c
     stats = ", ".join(f"avg({v(c)}) AS m{i}, CASE WHEN coalesce(stddev_pop({v(c)}), 0) = 0 THEN 1.0E0 "
@@ -376,25 +387,34 @@ def model_ctes(src: str, cols: list[str], k: int, prefix: str, fill_zero: bool =
     cz = ", ".join(f"z{i} AS c{i}" for i in range(len(cols)))
     dist = " + ".join(f"(z.z{i} - cen.c{i}) * (z.z{i} - cen.c{i})" for i in range(len(cols)))
     p = prefix
+    cs = ", ".join(f"coalesce(avg(t.z{i}), any_value(c.c{i})) AS c{i}" for i in range(len(cols)))
+    zcols = ", ".join(f"z.z{i}" for i in range(len(cols)))
+    steps = ",\n".join(
+        f"""{p}a{s} AS (SELECT * FROM (SELECT {zcols}, cen.j, row_number() OVER (PARTITION BY z.row_id ORDER BY {dist}, cen.j) AS rn
+   FROM {p}z z, {p}cen{s} cen WHERE {_split_sql(src, 'z.row_id')}) t WHERE rn = 1),
+{p}cen{s + 1} AS (SELECT c.j, {cs} FROM {p}cen{s} c LEFT JOIN {p}a{s} t ON t.j = c.j GROUP BY c.j)""" for s in range(LLOYD_STEPS))
+    orig = ", ".join(f"cen.c{i} * st.s{i} + st.m{i} AS {c}" for i, c in enumerate(cols))
     return f"""{p}train AS (SELECT * FROM {src} WHERE {_split_sql(src, 'row_id')}),
 {p}st AS (SELECT {stats} FROM {p}train),
 {p}z AS (SELECT s.*, {zs} FROM {src} s, {p}st st),
-{p}cen AS (SELECT row_number() OVER (ORDER BY h, row_id) - 1 AS j, {cz} FROM
+{p}cen0 AS (SELECT row_number() OVER (ORDER BY h, row_id) - 1 AS j, {cz} FROM
    (SELECT *, {hash32_sql('row_id', SEED)} AS h FROM {p}z WHERE {_split_sql(src, 'row_id')} ORDER BY h, row_id LIMIT {k}) t),
+{steps},
+{p}cen AS (SELECT * FROM {p}cen{LLOYD_STEPS}),
+{p}orig AS (SELECT cen.j AS cluster, {orig} FROM {p}cen cen, {p}st st),
 {p}asg AS (SELECT row_id, j AS cluster FROM (SELECT z.row_id, cen.j,
    row_number() OVER (PARTITION BY z.row_id ORDER BY {dist}, cen.j) AS rn FROM {p}z z, {p}cen cen) t WHERE rn = 1)"""
 
 
-def labels_ctes(src: str, asg: str, th_src: str, prefix: str, area: bool = False) -> str:
-    """CTEs {prefix}cents (member means) and {prefix}lab (cluster, label)."""
+def labels_ctes(th_src: str, prefix: str, area: bool = False) -> str:
+    """CTEs {prefix}cents (the model's centres) and {prefix}lab (cluster, label)."""
     p = prefix
-    area_sel = ", avg(s.lat) AS lat" if area else ""
+    area_sel = ", lat" if area else ""
     area_lbl = (" || ' — ' || CASE WHEN lat >= 32.84 THEN 'Krayot' WHEN lat >= 32.78 THEN 'Haifa' ELSE 'Carmel' END"
                 if area else "")
     return f"""{p}th AS (SELECT quantile_cont(price_nis, 0.33) AS p33, quantile_cont(price_nis, 0.67) AS p67,
    quantile_cont(rating, 0.33) AS r33, quantile_cont(rating, 0.67) AS r67 FROM {th_src}),
-{p}cents AS (SELECT a.cluster, avg(s.price_nis) AS price_nis, avg(s.rating) AS rating{area_sel}
-   FROM {asg} a JOIN {src} s ON s.row_id = a.row_id GROUP BY a.cluster),
+{p}cents AS (SELECT cluster, price_nis, rating{area_sel} FROM {p}orig),
 {p}base AS (SELECT c.*, (CASE WHEN rating >= th.r67 THEN 'Good' WHEN rating >= th.r33 THEN 'Average' ELSE 'Below Average' END
    || ' & ' || CASE WHEN price_nis >= th.p67 THEN 'Expensive' WHEN price_nis >= th.p33 THEN 'Reasonable' ELSE 'Affordable' END{area_lbl}) AS base_label
    FROM {p}cents c, {p}th th),
@@ -408,9 +428,9 @@ ELIG = "elig AS (SELECT * FROM venues WHERE rating IS NOT NULL AND price_nis IS
 HAIFA = (f"haifa AS (SELECT * FROM venues WHERE lat BETWEEN {HAIFA_BBOX['lat_min']} AND {HAIFA_BBOX['lat_max']} "
          f"AND lng BETWEEN {HAIFA_BBOX['lng_min']} AND {HAIFA_BBOX['lng_max']}), "
          "helig AS (SELECT * FROM haifa WHERE price_nis IS NOT NULL AND rating IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL)")
-VENUE_MODEL = f"{ELIG},\n{model_ctes('elig', K.FEATURE_COLS, K_VENUES, 'v_')},\n{labels_ctes('elig', 'v_asg', 'venues', 'v_')}"
+VENUE_MODEL = f"{ELIG},\n{model_ctes('elig', K.FEATURE_COLS, K_VENUES, 'v_')},\n{labels_ctes('venues', 'v_')}"
 REGION_MODEL = (f"{HAIFA},\n{model_ctes('helig', K.REGION_FEATURE_COLS, K_VENUES, 'h_', fill_zero=False)},\n"
-                f"{labels_ctes('helig', 'h_asg', 'haifa', 'h_', area=True)}")
+                f"{labels_ctes('haifa', 'h_', area=True)}")
 
 SPLIT_SQL = with_views(f""", {ELIG}
 SELECT row_id, CASE WHEN {_split_sql('elig', 'row_id')} THEN 'train' ELSE 'test' END AS split FROM elig""", "venues")
@@ -432,13 +452,14 @@ def silhouette_sql(anchor_limit: int | None) -> str:
     anchors = "passg" if anchor_limit is None else (
         f"(SELECT * FROM passg ORDER BY {hash32_sql('pt_id', SEED)}, pt_id LIMIT {anchor_limit})")
     d = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in PT_COLS)
-    tail = ("true AS exact" if anchor_limit is None else "round(stddev_samp(s) / sqrt(count(*)), 6) AS stderr")
+    tail = ("'exact' AS method" if anchor_limit is None else "round(stddev_samp(s) / sqrt(count(*)), 6) AS stderr")
     return f""", {PT_ASSIGN_CTE},
 per AS (SELECT a.pt_id, a.cluster AS ca, b.cluster AS cb, sum(sqrt({d})) AS ds, count(*) AS n
    FROM {anchors} a, passg b GROUP BY a.pt_id, a.cluster, b.cluster),
 agg AS (SELECT pt_id, max(CASE WHEN cb = ca THEN n END) AS n_own, max(CASE WHEN cb = ca THEN ds END) AS d_own,
    min(CASE WHEN cb <> ca THEN ds / n END) AS b FROM per GROUP BY pt_id),
 sv AS (SELECT CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0E0
+   WHEN greatest(d_own / (n_own - 1), b) = 0 THEN 0.0E0
    ELSE (b - d_own / (n_own - 1)) / greatest(d_own / (n_own - 1), b) END AS s FROM agg)
 SELECT round(avg(s), 6) AS silhouette, count(*) AS n_anchors, {tail} FROM sv"""
 
@@ -536,7 +557,7 @@ SELECT row_id, persona, round({score_sql('persona', 'rating', 'price_nis', 'dist
 
 PERSONA_ELIGIBLE_SQL = with_views(f""", pairs AS ({pairs_sql()}),
 scored AS (SELECT *, {score_sql('persona', 'rating', 'price_nis', 'distance_km')} AS score FROM pairs
-   WHERE CASE persona WHEN 'student' THEN rating >= 4.0 AND price_nis <= 52.0 WHEN 'quality' THEN rating >= 4.8 ELSE false END),
+   WHERE CASE persona WHEN 'student' THEN rating >= 4.0 AND price_nis <= 52.0 WHEN 'quality' THEN rating >= 4.8 ELSE rating >= 4.0 AND price_nis <= 52.0 END),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id) AS rank FROM scored)
 SELECT query_id, rank, row_id, round(score, 2) AS score FROM ranked WHERE rank <= 10""", "venues", "clicks")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -36,7 +37,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("SITELENS_DRIVER_MEMORY", "16g"))
+    # a submitted job has its driver memory already; only a local master started here gets a default
+    memory = os.environ.get("SITELENS_DRIVER_MEMORY") or ("8g" if (master or "").startswith("local") else None)
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -70,14 +74,17 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared file system every executor can read); only
-    when it is unset, as in local tests, do we make one of our own.
+    A cluster names it (a shared file system every executor can read). Only a
+    local master, whose executors are the driver, gets one of our own if it is
+    unset; elsewhere that raises.
     """
     ship_package(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="sitelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitelens.functions.scalar import PRICE_COLS
+from sitelens.functions.scalar import PRICE_COLS, to_double
 
 _TEXT = T.StringType()
 VENUE_RAW_SCHEMA = T.StructType(
@@ -42,22 +42,36 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_venues_csv(spark: SparkSession, path: str, schema: T.StructType = VENUE_RAW_SCHEMA) -> DataFrame:
-    """Venue CSV with header (S1). A missing path gives an empty table with
-    the schema. Without a ``row_id`` column in the schema, one is added at
-    ingest (monotonically increasing, file order within each task) and
-    should be stored with the data so later runs keep it."""
+    """Venue CSV with header (S1), columns found by their header names.
+
+    Everything is read as text (quotes doubled inside quoted fields) and then
+    cast, so bad numbers become null. Columns of ``schema`` that the file
+    lacks are null, and further columns of the file follow as text. Without a
+    ``row_id`` in the file, one is added at ingest (monotonically increasing,
+    file order within each task) and should be stored with the data so later
+    runs keep it. A missing path gives an empty table with the schema."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    if "row_id" not in schema.fieldNames():
-        df = df.withColumn("row_id", F.monotonically_increasing_id())
-    return df
+    text = spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+    out = []
+    for f in schema.fields:
+        if f.name not in text.columns:
+            c = F.monotonically_increasing_id() if f.name == "row_id" else F.lit(None)
+        elif f.dataType == T.DoubleType():
+            c = to_double(f"`{f.name}`")
+        else:
+            c = F.col(f"`{f.name}`").try_cast(f.dataType)
+        out.append(c.cast(f.dataType).alias(f.name))
+    if "row_id" not in schema.fieldNames() and "row_id" not in text.columns:
+        out.append(F.monotonically_increasing_id().alias("row_id"))
+    return text.select(*out, *[F.col(f"`{c}`") for c in text.columns if c not in schema.fieldNames()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header, no index (S3). Spark writes a folder of part files; a
-    byte-order mark for spreadsheet tools is not written."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header, no index, quotes doubled inside quoted fields (S3). Spark writes
+    a folder of part files; a byte-order mark for spreadsheet tools is not
+    written."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_deviation_report(spark: SparkSession, path: str, threshold: float | None = None) -> DataFrame:
@@ -65,7 +79,7 @@ def read_deviation_report(spark: SparkSession, path: str, threshold: float | Non
     threshold the alert flag is recomputed (P16)."""
     from sitelens.operators.cloud import check_report_columns
 
-    header = spark.read.option("header", True).csv(path)
+    header = spark.read.option("header", True).option("escape", '"').csv(path)
     check_report_columns(header)
     cols = [f for f in REPORT_SCHEMA.fields if f.name in header.columns]
     df = header.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols])

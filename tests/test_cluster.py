@@ -68,17 +68,17 @@ def test_silhouette_exact_and_sampled(spark):
     lab = np.array([0] * 60 + [1] * 60 + [2] * 60 + [3])   # a singleton cluster scores 0
     df = spark.createDataFrame([(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, lab))],
                                "pt_id long, f0 double, f1 double, cluster int")
-    exact = K.silhouette(df, ["f0", "f1"], "cluster", "pt_id").first()
-    assert exact["exact"] and exact["n_anchors"] == len(x)
+    exact = K.silhouette(df, ["f0", "f1"], "cluster", "pt_id", method="exact", block_rows=70).first()
+    assert exact["method"] == "exact" and exact["n_anchors"] == len(x) and exact["stderr"] == 0
     assert exact["silhouette"] == pytest.approx(_silhouette_numpy(x, lab), abs=1e-9)
-    sampled = K.silhouette(df, ["f0", "f1"], "cluster", "pt_id", sample_rows=60).first()
-    assert not sampled["exact"] and sampled["n_anchors"] == 60
+    sampled = K.silhouette(df, ["f0", "f1"], "cluster", "pt_id", method="sampled", sample_rows=60).first()
+    assert sampled["method"] == "sampled" and sampled["n_anchors"] == 60
     assert abs(sampled["silhouette"] - exact["silhouette"]) < 4 * sampled["stderr"] + 1e-9
 
 
 def test_fewer_than_two_clusters_scores_zero(spark):
     df = spark.createDataFrame([(i, float(i), 0.0, 0) for i in range(5)], "pt_id long, f0 double, f1 double, c int")
-    assert K.silhouette_value(df, ["f0", "f1"], "c", "pt_id") == 0.0
+    assert K.silhouette_value(df, ["f0", "f1"], "c", "pt_id").value == 0.0
 
 
 def test_nearest_center_ties_to_smallest_index(spark):

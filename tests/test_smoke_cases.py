@@ -40,8 +40,8 @@ def _kmeans_result(spark):
     sc = K.Scaler.fit(train, K.FEATURE_COLS)
     best, scores = K.k_sweep(sc.transform(train), sc.z_cols(), "row_id", range(3, 9))
     model = K.kmeans_fit(train, K.FEATURE_COLS, best, scaler=sc)
-    tr = K.silhouette_value(sc.transform(model.predict(train)), sc.z_cols(), "cluster", "row_id")
-    te = K.silhouette_value(sc.transform(model.predict(test)), sc.z_cols(), "cluster", "row_id")
+    tr = K.silhouette_value(sc.transform(model.predict(train)), sc.z_cols(), "cluster", "row_id").value
+    te = K.silhouette_value(sc.transform(model.predict(test)), sc.z_cols(), "cluster", "row_id").value
     return best, scores, model, tr, te
 
 
@@ -65,9 +65,9 @@ def test_train_agglomerative_returns_scores(spark):
     split = models.venue_split(spark, SF_SMALL)
     train = split.filter("split = 'train'")
     sc = K.Scaler.fit(train, K.FEATURE_COLS)
-    out, info = K.ward_cluster(sc.transform(train), sc.z_cols(), 4, micro=64)
-    assert info["linkage"] == "ward"
-    s = K.silhouette_value(out, sc.z_cols(), "cluster", "row_id")
+    out, info = K.ward_micro(sc.transform(train), sc.z_cols(), 4, micro=64)
+    assert info == {"micro": 64, "method": "ward_micro"}
+    s = K.silhouette_value(out, sc.z_cols(), "cluster", "row_id").value
     assert 0 < s < 1
     assert out.select("cluster").distinct().count() == 4
 
