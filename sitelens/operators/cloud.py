@@ -167,8 +167,8 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
        distance, and one narrow (distance, id) min picks the winner.
     Output: pt_id, x, y, z, deviation_m, tri_id.
     """
-    tri = spread(_tri_constants(triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI]))).checkpoint()
-    pts = spread(points.select("pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ])).checkpoint()
+    tri = spread(_tri_constants(triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI])))
+    pts = spread(points.select("pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ]))
     st = tri.agg(F.least(F.min("ax"), F.min("bx"), F.min("cx")).alias("lox"),
                  F.greatest(F.max("ax"), F.max("bx"), F.max("cx")).alias("hix"),
                  F.least(F.min("ay"), F.min("by_"), F.min("cy")).alias("loy"),
@@ -269,12 +269,16 @@ def check_report_columns(df: DataFrame) -> DataFrame:
 
 def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataFrame:
     """Unit normals from the covariance of each point's hybrid neighbourhood
-    (C5): neighbour pairs (J4) -> six second moments by grouped ``avg`` ->
+    (C5): neighbour pairs (J4) -> second moments of the differences to the
+    point by grouped ``avg`` ->
     eigenvector of the smallest eigenvalue, batched NumPy ``eigh`` in
     ``mapInPandas``. Orientation: nz >= 0 (then ny, nx) for repeatability."""
     nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id")
-    pts_b = cloud.select(F.col("pt_id").alias("b"), *[F.col(a).alias("n" + a) for a in XYZ])
-    j = nb.join(pts_b, "b")
+    pts = cloud.select("pt_id", *XYZ)
+    j = (nb.join(pts.withColumnsRenamed({"pt_id": "b", **{a: "q" + a for a in XYZ}}), "b")
+         .join(pts.withColumnsRenamed({"pt_id": "a", **{a: "p" + a for a in XYZ}}), "a"))
+    # moments of the differences: raw coordinates can be millions of metres
+    j = j.select("a", *[(F.col("q" + a) - F.col("p" + a)).alias("n" + a) for a in XYZ])
     mom = j.groupBy(F.col("a").alias("pt_id")).agg(
         F.count(F.lit(1)).alias("k"),
         *[F.avg("n" + a).alias("m" + a) for a in XYZ],

@@ -420,7 +420,7 @@ def dbscan(points: DataFrame, cols: Sequence[str], eps: float = 0.5, min_samples
     # group holding a third of the table then costs one row in every pair
     # step instead of one row per copy. The aggregate combines map-side.
     reps = pts0.groupBy(*xcols).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_w"))
-    pts = spread(reps.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)})).checkpoint()
+    pts = spread(reps.withColumns({f"_g{i}": F.floor(F.col(f"_x{i}") / F.lit(side)).cast("long") for i in range(d)}))
     cell_n = pts.groupBy(*gk).agg(F.sum("_w").alias("_cell_n"))
     pts_n = pts.join(cell_n, gk)
 

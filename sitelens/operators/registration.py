@@ -8,6 +8,7 @@ tables stay distributed.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -15,11 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sitelens.functions.hashing import hash32
 from sitelens.operators.cloud import XYZ, apply_transform
-from sitelens.operators.spatial import argmin_per_key, knn_radius, nn_join
+from sitelens.operators.spatial import argmin_per_key, knn_radius, right_size
 
 N_BINS = 11
 
@@ -103,7 +103,7 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
 # Mutual nearest neighbours in feature space
 # --------------------------------------------------------------------------
 
-def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 20_000) -> DataFrame:
+def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000) -> DataFrame:
     """Exact nearest target feature of every source row (ties: smallest id).
 
     High-dimensional features defeat grids, so the search is blocked: sources
@@ -132,16 +132,21 @@ def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: i
         xt = np.stack(pt["f"].to_numpy()[order]).astype(np.float64)
         ids = pt["id"].to_numpy()[order]
         d2 = (xs * xs).sum(1)[:, None] + (xt * xt).sum(1)[None, :] - 2.0 * xs @ xt.T
-        j = np.argmin(d2, axis=1)          # first minimum = smallest id among ties
+        j = np.argmin(d2, axis=1)
+        # the expanded form rounds: near ties are decided by exact distances, then the smaller id
+        close = d2 <= d2[np.arange(len(xs)), j][:, None] + 1e-6 * (1.0 + (xs * xs).sum(1))[:, None]
+        for i in np.flatnonzero(close.sum(axis=1) > 1):
+            c = np.flatnonzero(close[i])
+            j[i] = c[np.argmin(((xt[c] - xs[i]) ** 2).sum(axis=1))]
         best = np.sqrt(np.maximum(((xs - xt[j]) ** 2).sum(1), 0.0))
         return pd.DataFrame({"src_id": ps["id"].to_numpy(), "tgt_id": ids[j], "fdist": best})
 
     part = s.groupBy("ca", "cb").cogroup(t.groupBy("ca", "cb")).applyInPandas(
-        solve, "src_id long, tgt_id long, fdist double")
+        solve, "src_id long, tgt_id long, fdist double").checkpoint()   # the argmin reads it twice
     return argmin_per_key(part, "src_id", "fdist", "tgt_id")
 
 
-def mutual_matches(src_feat: DataFrame, tgt_feat: DataFrame, block_rows: int = 20_000) -> DataFrame:
+def mutual_matches(src_feat: DataFrame, tgt_feat: DataFrame, block_rows: int = 4_000) -> DataFrame:
     """Pairs that are each other's nearest feature."""
     fwd = feature_nn(src_feat, tgt_feat, block_rows=block_rows)
     bwd = feature_nn(tgt_feat, src_feat, block_rows=block_rows).select(
@@ -166,93 +171,135 @@ def rigid_fit(ps: np.ndarray, pt: np.ndarray) -> np.ndarray:
     return m
 
 
-def with_ordinal(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
-    """Contiguous 0-based ordinal by ``key`` without a single-partition sort:
-    rows are numbered within hash buckets and offset by the (tiny) table of
-    bucket sizes."""
-    b = df.withColumn("_bk", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    sizes = b.groupBy("_bk").agg(F.count(F.lit(1)).alias("_sz"))
-    offs = sizes.withColumn("_off", F.sum("_sz").over(Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)))
-    offs = offs.select("_bk", F.coalesce("_off", F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy("_bk").orderBy(key)) - 1
-    return b.join(F.broadcast(offs), "_bk").withColumn("ord", F.col("_off") + rn).drop("_bk", "_off")
+def with_ordinal(df: DataFrame, key: str) -> DataFrame:
+    """Contiguous 0-based ordinal by ``key`` without a single-partition sort."""
+    from sitelens.operators.cluster import global_rank
 
+    return global_rank(df, key).withColumnRenamed("_rank", "ord")
 
-def coarse_align(src: DataFrame, tgt: DataFrame, matches: DataFrame, max_corr: float, n_hyp: int = 10_000,
-                 edge_ratio: float = 0.9, seed: int = 42) -> dict:
+
+def rigid_fits(ps: np.ndarray, pt: np.ndarray) -> np.ndarray:
+    """Kabsch fits of many point sets at once: (n, k, 3) onto (n, k, 3)."""
+    cs, ct = ps.mean(1, keepdims=True), pt.mean(1, keepdims=True)
+    u, _, vt = np.linalg.svd(np.einsum("nki,nkj->nij", ps - cs, pt - ct))
+    v, ut = np.swapaxes(vt, 1, 2), np.swapaxes(u, 1, 2)
+    fix = np.ones((len(ps), 3))
+    fix[:, 2] = np.where(np.linalg.det(v @ ut) < 0, -1.0, 1.0)
+    r = (v * fix[:, None, :]) @ ut
+    return np.concatenate((r, ct.transpose(0, 2, 1) - r @ cs.transpose(0, 2, 1)), axis=2)
+
+
+# Below this many matches their table (7 numbers a row) is broadcast to the
+# hypotheses; beyond it they meet in shuffle joins.
+BROADCAST_MATCHES = 200_000
+
+
+def _hypotheses(m: DataFrame, n_m: int, lo: int, hi: int, edge_ratio: float, seed: int) -> DataFrame:
+    """Hypotheses lo..hi of four distinct matches each whose edge lengths
+    agree. Every match is tested as it joins, so few rows reach the last."""
+    spark = m.sparkSession
+    hyp = spark.range(lo, hi).withColumnRenamed("id", "h")
+    for k in range(4):
+        draw = F.concat_ws(":", F.col("h").cast("string"), F.lit(str(k)))
+        hyp = hyp.withColumn(f"o{k}", F.pmod(hash32(draw, seed), F.lit(n_m)))
+    for k in range(4):
+        side = m.select(F.col("ord").alias(f"o{k}"), *[F.col(s + c).alias(f"{s}{c}{k}") for s in "st" for c in XYZ])
+        hyp = hyp.join(F.broadcast(side) if n_m <= BROADCAST_MATCHES else side, f"o{k}")
+        for j in range(k):
+            ds, dt = (F.sqrt(sum((F.pow(F.col(f"{s}{c}{j}") - F.col(f"{s}{c}{k}"), 2) for c in XYZ), F.lit(0.0))) for s in "st")
+            hyp = hyp.filter((F.col(f"o{j}") != F.col(f"o{k}")) & (ds >= dt * edge_ratio) & (dt >= ds * edge_ratio))
+    return hyp.select("h", *[f"{s}{c}{k}" for s in "st" for k in range(4) for c in XYZ])
+
+
+def coarse_align(src: DataFrame, tgt: DataFrame, matches: DataFrame, max_corr: float, n_hyp: int = 4_000_000,
+                 edge_ratio: float = 0.9, seed: int = 42, confidence: float = 0.999, batch: int = 100_000) -> dict:
     """RANSAC over 4-match hypotheses (C8): edge-length and distance checks,
     rigid fit, inliers = matches within ``max_corr`` after the transform.
     Best: most inliers, then smaller RMSE, then smaller hypothesis id.
-    ``n_hyp`` is fixed (no early stop). Returns transform, fitness, rmse."""
+
+    Hypotheses come in batches, at most ``n_hyp``. It stops early once four
+    true matches would have been drawn with ``confidence``, given the best
+    share of inliers so far. Coordinates are taken about the target's centre,
+    so they may be map coordinates. Returns transform, fitness, inlier_rmse,
+    n_matches, hypotheses; without a fit the identity with fitness 0."""
     spark = src.sparkSession
-    m = (matches.join(src.select(F.col("pt_id").alias("src_id"), *[F.col(c).alias("s" + c) for c in XYZ]), "src_id")
-         .join(tgt.select(F.col("pt_id").alias("tgt_id"), *[F.col(c).alias("t" + c) for c in XYZ]), "tgt_id"))
+    origin = cloud_origin(tgt)
+    m = (matches.join(src.select(F.col("pt_id").alias("src_id"), *[(F.col(c) - o).alias("s" + c) for c, o in zip(XYZ, origin)]), "src_id")
+         .join(tgt.select(F.col("pt_id").alias("tgt_id"), *[(F.col(c) - o).alias("t" + c) for c, o in zip(XYZ, origin)]), "tgt_id"))
     m = with_ordinal(m, "src_id").checkpoint()
     n_m = m.count()
-    if n_m < 4:
-        return {"transform": np.eye(4).tolist(), "fitness": 0.0, "inlier_rmse": 0.0, "n_matches": n_m}
-    hyp = (spark.range(n_hyp).withColumnRenamed("id", "h")
-           .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
-           .withColumn("ord", F.pmod(hash32(F.concat_ws(":", F.col("h").cast("string"), F.col("k").cast("string")), seed),
-                                     F.lit(n_m))))
-    corr = hyp.join(m, "ord").groupBy("h").agg(F.sort_array(F.collect_list(F.struct(
-        "k", "ord", *["s" + c for c in XYZ], *["t" + c for c in XYZ]))).alias("c"))
+    best, done = None, 0
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for h, c in zip(pdf["h"], pdf["c"]):
-                if len(c) != 4 or len({e["ord"] for e in c}) < 4:
-                    continue
-                ps = np.array([[e["sx"], e["sy"], e["sz"]] for e in c])
-                pt = np.array([[e["tx"], e["ty"], e["tz"]] for e in c])
-                ok = True
-                for i in range(4):
-                    for j in range(i + 1, 4):
-                        ds, dt = np.linalg.norm(ps[i] - ps[j]), np.linalg.norm(pt[i] - pt[j])
-                        if ds < dt * edge_ratio or dt < ds * edge_ratio:
-                            ok = False
-                if not ok:
-                    continue
-                t = rigid_fit(ps, pt)
-                moved = ps @ t[:3, :3].T + t[:3, 3]
-                if np.any(np.linalg.norm(moved - pt, axis=1) > max_corr):
-                    continue
-                rows.append((int(h), *t[:3, :].ravel().tolist()))
-            yield pd.DataFrame(rows, columns=["h", *[f"m{i}" for i in range(12)]])
-
-    cand = corr.mapInPandas(fit, "h long, " + ", ".join(f"m{i} double" for i in range(12)))
-    cand_pd = cand.toPandas()                       # at most n_hyp rows of 12 numbers
-    if cand_pd.empty:
-        return {"transform": np.eye(4).tolist(), "fitness": 0.0, "inlier_rmse": 0.0, "n_matches": n_m}
-    mats = cand_pd[[f"m{i}" for i in range(12)]].to_numpy().reshape(-1, 3, 4)
-    hids = cand_pd["h"].to_numpy()
-    bc = spark.sparkContext.broadcast((hids, mats))
+            x = pdf.drop(columns="h").to_numpy().reshape(-1, 2, 4, 3)
+            ts = rigid_fits(x[:, 0], x[:, 1])
+            moved = np.einsum("nij,nkj->nki", ts[:, :, :3], x[:, 0]) + ts[:, None, :, 3]
+            ok = (np.linalg.norm(moved - x[:, 1], axis=2) <= max_corr).all(axis=1)
+            out = pd.DataFrame(ts[ok].reshape(-1, 12), columns=[f"m{i}" for i in range(12)])
+            out.insert(0, "h", pdf["h"].to_numpy()[ok])
+            yield out
+
+    while n_m >= 4 and done < n_hyp:
+        hyp = _hypotheses(m, n_m, done, min(done + batch, n_hyp), edge_ratio, seed)
+        done = min(done + batch, n_hyp)
+        fits = hyp.mapInPandas(fit, "h long, " + ", ".join(f"m{i} double" for i in range(12))).toPandas()   # at most ``batch`` rows
+        if len(fits):
+            top = _count_inliers(m, fits["h"].to_numpy(), fits.drop(columns="h").to_numpy().reshape(-1, 3, 4), max_corr)
+            if best is None or (top[0], -top[1]) > (best[0], -best[1]):
+                best = top
+        share = best[0] / n_m if best else 0.0
+        if share > 0 and (share >= 1 or done >= math.log(1 - confidence) / math.log1p(-share ** 4)):
+            break
+    if best is None:
+        return {"transform": np.eye(4).tolist(), "fitness": 0.0, "inlier_rmse": 0.0, "n_matches": n_m, "hypotheses": done}
+    return {"transform": about(best[2], origin).tolist(), "fitness": best[0] / n_m, "inlier_rmse": best[1], "n_matches": n_m, "hypotheses": done}
+
+
+def _count_inliers(m: DataFrame, ids: np.ndarray, mats: np.ndarray, max_corr: float) -> tuple[int, float, np.ndarray]:
+    """(inliers, rmse, local 4x4) of the best fitted hypothesis, in one pass
+    over the matches."""
+    bc = m.sparkSession.sparkContext.broadcast(mats)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, ms = bc.value
-        inl = np.zeros(len(ids), dtype=np.int64)
-        sq = np.zeros(len(ids))
+        ts = bc.value
+        inl, sq = np.zeros(len(ts), np.int64), np.zeros(len(ts))
         for pdf in batches:
-            ps = pdf[["sx", "sy", "sz"]].to_numpy()
-            pt = pdf[["tx", "ty", "tz"]].to_numpy()
-            for i in range(len(ids)):
-                moved = ps @ ms[i, :, :3].T + ms[i, :, 3]
-                d2 = ((moved - pt) ** 2).sum(1)
+            ps, pt = pdf[["sx", "sy", "sz"]].to_numpy(), pdf[["tx", "ty", "tz"]].to_numpy()
+            for i, t in enumerate(ts):
+                d2 = ((ps @ t[:, :3].T + t[:, 3] - pt) ** 2).sum(1)
                 hit = d2 <= max_corr * max_corr
                 inl[i] += int(hit.sum())
                 sq[i] += float(d2[hit].sum())
-        yield pd.DataFrame({"h": ids, "inl": inl, "sq": sq})
+        yield pd.DataFrame({"i": np.arange(len(ts)), "h": ids, "inl": inl, "sq": sq})
 
-    score = (m.select(*["s" + c for c in XYZ], *["t" + c for c in XYZ]).mapInPandas(count, "h long, inl long, sq double")
-             .groupBy("h").agg(F.sum("inl").alias("inl"), F.sum("sq").alias("sq"))
-             .withColumn("rmse", F.when(F.col("inl") > 0, F.sqrt(F.col("sq") / F.col("inl"))).otherwise(0.0))
-             .orderBy(F.col("inl").desc(), F.col("rmse"), F.col("h")).first())
-    i = int(np.flatnonzero(hids == score["h"])[0])
+    r = (m.select(*[s + c for s in "st" for c in XYZ]).mapInPandas(count, "i long, h long, inl long, sq double")
+         .groupBy("i", "h").agg(F.sum("inl").alias("inl"), F.sum("sq").alias("sq"))
+         .withColumn("rmse", F.when(F.col("inl") > 0, F.sqrt(F.col("sq") / F.col("inl"))).otherwise(0.0))
+         .orderBy(F.col("inl").desc(), F.col("rmse"), F.col("h")).first())
     t = np.eye(4)
-    t[:3, :] = mats[i]
-    return {"transform": t.tolist(), "fitness": score["inl"] / n_m, "inlier_rmse": float(score["rmse"]),
-            "n_matches": n_m}
+    t[:3] = mats[r["i"]]
+    return r["inl"], float(r["rmse"]), t
+
+
+def cloud_origin(cloud: DataFrame) -> list[float]:
+    """Whole-number coordinates near the cloud's centre (zeros if empty)."""
+    row = cloud.agg(*[F.avg(c).alias(c) for c in XYZ]).first()
+    return [float(math.floor(row[c])) if row[c] is not None else 0.0 for c in XYZ]
+
+
+def about(local: np.ndarray, origin) -> np.ndarray:
+    """The transform in world coordinates of one given about ``origin``."""
+    shift = np.eye(4)
+    shift[:3, 3] = origin
+    return shift @ np.asarray(local) @ np.linalg.inv(shift)
+
+
+def local_transform(world, origin) -> np.ndarray:
+    """The inverse of ``about``."""
+    shift = np.eye(4)
+    shift[:3, 3] = origin
+    return np.linalg.inv(shift) @ np.asarray(world) @ shift
 
 
 # --------------------------------------------------------------------------
@@ -273,38 +320,48 @@ def _small_transform(x: np.ndarray) -> np.ndarray:
 
 def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None, max_iter: int = 200,
               rel_tol: float = 1e-6) -> dict:
-    """Point-to-plane ICP (C9). Each iteration: transform the source, find
-    target correspondences within ``max_corr`` (one bounded NN round), sum
-    the 6x6 normal equations of the linearised residual (p - q)·n in one
-    aggregate, solve them on the driver, compose. Stops when fitness and
-    RMSE change by less than ``rel_tol`` (relative) or after ``max_iter``."""
-    t = np.array(init if init is not None else np.eye(4), dtype=np.float64)
-    tgt = tgt_normals.select("pt_id", *XYZ, "nx", "ny", "nz").checkpoint()
-    tq = tgt.select(F.col("pt_id").alias("nn_id"), *[F.col(c).alias("q" + c) for c in XYZ],
-                    "nx", "ny", "nz")
-    base = src.select("pt_id", *XYZ).checkpoint()
+    """Point-to-plane ICP (C9). The target is put on a grid of side
+    ``max_corr`` once. Each round moves the source, finds each point's nearest
+    target within ``max_corr`` (its own and the 26 neighbouring cells), sums
+    the 6x6 normal equations of the linearised residual (p - q).n in one
+    aggregate and solves them on the driver. Coordinates are taken about the
+    target's centre, so the equations stay well-conditioned anywhere. Stops
+    when fitness and RMSE change by less than ``rel_tol`` (relative), or after
+    ``max_iter`` rounds (``converged`` is then false)."""
+    origin = cloud_origin(tgt_normals)
+    t = local_transform(init if init is not None else np.eye(4), origin)
+    g = [f"g{c}" for c in XYZ]
+
+    def cell(c: str) -> Column:
+        return F.floor(F.col(c) / F.lit(float(max_corr))).cast("long")
+
+    tq = tgt_normals.select(F.col("pt_id").alias("nn_id"), *[(F.col(c) - o).alias("q" + c) for c, o in zip(XYZ, origin)], "nx", "ny", "nz")
+    tq = right_size(tq.withColumns({k: cell("q" + c) for k, c in zip(g, XYZ)}))
+    base = right_size(src.select("pt_id", *[(F.col(c) - o).alias(c) for c, o in zip(XYZ, origin)]))
     n_src = base.count()
-    prev = None
-    fitness = rmse = 0.0
-    it = 0
+    steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(g, off)]) for off in itertools.product((-1, 0, 1), repeat=3)])
+    p, n = [F.col(a) for a in XYZ], [F.col(a) for a in ("nx", "ny", "nz")]
+    q = [F.col("q" + a) for a in XYZ]
+    sq = sum((F.pow(a - b, 2) for a, b in zip(p, q)), F.lit(0.0))
+    r = sum(((a - b) * c for a, b, c in zip(p, q, n)), F.lit(0.0))
+    jv = _cross(p, n) + n
+    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum("d2").alias("sq")]
+    aggs += [F.sum(jv[i] * jv[j]).alias(f"a{i}{j}") for i in range(6) for j in range(i, 6)]
+    aggs += [F.sum(jv[i] * r).alias(f"b{i}") for i in range(6)]
+    prev, fitness, rmse, it, converged = None, 0.0, 0.0, 0, False
     for it in range(1, max_iter + 1):
         moved = apply_transform(base, t.tolist())
-        nn = nn_join(moved, tgt, XYZ, q_id="pt_id", t_id="pt_id", max_dist=max_corr).filter(F.col("nn_id").isNotNull())
-        c = nn.join(moved, "pt_id").join(tq, "nn_id")
-        p = [F.col(a) for a in XYZ]
-        n = [F.col(a) for a in ("nx", "ny", "nz")]
-        r = (p[0] - F.col("qx")) * n[0] + (p[1] - F.col("qy")) * n[1] + (p[2] - F.col("qz")) * n[2]
-        jv = _cross(p, n) + n
-        aggs = [F.count(F.lit(1)).alias("cnt"), F.sum(F.col("nn_dist") * F.col("nn_dist")).alias("sq")]
-        aggs += [F.sum(jv[i] * jv[j]).alias(f"a{i}{j}") for i in range(6) for j in range(i, 6)]
-        aggs += [F.sum(jv[i] * r).alias(f"b{i}") for i in range(6)]
-        row = c.agg(*aggs).first()
+        probe = moved.withColumn("_o", F.explode(steps)).select("pt_id", *XYZ, *[(cell(c) + F.col(f"_o.{k}")).alias(k) for k, c in zip(g, XYZ)])
+        near = (probe.join(tq, g).withColumn("d2", sq).filter(F.col("d2") <= float(max_corr) ** 2)
+                .groupBy("pt_id").agg(F.min(F.struct("d2", "nn_id", *XYZ, *["q" + c for c in XYZ], "nx", "ny", "nz")).alias("m")))
+        row = near.select("m.*").agg(*aggs).first()
         cnt = row["cnt"] or 0
         if cnt < 6:
             break
         fitness, rmse = cnt / n_src, math.sqrt(row["sq"] / cnt)
         if prev is not None and abs(prev[0] - fitness) <= rel_tol * max(prev[0], 1e-300) \
-                and abs(prev[1] - rmse) <= rel_tol * max(prev[1], 1e-300):
+                and abs(prev[1] - rmse) <= max(rel_tol * prev[1], 1e-12):
+            converged = True
             break
         prev = (fitness, rmse)
         a = np.zeros((6, 6))
@@ -312,9 +369,5 @@ def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None
             for j in range(i, 6):
                 a[i, j] = a[j, i] = row[f"a{i}{j}"]
         b = np.array([row[f"b{i}"] for i in range(6)])
-        try:
-            x = np.linalg.solve(a, -b)
-        except np.linalg.LinAlgError:
-            x = np.linalg.lstsq(a, -b, rcond=None)[0]
-        t = _small_transform(x) @ t
-    return {"transform": t.tolist(), "fitness": fitness, "inlier_rmse": rmse, "iterations": it}
+        t = _small_transform(np.linalg.lstsq(a, -b, rcond=None)[0]) @ t
+    return {"transform": about(t, origin).tolist(), "fitness": fitness, "inlier_rmse": rmse, "iterations": it, "converged": converged}

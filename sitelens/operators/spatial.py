@@ -31,27 +31,27 @@ SALT = "_salt"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Before materialising an input that later rounds re-read: if it has
-    fewer partitions than the cluster has cores (one small file), spread it
-    so exploding and probing run on every core. Wide inputs are untouched."""
+    """Checkpoint an input that later rounds re-read; if it turns out to have
+    fewer partitions than the cluster has cores (one small file), deal it out
+    so exploding and probing run on every core. The partitions are counted on
+    the written checkpoint, so the input's own shuffles run once."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    df = df.checkpoint()
+    return df.repartition(par).checkpoint() if df.rdd.getNumPartitions() < par else df
 
 
 def right_size(df: DataFrame, rows: int | None = None, rows_per_part: int = 1_000_000) -> DataFrame:
-    """Before caching or iterating over an input: about ``rows_per_part``
-    rows per partition, never fewer partitions than cores. Cached plans keep
-    the shuffle's partition count (AQE does not coalesce them), so a small
-    table left at 200 partitions would run 200 tiny tasks per pass."""
+    """Checkpoint an input to iterate over with about ``rows_per_part`` rows
+    per partition, never fewer partitions than cores: a small table left at
+    200 partitions would run 200 tiny tasks per pass."""
     par = df.sparkSession.sparkContext.defaultParallelism
+    df = df.checkpoint()
     n = df.count() if rows is None else rows
     target = max(par, int(math.ceil(n / rows_per_part)))
     have = df.rdd.getNumPartitions()
     if have > 2 * target:
         return df.coalesce(target)
-    if have < par:
-        return df.repartition(par)
-    return df
+    return df.repartition(par) if have < par else df
 
 
 def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], salt_source: str,
@@ -223,7 +223,7 @@ def knn_radius(points: DataFrame, cols: Sequence[str], radius: float, max_nn: in
     cols = list(cols)
     d = len(cols)
     base = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    base = spread(base).checkpoint()
+    base = spread(base)
     w = Window.partitionBy("a").orderBy(F.col("dist"), F.col("b"))
     open_pts = base
     parts: list[DataFrame] = []
@@ -309,7 +309,7 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     # checkpoint in the shared folder) so rounds do not re-run their lineage.
     q_all = queries.select(F.col(q_id).alias("_qid"),
                            *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)])
-    q_all = spread(q_all).checkpoint()
+    q_all = spread(q_all)
     # Copies at identical coordinates collapse to their smallest id before
     # the search (exact: same distance, and ties go to the smallest id), so
     # a group of copies holding a third of the table costs one row, not a
@@ -318,7 +318,7 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
                            *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
     if collapse_copies:   # skip only when the caller knows targets are distinct
         t_all = t_all.groupBy(*["t" + x for x in xs]).agg(F.min("_tid").alias("_tid"))
-    t_all = spread(t_all).checkpoint()
+    t_all = spread(t_all)
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),
                       *[F.min("t" + x).alias("lo" + x) for x in xs],

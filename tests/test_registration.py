@@ -68,5 +68,5 @@ def test_fpfh_and_matches(spark):
 
 def test_ordinals_contiguous(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
-    o = sorted(r.ord for r in RG.with_ordinal(df, "k", buckets=7).collect())
+    o = sorted(r.ord for r in RG.with_ordinal(df, "k").collect())
     assert o == list(range(1000))
