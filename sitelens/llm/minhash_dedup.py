@@ -6,12 +6,18 @@ are kept. Three permutations (six values) make a band, and there are so many
 bands that two sets at the threshold share none with a chance below 1e-8 (39
 bands at 0.85, 61 at 0.8). Whatever shares one is compared on the full sets.
 
-Documents with equal sets form one class first. Within a bucket nothing is
-paired with everything: first every member meets the bucket's pivot, which
-links most of a group of copies; afterwards only members that are still in
-different components meet, the largest component of a bucket never being
-paired with itself. The result is the same as that of comparing all pairs
-that share a band.
+Documents with equal sets form one class first. Of the classes that share a
+bucket, each counts the shingles that another one has too. These numbers bound
+every similarity: what a and b share is at most the smaller number c, and
+their union is at least n_a + n_b - c. Edits that only one document has thus
+keep it out of the pairs, however many copies its bucket holds, and no link is
+lost.
+
+Within a bucket nothing is paired with everything: first every member meets
+the bucket's pivot, its most typical text, which links most of a group of
+copies; afterwards only members that are still in different components meet,
+the largest component of a bucket never being paired with itself. The result
+is the same as that of comparing all pairs that share a band.
 """
 
 from __future__ import annotations
@@ -25,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, binary_list, materialize, prepare
+from sitelens.llm.common import attach_groups, binary_list, materialize, prepare, release_shuffles
 from sitelens.llm.components import components
+from sitelens.llm.meeting import HASH_BITS, shared_hashes
 from sitelens.llm.shingles import Hasher, mix, overlap
 
 PER_BAND = 3             # permutations of a band, two values each
@@ -134,9 +141,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     sets = sig.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = materialize(sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
                                                      F.count(F.lit(1)).alias("size")), "minhash-classes")
-    members = _shared_buckets(sets, classes)
+    buckets = _shared_buckets(sets, classes)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    links, labels = None, None
+    texts = materialize(texts.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "minhash-texts")
+    release_shuffles(spark)
+    members = _linkable(buckets, texts, percent)
+    labels, links = None, None
     checked = spark.createDataFrame([], "lo long, hi long")
     for turn in range(rounds + 1):
         open_members = _unresolved(members, labels)
@@ -147,10 +157,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         pairs = _rest_pairs(open_members, percent) if last else _pivot_pairs(open_members, percent, turn)
         pairs = pairs.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")})
         pairs = materialize(pairs.join(checked, ["lo", "hi"], "left_anti"), "minhash-pairs")
-        found = materialize(confirm(pairs.select("src", "dst"), texts, percent), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links) if not links.isEmpty() else None
-        checked = checked.unionByName(pairs.select("lo", "hi"))
+        if not pairs.isEmpty():
+            found = materialize(confirm(pairs.select("src", "dst"), texts, percent), "minhash-links")
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                labels = components(links)
+            checked = checked.unionByName(pairs.select("lo", "hi"))
         if last:
             break
     if labels is not None:
@@ -175,40 +187,68 @@ def _shared_buckets(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return materialize(bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "minhash-buckets")
 
 
+def _shingle_hashes():
+    """What a task needs to hash the shingles of a text."""
+    hasher = Hasher()
+    return lambda data: np.unique(hasher.shingles(data) >> np.uint64(64 - HASH_BITS))
+
+
+def _linkable(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n, c): the members that can link at all, with the number c of
+    their shingles that another member has, in the buckets that still hold
+    more than one. An id that stands for several texts counts as typical."""
+    digits = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
+    counts = (shared_hashes(texts.select(F.col("doc_id").alias("node"), "text"), _shingle_hashes, digits, count=True)
+              .groupBy("node").agg(F.sum("n").alias("c")))
+    numbers = materialize(once.join(counts, once["doc_id"] == counts["node"], "left")
+                          .select("doc_id", "k", F.coalesce("c", F.lit(0)).alias("c")), "minhash-shared")
+    members = (buckets.join(numbers, buckets["id"] == numbers["doc_id"])
+               .select("key", "id", "n", F.when(F.col("k") > 1, F.col("n")).otherwise(F.least("c", "n")).alias("c"))
+               .filter(100 * F.col("c") >= percent * F.col("n")))
+    members = materialize(members, "minhash-able")
+    shared = members.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
+    return members.join(shared, "key", "left_semi")
+
+
 def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets with more than one component, with the bucket's
     largest component and its size."""
     if labels is None:
         named = members.withColumn("comp", F.col("id"))
     else:
-        named = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
+        named = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", "c", F.coalesce("comp", "id").alias("comp"))
     named = materialize(named, "minhash-members")
-    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    whole = per.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("total"))
+    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+    whole = per.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("m").alias("total"))
     whole = whole.filter("k > 1").select("key", F.col("m.comp").alias("big"), "total")
     return materialize(named.join(whole, "key"), "minhash-open")
 
 
-def _near_size(a: str, b: str, percent: int) -> F.Column:
-    """Sets of too different a size can't link."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _can_link(percent: int) -> F.Column:
+    """The bound on two members' similarity from their numbers alone."""
+    both = F.least("c", "_c", "n", "_n")
+    return 100 * both >= percent * (F.col("n") + F.col("_n") - both)
 
 
 def _pivot_pairs(open_members: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Every member with its bucket's pivot: the same class is preferred in
-    all buckets, so a group of copies has few pivots."""
-    first = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "comp")).alias("p")
-    pivots = open_members.groupBy("key").agg(first).select("key", F.col("p.id").alias("src"), F.col("p.n").alias("_n"), F.col("p.comp").alias("_comp"))
-    return (open_members.join(pivots, "key").filter((F.col("comp") != F.col("_comp")) & _near_size("n", "_n", percent))
+    """Every member with its bucket's pivot: the member with the fewest
+    shingles of its own, by a hash among equals and in later turns."""
+    own = F.when(F.lit(turn) == 0, F.col("n") - F.col("c")).otherwise(0)
+    first = F.min(F.struct(own.alias("own"), F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "c", "comp")).alias("p")
+    pivots = open_members.groupBy("key").agg(first).select(
+        "key", F.col("p.id").alias("src"), F.col("p.n").alias("_n"), F.col("p.c").alias("_c"), F.col("p.comp").alias("_comp"))
+    return (open_members.join(pivots, "key").filter((F.col("comp") != F.col("_comp")) & _can_link(percent))
             .select("src", F.col("id").alias("dst")).distinct())
 
 
 def _rest_pairs(open_members: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components: its members
     outside the largest component with everything else."""
-    few = open_members.filter("comp <> big").select("key", F.col("id").alias("src"), F.col("n").alias("_n"), F.col("comp").alias("_comp"))
-    pairs = (few.join(open_members, "key")
-             .filter((F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _near_size("n", "_n", percent)))
+    few = open_members.filter("comp <> big").select("key", F.col("id").alias("src"), F.col("n").alias("_n"), F.col("c").alias("_c"),
+                                                    F.col("comp").alias("_comp"))
+    pairs = few.join(open_members, "key").filter(
+        (F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _can_link(percent))
     return pairs.select("src", F.col("id").alias("dst")).distinct()
 
 
