@@ -1,7 +1,8 @@
 """Table profiling aggregates.
 
 Each aggregate is one ``agg`` (partial aggregation map-side, one shuffle of
-partial buffers). Where a second pass needs a fitted number (quartiles,
+partial buffers); quantiles are exact and distributed (``quantiles``). Where a
+second pass needs a fitted number (quartiles,
 histogram bounds) the one-row result is read on the driver and used as a
 literal, exactly like a fitted model parameter: a handful of doubles, never
 table data.
@@ -14,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.geo import HAIFA_BBOX  # noqa: F401  (re-exported for callers)
+from sitelens.operators.quantiles import quantiles
 
 
 def eda_metrics(df: DataFrame, price_col: str) -> DataFrame:
@@ -24,7 +25,7 @@ def eda_metrics(df: DataFrame, price_col: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_venues"),
         F.countDistinct("city").alias("n_cities"),
         F.avg(price_col).alias("avg_price"),
-        F.percentile(price_col, 0.5).alias("median_price"),
+        F.lit(quantiles(df, price_col, {"m": 0.5})["m"]).cast("double").alias("median_price"),
         F.avg(F.when(has_price, F.col("rating"))).alias("avg_rating"),
         F.count(F.when(F.col("rating").isNull(), 1)).alias("null_ratings"),
         F.count(F.when(F.col("price_source") == "estimated", 1)).alias("estimated_prices"),
@@ -90,11 +91,11 @@ def price_rating_corr(df: DataFrame, price_col: str) -> DataFrame:
 
 
 def price_quartiles(df: DataFrame, price_col: str) -> DataFrame:
-    """Exact linear-interpolated quartiles and IQR (A7). ``percentile`` keeps
-    a value->count map per group, so its memory follows distinct prices."""
-    base = rated_priced(df, price_col)
-    q = base.agg(F.percentile(price_col, 0.25).alias("q25"), F.percentile(price_col, 0.75).alias("q75"))
-    return q.withColumn("iqr", F.col("q75") - F.col("q25"))
+    """Exact linear-interpolated quartiles and IQR (A7), one row; null without
+    rated and priced rows."""
+    q = quantiles(rated_priced(df, price_col), price_col, {"q25": 0.25, "q75": 0.75})
+    one = df.sparkSession.createDataFrame([(q["q25"], q["q75"])], "q25 double, q75 double")
+    return one.withColumn("iqr", F.col("q75") - F.col("q25"))
 
 
 def city_price_spread(df: DataFrame, price_col: str) -> DataFrame:
@@ -176,8 +177,10 @@ def label_thresholds(df: DataFrame, price_col: str = "price_nis", rating_col: st
                      cuts: Sequence[float] = (0.33, 0.67)) -> DataFrame:
     """33rd/67th percentiles of price and rating, nulls skipped."""
     lo, hi = cuts
-    return df.agg(F.percentile(price_col, lo).alias("price_33"), F.percentile(price_col, hi).alias("price_67"),
-                  F.percentile(rating_col, lo).alias("rating_33"), F.percentile(rating_col, hi).alias("rating_67"))
+    price = quantiles(df, price_col, {"price_33": lo, "price_67": hi})
+    rating = quantiles(df, rating_col, {"rating_33": lo, "rating_67": hi})
+    return df.sparkSession.createDataFrame([(*price.values(), *rating.values())],
+                                           "price_33 double, price_67 double, rating_33 double, rating_67 double")
 
 
 def deviation_stats(report: DataFrame, threshold: float, col: str = "deviation_m") -> DataFrame:

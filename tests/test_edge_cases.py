@@ -133,3 +133,32 @@ def test_shared_checkpoint_folder_is_required_off_local_mode(spark, monkeypatch)
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_group_quantiles_against_numpy(spark):
+    from sitelens.operators.quantiles import group_quantiles, quantiles
+
+    rnd = np.random.default_rng(3)
+    rows = [(f"g{i % 7}" if i % 11 else None, float(v)) for i, v in enumerate(rnd.integers(0, 40, 900))] + [("g1", None), ("none", None), ("one", 5.0)]
+    rows += [("hot", float(v)) for v in rnd.integers(0, 10 ** 6, 900)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    names = {"a": 0.25, "b": 0.5, "c": 0.67, "z": 1.0}
+    got = {r["g"]: r for r in group_quantiles(df, ["g"], "v", names).collect()}
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        for n, q in names.items():
+            assert math.isclose(got[g][n], np.quantile(vs, q), abs_tol=1e-9), (g, n)
+    whole = quantiles(df, "v", {"m": 0.5})
+    assert math.isclose(whole["m"], np.quantile([v for _, v in rows if v is not None], 0.5), abs_tol=1e-9)
+    assert quantiles(df.limit(0), "v", {"m": 0.5}) == {"m": None}
+
+
+def test_impute_group_median_keeps_rows(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "a", None), (4, "b", None), (5, None, None), (6, None, 9.0)],
+                               "row_id long, city string, price double")
+    got = {r["row_id"]: (r["price"], r["price_imputed"]) for r in C.impute_group_median(df, "price", ["city"]).collect()}
+    assert got == {1: (1.0, False), 2: (3.0, False), 3: (2.0, True), 4: (None, False), 5: (None, False), 6: (9.0, False)}
