@@ -22,6 +22,7 @@ is the same as that of comparing all pairs that share a band.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
@@ -43,6 +44,10 @@ LINKS = "src long, dst long"
 _RNG = np.random.default_rng(8_128)
 _DRAWN = _RNG.integers(0, 2 ** 32, (2, 4096), dtype=np.uint32)
 _STEP = 1024             # shingles hashed at a time
+REST_LOAD = 32           # pairs to look at per member for which no more pivots are tried
+# Radix digits in which shared shingles are counted: each gets up to about
+# DIGIT_VALUES of them, which a task sorts in some 300 MB.
+MIN_DIGITS, DIGIT_VALUES = 12, 4_000_000
 _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -126,7 +131,7 @@ def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = 6) -> DataFrame:
+                    rounds: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per input row.
 
     Whole texts; null and empty texts, or texts of blanks only, have no
@@ -134,7 +139,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     in links; their component is null and they are kept. Rows that repeat id
     and text share their component, and so do rows that repeat an id as far
     as their texts link. An empty table gives no rows. ``rounds`` bounds the
-    pivot rounds that come before the rest of the pairs, never the pairs."""
+    pivot rounds that come before the rest of the pairs, never the pairs; they
+    also end once they link little."""
     spark = docs.sparkSession
     prepare(spark)
     sig = materialize(signatures(docs, bands_for(percent), id_col, text_col), "minhash-signatures")
@@ -146,25 +152,34 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     texts = materialize(texts.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "minhash-texts")
     release_shuffles(spark)
     members = _linkable(buckets, texts, percent)
-    labels, links = None, None
     checked = spark.createDataFrame([], "lo long, hi long")
-    for turn in range(rounds + 1):
+    links, labels = [], None
+
+    def look_at(pairs: DataFrame) -> float:
+        """Confirm pairs not looked at before; the share that links."""
+        nonlocal checked
+        pairs = pairs.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")})
+        pairs = materialize(pairs.join(checked, ["lo", "hi"], "left_anti"), "minhash-pairs")
+        n_pairs = pairs.count()
+        if not n_pairs:
+            return 0.0
+        checked = checked.unionByName(pairs.select("lo", "hi"))
+        found = materialize(confirm(pairs.select("src", "dst"), texts, percent), "minhash-links")
+        links.append(found)
+        return found.count() / n_pairs
+
+    for turn in range(rounds):
         open_members = _unresolved(members, labels)
         n, load = open_members.agg(F.count(F.lit(1)), F.sum(F.expr("IF(comp <> big, total, 0L)"))).first()
         if not n:
             break
-        last = turn == rounds or turn > 0 and load <= 4 * n
-        pairs = _rest_pairs(open_members, percent) if last else _pivot_pairs(open_members, percent, turn)
-        pairs = pairs.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")})
-        pairs = materialize(pairs.join(checked, ["lo", "hi"], "left_anti"), "minhash-pairs")
-        if not pairs.isEmpty():
-            found = materialize(confirm(pairs.select("src", "dst"), texts, percent), "minhash-links")
-            if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                labels = components(links)
-            checked = checked.unionByName(pairs.select("lo", "hi"))
-        if last:
+        helped = (turn == 0 or load > REST_LOAD * n) and look_at(_pivot_pairs(open_members, percent, turn)) >= 0.1
+        if not helped or turn == rounds - 1:
+            look_at(_rest_pairs(open_members, percent))
             break
+        labels = components(functools.reduce(DataFrame.unionByName, links))
+    if links:
+        labels = components(functools.reduce(DataFrame.unionByName, links))
     if labels is not None:
         classes = (classes.join(labels, classes["rep"] == labels["node"], "left")
                    .select("digest", "size", F.coalesce("comp", "rep").alias("component_id")))
@@ -197,7 +212,8 @@ def _linkable(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(key, id, n, c): the members that can link at all, with the number c of
     their shingles that another member has, in the buckets that still hold
     more than one. An id that stands for several texts counts as typical."""
-    digits = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = buckets.select("id", "n").distinct().agg(F.sum("n")).first()[0] or 0
+    digits = max(MIN_DIGITS, math.ceil(values / DIGIT_VALUES))
     once = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
     counts = (shared_hashes(texts.select(F.col("doc_id").alias("node"), "text"), _shingle_hashes, digits, count=True)
               .groupBy("node").agg(F.sum("n").alias("c")))
@@ -206,9 +222,8 @@ def _linkable(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     members = (buckets.join(numbers, buckets["id"] == numbers["doc_id"])
                .select("key", "id", "n", F.when(F.col("k") > 1, F.col("n")).otherwise(F.least("c", "n")).alias("c"))
                .filter(100 * F.col("c") >= percent * F.col("n")))
-    members = materialize(members, "minhash-able")
     shared = members.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
-    return members.join(shared, "key", "left_semi")
+    return materialize(members.join(shared, "key", "left_semi"), "minhash-members")
 
 
 def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -218,7 +233,6 @@ def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         named = members.withColumn("comp", F.col("id"))
     else:
         named = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", "c", F.coalesce("comp", "id").alias("comp"))
-    named = materialize(named, "minhash-members")
     per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
     whole = per.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("m").alias("total"))
     whole = whole.filter("k > 1").select("key", F.col("m.comp").alias("big"), "total")
@@ -245,10 +259,14 @@ def _pivot_pairs(open_members: DataFrame, percent: int, turn: int) -> DataFrame:
 def _rest_pairs(open_members: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components: its members
     outside the largest component with everything else."""
-    few = open_members.filter("comp <> big").select("key", F.col("id").alias("src"), F.col("n").alias("_n"), F.col("c").alias("_c"),
-                                                    F.col("comp").alias("_comp"))
-    pairs = few.join(open_members, "key").filter(
-        (F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _can_link(percent))
+    keys = open_members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    every = materialize(open_members.join(keys, "id"), "minhash-rest")
+    few = every.filter("comp <> big").select("key", F.col("id").alias("src"), F.col("n").alias("_n"), F.col("c").alias("_c"),
+                                             F.col("comp").alias("_comp"), F.col("keys").alias("_keys"))
+    # a pair meets in every bucket it shares and is told in the first of them
+    first = F.array_min(F.array_intersect("keys", "_keys")) == F.col("key")
+    pairs = few.join(every, "key").filter(
+        (F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _can_link(percent) & first)
     return pairs.select("src", F.col("id").alias("dst")).distinct()
 
 
