@@ -282,18 +282,70 @@ def auto_cell(extents: Sequence[float], n: int, per_cell: float = 2.0) -> float:
     return 0.0
 
 
+# Cells are grouped by this factor per axis from one level to the next.
+LEVEL_FACTOR = 4
+# A level's cells up to this many (a few numbers each) are broadcast; a finer
+# level meets the queries in a shuffle join.
+BROADCAST_CELLS = 50_000
+
+
+def box_candidates(queries: DataFrame, items: DataFrame, d: int, cell: float, extent: float) -> DataFrame:
+    """Pairs (query, item) among which every query's nearest item is, found by
+    descending a hierarchy of occupied cells.
+
+    ``queries`` has _qid and q_x0..; ``items`` has _tid, a box (lo_x*, hi_x*)
+    and a point of the item (t_x*) per axis, and _class: items of like size,
+    so that a large one widens only its own cells. Each level keeps a cell for
+    a query if the nearest corner of the box around its items is no farther
+    than the nearest known item point of any cell, and splits the kept cells.
+    A query far from all items thus meets a few cells per level and the items
+    of the last ones, not every item. Returns both sides' columns."""
+    xs = [f"_x{i}" for i in range(d)]
+    n_levels = max(1, math.ceil(math.log(max(extent / cell, 1.0), LEVEL_FACTOR))) + 1
+    base = items.withColumns({f"_c{i}": F.floor((F.col("lo" + x) + F.col("hi" + x)) / 2 / F.lit(cell)).cast("long") for i, x in enumerate(xs)})
+
+    def at(level: int, prefix: str) -> list[F.Column]:
+        side = LEVEL_FACTOR ** level
+        return [F.col("_class").alias(prefix + "class")] + [F.floor(F.col(f"_c{i}") / F.lit(side)).cast("long").alias(f"{prefix}{i}") for i in range(d)]
+
+    def names(prefix: str) -> list[str]:
+        return [prefix + "class"] + [f"{prefix}{i}" for i in range(d)]
+
+    kept = queries
+    for level in range(n_levels, -1, -1):
+        cells = base.select(*at(level, "_k"), *at(level + 1, "_p"), *["lo" + x for x in xs], *["hi" + x for x in xs], *["t" + x for x in xs])
+        cells = cells.groupBy(*names("_k"), *names("_p")).agg(
+            *[F.min("lo" + x).alias("lo" + x) for x in xs], *[F.max("hi" + x).alias("hi" + x) for x in xs],
+            F.min(F.struct(*["t" + x for x in xs])).alias("_at")).checkpoint()
+        if level == n_levels:     # the items span at most 2 ** d cells of each class: every query starts at all of them
+            top = [F.struct(*[F.lit(r[c]).alias(c) for c in [*names("_k"), *["lo" + x for x in xs], *["hi" + x for x in xs]]],
+                            F.struct(*[F.lit(r["_at"]["t" + x]).alias("t" + x) for x in xs]).alias("_at")) for r in cells.collect()]
+            met = kept.select("*", F.explode(F.array(*top)).alias("_top")).select("*", "_top.*")
+        else:
+            met = kept.join(F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells, names("_p"))
+        lo = sum((F.pow(F.greatest(F.col("lo" + x) - F.col("q" + x), F.col("q" + x) - F.col("hi" + x), F.lit(0.0)), 2) for x in xs), F.lit(0.0))
+        hi = sum((F.pow(F.col(f"_at.t{x}") - F.col("q" + x), 2) for x in xs), F.lit(0.0))
+        met = met.select("_qid", *["q" + x for x in xs], *names("_k"), lo.alias("_lo"), hi.alias("_hi"))
+        best = F.min("_hi").over(Window.partitionBy("_qid"))
+        kept = met.withColumn("_best", best).filter(F.col("_lo") <= F.col("_best") * (1 + 1e-9) + 1e-300)
+        kept = kept.select("_qid", *["q" + x for x in xs], *[F.col(a).alias(b) for a, b in zip(names("_k"), names("_p"))])
+    leaves = base.withColumnRenamed("_class", "_pclass").withColumnsRenamed({f"_c{i}": f"_p{i}" for i in range(d)})
+    return kept.join(leaves, names("_p")).drop(*names("_p"))
+
+
 def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id: str = "pt_id",
             t_id: str = "pt_id", t_cols: Sequence[str] | None = None, cell: float | None = None,
-            max_rounds: int = 40, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
+            rings: int = 3, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
             max_dist: float | None = None, collapse_copies: bool = True) -> DataFrame:
     """Exact 1-nearest neighbour of every query point among the targets.
 
     Ring growth: in round r the grid side is ``cell * 2**r``; each open query
     probes the 3^d cells around its own. A best hit at distance <= the side is
     final (anything outside the probed block is farther than one side); the
-    rest go to the next round with a doubled side. Once the side exceeds the
-    extent of the target set the block covers every target, so the loop is
-    exact without any cap. Ties go to the smallest target id.
+    rest go to the next round with a doubled side. Queries still open after
+    ``rings`` rounds lie far from the targets for their density: they descend
+    the hierarchy of occupied cells (``box_candidates``) instead, so none of
+    them is paired with every target. Exact; ties go to the smallest target id.
 
     With ``max_dist`` (correspondence search, ICP) only hits within that
     distance are wanted: one round with side >= max_dist is enough and
@@ -337,7 +389,6 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
         extent = max(extent, hi - lo)
     if max_dist is not None:
         cell = float(max_dist)
-        max_rounds = 1
     elif cell is None:
         cell = auto_cell([stats["hi" + x] - stats["lo" + x] for x in xs], n_t)
         cell = extent if cell <= 0 else min(max(cell, extent * 1e-6), extent)
@@ -367,11 +418,16 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
 
     done: list[DataFrame] = []
     open_q = q_all
-    for r in range(max_rounds):
-        covering = [sides[i] >= joint[i] for i in range(d)]
-        last = max_dist is None and (all(covering) or r == max_rounds - 1)
-        if last:
-            sides = [max(sides[i], joint[i]) for i in range(d)]
+    for r in range(rings + 1):
+        if r == rings:
+            items = t_all.select("_tid", F.lit(0).alias("_class"), *[F.col("t" + x) for x in xs], *[F.col("t" + x).alias("lo" + x) for x in xs],
+                                 *[F.col("t" + x).alias("hi" + x) for x in xs])
+            spans = [stats["hi" + x] - stats["lo" + x] for x in xs]
+            pairs = box_candidates(open_q, items, d, cell, max(*spans, cell))
+            sq = _sq_dist(["q" + x for x in xs], ["t" + x for x in xs])
+            best = argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid")
+            done.append(best.select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist")))
+            break
         # A target outside the probed block is farther than side_i along some
         # axis i that does not cover the joint extent, and along every other
         # axis at least as far as the query's gap to the targets' box: that
@@ -410,9 +466,6 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
             got = open_q.select("_qid").join(best.drop("_margin"), "_qid", "left")
             done.append(got)
             break
-        if last:
-            done.append(best.drop("_margin"))
-            break
         best = best.checkpoint()
         final = best.filter(F.col("nn_dist") <= F.col("_margin")).drop("_margin")
         done.append(final)

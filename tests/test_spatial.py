@@ -167,3 +167,22 @@ def test_knn_radius_dense_spot_staged(spark):
     for a, lst in by_a.items():
         full = sorted((math.dist(pts[a], pts[b]), b) for b in pts if math.dist(pts[a], pts[b]) <= 0.1)
         assert [b for _, b in sorted(lst)] == [b for _, b in full[:5]]
+
+
+def test_far_queries_meet_few_targets(spark):
+    """Queries far from all targets descend the cells: exact, and far fewer
+    pairs than queries x targets."""
+    from sitelens.operators.spatial import box_candidates
+    rnd = np.random.default_rng(9)
+    t = np.concatenate([rnd.random((1900, 3)) * [2.0, 2.0, 0.05], rnd.random((100, 3)) * 0.01 + 0.5])
+    q = np.concatenate([rnd.random((60, 3)) * 50 + 100, rnd.random((40, 3)) * 5 - 40, rnd.random((40, 3))])
+    tdf = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(t)], "pt_id long, x double, y double, z double")
+    qdf = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(q)], "pt_id long, x double, y double, z double")
+    got = {r["pt_id"]: (r["nn_id"], r["nn_dist"]) for r in nn_join(qdf, tdf, ["x", "y", "z"]).collect()}
+    d = np.sqrt(((q[:, None] - t[None]) ** 2).sum(-1))
+    assert len(got) == len(q)
+    for i in range(len(q)):
+        assert abs(got[i][1] - d[i].min()) < 1e-9 and got[i][0] == int(d[i].argmin())
+    far = qdf.filter("pt_id < 100").selectExpr("pt_id AS _qid", "x AS q_x0", "y AS q_x1", "z AS q_x2")
+    items = tdf.selectExpr("pt_id AS _tid", "0 AS _class", *[f"{c} AS {p}_x{i}" for p in ("t", "lo", "hi") for i, c in enumerate("xyz")])
+    assert box_candidates(far, items, 3, 0.05, 2.0).count() < 0.1 * 100 * len(t)
