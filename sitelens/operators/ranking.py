@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sitelens.functions.geo import EARTH_RADIUS_KM
 from sitelens.functions.hashing import hash32
-from sitelens.operators.spatial import radius_join
+from sitelens.operators.spatial import (DEFAULT_ROWS_PER_SPLIT, SALT, build_cells, circle_holds_cell, default_cell_deg, probe_cells,
+                                        radius_join, salt_build, salt_probe, within_radius)
 
 # Persona weights (rating, price, distance). Unknown personas
 # use the student row.
@@ -144,13 +147,73 @@ def rank_candidates(scored: DataFrame, k: int = 10, extra_cols: Sequence[str] =
     return ranked.select(*RANKED_COLS, *extra_cols)
 
 
+@dataclass(frozen=True)
+class VenueGrid:
+    """Eligible venues by grid cell, ready for any number of query tables.
+
+    ``every`` holds all of them. ``best`` holds per persona those that can be
+    among the top ``k`` of a query whose circle holds their whole cell: two
+    venues of a cell differ in distance by its diagonal at most, so a venue
+    whose score without distance falls behind the cell's k-th best by more
+    than that difference is worth can't be. Exact, and what a query meets
+    inside its circle doesn't grow with the density of venues."""
+    cell_deg: float
+    k: int
+    extra_cols: tuple[str, ...]
+    every: DataFrame
+    every_hot: DataFrame | None
+    best: DataFrame
+    best_hot: DataFrame | None
+
+
+def _hot(build: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
+    hot = (build.groupBy(*keys).count().filter(F.col("count") > rows_per_split)
+           .select(*keys, F.ceil(F.col("count") / F.lit(rows_per_split)).cast("int").alias("_nsplit"))).checkpoint()
+    return hot if hot.count() else None
+
+
+def venue_grid(venues: DataFrame, cell_deg: float, k: int = 10, extra_cols: Sequence[str] = (),
+               rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> VenueGrid:
+    """Grid the venues once; both tables are checkpointed."""
+    v = venues.select("row_id", "lat", "lng", "name", "city", "rating", "price_nis", "google_maps_url", *extra_cols)
+    every = build_cells(v.filter(F.col("price_nis").isNotNull() & F.col("rating").isNotNull()), cell_deg).checkpoint()
+    diagonal_km = math.sqrt(2.0) * math.radians(cell_deg) * EARTH_RADIUS_KM
+    personas = F.array(*[F.lit(p) for p in PERSONA_WEIGHTS])
+    static = every.withColumn("_persona", F.explode(personas)).withColumn(
+        "_static", persona_score("_persona", distance=F.lit(0.0)))
+    cell = ["_cy", "_cx", "_persona"]
+    kth = (top_k_per_group(static.select(*cell, "row_id", "_static"), cell, [F.col("_static").desc(), F.col("row_id")], k, "_r")
+           .filter(F.col("_r") == k).select(*cell, F.col("_static").alias("_kth")))
+    slack = F.abs(persona_weight("_persona", "distance_km")) * F.lit(diagonal_km) * (1 + 1e-9) + 1e-9
+    best = (static.join(kth, cell, "left").filter(F.col("_kth").isNull() | (F.col("_static") >= F.col("_kth") - slack))
+            .drop("_static", "_kth")).checkpoint()
+    every_hot, best_hot = _hot(every, cell[:2], rows_per_split), _hot(best, cell, rows_per_split)
+    return VenueGrid(cell_deg, k, tuple(extra_cols), salt_build(every, every_hot, cell[:2], "row_id"), every_hot,
+                     salt_build(best, best_hot, cell, "row_id"), best_hot)
+
+
+def recommend_on_grid(queries: DataFrame, grid: VenueGrid) -> DataFrame:
+    """The ranked top ``grid.k`` of every query (see ``recommend``). Cells that
+    a circle cuts are searched whole, cells inside it among their best."""
+    known = F.col("persona").isin(*PERSONA_WEIGHTS)
+    q = queries.select("query_id", "lat", "lng", "persona", "max_dist_km").withColumn(
+        "_persona", F.when(known, F.col("persona")).otherwise(F.lit(DEFAULT_PERSONA)))
+    probe = probe_cells(q, grid.cell_deg).withColumn("_held", F.coalesce(circle_holds_cell(grid.cell_deg), F.lit(False)))
+    inside, across = probe.filter("_held").drop("_held"), probe.filter("NOT _held").drop("_held", "_persona")
+    cell = ["_cy", "_cx", "_persona"]
+    pairs = within_radius(salt_probe(inside, grid.best_hot, cell), grid.best, [*cell, SALT]).drop("_persona").unionByName(
+        within_radius(salt_probe(across, grid.every_hot, cell[:2]), grid.every, [*cell[:2], SALT]))
+    return rank_candidates(score_candidates(pairs), grid.k, grid.extra_cols)
+
+
 def recommend(queries: DataFrame, venues: DataFrame, k: int = 10, *, cell_deg: float | None = None,
-              rows_per_split: int | None = None, extra_cols: Sequence[str] = ()) -> DataFrame:
+              rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, extra_cols: Sequence[str] = ()) -> DataFrame:
     """For every query point: venues within its radius, persona score, top k
     by score (ties by row_id). Output: query_id, persona, rank, row_id, name,
     city, rating, price_nis, distance_km, score, google_maps_url."""
-    scored = candidates(queries, venues, cell_deg=cell_deg, rows_per_split=rows_per_split, extra_cols=extra_cols)
-    return rank_candidates(scored, k, extra_cols)
+    if cell_deg is None:
+        cell_deg = default_cell_deg(queries, "max_dist_km")
+    return recommend_on_grid(queries, venue_grid(venues, cell_deg, k, extra_cols, rows_per_split))
 
 
 def display_round(df: DataFrame) -> DataFrame:

@@ -64,20 +64,29 @@ def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], sal
     counts = build.groupBy(*keys).count()
     hot = (counts.filter(F.col("count") > rows_per_split)
            .select(*keys, F.ceil(F.col("count") / F.lit(rows_per_split)).cast("int").alias("_nsplit")))
-    hot = hot.cache()
-    n_hot = hot.count()
-    if n_hot == 0:
-        hot.unpersist()
-        return build.withColumn(SALT, F.lit(0)), probe.withColumn(SALT, F.lit(0)), keys + [SALT]
-    side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_CELLS else hot
-    b = (build.join(side, keys, "left")
-         .withColumn(SALT, F.when(F.col("_nsplit").isNull(), F.lit(0))
-                     .otherwise(F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsplit")).cast("int")))
-         .drop("_nsplit"))
-    p = (probe.join(side, keys, "left")
-         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nsplit"), F.lit(1)) - 1)))
-         .drop("_nsplit"))
-    return b, p, keys + [SALT]
+    hot = hot.checkpoint()
+    hot = hot if hot.count() else None
+    return salt_build(build, hot, keys, salt_source), salt_probe(probe, hot, keys), [*keys, SALT]
+
+
+def _beside(hot: DataFrame) -> DataFrame:
+    return F.broadcast(hot) if hot.count() <= MAX_BROADCAST_HOT_CELLS else hot
+
+
+def salt_build(build: DataFrame, hot: DataFrame | None, keys: Sequence[str], salt_source: str) -> DataFrame:
+    """Build rows of hot cells dealt to their splits by a hash of the id."""
+    if hot is None:
+        return build.withColumn(SALT, F.lit(0))
+    split = F.when(F.col("_nsplit").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsplit")).cast("int"))
+    return build.join(_beside(hot), list(keys), "left").withColumn(SALT, split).drop("_nsplit")
+
+
+def salt_probe(probe: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Probe rows of hot cells repeated for every split."""
+    if hot is None:
+        return probe.withColumn(SALT, F.lit(0))
+    return (probe.join(_beside(hot), list(keys), "left")
+            .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nsplit"), F.lit(1)) - 1))).drop("_nsplit"))
 
 
 # --------------------------------------------------------------------------
@@ -103,6 +112,57 @@ def _lng_cell(lng: Column, cell: float, n_lng: int) -> Column:
     return F.pmod(F.floor((lng + F.lit(180.0)) / F.lit(cell)).cast("long"), F.lit(n_lng))
 
 
+def probe_cells(queries: DataFrame, cell_deg: float, radius_col: str = "max_dist_km", q_lat: str = "lat",
+                q_lng: str = "lng") -> DataFrame:
+    """Every query once per grid cell that its circle's box touches (``_cy``,
+    ``_cx``); queries without a position or radius drop out. The position comes
+    out as ``q_lat`` / ``q_lng``."""
+    n_lng, n_lat = int(math.ceil(360.0 / cell_deg)), int(math.floor(180.0 / cell_deg))
+    margin = 1e-6  # degrees; widens the box only, the exact filter decides
+    q = queries.withColumnsRenamed({q_lat: "q_lat", q_lng: "q_lng"})
+    dlat = lat_radius_deg(F.col(radius_col)) + F.lit(margin)
+    dlng = lng_radius_deg(F.col("q_lat"), F.col(radius_col)) + F.lit(margin)
+    lat_lo = F.greatest(_lat_cell(F.col("q_lat") - dlat, cell_deg), F.lit(0))
+    lat_hi = F.least(_lat_cell(F.col("q_lat") + dlat, cell_deg), F.lit(n_lat))
+    lng_lo = F.floor((F.col("q_lng") - dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
+    lng_hi = F.floor((F.col("q_lng") + dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
+    all_lng = dlng.isNull() | ((lng_hi - lng_lo + 1) >= n_lng)
+    lng_cells = F.when(all_lng, F.sequence(F.lit(0).cast("long"), F.lit(n_lng - 1).cast("long"))).otherwise(
+        F.transform(F.sequence(lng_lo, lng_hi), lambda x: F.pmod(x, F.lit(n_lng))))
+    return (q.filter(F.col(radius_col).isNotNull() & F.col("q_lat").isNotNull() & F.col("q_lng").isNotNull())
+            .withColumn("_cy", F.explode(F.sequence(lat_lo, lat_hi)))
+            .withColumn("_cx", F.explode(lng_cells)))
+
+
+def build_cells(venues: DataFrame, cell_deg: float, v_lat: str = "lat", v_lng: str = "lng") -> DataFrame:
+    """Venues with a position and their grid cell."""
+    return (venues.filter(F.col(v_lat).isNotNull() & F.col(v_lng).isNotNull())
+            .withColumns({"_cy": _lat_cell(F.col(v_lat), cell_deg),
+                          "_cx": _lng_cell(F.col(v_lng), cell_deg, int(math.ceil(360.0 / cell_deg)))}))
+
+
+def circle_holds_cell(cell_deg: float, radius_col: str = "max_dist_km") -> Column:
+    """Whether a probe's circle holds its whole cell: all four corners lie
+    within the radius. Never for cells over a degree, where a side can lie
+    farther off than the corners, nor at the last column of the grid."""
+    if cell_deg > 1.0:
+        return F.lit(False)
+    south, west = F.col("_cy") * F.lit(cell_deg) - F.lit(90.0), F.col("_cx") * F.lit(cell_deg) - F.lit(180.0)
+    held = (F.abs(south) < 85.0) & (F.col("_cx") < F.lit(int(math.ceil(360.0 / cell_deg)) - 1))
+    for lat in (south, south + F.lit(cell_deg)):
+        for lng in (west, west + F.lit(cell_deg)):
+            held = held & (haversine_km("q_lat", "q_lng", lat, lng) <= F.col(radius_col) * F.lit(1 - 1e-9))
+    return held
+
+
+def within_radius(probe: DataFrame, build: DataFrame, keys: Sequence[str], radius_col: str = "max_dist_km",
+                  v_lat: str = "lat", v_lng: str = "lng", distance_col: str = "distance_km") -> DataFrame:
+    """The pairs of a cell join that lie within the query's radius."""
+    pairs = probe.join(build, list(keys), "inner").drop("_cy", "_cx", SALT)
+    return (pairs.withColumn(distance_col, haversine_km("q_lat", "q_lng", v_lat, v_lng))
+            .filter(F.col(distance_col) <= F.col(radius_col)))
+
+
 def radius_join(queries: DataFrame, venues: DataFrame, *, radius_col: str = "max_dist_km",
                 q_lat: str = "lat", q_lng: str = "lng", v_lat: str = "lat", v_lng: str = "lng",
                 v_id: str = "row_id", cell_deg: float | None = None,
@@ -115,30 +175,9 @@ def radius_join(queries: DataFrame, venues: DataFrame, *, radius_col: str = "max
     """
     if cell_deg is None:
         cell_deg = default_cell_deg(queries, radius_col)
-    n_lng = int(math.ceil(360.0 / cell_deg))
-    n_lat = int(math.floor(180.0 / cell_deg))
-    margin = 1e-6  # degrees; widens the box only, the exact filter decides
-
-    q = queries.withColumnsRenamed({q_lat: "q_lat", q_lng: "q_lng"})
-    dlat = lat_radius_deg(F.col(radius_col)) + F.lit(margin)
-    dlng = lng_radius_deg(F.col("q_lat"), F.col(radius_col)) + F.lit(margin)
-    lat_lo = F.greatest(_lat_cell(F.col("q_lat") - dlat, cell_deg), F.lit(0))
-    lat_hi = F.least(_lat_cell(F.col("q_lat") + dlat, cell_deg), F.lit(n_lat))
-    lng_lo = F.floor((F.col("q_lng") - dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
-    lng_hi = F.floor((F.col("q_lng") + dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
-    all_lng = dlng.isNull() | ((lng_hi - lng_lo + 1) >= n_lng)
-    lng_cells = F.when(all_lng, F.sequence(F.lit(0).cast("long"), F.lit(n_lng - 1).cast("long"))).otherwise(
-        F.transform(F.sequence(lng_lo, lng_hi), lambda x: F.pmod(x, F.lit(n_lng))))
-    probe = (q.filter(F.col(radius_col).isNotNull() & F.col("q_lat").isNotNull() & F.col("q_lng").isNotNull())
-             .withColumn("_cy", F.explode(F.sequence(lat_lo, lat_hi)))
-             .withColumn("_cx", F.explode(lng_cells)))
-    build = (venues.filter(F.col(v_lat).isNotNull() & F.col(v_lng).isNotNull())
-             .withColumns({"_cy": _lat_cell(F.col(v_lat), cell_deg),
-                           "_cx": _lng_cell(F.col(v_lng), cell_deg, n_lng)}))
-    build, probe, keys = split_hot_cells(build, probe, ["_cy", "_cx"], v_id, rows_per_split)
-    pairs = probe.join(build, keys, "inner").drop(*keys)
-    dist = haversine_km("q_lat", "q_lng", v_lat, v_lng)
-    return pairs.withColumn(distance_col, dist).filter(F.col(distance_col) <= F.col(radius_col))
+    probe = probe_cells(queries, cell_deg, radius_col, q_lat, q_lng)
+    build, probe, keys = split_hot_cells(build_cells(venues, cell_deg, v_lat, v_lng), probe, ["_cy", "_cx"], v_id, rows_per_split)
+    return within_radius(probe, build, keys, radius_col, v_lat, v_lng, distance_col)
 
 
 # --------------------------------------------------------------------------

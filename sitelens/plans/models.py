@@ -252,20 +252,24 @@ def predict_candidates(queries: DataFrame, venues: DataFrame, model: K.CentroidM
                        labels: DataFrame | None = None) -> DataFrame:
     """Radius join, eligible, cluster by the model, persona score and the
     cluster label (a k-row lookup), unranked."""
-    clustered = model.predict(C.eligible(venues, ["price_nis", "rating"]))
-    extra = ["cluster"]
-    if labels is not None:
-        clustered = clustered.join(F.broadcast(labels.select("cluster", "label")), "cluster", "left")
-        extra.append("label")
+    clustered, extra = _clustered(venues, model, labels)
     return candidates(queries, clustered, extra_cols=extra), extra
 
 
+def _clustered(venues: DataFrame, model: K.CentroidModel, labels: DataFrame | None) -> tuple[DataFrame, list[str]]:
+    """Eligible venues with the model's cluster and its label."""
+    clustered = model.predict(C.eligible(venues, ["price_nis", "rating"]))
+    if labels is None:
+        return clustered, ["cluster"]
+    return clustered.join(F.broadcast(labels.select("cluster", "label")), "cluster", "left"), ["cluster", "label"]
+
+
 def predict(queries: DataFrame, venues: DataFrame, model: K.CentroidModel, labels: DataFrame | None = None,
             k: int = 10) -> DataFrame:
-    """M16/M17 for all queries at once: the ranked top k of
-    ``predict_candidates``. The cluster does not enter the score."""
-    cands, extra = predict_candidates(queries, venues, model, labels)
-    return rank_candidates(cands, k, extra)
+    """M16/M17 for all queries at once: the ranked top k with cluster and
+    label. The cluster does not enter the score."""
+    clustered, extra = _clustered(venues, model, labels)
+    return recommend(queries, clustered, k, extra_cols=extra)
 
 
 def q_predict(spark, sf):
@@ -342,10 +346,16 @@ def q_persona_eligible(spark, sf):
 def baseline_distance(queries: DataFrame, venues: DataFrame, k: int = 10) -> DataFrame:
     """Nearest-first top k per query with the persona score as
     ``baseline_score`` (M18); ties by row_id."""
-    v = C.eligible(venues, ["price_nis", "rating"]).select("row_id", "lat", "lng", "rating", "price_nis")
-    pairs = radius_join(queries.select("query_id", "lat", "lng", "persona", "max_dist_km"), v)
-    pairs = pairs.withColumn("baseline_score", persona_score("persona"))
-    return top_k_per_group(pairs, "query_id", [F.col("distance_km"), F.col("row_id")], k)
+    v = C.eligible(venues, ["price_nis", "rating"]).select("row_id", "lat", "lng", "rating", "price_nis").checkpoint()
+    near = [F.col("distance_km"), F.col("row_id")]
+    q = queries.select("query_id", "lat", "lng", "persona", "max_dist_km").checkpoint()
+    # where k venues lie within a quarter of the radius, none beyond it is among the nearest k
+    small = q.withColumn("max_dist_km", F.col("max_dist_km") / 4)
+    first = top_k_per_group(radius_join(small, v), "query_id", near, k).checkpoint()
+    full = first.filter(F.col("rank") == k).select("query_id")
+    rest = radius_join(q.join(full, "query_id", "left_anti"), v)
+    found = first.join(full, "query_id", "left_semi").unionByName(top_k_per_group(rest, "query_id", near, k))
+    return found.drop("max_dist_km").withColumn("baseline_score", persona_score("persona"))
 
 
 def q_baseline_distance(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sitelens.operators.ranking import recommend
+from sitelens.operators.ranking import recommend_on_grid, venue_grid
 from sitelens.sources.io import places_flatten
 
 CLICK_SCHEMA = T.StructType([
@@ -27,16 +27,16 @@ PAGE_FILE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.Struc
 
 def start_recommend_stream(spark: SparkSession, clicks_dir: str, venues: DataFrame, sink_dir: str,
                            checkpoint_dir: str, k: int = 10, files_per_trigger: int = 1,
-                           available_now: bool = True, cell_deg: float | None = None):
+                           available_now: bool = True, cell_deg: float = 0.015):
     """Start R1; returns the StreamingQuery. ``venues`` is the static clean
-    table (cached once, reused by every micro-batch)."""
-    static = venues.select("row_id", "lat", "lng", "name", "city", "rating", "price_nis",
-                           "google_maps_url").cache()
+    table: it is gridded, salted and checkpointed once, and every micro-batch
+    probes that. ``cell_deg`` (degrees) is fixed for the run."""
+    grid = venue_grid(venues, cell_deg, k)
     stream = (spark.readStream.schema(CLICK_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(clicks_dir))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = recommend(batch, static, k, cell_deg=cell_deg)
+        out = recommend_on_grid(batch, grid)
         out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)

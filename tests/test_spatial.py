@@ -186,3 +186,24 @@ def test_far_queries_meet_few_targets(spark):
     far = qdf.filter("pt_id < 100").selectExpr("pt_id AS _qid", "x AS q_x0", "y AS q_x1", "z AS q_x2")
     items = tdf.selectExpr("pt_id AS _tid", "0 AS _class", *[f"{c} AS {p}_x{i}" for p in ("t", "lo", "hi") for i, c in enumerate("xyz")])
     assert box_candidates(far, items, 3, 0.05, 2.0).count() < 0.1 * 100 * len(t)
+
+
+def test_grid_pruning_is_exact(spark):
+    """Dense cells, a hot spot, circles that hold cells, tiny and huge radii,
+    unknown personas: the pruned top k equals ranking all candidates."""
+    from sitelens.operators.ranking import candidates, rank_candidates, recommend
+    rnd = np.random.default_rng(5)
+    n = 3000
+    lat = np.where(rnd.random(n) < 0.4, 32.08, 32.0 + rnd.random(n) * 0.2)
+    lng = np.where(rnd.random(n) < 0.4, 34.80, 34.7 + rnd.random(n) * 0.2)
+    venues = spark.createDataFrame(
+        [(i, float(lat[i]), float(lng[i]), "v", "c", float(rnd.integers(10, 51)) / 10 if i % 17 else None, float(rnd.integers(30, 60)), "u")
+         for i in range(n)], "row_id long, lat double, lng double, name string, city string, rating double, price_nis double, google_maps_url string")
+    personas = ["student", "quality", "nobody", None]
+    queries = spark.createDataFrame(
+        [(i, 32.0 + float(rnd.random()) * 0.2, 34.7 + float(rnd.random()) * 0.2, personas[i % 4], float([0.1, 2, 6, 15, 400][i % 5])) for i in range(60)],
+        "query_id long, lat double, lng double, persona string, max_dist_km double")
+    cols = ["query_id", "rank", "row_id", "score", "distance_km"]
+    got = sorted(map(tuple, recommend(queries, venues, 10, cell_deg=0.01, rows_per_split=100).select(*cols).collect()))
+    want = sorted(map(tuple, rank_candidates(candidates(queries, venues, cell_deg=0.01)).select(*cols).collect()))
+    assert got == want and len(got) > 400
