@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from sitelens.llm.common import binary_list
 
 HASH_BITS = 48           # of a value that are compared: a false match is possible, a missed one isn't
-CHUNK = 1_000_000        # values that a task packs together
+CHUNK = 500_000          # values that a task packs together
 _SENT = ["digit", "known", "hashes", "nodes"]
 _ASK = "digit int, known boolean, hashes array<binary>, nodes array<binary>"
 
