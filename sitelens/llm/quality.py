@@ -84,7 +84,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, sample
     """Fit on a bounded sample: of either class the ``rows_per_class`` labelled
     documents that come first by a hash of the id (one half for the
     dictionary, one for the curve), dropping the longest while a class has
-    more than ``sample_bytes``. Held-out rows and rows with a null id, label
+    more than ``sample_bytes``; equal texts count once. Held-out rows and rows with a null id, label
     or text are never read. A document with several labels counts with the
     larger one. None if a class has fewer than 8 documents."""
     spark = docs.sparkSession
@@ -107,9 +107,10 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, sample
     sample = {0: [], 1: []}
     if keep:
         for r in (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter(F.col("text") != "")
-                  .select("_quality", F.xxhash64("_id").alias("_h"), "text").distinct().collect()):
+                  .select("_quality", F.xxhash64("_id").alias("_h"), "text").collect()):
             sample[r["_quality"]].append((r["_h"], r["text"].encode("utf-8")))
-    good, bad = ([t for _, t in sorted(sample[q])] for q in (1, 0))
+    # copies of a text count once: a large group of them would be all that the dictionary learns
+    good, bad = (list(dict.fromkeys(t for _, t in sorted(sample[q]))) for q in (1, 0))
     if min(len(good), len(bad)) < 8:
         return None
     dicts = [_dictionary(x[::2]) for x in (good, bad)]
@@ -119,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, sample
     x = _design(np.array([sizes.features(t) for t, _ in rest]))
     prior = shares[1] / (shares[0] + shares[1])
     w = np.where(y == 1, prior / max(1, y.sum()), (1 - prior) / max(1, (1 - y).sum())) * len(y)
-    return QualityModel(*dicts, tuple(_fit_logistic(x, y, w)), prior)
+    return QualityModel(*dicts, tuple(float(b) for b in _fit_logistic(x, y, w)), prior)
 
 
 def _dictionary(texts: list[bytes]) -> bytes:
