@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.functions.scalar import deviation_color
 from sitelens.operators.ranking import top_k_per_group
-from sitelens.operators.spatial import (DEFAULT_ROWS_PER_SPLIT, _offsets, knn_radius, nn_join, split_hot_cells,
-                                        spread)
+from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, box_candidates, knn_radius, nn_join, split_hot_cells, spread
 
 XYZ = ["x", "y", "z"]
 
@@ -151,6 +150,55 @@ def _tri_dist_cols(df: DataFrame) -> DataFrame:
     return df.withColumn("tri_dist", F.expr(final)).drop(*[n for g in PAIR_STAGES for n in g])
 
 
+TRI_AXES = [("ax", "bx", "cx"), ("ay", "by_", "cy"), ("az", "bz", "cz")]
+# A point whose bound, or a triangle whose box, spans more than this many cells
+# along an axis isn't listed cell by cell but descends the cell hierarchy.
+MANY_CELLS = 8
+
+
+def _grid_pairs(points: DataFrame, tri: DataFrame, lo: dict, hi: dict, side: float, rows_per_split: int) -> DataFrame:
+    """Triangles listed in every cell their box touches meet the points whose
+    bound reaches the cell, each pair in exactly one shared cell."""
+    s = F.lit(side)
+    gap = {a: F.greatest(F.lit(lo[a]) - F.col(a), F.col(a) - F.lit(hi[a]), F.lit(0.0)) for a in "xyz"}
+    probe = points
+    for i, a in enumerate("xyz"):
+        others = [b for b in "xyz" if b != a]
+        r = F.sqrt(F.greatest(F.col("ub") * F.col("ub") - gap[others[0]] * gap[others[0]]
+                              - gap[others[1]] * gap[others[1]], F.lit(0.0)))
+        c_lo = F.floor(F.greatest(F.col(a) - r, F.lit(lo[a])) / s).cast("long")
+        c_hi = F.floor(F.least(F.col(a) + r, F.lit(hi[a])) / s).cast("long")
+        probe = (probe.withColumn(f"_q{i}", c_lo)
+                 .withColumn(f"_g{i}", F.explode(F.sequence(c_lo, F.greatest(c_lo, c_hi)))))
+    probe = probe.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"), "ub",
+                         "_q0", "_q1", "_q2", "_g0", "_g1", "_g2")
+    cells = tri
+    for i, c in enumerate(TRI_AXES):
+        t_lo = F.floor(F.least(*c) / s).cast("long")
+        cells = cells.withColumn(f"_t{i}", t_lo).withColumn(
+            f"_g{i}", F.explode(F.sequence(t_lo, F.floor(F.greatest(*c) / s).cast("long"))))
+    keys = ["_g0", "_g1", "_g2"]
+    build, probe, jkeys = split_hot_cells(cells, probe, keys, "tri_id", rows_per_split)
+    once = None
+    for i in range(3):
+        c = F.col(f"_g{i}") == F.greatest(F.col(f"_t{i}"), F.col(f"_q{i}"))
+        once = c if once is None else once & c
+    return probe.join(build, jkeys).filter(once).select("pt_id", "px", "py", "pz", "ub", *tri.columns)
+
+
+def _descent_pairs(points: DataFrame, tri: DataFrame, side: float, extent: float, size_class=None) -> DataFrame:
+    """Points and the triangles that can be their nearest, by descending the
+    cells of the triangles' boxes (triangles of like size share cells)."""
+    items = tri.withColumns({"_tid": F.col("tri_id"), "_class": F.lit(0) if size_class is None else size_class,
+                             **{f"t_x{i}": F.col(c[0]) for i, c in enumerate(TRI_AXES)},
+                             **{f"lo_x{i}": F.least(*c) for i, c in enumerate(TRI_AXES)},
+                             **{f"hi_x{i}": F.greatest(*c) for i, c in enumerate(TRI_AXES)}})
+    q = points.select(F.col("pt_id").alias("_qid"), *[F.col(a).alias(f"q_x{i}") for i, a in enumerate(XYZ)])
+    met = box_candidates(q, items, 3, side, extent).withColumnsRenamed(
+        {"_qid": "pt_id", **{f"q_x{i}": "p" + a for i, a in enumerate(XYZ)}})
+    return met.join(points.select("pt_id", "ub"), "pt_id").select("pt_id", "px", "py", "pz", "ub", *tri.columns)
+
+
 def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None = None,
                   rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame:
     """Unsigned distance of each point to the nearest triangle.
@@ -158,13 +206,15 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
     One exact pass, no search rounds:
     1. ``ub`` = distance to the nearest mesh vertex (an NN join), an upper
        bound on the distance to the mesh;
-    2. triangles are listed in every grid cell their bounding box touches;
-       a point probes only the cells within ``ub``, per axis shrunk by its
-       gap to the mesh's bounding box on the other two axes (the closest
-       point of the nearest triangle lies inside that box), clamped to it;
-    3. a pair meets in exactly one shared cell, a box-distance lower bound
-       drops triangles farther than ``ub`` before the exact point-triangle
-       distance, and one narrow (distance, id) min picks the winner.
+    2. triangles of ordinary size are listed in every grid cell their
+       bounding box touches; a near point probes only the cells within
+       ``ub``, per axis shrunk by its gap to the mesh's bounding box on the
+       other two axes (the closest point of the nearest triangle lies inside
+       that box), clamped to it. Far points, and all points with regard to
+       triangles of many cells, descend the cell hierarchy instead;
+    3. a box-distance lower bound drops triangles farther than ``ub`` before
+       the exact point-triangle distance, and one narrow (distance, id) min
+       picks the winner.
     Output: pt_id, x, y, z, deviation_m, tri_id.
     """
     tri = spread(_tri_constants(triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI])))
@@ -185,7 +235,6 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
     hi = {a: st["hi" + a] for a in "xyz"}
     extent = max(max(hi[a] - lo[a] for a in "xyz"), 1e-12)
     side = cell or max(st["size"] or extent, extent * 1e-6)
-    s = F.lit(side)
 
     # 1. upper bound from the nearest vertex
     corners = [("ax", "ay", "az"), ("bx", "by_", "bz"), ("cx", "cy", "cz")]
@@ -197,38 +246,23 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
     ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id", collapse_copies=False).select(
         "pt_id", (F.col("nn_dist") * F.lit(1.0 + 1e-9) + F.lit(1e-12)).alias("ub"))
 
-    # 2. probe cells within the bound, clamped to the mesh box
-    q = pts.join(ub, "pt_id")
-    gap = {a: F.greatest(F.lit(lo[a]) - F.col(a), F.col(a) - F.lit(hi[a]), F.lit(0.0)) for a in "xyz"}
-    probe = q
-    for i, a in enumerate("xyz"):
-        others = [b for b in "xyz" if b != a]
-        r = F.sqrt(F.greatest(F.col("ub") * F.col("ub") - gap[others[0]] * gap[others[0]]
-                              - gap[others[1]] * gap[others[1]], F.lit(0.0)))
-        c_lo = F.floor(F.greatest(F.col(a) - r, F.lit(lo[a])) / s).cast("long")
-        c_hi = F.floor(F.least(F.col(a) + r, F.lit(hi[a])) / s).cast("long")
-        probe = (probe.withColumn(f"_q{i}", c_lo)
-                 .withColumn(f"_g{i}", F.explode(F.sequence(c_lo, F.greatest(c_lo, c_hi)))))
-    probe = probe.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"), "ub",
-                         "_q0", "_q1", "_q2", "_g0", "_g1", "_g2")
-    tcells = tri
-    for i, (a_, b_, c_) in enumerate([("ax", "bx", "cx"), ("ay", "by_", "cy"), ("az", "bz", "cz")]):
-        t_lo = F.floor(F.least(a_, b_, c_) / s).cast("long")
-        tcells = tcells.withColumn(f"_t{i}", t_lo).withColumn(
-            f"_g{i}", F.explode(F.sequence(t_lo, F.floor(F.greatest(a_, b_, c_) / s).cast("long"))))
-    keys = ["_g0", "_g1", "_g2"]
-    build, probe, jkeys = split_hot_cells(tcells, probe, keys, "tri_id", rows_per_split)
-
-    # 3. each pair once, cheap bound first, exact distance, narrow argmin
-    once, lb2 = None, None
-    for i, (p_, a_, b_, c_) in enumerate((("px", "ax", "bx", "cx"), ("py", "ay", "by_", "cy"),
-                                          ("pz", "az", "bz", "cz"))):
-        c = F.col(f"_g{i}") == F.greatest(F.col(f"_t{i}"), F.col(f"_q{i}"))
-        once = c if once is None else once & c
-        g = F.greatest(F.least(a_, b_, c_) - F.col(p_), F.col(p_) - F.greatest(a_, b_, c_), F.lit(0.0))
+    q = pts.join(ub, "pt_id").checkpoint()
+    size = F.greatest(*[F.greatest(*c) - F.least(*c) for c in TRI_AXES])
+    tri = tri.withColumn("_size", size).checkpoint()
+    small, large = tri.filter(F.col("_size") <= MANY_CELLS * side).drop("_size"), tri.filter(F.col("_size") > MANY_CELLS * side)
+    near, far = q.filter(F.col("ub") <= MANY_CELLS * side), q.filter(F.col("ub") > MANY_CELLS * side)
+    cand = _grid_pairs(near, small, lo, hi, side, rows_per_split)
+    if not far.isEmpty():
+        cand = cand.unionByName(_descent_pairs(far, small, side, extent))
+    if not large.isEmpty():
+        cand = cand.unionByName(_descent_pairs(q, large.drop("_size"), side, extent, F.floor(F.log2(size / side)).cast("int")))
+
+    # cheap bound first, exact distance, narrow argmin
+    lb2 = None
+    for p_, c in zip(("px", "py", "pz"), TRI_AXES):
+        g = F.greatest(F.least(*c) - F.col(p_), F.col(p_) - F.greatest(*c), F.lit(0.0))
         lb2 = g * g if lb2 is None else lb2 + g * g
-    cand = probe.join(build, jkeys).filter(once).filter(lb2 <= F.col("ub") * F.col("ub"))
-    pairs = _tri_dist_cols(cand)
+    pairs = _tri_dist_cols(cand.filter(lb2 <= F.col("ub") * F.col("ub")))
     best = (pairs.groupBy("pt_id").agg(F.min(F.struct("tri_dist", "tri_id")).alias("m"))
             .select("pt_id", F.col("m.tri_dist").alias("deviation_m"), F.col("m.tri_id").alias("tri_id")))
     return pts.join(best, "pt_id")

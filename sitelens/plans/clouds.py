@@ -196,6 +196,19 @@ SELECT pt_id, round(min({final}), 6) AS deviation_m FROM {last} GROUP BY pt_id""
 MESH_SQL = _mesh_sql()
 
 
+def q_mesh_deviation_report(spark, sf):
+    """The deviation report against a mesh instead of a cloud (C14)."""
+    d = CL.mesh_distance(common.cloud_source(spark, sf), common.mesh_triangles(spark, sf))
+    rep = CL.deviation_report(d, THRESHOLD, MAX_COLOR_DIST)
+    return rep.select("pt_id", r6("deviation_m"), "alert", r6("r"), r6("g"), "b")
+
+
+_RED = f"least(greatest(deviation_m / {MAX_COLOR_DIST}, 0.0E0), 1.0E0)"
+MESH_REPORT_SQL = (f"SELECT pt_id, round(deviation_m, 6) AS deviation_m, deviation_m > {THRESHOLD} AS alert, round({_RED}, 6) AS r, "
+                   f"round(1.0E0 - {_RED}, 6) AS g, 0.0E0 AS b FROM ("
+                   + MESH_SQL.replace("round(min(", "(min(").replace("), 6) AS deviation_m", ")) AS deviation_m") + ") t")
+
+
 def union_vertices(triangles: DataFrame) -> DataFrame:
     """Stack the three corners of every triangle into one vertex table."""
     parts = []
@@ -317,6 +330,7 @@ for _name, _fn, _sql in [
     ("deviation_sample", q_deviation_sample, DEV_SAMPLE_SQL),
     ("align_quality", q_align_quality, ALIGN_SQL),
     ("mesh_distance", q_mesh_distance, MESH_SQL),
+    ("mesh_deviation_report", q_mesh_deviation_report, MESH_REPORT_SQL),
     ("union_vertices", q_union_vertices, UNION_SQL),
     ("estimate_normals", q_estimate_normals, None),
     ("mesh_sample", q_mesh_sample, MESH_SAMPLE_SQL),

@@ -207,3 +207,29 @@ def test_grid_pruning_is_exact(spark):
     got = sorted(map(tuple, recommend(queries, venues, 10, cell_deg=0.01, rows_per_split=100).select(*cols).collect()))
     want = sorted(map(tuple, rank_candidates(candidates(queries, venues, cell_deg=0.01)).select(*cols).collect()))
     assert got == want and len(got) > 400
+
+
+def test_mesh_distance_with_a_slab_and_far_points(spark):
+    """One 50 m slab among centimetre triangles, points near and far."""
+    rnd = np.random.default_rng(7)
+    base = rnd.random((300, 3)) * [1.0, 1.0, 0.2]
+    tri = [np.stack([b, b + rnd.random(3) * 0.02, b + rnd.random(3) * 0.02]) for b in base]
+    tri.append(np.array([[-25.0, -25.0, -1.0], [25.0, -25.0, -1.0], [0.0, 25.0, -1.0]]))
+    pts = np.concatenate([rnd.random((60, 3)), rnd.random((30, 3)) * 80 - 40])
+    tdf = spark.createDataFrame([(i, *map(float, t.ravel())) for i, t in enumerate(tri)], "tri_id long, " + ", ".join(f"{c} double" for c in CL.TRI))
+    pdf = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "pt_id long, x double, y double, z double")
+    got = {r["pt_id"]: r["deviation_m"] for r in CL.mesh_distance(pdf, tdf).collect()}
+
+    def dist(p, t):
+        a, ab, ac = t[0], t[1] - t[0], t[2] - t[0]
+        n = np.cross(ab, ac)
+        v, w = np.linalg.lstsq(np.stack([ab, ac], 1), p - a, rcond=None)[0]
+        best = abs(np.dot(p - a, n)) / np.linalg.norm(n) if v >= 0 and w >= 0 and v + w <= 1 else np.inf
+        for i in range(3):
+            s, e = t[i], t[(i + 1) % 3]
+            u = np.clip(np.dot(p - s, e - s) / np.dot(e - s, e - s), 0, 1)
+            best = min(best, np.linalg.norm(p - s - u * (e - s)))
+        return best
+
+    for i, p in enumerate(pts):
+        assert abs(got[i] - min(dist(p, t) for t in tri)) < 1e-9, i
