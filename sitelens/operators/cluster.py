@@ -55,6 +55,25 @@ def split_train_test(df: DataFrame, id_col: str = "row_id", test_fraction: float
     return df.withColumn("split", F.when(u < F.lit(1.0 - test_fraction), F.lit("train")).otherwise(F.lit("test")))
 
 
+def split_exact(df: DataFrame, id_col: str = "row_id", test_fraction: float = 0.30, seed: int = 42,
+                strata: Sequence[str] = ()) -> DataFrame:
+    """Adds ``split`` with exactly ceil(test_fraction * n) test rows of every
+    stratum (of the whole table without ``strata``), repeatable for any layout:
+    the rows with the largest seeded hashes, ties by id (M1). Rows are ranked
+    by a distributed sort, so no task holds a stratum; null stratum values
+    form a stratum."""
+    keys = [f"_s{i}" for i in range(len(strata))]
+    d = df.withColumns({**{k: F.col(c) for k, c in zip(keys, strata)}, "_one": F.lit(0)})
+    d = d.withColumn("_order", F.struct(*keys, hash32(id_col, seed).alias("h"), F.col(id_col).alias("id")))
+    ranked = global_rank(d, "_order").drop("_order")
+    sizes = ranked.groupBy("_one", *keys).agg(F.min("_rank").alias("_lo"), F.count(F.lit(1)).alias("_n")).checkpoint()
+    sizes = sizes.withColumnsRenamed({k: k + "g" for k in [*keys, "_one"]})
+    same = [F.col(k).eqNullSafe(F.col(k + "g")) for k in [*keys, "_one"]]
+    out = ranked.join(F.broadcast(sizes) if sizes.count() <= 100_000 else sizes, same)
+    test = F.col("_rank") - F.col("_lo") >= F.col("_n") - F.ceil(F.col("_n") * F.lit(test_fraction))
+    return out.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, "split")
+
+
 @dataclass
 class Scaler:
     """Standard scaling with the population deviation; constant column -> 1."""
@@ -106,7 +125,9 @@ def nearest_center(cols: Sequence[str], centers: Sequence[Sequence[float]]) -> C
 
 @dataclass
 class CentroidModel:
-    """Scaler + centres in scaled space; predicts a ``cluster`` column."""
+    """Scaler + centres in scaled space; predicts a ``cluster`` column.
+    ``info`` holds what belongs to the fit (labels by cluster, scores, the k
+    sweep) and is saved with it."""
     scaler: Scaler
     centers: list[list[float]]
     algorithm: str = "KMeans"

@@ -11,7 +11,7 @@ from sitelens.operators import cluster as K
 from sitelens.operators.cloud import apply_transform
 from sitelens.plans import common
 from sitelens.plans.clouds import REPORT_SQL, TRANSFORM, TRANSFORM_SQL, _report
-from sitelens.plans.models import ELIG, model_ctes, venue_model
+from sitelens.plans.models import VENUE_MODEL, venue_labels, venue_model
 from sitelens.operators.ranking import display_round
 from sitelens.plans.recommend import RECOMMEND_TOPK_SQL
 from sitelens.plans.registry import add
@@ -75,15 +75,19 @@ FROM (SELECT page_id, from_json(body, '{{"places":[{{"displayName":{{"text":"VAR
 
 
 def q_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    model, split = venue_model(spark, sf)
+    """The fitted model with its labels, saved and loaded again."""
+    model, split = fitted = venue_model(spark, sf)
+    model.info["labels"] = {str(r["cluster"]): r["label"] for r in venue_labels(spark, sf, fitted).collect()}
     path = scratch_path(spark, "model")
     model.save(spark, path)
     loaded = K.CentroidModel.load(spark, path)
-    return loaded.predict(split).select("row_id", F.col("cluster").cast("int").alias("cluster"))
+    names = F.create_map(*[F.lit(x) for pair in loaded.info["labels"].items() for x in pair])
+    return loaded.predict(split).select("row_id", F.col("cluster").cast("int").alias("cluster"),
+                                        names[F.col("cluster").cast("string")].alias("label"))
 
 
-MODEL_ROUNDTRIP_SQL = with_views(f""", {ELIG}, {model_ctes('elig', K.FEATURE_COLS, 4, 'v_')}
-SELECT row_id, CAST(cluster AS INTEGER) AS cluster FROM v_asg""", "venues")
+MODEL_ROUNDTRIP_SQL = with_views(f""", {VENUE_MODEL}
+SELECT a.row_id, CAST(a.cluster AS INTEGER) AS cluster, l.label FROM v_asg a JOIN v_lab l ON l.cluster = a.cluster""", "venues")
 
 
 def q_transform_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

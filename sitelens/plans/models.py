@@ -13,15 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.functions.geo import HAIFA_BBOX, sub_area
+from sitelens.functions.geo import HAIFA_BBOX, haversine_km, sub_area
 from sitelens.functions.hashing import hash32_sql, unit_hash_sql
 from sitelens.operators import clean as C
 from sitelens.operators import cluster as K
 from sitelens.operators import profile as P
-from sitelens.operators.ranking import (DEFAULT_PERSONA, candidates, display_round, label_order_key, persona_score,
+from sitelens.operators.ranking import (DEFAULT_PERSONA, PERSONA_WEIGHTS, candidates, display_round, label_order_key, persona_score,
                                         rank_candidates, recommend, top_k_per_group)
 from sitelens.operators.spatial import nn_join, radius_join
 from sitelens.plans import common
+from sitelens.plans.explore import DEFAULT_POINT
 from sitelens.plans.explore import _DIST_DEFAULT as _DIST_DEFAULT_SQL
 from sitelens.plans.recommend import pairs_sql, score_sql
 from sitelens.plans.registry import add
@@ -101,6 +102,11 @@ def q_split_train_test(spark, sf):
     return venue_split(spark, sf).select("row_id", "split")
 
 
+def q_split_stratified(spark, sf):
+    v = eligible_venues(spark, sf).select("row_id", "city")
+    return K.split_exact(v, "row_id", TEST_FRACTION, SEED, ["city"]).select("row_id", "split")
+
+
 def q_standard_scale(spark, sf):
     split = venue_split(spark, sf)
     sc = K.Scaler.fit(split.filter(F.col("split") == "train"), K.FEATURE_COLS)
@@ -378,6 +384,24 @@ def q_baseline_vs_model(spark, sf):
     return out.select("persona", r6("baseline_top10_score"), r6("model_top10_score"))
 
 
+def baseline_vs_model_split(spark: SparkSession, split: DataFrame, model: K.CentroidModel, lat: float = DEFAULT_POINT[0],
+                            lng: float = DEFAULT_POINT[1]) -> DataFrame:
+    """The comparison as the training run makes it: per persona, from one
+    point, over the test rows only and up to the farthest of them, with the
+    model fitted on the training rows."""
+    test = split.filter(F.col("split") == "test").checkpoint()
+    far = test.agg(F.max(haversine_km(F.lit(lat), F.lit(lng), "lat", "lng"))).first()[0] or 0.0
+    queries = spark.createDataFrame([(i, lat, lng, p, float(far)) for i, p in enumerate(PERSONA_WEIGHTS)],
+                                    "query_id long, lat double, lng double, persona string, max_dist_km double")
+    return baseline_vs_model(queries, test, model)
+
+
+def q_baseline_vs_model_split(spark, sf):
+    model, split = venue_model(spark, sf)
+    out = baseline_vs_model_split(spark, split, model)
+    return out.select("persona", r6("baseline_top10_score"), r6("model_top10_score"))
+
+
 # ---------------------------------------------------------------- SQL side
 
 def _split_sql(table: str, id_col: str) -> str:
@@ -445,6 +469,11 @@ REGION_MODEL = (f"{HAIFA},\n{model_ctes('helig', K.REGION_FEATURE_COLS, K_VENUES
 SPLIT_SQL = with_views(f""", {ELIG}
 SELECT row_id, CASE WHEN {_split_sql('elig', 'row_id')} THEN 'train' ELSE 'test' END AS split FROM elig""", "venues")
 
+SPLIT_STRATIFIED_SQL = with_views(f""", {ELIG},
+r AS (SELECT row_id, row_number() OVER (PARTITION BY city ORDER BY {hash32_sql('row_id', SEED)}, row_id) - 1 AS rk,
+  count(*) OVER (PARTITION BY city) AS n FROM elig)
+SELECT row_id, CASE WHEN rk >= n - ceil(n * {TEST_FRACTION!r}E0) THEN 'test' ELSE 'train' END AS split FROM r""", "venues")
+
 _zsel = ", ".join(f"round(z{i}, 6) AS z_{c}" for i, c in enumerate(K.FEATURE_COLS))
 SCALE_SQL = with_views(f""", {ELIG}, {model_ctes('elig', K.FEATURE_COLS, K_VENUES, 'v_')}
 SELECT row_id, CASE WHEN {_split_sql('elig', 'row_id')} THEN 'train' ELSE 'test' END AS split, {_zsel} FROM v_z""", "venues")
@@ -588,9 +617,17 @@ m AS (SELECT persona, avg(score) AS model_top10_score FROM m10 GROUP BY persona)
 SELECT coalesce(b.persona, m.persona) AS persona, round(b.baseline_top10_score, 6) AS baseline_top10_score,
   round(m.model_top10_score, 6) AS model_top10_score FROM b FULL JOIN m ON b.persona = m.persona""", "venues", "clicks")
 
+BASELINE_SPLIT_SQL = with_views(f""", {ELIG},
+t AS (SELECT *, {_DIST_DEFAULT_SQL} AS distance_km FROM elig WHERE NOT ({_split_sql('elig', 'row_id')})),
+s AS (SELECT *, {score_sql('persona', 'rating', 'price_nis', 'distance_km')} AS score FROM t, (VALUES ('student'), ('quality')) p(persona)),
+r AS (SELECT *, row_number() OVER (PARTITION BY persona ORDER BY distance_km, row_id) AS near,
+  row_number() OVER (PARTITION BY persona ORDER BY score DESC, row_id) AS top FROM s)
+SELECT persona, round(avg(CASE WHEN near <= 10 THEN score END), 6) AS baseline_top10_score,
+  round(avg(CASE WHEN top <= 10 THEN score END), 6) AS model_top10_score FROM r GROUP BY persona""", "venues")
 
 for _name, _fn, _sql in [
     ("split_train_test", q_split_train_test, SPLIT_SQL),
+    ("split_stratified", q_split_stratified, SPLIT_STRATIFIED_SQL),
     ("standard_scale", q_standard_scale, SCALE_SQL),
     ("centroid_assign", q_centroid_assign, CENTROID_ASSIGN_SQL),
     ("kmeans_assign", q_kmeans_assign, None),
@@ -615,5 +652,6 @@ for _name, _fn, _sql in [
     ("persona_eligible", q_persona_eligible, PERSONA_ELIGIBLE_SQL),
     ("baseline_distance", q_baseline_distance, BASELINE_SQL),
     ("baseline_vs_model", q_baseline_vs_model, BASELINE_VS_MODEL_SQL),
+    ("baseline_vs_model_split", q_baseline_vs_model_split, BASELINE_SPLIT_SQL),
 ]:
     add(_name, _fn, _sql)

@@ -53,11 +53,13 @@ def test_train_kmeans_returns_scores(spark):
 
 
 def test_predict_returns_ranked_list(spark):
+    """Fit on the training rows, then predict over all venues."""
+    _, _, model, _, _ = _kmeans_result(spark)
     v = common.venues(spark, SF_MID)
     q = spark.createDataFrame([(1, 32.08, 34.78, "student", 5.0)], "query_id long, lat double, lng double, "
                                                                   "persona string, max_dist_km double")
-    recs = recommend(q, v, k=1_000_000).orderBy("rank").toPandas()
-    assert len(recs) > 0 and "score" in recs.columns
+    recs = models.predict(q, v, model, k=1_000_000).orderBy("rank").toPandas()
+    assert len(recs) > 0 and set(recs["cluster"]) <= set(range(model.k))
     assert recs["score"].tolist() == sorted(recs["score"].tolist(), reverse=True)
 
 
