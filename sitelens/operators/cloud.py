@@ -66,19 +66,28 @@ def apply_transform(cloud: DataFrame, m: Sequence[Sequence[float]]) -> DataFrame
     return cloud.withColumns(cols)
 
 
+def cloud_key(*clouds: DataFrame) -> list[str]:
+    """The column that keeps clouds of one table apart: ``cloud_id`` where all
+    tables have it (point ids may then repeat across clouds)."""
+    return ["cloud_id"] if all("cloud_id" in c.columns for c in clouds) else []
+
+
 def cloud_distance(source: DataFrame, target: DataFrame, **kw) -> DataFrame:
-    """Distance of each source point to its nearest target point."""
-    nn = nn_join(source, target, XYZ, q_id="pt_id", t_id="pt_id", **kw)
-    return source.join(nn, "pt_id").withColumnRenamed("nn_dist", "deviation_m")
+    """Distance of each source point to its nearest target point (C12), of the
+    same cloud where both tables name clouds."""
+    by = cloud_key(source, target)
+    nn = nn_join(source, target, XYZ, q_id="pt_id", t_id="pt_id", by=by, **kw)
+    return source.join(nn, [*by, "pt_id"]).withColumnRenamed("nn_dist", "deviation_m")
 
 
 def align_quality(source: DataFrame, target: DataFrame, max_dist: float) -> DataFrame:
     """fitness = share of source points with a target within ``max_dist``;
     inlier_rmse = root mean square of those distances (C11). An empty source
-    has no fitness (null)."""
-    nn = nn_join(source, target, XYZ, q_id="pt_id", t_id="pt_id", max_dist=max_dist)
+    has no fitness (null). A row per cloud where both tables name clouds."""
+    by = cloud_key(source, target)
+    nn = nn_join(source, target, XYZ, q_id="pt_id", t_id="pt_id", max_dist=max_dist, by=by)
     hit = F.col("nn_id").isNotNull()
-    return nn.agg(
+    return nn.groupBy(*by).agg(
         F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("fitness"),
         F.sqrt(F.avg(F.when(hit, F.col("nn_dist") * F.col("nn_dist")))).alias("inlier_rmse"),
         F.count(F.when(hit, 1)).alias("n_inliers"))
@@ -307,13 +316,14 @@ def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataF
     point by grouped ``avg`` ->
     eigenvector of the smallest eigenvalue, batched NumPy ``eigh`` in
     ``mapInPandas``. Orientation: nz >= 0 (then ny, nx) for repeatability."""
-    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id")
-    pts = cloud.select("pt_id", *XYZ)
-    j = (nb.join(pts.withColumnsRenamed({"pt_id": "b", **{a: "q" + a for a in XYZ}}), "b")
-         .join(pts.withColumnsRenamed({"pt_id": "a", **{a: "p" + a for a in XYZ}}), "a"))
+    by = cloud_key(cloud)
+    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id", by=by)
+    pts = cloud.select(*by, "pt_id", *XYZ)
+    j = (nb.join(pts.withColumnsRenamed({"pt_id": "b", **{a: "q" + a for a in XYZ}}), [*by, "b"])
+         .join(pts.withColumnsRenamed({"pt_id": "a", **{a: "p" + a for a in XYZ}}), [*by, "a"]))
     # moments of the differences: raw coordinates can be millions of metres
-    j = j.select("a", *[(F.col("q" + a) - F.col("p" + a)).alias("n" + a) for a in XYZ])
-    mom = j.groupBy(F.col("a").alias("pt_id")).agg(
+    j = j.select(*by, "a", *[(F.col("q" + a) - F.col("p" + a)).alias("n" + a) for a in XYZ])
+    mom = j.groupBy(*by, F.col("a").alias("pt_id")).agg(
         F.count(F.lit(1)).alias("k"),
         *[F.avg("n" + a).alias("m" + a) for a in XYZ],
         *[F.avg(F.col("n" + a) * F.col("n" + b)).alias(f"s{a}{b}") for a, b in
@@ -335,10 +345,11 @@ def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataF
             n[flip] *= -1
             few = pdf["k"].to_numpy() < 3
             n[few] = np.array([0.0, 0.0, 1.0])
-            yield pd.DataFrame({"pt_id": pdf["pt_id"], "nx": n[:, 0], "ny": n[:, 1], "nz": n[:, 2]})
+            yield pd.DataFrame({**{c: pdf[c] for c in by}, "pt_id": pdf["pt_id"], "nx": n[:, 0], "ny": n[:, 1], "nz": n[:, 2]})
 
-    normals = mom.mapInPandas(eig, "pt_id long, nx double, ny double, nz double")
-    return cloud.join(normals, "pt_id", "left")
+    kinds = "".join(f"{c} {cloud.schema[c].dataType.simpleString()}, " for c in by)
+    normals = mom.mapInPandas(eig, kinds + "pt_id long, nx double, ny double, nz double")
+    return cloud.join(normals, [*by, "pt_id"], "left")
 
 
 # --------------------------------------------------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.hashing import hash32
-from sitelens.operators.cloud import XYZ, apply_transform
+from sitelens.operators.cloud import XYZ, apply_transform, cloud_key
 from sitelens.operators.spatial import argmin_per_key, knn_radius, right_size
 
 N_BINS = 11
@@ -73,30 +73,32 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
     """33-bin FPFH of every point of a cloud with normals (pt_id, x, y, z,
     nx, ny, nz). SPFH: 11 bins for each of f1, f2, f3 over the hybrid
     neighbourhood, scaled to 100 per block; FPFH = SPFH(p) + the neighbours'
-    SPFH weighted by 1/distance, each block rescaled to 100. Output: pt_id,
-    fpfh array<double> (33)."""
-    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id").filter(F.col("a") != F.col("b"))
-    side = cloud.select("pt_id", *XYZ, "nx", "ny", "nz")
-    a = side.select(F.col("pt_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in side.columns[1:]])
-    b = side.select(F.col("pt_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in side.columns[1:]])
-    pf = pair_features(nb.join(a, "a").join(b, "b"))
+    SPFH weighted by 1/distance, each block rescaled to 100. Output:
+    (cloud_id,) pt_id, fpfh array<double> (33)."""
+    by = cloud_key(cloud)
+    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id", by=by).filter(F.col("a") != F.col("b"))
+    values = [*XYZ, "nx", "ny", "nz"]
+    a = cloud.select(*by, F.col("pt_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in values])
+    b = cloud.select(*by, F.col("pt_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in values])
+    pf = pair_features(nb.join(a, [*by, "a"]).join(b, [*by, "b"]))
     pf = pf.withColumns({"h1": _bin(F.col("f1"), -math.pi, math.pi), "h2": _bin(F.col("f2"), -1.0, 1.0),
-                         "h3": _bin(F.col("f3"), -1.0, 1.0)}).select("a", "b", "dist", "h1", "h2", "h3")
+                         "h3": _bin(F.col("f3"), -1.0, 1.0)}).select(*by, "a", "b", "dist", "h1", "h2", "h3")
     pf = pf.checkpoint()
     aggs = [F.count(F.when(F.col(h) == j, 1)).alias(f"s{k * N_BINS + j}")
             for k, h in enumerate(["h1", "h2", "h3"]) for j in range(N_BINS)]
-    spfh = pf.groupBy(F.col("a").alias("pt_id")).agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    spfh = spfh.select("pt_id", *[(F.col(f"s{j}") * F.lit(100.0) / F.col("_n")).alias(f"s{j}") for j in range(33)])
+    spfh = pf.groupBy(*by, F.col("a").alias("pt_id")).agg(F.count(F.lit(1)).alias("_n"), *aggs)
+    spfh = spfh.select(*by, "pt_id", *[(F.col(f"s{j}") * F.lit(100.0) / F.col("_n")).alias(f"s{j}") for j in range(33)])
     spfh = spfh.checkpoint()
-    wsum = (pf.filter(F.col("dist") > 0).join(spfh.withColumnRenamed("pt_id", "b"), "b")
-            .groupBy(F.col("a").alias("pt_id"))
+    wsum = (pf.filter(F.col("dist") > 0).join(spfh.withColumnRenamed("pt_id", "b"), [*by, "b"])
+            .groupBy(*by, F.col("a").alias("pt_id"))
             .agg(*[F.sum(F.col(f"s{j}") / F.col("dist")).alias(f"w{j}") for j in range(33)]))
     blocks = [sum((F.col(f"w{k * N_BINS + j}") for j in range(N_BINS)), F.lit(0.0)) for k in range(3)]
-    scaled = wsum.select("pt_id", *[F.when(blocks[j // N_BINS] != 0, F.col(f"w{j}") * F.lit(100.0) / blocks[j // N_BINS])
+    scaled = wsum.select(*by, "pt_id", *[F.when(blocks[j // N_BINS] != 0, F.col(f"w{j}") * F.lit(100.0) / blocks[j // N_BINS])
                                     .otherwise(0.0).alias(f"w{j}") for j in range(33)])
-    out = cloud.select("pt_id").join(spfh, "pt_id", "left").join(scaled, "pt_id", "left")
+    key = [*by, "pt_id"]
+    out = cloud.select(*key).join(spfh, key, "left").join(scaled, key, "left")
     feat = F.array(*[F.coalesce(F.col(f"s{j}"), F.lit(0.0)) + F.coalesce(F.col(f"w{j}"), F.lit(0.0)) for j in range(33)])
-    return out.select("pt_id", feat.alias("fpfh"))
+    return out.select(*key, feat.alias("fpfh"))
 
 
 # --------------------------------------------------------------------------

@@ -230,76 +230,94 @@ def eps_pairs(points: DataFrame, cols: Sequence[str], eps: float, *, id_col: str
     return pairs.select("a", "b", "dist")
 
 
-def _pairs_within(probe: DataFrame, build: DataFrame, d: int, r: float, rows_per_split: int) -> DataFrame:
+def _pairs_within(probe: DataFrame, build: DataFrame, d: int, r: float, rows_per_split: int,
+                  by: Sequence[str] = ()) -> DataFrame:
     """Pairs (a, b, dist) with distance <= r between two point tables with
-    columns ``_id`` and ``_x{i}`` (grid of side r, 3^d probe cells)."""
+    columns ``_id`` and ``_x{i}`` (grid of side r, 3^d probe cells), within
+    equal ``by`` columns."""
     xs = [f"_x{i}" for i in range(d)]
     b = build.withColumns(_cells(xs, r)).withColumnsRenamed({"_id": "b", **{x: "b" + x for x in xs}})
     offs = F.array(*[F.array(*[F.lit(v) for v in o]) for o in _offsets(d, 1)])
     p = (probe.withColumns(_cells(xs, r)).withColumn("_off", F.explode(offs))
          .withColumns({f"_g{i}": F.col(f"_g{i}") + F.col("_off")[i] for i in range(d)})
          .drop("_off").withColumnsRenamed({"_id": "a", **{x: "a" + x for x in xs}}))
-    keys = [f"_g{i}" for i in range(d)]
+    keys = [*by, *[f"_g{i}" for i in range(d)]]
     b, p, keys = split_hot_cells(b, p, keys, "b", rows_per_split)
     sq = _sq_dist(["a" + x for x in xs], ["b" + x for x in xs])
     return (p.join(b, keys, "inner").withColumn("dist", F.sqrt(sq))
-            .filter(sq <= F.lit(float(r) * float(r))).select("a", "b", "dist"))
+            .filter(sq <= F.lit(float(r) * float(r))).select(*by, "a", "b", "dist"))
 
 
 def knn_radius(points: DataFrame, cols: Sequence[str], radius: float, max_nn: int, *,
                id_col: str = "pt_id", rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
-               rounds: int = 3) -> DataFrame:
+               rounds: int = 3, by: Sequence[str] = ()) -> DataFrame:
     """Hybrid search (J4): neighbours within ``radius``, at most ``max_nn``
     nearest per point (self included, ties by id). ``max_nn`` is the
-    operator's own definition, not a cost cap.
+    operator's own definition, not a cost cap. With ``by`` (cloud ids) only
+    points with equal values are neighbours, and ids may repeat across them.
+
+    Copies at one place share their neighbours, and only the ``max_nn``
+    smallest ids of a place can be anyone's neighbours; so one copy searches,
+    few are found, and a group of copies never forms its pairs.
 
     Growing radii radius/2^rounds, ..., radius: a point with at least
     ``max_nn`` neighbours inside a smaller radius is finished there (all
     points beyond it are farther than those), so in a dense region the pair
     work stays near ``max_nn`` per point; only the others search wider. The
     per-point limit runs map-side first (WindowGroupLimit).
-    Output: a, b, dist, nn_rank."""
-    cols = list(cols)
+    Output: ``by`` columns, a, b, dist, nn_rank."""
+    cols, by = list(cols), list(by)
     d = len(cols)
-    base = points.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    base = spread(base)
-    w = Window.partitionBy("a").orderBy(F.col("dist"), F.col("b"))
-    open_pts = base
+    xs = [f"_x{i}" for i in range(d)]
+    every = points.select(*by, F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs)])
+    every = spread(every)
+    places = every.groupBy(*by, *xs).agg(F.min("_id").alias("_id"), F.count(F.lit(1)).alias("_n"))
+    copies = not places.filter("_n > 1").isEmpty()
+    base, open_pts = every, every
+    if copies:
+        open_pts = spread(places.drop("_n"))
+        first = Window.partitionBy(*by, *xs).orderBy("_id")
+        base = spread(every.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= max_nn).drop("_r"))
+    w = Window.partitionBy(*by, "a").orderBy(F.col("dist"), F.col("b"))
     parts: list[DataFrame] = []
     # staged radii only pay off where a cell is dense: with at most 2 x
     # max_nn points per cell, one pass already bounds the pairs per point
-    top = (base.groupBy(*[F.floor(F.col(f"_x{i}") / F.lit(radius)) for i in range(d)]).count()
+    top = (base.groupBy(*by, *[F.floor(F.col(x) / F.lit(radius)) for x in xs]).count()
            .agg(F.max("count").alias("m")).first()["m"] or 0)
     staged = top > 2 * max_nn
     radii = ([radius / (2.0 ** k) for k in range(rounds, 0, -1)] if staged else []) + [radius]
     for r in radii:
-        pairs = _pairs_within(open_pts, base, d, r, rows_per_split)
+        pairs = _pairs_within(open_pts, base, d, r, rows_per_split, by)
         if r < radius:
             pairs = pairs.checkpoint()
-            done = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= max_nn).select("a")
+            done = pairs.groupBy(*by, "a").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") >= max_nn).select(*by, "a")
             done = done.checkpoint()
-            pairs = pairs.join(done, "a", "left_semi")
+            pairs = pairs.join(done, [*by, "a"], "left_semi")
         ranked = pairs.withColumn("nn_rank", F.row_number().over(w)).filter(F.col("nn_rank") <= max_nn)
         parts.append(ranked)
         if r < radius:
-            open_pts = open_pts.join(done.withColumnRenamed("a", "_id"), "_id", "left_anti")
+            open_pts = open_pts.join(done.withColumnRenamed("a", "_id"), [*by, "_id"], "left_anti")
             if open_pts.isEmpty():
                 break
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    if copies:
+        same = every.join(places.select(*by, *xs, F.col("_id").alias("_rep")), [*by, *xs]).select(*by, F.col("_id"), F.col("_rep").alias("a"))
+        out = out.join(same, [*by, "a"]).drop("a").withColumnRenamed("_id", "a")
+    return out.select(*by, "a", "b", "dist", "nn_rank")
 
 
-def argmin_per_key(pairs: DataFrame, key: str, dist: str, cand: str, carry: Sequence[str] = ()) -> DataFrame:
-    """Per ``key``: the smallest ``dist`` and, among equal distances, the
+def argmin_per_key(pairs: DataFrame, key: str | Sequence[str], dist: str, cand: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Per ``key`` (a column or several): the smallest ``dist`` and, among equal distances, the
     smallest ``cand``. Two hash aggregates (min distance, then min id over
     the rows at that distance) instead of a min over structs, which Spark
     can only run as a sort-based aggregate over every candidate pair."""
-    slim = pairs.select(key, cand, dist, *carry)
-    best = slim.groupBy(key).agg(F.min(dist).alias("_best"))
+    key = [key] if isinstance(key, str) else list(key)
+    slim = pairs.select(*key, cand, dist, *carry)
+    best = slim.groupBy(*key).agg(F.min(dist).alias("_best"))
     return (slim.join(best, key).filter(F.col(dist) == F.col("_best"))
-            .groupBy(key).agg(F.min(cand).alias(cand), F.min(dist).alias(dist),
+            .groupBy(*key).agg(F.min(cand).alias(cand), F.min(dist).alias(dist),
                               *[F.max(c).alias(c) for c in carry]))
 
 
@@ -328,7 +346,8 @@ LEVEL_FACTOR = 4
 BROADCAST_CELLS = 50_000
 
 
-def box_candidates(queries: DataFrame, items: DataFrame, d: int, cell: float, extent: float) -> DataFrame:
+def box_candidates(queries: DataFrame, items: DataFrame, d: int, cell: float, extent: float,
+                   by: Sequence[str] = ()) -> DataFrame:
     """Pairs (query, item) among which every query's nearest item is, found by
     descending a hierarchy of occupied cells.
 
@@ -338,8 +357,9 @@ def box_candidates(queries: DataFrame, items: DataFrame, d: int, cell: float, ex
     a query if the nearest corner of the box around its items is no farther
     than the nearest known item point of any cell, and splits the kept cells.
     A query far from all items thus meets a few cells per level and the items
-    of the last ones, not every item. Returns both sides' columns."""
-    xs = [f"_x{i}" for i in range(d)]
+    of the last ones, not every item. With ``by`` a query meets only items with
+    equal values in these columns. Returns both sides' columns."""
+    xs, by = [f"_x{i}" for i in range(d)], list(by)
     n_levels = max(1, math.ceil(math.log(max(extent / cell, 1.0), LEVEL_FACTOR))) + 1
     base = items.withColumns({f"_c{i}": F.floor((F.col("lo" + x) + F.col("hi" + x)) / 2 / F.lit(cell)).cast("long") for i, x in enumerate(xs)})
 
@@ -352,31 +372,36 @@ def box_candidates(queries: DataFrame, items: DataFrame, d: int, cell: float, ex
 
     kept = queries
     for level in range(n_levels, -1, -1):
-        cells = base.select(*at(level, "_k"), *at(level + 1, "_p"), *["lo" + x for x in xs], *["hi" + x for x in xs], *["t" + x for x in xs])
-        cells = cells.groupBy(*names("_k"), *names("_p")).agg(
+        cells = base.select(*by, *at(level, "_k"), *at(level + 1, "_p"), *["lo" + x for x in xs], *["hi" + x for x in xs], *["t" + x for x in xs])
+        cells = cells.groupBy(*by, *names("_k"), *names("_p")).agg(
             *[F.min("lo" + x).alias("lo" + x) for x in xs], *[F.max("hi" + x).alias("hi" + x) for x in xs],
             F.min(F.struct(*["t" + x for x in xs])).alias("_at")).checkpoint()
-        if level == n_levels:     # the items span at most 2 ** d cells of each class: every query starts at all of them
+        side = F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells
+        if level == n_levels and by:
+            met = kept.join(side.drop(*names("_p")), by)
+        elif level == n_levels:     # the items span at most 2 ** d cells of each class: every query starts at all of them
             top = [F.struct(*[F.lit(r[c]).alias(c) for c in [*names("_k"), *["lo" + x for x in xs], *["hi" + x for x in xs]]],
                             F.struct(*[F.lit(r["_at"]["t" + x]).alias("t" + x) for x in xs]).alias("_at")) for r in cells.collect()]
             met = kept.select("*", F.explode(F.array(*top)).alias("_top")).select("*", "_top.*")
         else:
-            met = kept.join(F.broadcast(cells) if cells.count() <= BROADCAST_CELLS else cells, names("_p"))
+            met = kept.join(side, [*by, *names("_p")])
         lo = sum((F.pow(F.greatest(F.col("lo" + x) - F.col("q" + x), F.col("q" + x) - F.col("hi" + x), F.lit(0.0)), 2) for x in xs), F.lit(0.0))
         hi = sum((F.pow(F.col(f"_at.t{x}") - F.col("q" + x), 2) for x in xs), F.lit(0.0))
-        met = met.select("_qid", *["q" + x for x in xs], *names("_k"), lo.alias("_lo"), hi.alias("_hi"))
-        best = F.min("_hi").over(Window.partitionBy("_qid"))
+        met = met.select(*by, "_qid", *["q" + x for x in xs], *names("_k"), lo.alias("_lo"), hi.alias("_hi"))
+        best = F.min("_hi").over(Window.partitionBy(*by, "_qid"))
         kept = met.withColumn("_best", best).filter(F.col("_lo") <= F.col("_best") * (1 + 1e-9) + 1e-300)
-        kept = kept.select("_qid", *["q" + x for x in xs], *[F.col(a).alias(b) for a, b in zip(names("_k"), names("_p"))])
+        kept = kept.select(*by, "_qid", *["q" + x for x in xs], *[F.col(a).alias(b) for a, b in zip(names("_k"), names("_p"))])
     leaves = base.withColumnRenamed("_class", "_pclass").withColumnsRenamed({f"_c{i}": f"_p{i}" for i in range(d)})
-    return kept.join(leaves, names("_p")).drop(*names("_p"))
+    return kept.join(leaves, [*by, *names("_p")]).drop(*names("_p"))
 
 
 def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id: str = "pt_id",
             t_id: str = "pt_id", t_cols: Sequence[str] | None = None, cell: float | None = None,
             rings: int = 3, rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
-            max_dist: float | None = None, collapse_copies: bool = True) -> DataFrame:
+            max_dist: float | None = None, collapse_copies: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Exact 1-nearest neighbour of every query point among the targets.
+    With ``by`` (cloud ids) only targets with equal values count, and ids may
+    repeat across them; queries without such targets have no row.
 
     Ring growth: in round r the grid side is ``cell * 2**r``; each open query
     probes the 3^d cells around its own. A best hit at distance <= the side is
@@ -390,25 +415,25 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     distance are wanted: one round with side >= max_dist is enough and
     queries without a hit come back with null target.
 
-    Output: query id as ``q_id``, ``nn_id``, ``nn_dist``.
+    Output: ``by`` columns, query id as ``q_id``, ``nn_id``, ``nn_dist``.
     """
-    cols = list(cols)
+    cols, by = list(cols), list(by)
     t_cols = list(t_cols) if t_cols is not None else cols
     d = len(cols)
     xs = [f"_x{i}" for i in range(d)]
     # Both sides are read once per round: materialise them (reliable
     # checkpoint in the shared folder) so rounds do not re-run their lineage.
-    q_all = queries.select(F.col(q_id).alias("_qid"),
+    q_all = queries.select(*by, F.col(q_id).alias("_qid"),
                            *[F.col(c).cast("double").alias("q" + x) for c, x in zip(cols, xs)])
     q_all = spread(q_all)
     # Copies at identical coordinates collapse to their smallest id before
     # the search (exact: same distance, and ties go to the smallest id), so
     # a group of copies holding a third of the table costs one row, not a
     # third of the table per nearby query. The aggregate combines map-side.
-    t_all = targets.select(F.col(t_id).alias("_tid"),
+    t_all = targets.select(*by, F.col(t_id).alias("_tid"),
                            *[F.col(c).cast("double").alias("t" + x) for c, x in zip(t_cols, xs)])
     if collapse_copies:   # skip only when the caller knows targets are distinct
-        t_all = t_all.groupBy(*["t" + x for x in xs]).agg(F.min("_tid").alias("_tid"))
+        t_all = t_all.groupBy(*by, *["t" + x for x in xs]).agg(F.min("_tid").alias("_tid"))
     t_all = spread(t_all)
 
     stats = t_all.agg(F.count(F.lit(1)).alias("n"),
@@ -416,7 +441,7 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
                       *[F.max("t" + x).alias("hi" + x) for x in xs]).first()
     n_t = stats["n"]
     if n_t == 0:
-        return q_all.select(F.col("_qid").alias(q_id), F.lit(None).cast("long").alias("nn_id"),
+        return q_all.select(*by, F.col("_qid").alias(q_id), F.lit(None).cast("long").alias("nn_id"),
                             F.lit(None).cast("double").alias("nn_dist"))
     qst = q_all.agg(*[F.min("q" + x).alias("lo" + x) for x in xs], *[F.max("q" + x).alias("hi" + x) for x in xs]).first()
     # once the side exceeds the extent of queries and targets together, the
@@ -433,7 +458,7 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
         cell = extent if cell <= 0 else min(max(cell, extent * 1e-6), extent)
         # a hot spot far denser than the average gets finer starting cells
         # (sparse regions then simply take a few more rings)
-        top = (t_all.groupBy(*[F.floor(F.col("t" + x) / F.lit(cell)) for x in xs]).count()
+        top = (t_all.groupBy(*by, *[F.floor(F.col("t" + x) / F.lit(cell)) for x in xs]).count()
                .agg(F.max("count").alias("m")).first()["m"] or 0)
         if top > 256:
             cell = max(cell / min(16.0, (top / 64.0) ** (1.0 / d)), extent * 1e-6)
@@ -459,13 +484,13 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
     open_q = q_all
     for r in range(rings + 1):
         if r == rings:
-            items = t_all.select("_tid", F.lit(0).alias("_class"), *[F.col("t" + x) for x in xs], *[F.col("t" + x).alias("lo" + x) for x in xs],
+            items = t_all.select(*by, "_tid", F.lit(0).alias("_class"), *[F.col("t" + x) for x in xs], *[F.col("t" + x).alias("lo" + x) for x in xs],
                                  *[F.col("t" + x).alias("hi" + x) for x in xs])
             spans = [stats["hi" + x] - stats["lo" + x] for x in xs]
-            pairs = box_candidates(open_q, items, d, cell, max(*spans, cell))
+            pairs = box_candidates(open_q, items, d, cell, max(*spans, cell), by)
             sq = _sq_dist(["q" + x for x in xs], ["t" + x for x in xs])
-            best = argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid")
-            done.append(best.select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist")))
+            best = argmin_per_key(pairs.withColumn("_sq", sq), [*by, "_qid"], "_sq", "_tid")
+            done.append(best.select(*by, "_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist")))
             break
         # A target outside the probed block is farther than side_i along some
         # axis i that does not cover the joint extent, and along every other
@@ -491,7 +516,7 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
                  .withColumn("_off", F.explode(offs))
                  .withColumns({f"_g{i}": F.col(f"_g{i}") + F.col("_off")[i] for i in range(d)})
                  .drop("_off"))
-        keys = [f"_g{i}" for i in range(d)]
+        keys = [*by, *[f"_g{i}" for i in range(d)]]
         build, probe, jkeys = split_hot_cells(build, probe, keys, "_tid", rows_per_split)
         pairs = probe.join(build, jkeys, "inner")
         sq = _sq_dist(["q" + x for x in xs], ["t" + x for x in xs])
@@ -499,20 +524,20 @@ def nn_join(queries: DataFrame, targets: DataFrame, cols: Sequence[str], *, q_id
             pairs = pairs.filter(sq <= F.lit(float(max_dist) ** 2))
         # nearest target per query (ties: smallest id); both aggregates
         # combine map-side, so a hot cell yields one row per query per task
-        best = (argmin_per_key(pairs.withColumn("_sq", sq), "_qid", "_sq", "_tid", carry=["_margin"])
-                .select("_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist"), "_margin"))
+        best = (argmin_per_key(pairs.withColumn("_sq", sq), [*by, "_qid"], "_sq", "_tid", carry=["_margin"])
+                .select(*by, "_qid", F.col("_tid").alias("nn_id"), F.sqrt(F.col("_sq")).alias("nn_dist"), "_margin"))
         if max_dist is not None:
-            got = open_q.select("_qid").join(best.drop("_margin"), "_qid", "left")
+            got = open_q.select(*by, "_qid").join(best.drop("_margin"), [*by, "_qid"], "left")
             done.append(got)
             break
         best = best.checkpoint()
         final = best.filter(F.col("nn_dist") <= F.col("_margin")).drop("_margin")
         done.append(final)
-        open_q = open_q.join(final.select("_qid"), "_qid", "left_anti")
+        open_q = open_q.join(final.select(*by, "_qid"), [*by, "_qid"], "left_anti")
         if open_q.isEmpty():
             break
         sides = [sides[i] if sides[i] >= joint[i] else sides[i] * 2.0 for i in range(d)]
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.select(F.col("_qid").alias(q_id), "nn_id", "nn_dist")
+    return out.select(*by, F.col("_qid").alias(q_id), "nn_id", "nn_dist")

@@ -233,3 +233,40 @@ def test_mesh_distance_with_a_slab_and_far_points(spark):
 
     for i, p in enumerate(pts):
         assert abs(got[i] - min(dist(p, t) for t in tri)) < 1e-9, i
+
+
+def test_clouds_of_one_table_stay_apart(spark):
+    """Two clouds with repeating point ids and overlapping positions, and a
+    group of copies: the same as each cloud by itself."""
+    rnd = np.random.default_rng(11)
+    pts = [(c, i, *map(float, rnd.random(3) * [1, 1, 0.1])) for c in (7, 8) for i in range(300)]
+    pts += [(7, 300 + i, 0.5, 0.5, 0.05) for i in range(60)]
+    schema = "cloud_id long, pt_id long, x double, y double, z double"
+    both = spark.createDataFrame(pts, schema)
+    src = both.withColumn("x", F.col("x") + 0.01 * F.col("cloud_id"))
+    normals = {(r["cloud_id"], r["pt_id"]): (r["nx"], r["ny"], r["nz"]) for r in CL.estimate_normals(both, 0.2, 20).collect()}
+    dist = {(r["cloud_id"], r["pt_id"]): (r["nn_id"], r["deviation_m"]) for r in CL.cloud_distance(src, both).collect()}
+    fit = {r["cloud_id"]: r["n_inliers"] for r in CL.align_quality(src, both, 0.05).collect()}
+    for c in (7, 8):
+        one, moved = both.filter(f"cloud_id = {c}").drop("cloud_id"), src.filter(f"cloud_id = {c}").drop("cloud_id")
+        n = {r["pt_id"]: (r["nx"], r["ny"], r["nz"]) for r in CL.estimate_normals(one, 0.2, 20).collect()}
+        assert len(n) == sum(k[0] == c for k in normals)
+        assert all(np.allclose(normals[c, i], v, atol=1e-7) for i, v in n.items())
+        d = {r["pt_id"]: (r["nn_id"], r["deviation_m"]) for r in CL.cloud_distance(moved, one).collect()}
+        assert {i: dist[c, i] for i in d} == d
+        assert fit[c] == CL.align_quality(moved, one, 0.05).first()["n_inliers"]
+
+
+def test_copies_share_their_neighbours(spark):
+    """Hybrid kNN with a third of the points at one place, against brute force."""
+    rnd = np.random.default_rng(13)
+    x = np.concatenate([rnd.random((80, 3)), np.tile([[0.5, 0.5, 0.5]], (40, 1))])
+    ids = rnd.permutation(len(x))
+    df = spark.createDataFrame([(int(i), *map(float, p)) for i, p in zip(ids, x)], "pt_id long, x double, y double, z double")
+    got = {}
+    for r in knn_radius(df, ["x", "y", "z"], 0.4, 7).collect():
+        got.setdefault(r["a"], []).append((r["nn_rank"], r["b"]))
+    for k, i in enumerate(ids):
+        d = np.sqrt(((x - x[k]) ** 2).sum(1))
+        order = sorted((v, int(ids[j])) for j, v in enumerate(d) if v <= 0.4)[:7]
+        assert [b for _, b in sorted(got[i])] == [b for _, b in order]
