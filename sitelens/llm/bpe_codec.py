@@ -3,7 +3,7 @@
 A rolling hash cuts every text at places that depend only on the bytes just
 before them, so passages that documents share fall into the same chunks. A
 chunk is encoded once and its tokens are kept for the next document that
-holds it (a bounded store per Python worker).
+holds it (a bounded store per Python worker, kept from task to task).
 
 Tokens near a cut can be wrong, since the tokenizer would have read on. A
 blank after a non-blank character always starts a new pre-token, whatever
@@ -16,6 +16,7 @@ a wider join, up to the whole text.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -24,6 +25,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sitelens.llm.common import binary_list, prepare
 
@@ -158,6 +160,13 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+@functools.lru_cache(maxsize=2)
+def worker_codec(path: str) -> Codec:
+    """The codec of this Python worker: Spark reuses workers, so the loaded
+    vocabulary and the store of chunks serve task after task."""
+    return Codec(path)
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -176,7 +185,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = worker_codec(path)
         for batch in batches:
             ids = [codec.encode(b) for b in binary_list(batch.column(1))]
             texts = []
@@ -191,5 +200,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(out, names)
 
-    from pyspark.sql import functions as F
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
