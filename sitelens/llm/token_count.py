@@ -14,6 +14,7 @@ are cut there and the counts of short units are remembered per worker.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
@@ -143,6 +144,13 @@ class Counter:
         return count
 
 
+@functools.lru_cache(maxsize=2)
+def worker_counter(path: str) -> Counter:
+    """The counter of this Python worker; Spark reuses workers, so remembered
+    units serve task after task."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) per input row.
@@ -153,7 +161,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096, id
     path = path or default_path()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
+        counter = worker_counter(path)
         for batch in batches:
             texts = text_list(batch.column(1))
             counts = [counter.count(t) for t in texts]
