@@ -8,6 +8,7 @@ documents. The nearest prototype by cosine wins.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -87,6 +88,12 @@ class Space:
         return out / np.where(norm == 0, 1, norm)
 
 
+@functools.lru_cache(maxsize=2)
+def worker_space(dim: int) -> Space:
+    """The vectors of this Python worker; Spark reuses workers."""
+    return Space(dim)
+
+
 def train(docs: DataFrame, dim: int = DIM) -> dict[str, list[float]]:
     """Prototype per language, from every document that isn't held out and
     has a language: each task bundles what it reads to one vector per
@@ -95,7 +102,7 @@ def train(docs: DataFrame, dim: int = DIM) -> dict[str, list[float]]:
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id")).select("lang", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, sums = Space(dim), {}
+        space, sums = worker_space(dim), {}
         for batch in batches:
             vectors = space.bundle(text_list(batch.column(1)))
             for lang, v in zip(batch.column(0).to_pylist(), vectors):
@@ -123,7 +130,7 @@ def predict(docs: DataFrame, prototypes: dict[str, list[float]], id_col: str = "
     langs = sorted(prototypes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space = Space(len(prototypes[langs[0]]) if langs else DIM)
+        space = worker_space(len(prototypes[langs[0]]) if langs else DIM)
         proto = np.array([prototypes[x] for x in langs], np.float32).reshape(len(langs), space.dim)
         proto = proto / np.maximum(np.linalg.norm(proto, axis=1, keepdims=True), 1e-9)
         for batch in batches:
