@@ -14,6 +14,8 @@ from sitelens.session import ensure_checkpoint_dir, scratch_path
 
 # At most this many keys are ever broadcast as "hot" (see attach_groups).
 HOT_KEYS = 1000
+# Up to this many ids (8 bytes each) are broadcast to select documents.
+BROADCAST_IDS = 1_000_000
 # Rows of an Arrow batch sent to Python: whole documents may be long.
 BATCH_ROWS = 500
 
@@ -65,6 +67,17 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def select_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is (``left_semi``) or isn't
+    (``left_anti``) in the one column of ``ids``, a written table of distinct
+    values. Null equals null. Up to BROADCAST_IDS ids are broadcast and the
+    texts stay where they are; more meet the texts in a sort-merge join."""
+    (name,) = ids.columns
+    side = ids.withColumnRenamed(name, "_picked")
+    side = F.broadcast(side) if ids.count() <= BROADCAST_IDS else side.hint("merge")
+    return docs.join(side, docs["doc_id"].eqNullSafe(side["_picked"]), how)
+
+
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int,
                   hot_keys: int = HOT_KEYS, how: str = "inner") -> DataFrame:
     """Give every row its group's columns when one group may hold a third of

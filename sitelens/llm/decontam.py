@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import materialize, prepare
+from sitelens.llm.common import materialize, prepare, select_ids
 
 WIDTH = 5
 # A sketch table up to this many rows (16 bytes each) is broadcast; a larger
@@ -101,5 +101,5 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80, id_col
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """All columns of the documents that contain no item."""
-    bad = materialize(contained_items(docs, items, percent).select(F.col("doc_id").alias("_bad")).distinct(), "leaks")
-    return docs.join(bad, docs["doc_id"] == bad["_bad"], "left_anti")
+    bad = materialize(contained_items(docs, items, percent).select("doc_id").distinct(), "leaks")
+    return select_ids(docs, bad, "left_anti")

@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, materialize, prepare
+from sitelens.llm.common import attach_groups, materialize, prepare, select_ids
 from sitelens.session import scratch_path
 
 
@@ -91,16 +91,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` (all columns) that stay; of rows that repeat id and
-    text one stays. The texts move once, to meet the ids to drop."""
+    text one stays. The texts move at most once, to meet the ids to drop."""
     decided = materialize(exact_dedup(docs).select("doc_id", "kept"), "exact-kept")
-    gone = decided.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = materialize(decided.filter(~F.col("kept")).select("doc_id").distinct(), "exact-gone")
     # an id can stand for several texts: only ids met more than once need the second look
     many = (decided.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any"))
             .filter((F.col("n") > 1) & F.col("any")))
-    if many.isEmpty():
-        return left
-    return _drop_copies_of_shared_ids(docs)
+    return select_ids(docs, gone, "left_anti") if many.isEmpty() else _drop_copies_of_shared_ids(docs)
 
 
 def _drop_copies_of_shared_ids(docs: DataFrame) -> DataFrame:

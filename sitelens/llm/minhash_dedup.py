@@ -16,8 +16,10 @@ lost.
 Within a bucket nothing is paired with everything: first every member meets
 the bucket's pivot, its most typical text, which links most of a group of
 copies; afterwards only members that are still in different components meet,
-the largest component of a bucket never being paired with itself. The result
-is the same as that of comparing all pairs that share a band.
+the largest component of a bucket never being paired with itself, and only if
+their sketches (four bits of every minimum and maximum) agree as far as those
+of two sets at the threshold do but for a chance below 1e-8. The result is
+that of comparing all pairs that share a band.
 """
 
 from __future__ import annotations
@@ -32,14 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, binary_list, materialize, prepare, release_shuffles
+from sitelens.llm.common import attach_groups, binary_list, materialize, prepare, release_shuffles, select_ids
 from sitelens.llm.components import components
 from sitelens.llm.meeting import HASH_BITS, shared_hashes
 from sitelens.llm.shingles import Hasher, mix, overlap
 
 PER_BAND = 3             # permutations of a band, two values each
 MISS = 1e-8              # chance that a pair at the threshold shares no band
-SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>"
+SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 LINKS = "src long, dst long"
 _RNG = np.random.default_rng(8_128)
 _DRAWN = _RNG.integers(0, 2 ** 32, (2, 4096), dtype=np.uint32)
@@ -57,8 +59,24 @@ def bands_for(percent: int) -> int:
     return min(_DRAWN.shape[1] // PER_BAND, max(1, math.ceil(math.log(MISS) / math.log1p(-agree)))) if percent < 100 else 1
 
 
-def band_keys(shingles: np.ndarray, bands: int) -> np.ndarray:
-    """The 64-bit bucket keys of a document, one per band."""
+def least_agreement(percent: int, bands: int) -> int:
+    """How many of the sketch's four-bit values two sets at the threshold
+    share at least, but for a chance of MISS. They share a value if
+    minimum or maximum agree, or else by chance once in 16."""
+    n, p = 2 * PER_BAND * bands, percent / 100 + (1 - percent / 100) / 16
+    if p >= 1:
+        return n
+    tail = 0.0
+    for k in range(n + 1):
+        tail += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+        if tail > MISS:
+            return k
+    return n
+
+
+def band_keys(shingles: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit bucket keys of a document, one per band, and its sketch:
+    four bits of every minimum and maximum, sixteen in a 64-bit word."""
     a, b = _DRAWN[0, :bands * PER_BAND, None] | np.uint32(1), _DRAWN[1, :bands * PER_BAND, None]
     low = np.full(len(a), 0xFFFFFFFF, np.uint32)
     high = np.zeros(len(a), np.uint32)
@@ -71,21 +89,26 @@ def band_keys(shingles: np.ndarray, bands: int) -> np.ndarray:
     key = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(PER_BAND):
         key = mix(key * _FOLD + value[:, i])
-    return key.view(np.int64)
+    bits = np.concatenate((low, high)) * np.uint32(0x9E3779B1) >> np.uint32(28)
+    bits = np.pad(bits, (0, -len(bits) % 16)).astype(np.uint64).reshape(-1, 16)
+    sketch = (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
+    return key.view(np.int64), sketch.view(np.int64)
 
 
 def signatures(docs: DataFrame, bands: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest of the whole set (null if empty), bands."""
+    """doc_id, n_shingles, digest of the whole set, bands and sketch (these
+    null if empty)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             sets = [hasher.shingles(t) for t in binary_list(batch.column(1))]
+            keys = [band_keys(s, bands) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array([band_keys(s, bands) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "bands"])
+                 pa.array([k for k, _ in keys], pa.list_(pa.int64())), pa.array([k for _, k in keys], pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SIGNATURE)
 
@@ -149,7 +172,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                                                      F.count(F.lit(1)).alias("size")), "minhash-classes")
     buckets = _shared_buckets(sets, classes)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = materialize(texts.join(buckets.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "minhash-texts")
+    candidates = materialize(buckets.select("id").distinct(), "minhash-found")
+    texts = materialize(select_ids(texts, candidates, "left_semi"), "minhash-texts")
     release_shuffles(spark)
     members = _linkable(buckets, texts, percent)
     checked = spark.createDataFrame([], "lo long, hi long")
@@ -175,9 +199,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
             break
         helped = (turn == 0 or load > REST_LOAD * n) and look_at(_pivot_pairs(open_members, percent, turn)) >= 0.1
         if not helped or turn == rounds - 1:
-            look_at(_rest_pairs(open_members, percent))
+            look_at(_rest_pairs(open_members, _marks(sets, classes, candidates), percent))
             break
         labels = components(functools.reduce(DataFrame.unionByName, links))
+        members = open_members.select("key", "band", "id", "n", "c")     # the other buckets are settled
     if links:
         labels = components(functools.reduce(DataFrame.unionByName, links))
     if labels is not None:
@@ -193,11 +218,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 
 
 def _shared_buckets(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, n): the classes of every bucket that holds more than one."""
+    """(key, band, id, n): the classes of every bucket that holds more than one."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reps = classes.select("digest", "rep", "n")
     bands = (sets.join(reps, (sets["digest"] == reps["digest"]) & (sets["doc_id"] == reps["rep"]))
-             .select(reps["rep"].alias("id"), reps["n"], F.explode("bands").alias("key")).repartition(parts, "key"))
+             .select(reps["rep"].alias("id"), reps["n"], F.posexplode("bands").alias("band", "key")).repartition(parts, "key"))
     shared = bands.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
     return materialize(bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "minhash-buckets")
 
@@ -209,7 +234,7 @@ def _shingle_hashes():
 
 
 def _linkable(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(key, id, n, c): the members that can link at all, with the number c of
+    """(key, band, id, n, c): the members that can link at all, with the number c of
     their shingles that another member has, in the buckets that still hold
     more than one. An id that stands for several texts counts as typical."""
     values = buckets.select("id", "n").distinct().agg(F.sum("n")).first()[0] or 0
@@ -220,7 +245,7 @@ def _linkable(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     numbers = materialize(once.join(counts, once["doc_id"] == counts["node"], "left")
                           .select("doc_id", "k", F.coalesce("c", F.lit(0)).alias("c")), "minhash-shared")
     members = (buckets.join(numbers, buckets["id"] == numbers["doc_id"])
-               .select("key", "id", "n", F.when(F.col("k") > 1, F.col("n")).otherwise(F.least("c", "n")).alias("c"))
+               .select("key", "band", "id", "n", F.when(F.col("k") > 1, F.col("n")).otherwise(F.least("c", "n")).alias("c"))
                .filter(100 * F.col("c") >= percent * F.col("n")))
     shared = members.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
     return materialize(members.join(shared, "key", "left_semi"), "minhash-members")
@@ -232,7 +257,7 @@ def _unresolved(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         named = members.withColumn("comp", F.col("id"))
     else:
-        named = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n", "c", F.coalesce("comp", "id").alias("comp"))
+        named = members.join(labels, members["id"] == labels["node"], "left").select("key", "band", "id", "n", "c", F.coalesce("comp", "id").alias("comp"))
     per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
     whole = per.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("m"), F.count(F.lit(1)).alias("k"), F.sum("m").alias("total"))
     whole = whole.filter("k > 1").select("key", F.col("m.comp").alias("big"), "total")
@@ -256,22 +281,47 @@ def _pivot_pairs(open_members: DataFrame, percent: int, turn: int) -> DataFrame:
             .select("src", F.col("id").alias("dst")).distinct())
 
 
-def _rest_pairs(open_members: DataFrame, percent: int) -> DataFrame:
+def _marks(sets: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, marks, sketch) of the classes among ``ids``: 32 bits of every band's key, and
+    the sketch; null for an id that stands for several sets."""
+    reps = classes.select("digest", F.col("rep").alias("id"))
+    sets = select_ids(sets, ids, "left_semi")
+    found = (sets.join(reps, (sets["digest"] == reps["digest"]) & (sets["doc_id"] == reps["id"]))
+             .select("id", reps["digest"], F.transform("bands", lambda k: F.shiftright(k, 32).cast("int")).alias("marks"), "sketch"))
+    one = F.min("digest") == F.max("digest")
+    return found.groupBy("id").agg(*[F.when(one, F.first(c)).alias(c) for c in ("marks", "sketch")])
+
+
+def _agreement(a: str, b: str) -> F.Column:
+    """How many of the four-bit values of two sketches agree."""
+    def equal(x: F.Column, y: F.Column) -> F.Column:
+        d = x.bitwiseXOR(y)
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
+        return F.lit(16) - F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.aggregate(F.zip_with(a, b, equal), F.lit(0), lambda n, k: n + k)
+
+
+def _rest_pairs(open_members: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components: its members
-    outside the largest component with everything else."""
-    keys = open_members.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    every = materialize(open_members.join(keys, "id"), "minhash-rest")
-    few = every.filter("comp <> big").select("key", F.col("id").alias("src"), F.col("n").alias("_n"), F.col("c").alias("_c"),
-                                             F.col("comp").alias("_comp"), F.col("keys").alias("_keys"))
-    # a pair meets in every bucket it shares and is told in the first of them
-    first = F.array_min(F.array_intersect("keys", "_keys")) == F.col("key")
+    outside the largest component with everything else. A pair meets in every
+    bucket it shares and is told in the first of them, if the sketches agree
+    as far as they must. Ids that stand for several texts are always told."""
+    bands = bands_for(percent)
+    pad = -2 * PER_BAND * bands % 16
+    every = materialize(open_members.join(marks, "id"), "minhash-rest")
+    few = every.filter("comp <> big").select("key", F.col("id").alias("src"), *[F.col(c).alias("_" + c) for c in ("n", "c", "comp", "marks", "sketch")])
+    first = F.array_position(F.zip_with("marks", "_marks", lambda x, y: x == y), True) == F.col("band") + 1
+    alike = _agreement("sketch", "_sketch") - pad >= least_agreement(percent, bands)
     pairs = few.join(every, "key").filter(
-        (F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _can_link(percent) & first)
+        (F.col("comp") != F.col("_comp")) & ((F.col("comp") == F.col("big")) | (F.col("src") < F.col("id"))) & _can_link(percent)
+        & F.coalesce(first, F.lit(True)) & F.coalesce(alike, F.lit(True)))
     return pairs.select("src", F.col("id").alias("dst")).distinct()
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
     """All columns of the documents that stand for their component. The texts
-    move once, to meet the ids to drop."""
-    gone = materialize(near_duplicates(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "minhash-gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    move at most once, to meet the ids to drop."""
+    gone = materialize(near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id").distinct(), "minhash-gone")
+    return select_ids(docs, gone, "left_anti")

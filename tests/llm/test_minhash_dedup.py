@@ -109,4 +109,26 @@ def test_signature_agreement_estimates_similarity():
     rng = np.random.default_rng(1)
     both, a, b = (rng.integers(1, 2 ** 63, n, dtype=np.uint64) for n in (850, 75, 75))
     keys = [minhash_dedup.band_keys(np.unique(np.concatenate((both, x))), 600) for x in (a, b)]
-    assert abs((keys[0] == keys[1]).mean() - 0.85 ** 6) < 0.08
+    assert abs((keys[0][0] == keys[1][0]).mean() - 0.85 ** 6) < 0.08
+
+
+def test_sketches_never_fall_short_at_the_threshold(spark):
+    """Agreement at similarity 0.85 stays above the bound in many draws, and
+    the column expression counts it right."""
+    rng = np.random.default_rng(2)
+    bands = minhash_dedup.bands_for(85)
+    n, least = 6 * bands, minhash_dedup.least_agreement(85, bands)
+    assert 0.6 * n < least < 0.85 * n
+    rows, want = [], []
+    for size in (17, 60, 400) * 40:
+        both = rng.integers(1, 2 ** 63, round(size * 0.85), dtype=np.uint64)
+        own = rng.integers(1, 2 ** 63, size - len(both), dtype=np.uint64)
+        half = len(own) // 2
+        x, y = (np.unique(np.concatenate((both, o))) for o in (own[:half], own[half:]))
+        sx, sy = (minhash_dedup.band_keys(s, bands)[1] for s in (x, y))
+        nibbles = [(s.view(np.uint64)[:, None] >> (np.arange(16, dtype=np.uint64) * np.uint64(4)) & np.uint64(15)).ravel()[:n] for s in (sx, sy)]
+        want.append(int((nibbles[0] == nibbles[1]).sum()))
+        rows.append(([int(v) for v in sx], [int(v) for v in sy]))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").coalesce(1)
+    got = [r["k"] - (-n % 16) for r in df.select(minhash_dedup._agreement("a", "b").alias("k")).collect()]
+    assert got == want and min(want) >= least
