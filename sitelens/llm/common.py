@@ -39,6 +39,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(spark: SparkSession, amount: int, each: int) -> int:
+    """Partitions for ``amount`` rows or bytes at about ``each``, at most as
+    many as the session's shuffles have (an explicit number isn't coalesced)."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, -(-amount // each))))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over single record batches (a batch in, a batch out)."""
 

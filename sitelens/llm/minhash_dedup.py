@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, binary_list, materialize, prepare, release_shuffles, select_ids
+from sitelens.llm.common import attach_groups, binary_list, materialize, parts_for, prepare, release_shuffles, select_ids
 from sitelens.llm.components import components
 from sitelens.llm.meeting import HASH_BITS, shared_hashes
 from sitelens.llm.shingles import Hasher, mix, overlap
@@ -50,6 +50,7 @@ REST_LOAD = 32           # pairs to look at per member for which no more pivots
 # Radix digits in which shared shingles are counted: each gets up to about
 # DIGIT_VALUES of them, which a task sorts in some 300 MB.
 MIN_DIGITS, DIGIT_VALUES = 12, 4_000_000
+BAND_ROWS = 200_000      # bucket rows per partition
 _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -170,7 +171,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     sets = sig.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = materialize(sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
                                                      F.count(F.lit(1)).alias("size")), "minhash-classes")
-    buckets = _shared_buckets(sets, classes)
+    buckets = _shared_buckets(sets, classes, bands_for(percent))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     candidates = materialize(buckets.select("id").distinct(), "minhash-found")
     texts = materialize(select_ids(texts, candidates, "left_semi"), "minhash-texts")
@@ -217,14 +218,14 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _shared_buckets(sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _shared_buckets(sets: DataFrame, classes: DataFrame, bands: int) -> DataFrame:
     """(key, band, id, n): the classes of every bucket that holds more than one."""
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts_for(sets.sparkSession, classes.count() * bands, BAND_ROWS)
     reps = classes.select("digest", "rep", "n")
-    bands = (sets.join(reps, (sets["digest"] == reps["digest"]) & (sets["doc_id"] == reps["rep"]))
+    rows = (sets.join(reps, (sets["digest"] == reps["digest"]) & (sets["doc_id"] == reps["rep"]))
              .select(reps["rep"].alias("id"), reps["n"], F.posexplode("bands").alias("band", "key")).repartition(parts, "key"))
-    shared = bands.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
-    return materialize(bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "minhash-buckets")
+    shared = rows.groupBy("key").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).filter("_lo <> _hi").select("key")
+    return materialize(rows.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "minhash-buckets")
 
 
 def _shingle_hashes():
