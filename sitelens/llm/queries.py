@@ -112,7 +112,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH x AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM x, LATERAL (SELECT unnest(range(0, length(h) // 2 - 49)) AS i)),
+-- windows as 128-bit digests
+w AS MATERIALIZED (SELECT doc_id, unnest([{'i': i, 's': md5_number(substr(h, 2 * i + 1, 100))} FOR i IN range(0, length(h) // 2 - 49)],
+  recursive := true) FROM x),
 m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s),
 g AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE low < doc_id),
 e AS (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM g),
