@@ -356,35 +356,81 @@ def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataF
 # Even surface sample of a mesh
 # --------------------------------------------------------------------------
 
-def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float | None = None) -> DataFrame:
-    """About n points spread evenly over the mesh surface.
+# Points of one triangle are made in blocks of at most so many.
+SAMPLE_BLOCK = 1 << 16
+# Candidates that mesh_sample draws, as a multiple of n, before it gives up on a radius.
+SAMPLE_TRIES = 30
 
-    Each triangle gets floor(n * area share + u) points (u a seeded hash,
-    so the expected total is n), placed by seeded barycentric coordinates.
-    With ``thin_radius`` one pass of hash-priority thinning keeps a point
-    only if no neighbour within the radius has a smaller hash (a Poisson-disk
-    style spacing; the count then drops below n).
-    """
+
+def _with_area(triangles: DataFrame) -> DataFrame:
     t = triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI])
     cx_ = (F.col("by_") - F.col("ay")) * (F.col("cz") - F.col("az")) - (F.col("bz") - F.col("az")) * (F.col("cy") - F.col("ay"))
     cy_ = (F.col("bz") - F.col("az")) * (F.col("cx") - F.col("ax")) - (F.col("bx") - F.col("ax")) * (F.col("cz") - F.col("az"))
     cz_ = (F.col("bx") - F.col("ax")) * (F.col("cy") - F.col("ay")) - (F.col("by_") - F.col("ay")) * (F.col("cx") - F.col("ax"))
-    t = t.withColumn("area", F.sqrt(cx_ * cx_ + cy_ * cy_ + cz_ * cz_) / 2)
-    total = t.agg(F.sum("area").alias("a")).first()["a"] or 0.0
-    if total <= 0:
-        return t.sparkSession.createDataFrame([], "pt_id long, tri_id long, x double, y double, z double")
-    cnt = F.floor(F.lit(float(n)) * F.col("area") / F.lit(total) + unit_hash("tri_id", f"{seed}:n")).cast("int")
-    s = t.withColumn("_k", cnt).filter(F.col("_k") > 0).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    return t.withColumn("area", F.sqrt(cx_ * cx_ + cy_ * cy_ + cz_ * cz_) / 2)
+
+
+def _draw(t: DataFrame, total: float, largest: float, n: float, seed: int, drawn: float = 0.0) -> DataFrame:
+    """Points (tri_id, _i, x, y, z) of the triangles ``t`` with their area:
+    those that a sample of about n has beyond one of about ``drawn``. They
+    are known by (tri_id, _i), the _i of a triangle running from 0."""
+    u = unit_hash("tri_id", f"{seed}:n")
+
+    def upto(m: float) -> F.Column:
+        return F.floor(F.lit(float(m)) * F.col("area") / F.lit(total) + u).cast("long")
+
+    s = t.withColumns({"_from": upto(drawn) if drawn else F.lit(0).cast("long"), "_to": upto(n)}).filter(F.col("_to") > F.col("_from"))
+    s = s.withColumn("_at", F.explode(F.sequence("_from", F.col("_to") - 1, F.lit(SAMPLE_BLOCK).cast("long"))))
+    if (n - drawn) * largest / total > SAMPLE_BLOCK:     # a large triangle's blocks go to many tasks
+        par = t.sparkSession.sparkContext.defaultParallelism
+        s = s.repartition(max(par, math.ceil((n - drawn) / 1_000_000)), "tri_id", "_at")
+    s = s.withColumn("_i", F.explode(F.sequence("_at", F.least(F.col("_at") + SAMPLE_BLOCK, F.col("_to")) - 1)))
     key = F.concat_ws(":", F.col("tri_id").cast("string"), F.col("_i").cast("string"))
     r1, r2 = unit_hash(key, f"{seed}:u"), unit_hash(key, f"{seed}:v")
     sq = F.sqrt(r1)
     wa, wb, wc = F.lit(1.0) - sq, sq * (F.lit(1.0) - r2), sq * r2
-    pts = s.select((F.col("tri_id") * F.lit(1 << 20) + F.col("_i")).alias("pt_id"), "tri_id",
-                   *[(wa * F.col(f"a{a}") + wb * F.col("by_" if a == "y" else f"b{a}") + wc * F.col(f"c{a}")).alias(a)
-                     for a in XYZ])
+    return s.select("tri_id", "_i", *[(wa * F.col(f"a{a}") + wb * F.col("by_" if a == "y" else f"b{a}") + wc * F.col(f"c{a}")).alias(a)
+                                      for a in XYZ])
+
+
+def _point_ids(pts: DataFrame, most: float, far: int) -> DataFrame:
+    """pt_id in place of _i: tri_id * 2^20 + _i, the power raised where a
+    triangle can have more points than that (``most``); ranks where the
+    largest tri_id (``far``) leaves no room for it."""
+    bits = max(20, math.ceil(most).bit_length())
+    if (far + 1) << bits < 1 << 63:
+        ids = pts.withColumn("pt_id", F.col("tri_id").cast("long") * F.lit(1 << bits).cast("long") + F.col("_i"))
+    else:
+        from sitelens.operators.cluster import global_rank
+        ids = global_rank(pts.withColumn("_p", F.struct("tri_id", "_i")), "_p").withColumnRenamed("_rank", "pt_id")
+    return ids.select("pt_id", "tri_id", *XYZ)
+
+
+def _mesh_size(t: DataFrame) -> tuple[float, float, int]:
+    """(total area, largest area, largest absolute tri_id)."""
+    r = t.agg(F.sum("area"), F.max("area"), F.max(F.abs("tri_id"))).first()
+    return float(r[0] or 0.0), float(r[1] or 0.0), int(r[2] or 0)
+
+
+def mesh_sample_once(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float | None = None) -> DataFrame:
+    """About n points spread over the mesh surface, thinned at most once.
+
+    Each triangle gets floor(n * area share + u) points (u a seeded hash,
+    so the expected total is n), placed by seeded barycentric coordinates.
+    With ``thin_radius`` one pass of hash-priority thinning keeps a point
+    only if no neighbour within the radius has a smaller hash; the count then
+    drops below n, as points beaten by a dropped one are lost too.
+    ``mesh_sample`` gives exactly n.
+    """
+    t = _with_area(triangles)
+    total, largest, far = _mesh_size(t)
+    if total <= 0:
+        return t.sparkSession.createDataFrame([], "pt_id long, tri_id long, x double, y double, z double")
+    pts = _point_ids(_draw(t, total, largest, n, seed), n * largest / total + 1, far)
     if thin_radius is None:
         return pts
     from sitelens.operators.spatial import eps_pairs
+    pts = pts.checkpoint()      # read five times below
     pr = eps_pairs(pts, XYZ, thin_radius, id_col="pt_id", include_self=False)
     h = pts.select(F.col("pt_id"), hash32("pt_id", seed).alias("h"))
     beaten = (pr.join(h.withColumnsRenamed({"pt_id": "a", "h": "ha"}), "a")
@@ -392,3 +438,66 @@ def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float
               .filter((F.col("hb") < F.col("ha")) | ((F.col("hb") == F.col("ha")) & (F.col("b") < F.col("a"))))
               .select(F.col("a").alias("pt_id")).distinct())
     return pts.join(beaten, "pt_id", "left_anti")
+
+
+def _spaced(pts: DataFrame, radius: float, seed: int) -> DataFrame:
+    """The maximal subset of ``pts`` (with a key ``_p``) without two points
+    within the radius that taking them one by one in hash order gives. Each
+    round drops the neighbours of points that no remaining one beats."""
+    from sitelens.operators.spatial import eps_pairs
+
+    def turn(p: str) -> F.Column:
+        return F.struct(F.xxhash64(F.col(p), F.lit(seed)), F.col(p))
+
+    edges = (eps_pairs(pts, XYZ, radius, id_col="_p", include_self=False).filter(turn("b") < turn("a"))
+             .select(F.col("a").alias("loser"), F.col("b").alias("winner")).checkpoint())
+    while not edges.isEmpty():
+        beaten = edges.select(F.col("loser").alias("winner")).distinct()
+        out = edges.join(beaten, "winner", "left_anti").select("loser").distinct().checkpoint()
+        pts = pts.join(out.withColumnRenamed("loser", "_p"), "_p", "left_anti").checkpoint()
+        edges = (edges.join(out, "loser", "left_anti")
+                 .join(out.withColumnRenamed("loser", "winner"), "winner", "left_anti").checkpoint())
+    return pts
+
+
+def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float | None = None) -> DataFrame:
+    """Exactly n points on the mesh surface, no two within ``thin_radius``.
+
+    Points are drawn as in ``mesh_sample_once`` and thinned to a maximal set;
+    further draws, thinned against the kept points too, fill up to n, and what
+    the last draw has beyond n goes in hash order. Without a radius one is
+    taken from n and the surface (0.7 of the root of area per point) and made
+    smaller where n points don't find room, so there are always n. A given
+    radius at which ``SAMPLE_TRIES * n`` candidates don't bring n points is an
+    error that says how many fit. A mesh without area has no points."""
+    from sitelens.operators.cluster import global_rank
+    from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _pairs_within
+    t = _with_area(triangles).checkpoint()
+    total, largest, far = _mesh_size(t)
+    if total <= 0 or n <= 0:
+        return t.sparkSession.createDataFrame([], "pt_id long, tri_id long, x double, y double, z double")
+    radius = math.sqrt(total / n / 2) if thin_radius is None else thin_radius
+    coords = {a: f"_x{i}" for i, a in enumerate(XYZ)}
+    kept, have, drawn, more, limit = None, 0, 0.0, float(n), float(SAMPLE_TRIES) * n
+    while have < n:
+        new = _draw(t, total, largest, drawn + more, seed, drawn).withColumn("_p", F.struct("tri_id", "_i")).checkpoint()
+        if kept is not None:
+            near = _pairs_within(new.select(F.col("_p").alias("_id"), *[F.col(a).alias(x) for a, x in coords.items()]),
+                                 kept.select(F.col("_p").alias("_id"), *[F.col(a).alias(x) for a, x in coords.items()]),
+                                 3, radius, DEFAULT_ROWS_PER_SPLIT)
+            new = new.join(near.select(F.col("a").alias("_p")).distinct(), "_p", "left_anti").checkpoint()
+        new = _spaced(new, radius, seed)
+        found = new.count()
+        if have + found > n:
+            new = (global_rank(new.withColumn("_h", F.struct(F.xxhash64("_p", F.lit(seed)), F.col("_p"))), "_h")
+                   .filter(F.col("_rank") < n - have).drop("_h", "_rank"))
+            found = n - have
+        kept = new if kept is None else kept.unionByName(new).checkpoint()
+        have, drawn = have + found, drawn + more
+        if have < n and drawn >= limit:
+            if thin_radius is not None:
+                raise ValueError(f"{have} of {n} points found room at a distance of {radius} from each other")
+            radius, limit = radius * 0.7, limit + SAMPLE_TRIES * n
+        # as many as the missing ones need by the last draw's yield, and half as many again
+        more = min(1.5 * (n - have) * more / max(found, 1), drawn) + 1
+    return _point_ids(kept, drawn * largest / total + 1, far)

@@ -236,6 +236,12 @@ def q_estimate_normals(spark, sf):
 
 
 def q_mesh_sample(spark, sf):
+    """One thinning pass, as the SQL states it; mesh_sample_even is the whole job."""
+    s = CL.mesh_sample_once(common.mesh_triangles(spark, sf), n=5000, thin_radius=0.005)
+    return s.select("pt_id", "tri_id", r6("x"), r6("y"), r6("z"))
+
+
+def q_mesh_sample_even(spark, sf):
     s = CL.mesh_sample(common.mesh_triangles(spark, sf), n=5000, thin_radius=0.005)
     return s.select("pt_id", "tri_id", r6("x"), r6("y"), r6("z"))
 
@@ -334,6 +340,7 @@ for _name, _fn, _sql in [
     ("union_vertices", q_union_vertices, UNION_SQL),
     ("estimate_normals", q_estimate_normals, None),
     ("mesh_sample", q_mesh_sample, MESH_SAMPLE_SQL),
+    ("mesh_sample_even", q_mesh_sample_even, None),
     ("knn_radius", q_knn_radius, KNN_SQL),
     ("eps_pairs", q_eps_pairs, EPS_SQL),
     ("nn_join", q_nn_join, NN_JOIN_SQL),

@@ -270,3 +270,47 @@ def test_copies_share_their_neighbours(spark):
         d = np.sqrt(((x - x[k]) ** 2).sum(1))
         order = sorted((v, int(ids[j])) for j, v in enumerate(d) if v <= 0.4)[:7]
         assert [b for _, b in sorted(got[i])] == [b for _, b in order]
+
+
+def _surface(spark, corners):
+    return spark.createDataFrame([(i, *map(float, np.ravel(c))) for i, c in corners], "tri_id long, " + ", ".join(f"{c} double" for c in CL.TRI))
+
+
+def test_mesh_sample_spaces_exactly_n_points(spark):
+    """A slab beside small triangles at a radius that drops many of the first draw."""
+    rnd = np.random.default_rng(3)
+    small = [(i, b + np.array([[0, 0, 0], [0.05, 0, 0], [0, 0.05, 0]])) for i, b in enumerate(rnd.random((40, 3)))]
+    tris = _surface(spark, [*small, (99, [[0, 0, 2], [3, 0, 2], [0, 3, 2]])])
+    for radius in (0.06, None):
+        got = CL.mesh_sample(tris, 500, thin_radius=radius).toPandas()
+        assert len(got) == 500 and got["pt_id"].is_unique
+        p = got[["x", "y", "z"]].to_numpy()
+        d = np.sqrt(((p[:, None] - p[None]) ** 2).sum(-1)) + np.eye(len(p)) * 9
+        assert d.min() > (radius or 0.05)
+    again = CL.mesh_sample(tris.repartition(3), 500).toPandas().sort_values("pt_id").reset_index(drop=True)
+    assert again.equals(got.sort_values("pt_id").reset_index(drop=True))
+    with pytest.raises(ValueError, match="of 500 points"):
+        CL.mesh_sample(tris, 500, thin_radius=0.5)
+
+
+def test_mesh_sample_keeps_points_dropped_ones_beat(spark):
+    """The thinning is the greedy choice in hash order: maximal, so every
+    point that it drops lies near a kept one."""
+    tris = _surface(spark, [(7, [[0, 0, 0], [1, 0, 0], [0, 1, 0]])])
+    pts = CL._draw(CL._with_area(tris), 0.5, 0.5, 300, 42).withColumn("_p", F.struct("tri_id", "_i")).checkpoint()
+    kept = {r["_i"] for r in CL._spaced(pts, 0.08, 42).collect()}
+    rows = pts.withColumn("h", F.xxhash64("_p", F.lit(42))).orderBy("h", "_p").collect()
+    want = []
+    for r in rows:
+        if all((r["x"] - q["x"]) ** 2 + (r["y"] - q["y"]) ** 2 > 0.08 ** 2 for q in want):
+            want.append(r)
+    assert kept == {r["_i"] for r in want} and len(want) < 200
+
+
+def test_mesh_sample_ids_of_large_triangles(spark):
+    """More than 2^20 points on one triangle, its neighbour's ids after them."""
+    tris = _surface(spark, [(0, [[0, 0, 0], [19, 0, 0], [0, 1, 0]]), (1, [[0, 0, 1], [1, 0, 1], [0, 1, 1]])])
+    got = CL.mesh_sample_once(tris, 1_200_000).agg(F.count("pt_id"), F.countDistinct("pt_id"), F.countDistinct("tri_id")).first()
+    assert got[0] == got[1] and abs(got[0] - 1_200_000) <= 2 and got[2] == 2
+    far = _surface(spark, [(2 ** 62, [[0, 0, 0], [1, 0, 0], [0, 1, 0]])])
+    assert {r["pt_id"] for r in CL.mesh_sample_once(far, 50).collect()} == set(range(50))
