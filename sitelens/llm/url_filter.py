@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import prepare
+from sitelens.llm.common import attach_groups, materialize, prepare
 
 # Fixed values of this query's rule list: (verdict, host and path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -25,6 +25,9 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 FEATURES = ("url_len", "host_len", "path_len", "depth", "labels", "digit_ratio", "host_digits", "hyphens", "entropy",
             "params", "suffix_share", "suffix_weight")
 ALLOW, BLOCK = "allow", "block"
+# Statistics of up to this many suffixes are broadcast; more meet the rows in
+# a shuffle join.
+BROADCAST_SUFFIXES = 200_000
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -64,10 +67,11 @@ def _plogp(p: Column) -> Column:
     return F.when(p > 0, -p * F.log2(p)).otherwise(F.lit(0.0))
 
 
-def lexical(pages: DataFrame) -> DataFrame:
-    """Adds host, path, suffix and the lexical features to (page_id, url)."""
+def lexical(pages: DataFrame, keep: str = "page_id") -> DataFrame:
+    """Adds host, path, suffix and the lexical features to (page_id, url), or
+    another column in place of page_id."""
     host, path = split_url(F.col("url"))
-    df = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("url")).withColumns({"host": host, "path": path})
+    df = pages.select(keep, F.coalesce(F.col("url"), F.lit("")).alias("url")).withColumns({"host": host, "path": path})
     n = F.length("url")
 
     def digits(c: str) -> Column:
@@ -88,29 +92,45 @@ def lexical(pages: DataFrame) -> DataFrame:
     })
 
 
+def suffix_stats(features: DataFrame, label: str = "label") -> tuple[DataFrame, float]:
+    """(statistics, share of allow), counted over all rows: per suffix its
+    rows, its smoothed share of allowed labels and its weight (the latter two
+    null if no row of it has a label). The share is 1 without labels."""
+    counts = materialize(features.groupBy("suffix").agg(F.sum(label).alias("allowed"), F.count(label).alias("labelled"),
+                                                        F.count(F.lit(1)).alias("suffix_rows")), "url-suffixes")
+    allowed, n = counts.agg(F.sum("allowed"), F.sum("labelled")).first()
+    share = allowed / n if n else 1.0
+    return counts.select("suffix", "suffix_rows", *[F.when(F.col("labelled") > 0, c).alias(name) for name, c in (
+        ("suffix_share", (F.col("allowed") + 10 * F.lit(share)) / (F.col("labelled") + 10)), ("suffix_weight", F.log1p("labelled")))]), share
+
+
 def _with_suffix(df: DataFrame, stats: DataFrame, prior: float) -> DataFrame:
     """Adds the smoothed share of allowed URLs of the suffix and its weight."""
-    return (df.join(F.broadcast(stats), df["suffix"] == stats["_suffix"], "left").drop("_suffix")
-            .withColumns({"suffix_share": F.coalesce("suffix_share", F.lit(prior)),
-                          "suffix_weight": F.coalesce("suffix_weight", F.lit(0.0))}))
+    if stats.count() <= BROADCAST_SUFFIXES:
+        labelled = stats.filter(F.col("suffix_share").isNotNull()).drop("suffix_rows")
+        df = df.join(F.broadcast(labelled), "suffix", "left")
+    else:
+        # any suffix may be on a third of the rows, with or without labels
+        df = materialize(df, "url-features")
+        df = attach_groups(df, stats, "suffix", "suffix_rows", df.count()).drop("suffix_rows")
+    return df.withColumns({"suffix_share": F.coalesce("suffix_share", F.lit(prior)),
+                           "suffix_weight": F.coalesce("suffix_weight", F.lit(0.0))})
 
 
 def train(features: DataFrame, label: str = "label", sample_rows: int = 20_000, rounds: int = 10,
           depth: int = 3) -> tuple[Model | None, DataFrame, float]:
-    """Boosted trees on a bounded sample: the ``sample_rows`` labelled rows
-    that come first by a hash of the URL (an equal share by suffix isn't
-    enforced). ``label`` is 1 for allow, 0 for block, null for unlabelled.
-    Returns (model, suffix statistics, share of allow); the statistics have
-    at most ``sample_rows`` rows. No model if there are not two classes."""
-    sample = (features.filter(F.col(label).isNotNull()).orderBy(F.xxhash64("url"), "url", "page_id").limit(sample_rows)).checkpoint()
-    n, share = sample.agg(F.count(F.lit(1)), F.avg(label)).first()
-    share = float(share) if n else 1.0
-    stats = sample.groupBy(F.col("suffix").alias("_suffix")).agg(
-        ((F.sum(label) + 10 * F.lit(share)) / (F.count(F.lit(1)) + 10)).alias("suffix_share"),
-        F.log1p(F.count(F.lit(1))).alias("suffix_weight"))
-    if not n or share in (0.0, 1.0):
+    """Boosted trees on a bounded sample: the ``sample_rows`` distinct
+    labelled URLs that come first by a hash of the URL (an equal share by
+    suffix isn't enforced). ``label`` is 1 for allow, 0 for block, null for
+    unlabelled. Returns (model, suffix statistics, share of allow); only the
+    fit is on the sample, the other two count all labelled rows. No model if
+    the sample hasn't two classes."""
+    stats, share = suffix_stats(features, label)
+    urls = features.filter(F.col(label).isNotNull()).select("url", label).distinct()
+    sample = urls.orderBy(F.xxhash64("url"), "url", label).limit(sample_rows).checkpoint()
+    if sample.select(label).distinct().count() < 2:
         return None, stats, share
-    data = _assemble(_with_suffix(sample, stats, share)).select("features", F.col(label).cast("double").alias("label"))
+    data = _assemble(_with_suffix(lexical(sample, label), stats, share)).select("features", F.col(label).cast("double").alias("label"))
     return GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7).fit(data), stats, share
 
 

@@ -76,6 +76,45 @@ def test_one_class_none_and_empty(spark):
     assert {r["verdict"] for r in only} == {"block"}
 
 
+def labelled(spark, urls):
+    return uf.lexical(pages(spark, urls)).withColumn("label", uf.F.when(uf.F.col("url").contains("good"), 1).when(uf.F.col("url").contains("bad"), 0))
+
+
+def test_suffix_statistics_count_all_labelled_rows(spark):
+    """Also suffixes that no row of the sample has, and repeated rows."""
+    urls = [f"http://a{i}.s{i % 40}/{'good' if i % 3 else 'bad'}" for i in range(240)] + ["http://x.new/"] * 50 + ["http://x.s1/bad"] * 100
+    _, stats, share = uf.train(labelled(spark, urls), sample_rows=10)
+    got = {r["suffix"]: r for r in stats.collect()}
+    labels = [(u.split("/")[2].split(".")[1], "good" in u) for u in urls if not u.endswith(".new/")]
+    assert abs(share - sum(y for _, y in labels) / len(labels)) < 1e-12
+    assert len(got) == 41 and got["new"]["suffix_share"] is None
+    for s in {s for s, _ in labels}:
+        mine = [y for t, y in labels if t == s]
+        assert abs(got[s]["suffix_share"] - (sum(mine) + 10 * share) / (len(mine) + 10)) < 1e-12
+        assert abs(got[s]["suffix_weight"] - math.log1p(len(mine))) < 1e-12
+
+
+def test_repeated_url_takes_one_place_of_the_sample(spark):
+    """Whatever the hash of the URL is: its copies alone would fill it."""
+    urls = [f"http://{i}.com/good" for i in range(30)] + [f"http://{i}.net/bad" for i in range(30)]
+    for one in ("http://0.com/good", "http://0.net/bad"):
+        first = sorted(spark.createDataFrame([(u,) for u in urls], "url string").select("url", uf.F.xxhash64("url").alias("h")).collect(),
+                       key=lambda r: r["h"])
+        hot = next(r["url"] for r in first if r["url"].endswith(one[-4:]))
+        model, _, _ = uf.train(labelled(spark, urls + [hot] * 500), sample_rows=40)
+        assert model is not None
+
+
+def test_many_suffixes_meet_the_rows_in_a_shuffle_join(spark, monkeypatch):
+    urls = [f"http://a{i}.s{i % 40}/{('good', 'bad', 'x')[i % 3]}" for i in range(240)] + ["http://x.new/"] * 200
+    rows = labelled(spark, urls)
+    stats, share = uf.suffix_stats(rows)
+    cols = ["page_id", "url", "suffix_share", "suffix_weight"]
+    want = sorted(uf._with_suffix(rows, stats, share).select(cols).collect())
+    monkeypatch.setattr(uf, "BROADCAST_SUFFIXES", 5)
+    assert sorted(uf._with_suffix(rows, stats, share).select(cols).collect()) == want and len(want) == len(urls)
+
+
 def test_no_python_in_the_plan(spark):
     plan = uf.judge(pages(spark, URLS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
