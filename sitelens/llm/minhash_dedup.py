@@ -55,9 +55,15 @@ _FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def bands_for(percent: int) -> int:
-    """Bands needed so that MISS holds at a threshold of percent / 100."""
-    agree = (percent / 100) ** (2 * PER_BAND)
-    return min(_DRAWN.shape[1] // PER_BAND, max(1, math.ceil(math.log(MISS) / math.log1p(-agree)))) if percent < 100 else 1
+    """Bands needed so that MISS holds at a threshold of percent / 100. An
+    error if the permutations drawn don't suffice for that (below 49)."""
+    agree, most = (percent / 100) ** (2 * PER_BAND), _DRAWN.shape[1] // PER_BAND
+    if percent >= 100:
+        return 1
+    bands = max(1, math.ceil(math.log(MISS) / math.log1p(-agree))) if agree > 0 else math.inf
+    if bands > most:
+        raise ValueError(f"a threshold of {percent} % needs {bands} bands for a miss chance of {MISS}; there are {most}")
+    return bands
 
 
 def least_agreement(percent: int, bands: int) -> int:

@@ -132,3 +132,12 @@ def test_sketches_never_fall_short_at_the_threshold(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>").coalesce(1)
     got = [r["k"] - (-n % 16) for r in df.select(minhash_dedup._agreement("a", "b").alias("k")).collect()]
     assert got == want and min(want) >= least
+
+
+def test_every_accepted_threshold_meets_the_miss_chance():
+    assert [minhash_dedup.bands_for(p) for p in (80, 85, 100)] == [61, 39, 1]
+    for percent in range(49, 100):
+        assert (1 - (percent / 100) ** 6) ** minhash_dedup.bands_for(percent) <= minhash_dedup.MISS
+    for percent in (0, 10, 40, 48):
+        with pytest.raises(ValueError, match="bands"):
+            minhash_dedup.bands_for(percent)
