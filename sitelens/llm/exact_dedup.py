@@ -51,6 +51,16 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"))
 
 
+def _bring(index: DigestIndex, rows: DataFrame, batch: str) -> DataFrame:
+    """Append the digests of ``rows`` that the index lacks. Returns the rows'
+    groups: digest, keep_id (largest doc_id) and group_size."""
+    groups = materialize(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
+                                                    F.count(F.lit(1)).alias("group_size")), "digest-groups")
+    fresh = materialize(index.unknown(groups), "digests-new")
+    index.append(fresh, batch)
+    return groups
+
+
 def ingest(index: DigestIndex, docs: DataFrame, batch: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """De-duplicate a batch against the index and append what is new.
@@ -66,10 +76,7 @@ def ingest(index: DigestIndex, docs: DataFrame, batch: str, id_col: str = "doc_i
     known. An empty batch returns no rows and appends nothing."""
     rows = materialize(digests(docs, id_col, text_col), "digests")
     n_rows = rows.count()
-    groups = materialize(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
-                                                    F.count(F.lit(1)).alias("group_size")), "digest-groups")
-    fresh = materialize(index.unknown(groups), "digests-new")
-    index.append(fresh, batch)
+    groups = _bring(index, rows, batch)
     known = index.read().select("digest", F.col("keep_id").alias("_first"), F.col("group_size").alias("_size"), "batch")
     decided = groups.join(known.hint("merge"), "digest").select(
         "digest", F.when(F.col("batch") == batch, F.col("keep_id")).otherwise(F.col("_first")).alias("keep_id"),
@@ -80,13 +87,32 @@ def ingest(index: DigestIndex, docs: DataFrame, batch: str, id_col: str = "doc_i
                       (F.col("_own") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
-    """De-duplicate one table through a new index under the shared folder."""
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None,
+                batches: int = 1) -> DataFrame:
+    """De-duplicate one table through a new index under the shared folder.
+
+    With several batches the ids are cut into so many ranges of about equal
+    rows, which the index meets from the largest ids to the smallest and null
+    last, so the first row that it has of a text is the one that stays."""
     spark = docs.sparkSession
     prepare(spark)
     buckets = buckets or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     index = DigestIndex(spark, scratch_path(spark, "digest-index"), buckets)
-    return ingest(index, docs, "batch-0", id_col, text_col)
+    if batches == 1:
+        return ingest(index, docs, "batch-0", id_col, text_col)
+    rows = materialize(digests(docs, id_col, text_col), "digests")
+    n_rows, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])).first()
+    ends = [None, *sorted(set(cuts or []), reverse=True), None]
+    sizes = None
+    for i, (high, low) in enumerate(zip(ends, ends[1:])):
+        part = rows if high is None else rows.filter((F.col("doc_id") <= high) | F.col("doc_id").isNull())
+        part = part if low is None else part.filter(F.col("doc_id") > low)
+        groups = _bring(index, part, f"batch-{i}").select("digest", "group_size")
+        sizes = groups if sizes is None else sizes.unionByName(groups)
+    sizes = sizes.groupBy("digest").agg(F.sum("group_size").alias("group_size"))
+    decided = materialize(index.read().select("digest", "keep_id").hint("merge").join(sizes, "digest"), "digests-decided")
+    out = attach_groups(rows, decided, "digest", "group_size", n_rows)
+    return out.select("doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:

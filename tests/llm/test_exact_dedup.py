@@ -63,3 +63,37 @@ def test_drop_copies_keeps_columns_and_one_of_each(docs):
     assert collect(out, "doc_id", "text") == [(2, "a"), (3, "b"), (3, "c"), (5, ""), (None, "z")]
     unique = exact_dedup.drop_copies(docs([(1, "a"), (2, "a"), (3, "b")]))
     assert collect(unique, "doc_id") == [(2,), (3,)]
+
+
+def test_id_ranges_through_one_index(docs, odd_texts, monkeypatch):
+    """As one batch, null and repeated ids included; later ranges bring
+    texts that the index knows."""
+    rows = [(i, t) for i, t in enumerate(odd_texts * 3)] + [(None, "one"), (None, "only null"), (None, "only null"), (3, "same text here"), (3, "b")]
+    removed = []
+    unknown = exact_dedup.DigestIndex.unknown
+
+    def spy(self, groups):
+        out = unknown(self, groups)
+        removed.append(groups.count() - out.count())
+        return out
+
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unknown", spy)
+
+    def answer(batches):
+        out = exact_dedup.exact_dedup(docs(rows), batches=batches)
+        return sorted(((r["doc_id"], bytes(r["digest"]), r["keep_id"], r["group_size"], r["kept"]) for r in out.collect()), key=str)
+
+    assert answer(4) == answer(1) and len(removed) == 5
+    assert removed[0] == 0 and min(removed[1:4]) > 0 and removed[4] == 0
+    for few in ([], [(None, "a"), (None, "a")], [(7, "a"), (7, "a"), (7, "b")]):
+        got = exact_dedup.exact_dedup(docs(few), batches=4).collect()
+        assert len(got) == len(few) and all(r["kept"] for r in got)
+
+
+def test_op4_meets_an_index_that_knows_texts(spark, monkeypatch):
+    from sitelens.llm import queries
+    seen = []
+    unknown = exact_dedup.DigestIndex.unknown
+    monkeypatch.setattr(exact_dedup.DigestIndex, "unknown", lambda self, groups: seen.append(self.read().count()) or unknown(self, groups))
+    queries.QUERIES["op4_exact_dedup"](spark, "/root/testdata/sf0.001").count()
+    assert len(seen) == 4 and seen[0] == 0 and min(seen[1:]) > 0
