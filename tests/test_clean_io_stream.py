@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from sitelens.operators import clean as C
 from sitelens.operators.cluster import CentroidModel
 from sitelens.plans import common

@@ -4,7 +4,7 @@ parquet scan."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from sitelens.operators.ranking import recommend
 from sitelens.plans import common
 from sitelens.plans.recommend import recommend_topk

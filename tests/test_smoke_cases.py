@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from tables import SF_MID, SF_SMALL
 from sitelens.operators import cluster as K
 from sitelens.operators.ranking import recommend
 from sitelens.plans import common, models
