@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, quality, suffix_dedup, token_count, url_filter, warc
+from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, phrases, quality, suffix_dedup, token_count, url_filter, warc
 from sitelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives and read back."""
     manifest, out = warc.archive_pages(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest, out).drop("url")
+
+
+OP12_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM p),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM (
+    SELECT lang, k, ws[i:i + k - 1] AS g FROM w, LATERAL (SELECT unnest([1, 2, 3, 4]) AS k), LATERAL (SELECT unnest(range(1, len(ws)::BIGINT - k + 2)) AS i)
+    WHERE len(ws) >= k) GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, g, f AS a FROM f WHERE k >= 2),
+s AS (SELECT c.lang, c.k, c.g, c.a, x.f AS l, y.f AS r, j, (2000000::HUGEINT * c.a // (x.f + y.f))::BIGINT AS score
+      FROM c, LATERAL (SELECT unnest(range(1, c.k)) AS j)
+      JOIN f x ON x.lang = c.lang AND x.g = c.g[1:j] JOIN f y ON y.lang = c.lang AND y.g = c.g[j + 1:c.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+e AS (SELECT lang, sub, max(a) AS a FROM (
+    SELECT lang, a, g[i:i + m - 1] AS sub FROM c, LATERAL (SELECT unnest(range(2, c.k)) AS m), LATERAL (SELECT unnest(range(1, c.k - m + 2)) AS i))
+    GROUP BY ALL),
+z AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score
+      FROM b LEFT JOIN e ON e.lang = b.lang AND e.sub = b.g WHERE e.a IS NULL OR 100::HUGEINT * e.a < 80::HUGEINT * b.a)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+FROM z JOIN t ON t.lang = z.lang QUALIFY rank <= 2000
+"""
+
+
+@_query("op12_phrases", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
