@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, phrases, quality, suffix_dedup, token_count, url_filter, warc
+from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, phrases, quality, ranked_search, suffix_dedup, token_count, url_filter, warc
 from sitelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,25 @@ FROM z JOIN t ON t.lang = z.lang QUALIFY rank <= 2000
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The collocations of every language."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH x AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+t AS MATERIALIZED (SELECT kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM x),
+c AS MATERIALIZED (SELECT kind, id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT id, sum(tf)::BIGINT AS n FROM c WHERE kind = 'd' GROUP BY id),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(s.docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, s WHERE kind = 'd' GROUP BY term),
+p AS (SELECT i.id AS item_id, d.id AS doc_id,
+        sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 12 * (100 - 25 + (25 * n.n * s.docs) // s.terms))))::BIGINT AS score
+      FROM c i JOIN c d ON i.term = d.term AND i.kind = 'i' AND d.kind = 'd' JOIN w ON w.term = i.term JOIN n ON n.id = d.id, s GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM p WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@_query("op13_ranked_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

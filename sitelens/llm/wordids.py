@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from sitelens.llm.shingles import mix
@@ -35,7 +36,7 @@ def gather(batches: Iterable[pa.RecordBatch], column: int, limit: int = BATCH_BY
     held, size = [], 0
     for batch in batches:
         at = 0
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         for cut in np.flatnonzero(np.diff((size + np.cumsum(lengths)) // limit)) + 1:
             held.append(batch.slice(at, cut - at))
             yield pa.Table.from_batches(held)
