@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, phrases, quality, ranked_search, suffix_dedup, token_count, url_filter, warc
+from sitelens.llm import bpe_codec, decontam, exact_dedup, language_id, minhash_dedup, outliers, phrases, quality, ranked_search, suffix_dedup, token_count, url_filter, warc
 from sitelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,6 +169,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, out).drop("url")
 
 
+@_query("op11_quality_rules")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, base rules and the outlier verdict of every document."""
+    return outliers.judge(table(spark, sf_dir, "documents"))
+
+
 OP12_SQL = r"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
