@@ -73,15 +73,24 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def select_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (``left_semi``) or isn't
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written with a number of its own for every row, and the name of
+    that column. Rows with null, repeated or equal ids stay apart by it."""
+    key = "_row"
+    while key in df.columns:
+        key += "_"
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
+def select_ids(docs: DataFrame, ids: DataFrame, how: str, on: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose ``on`` is (``left_semi``) or isn't
     (``left_anti``) in the one column of ``ids``, a written table of distinct
     values. Null equals null. Up to BROADCAST_IDS ids are broadcast and the
     texts stay where they are; more meet the texts in a sort-merge join."""
     (name,) = ids.columns
     side = ids.withColumnRenamed(name, "_picked")
     side = F.broadcast(side) if ids.count() <= BROADCAST_IDS else side.hint("merge")
-    return docs.join(side, docs["doc_id"].eqNullSafe(side["_picked"]), how)
+    return docs.join(side, docs[on].eqNullSafe(side["_picked"]), how)
 
 
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, n_rows: int,

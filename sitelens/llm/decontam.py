@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import materialize, prepare, select_ids
+from sitelens.llm.common import materialize, numbered, prepare, select_ids
 
 WIDTH = 5
 # A sketch table up to this many rows (16 bytes each) is broadcast; a larger
@@ -100,6 +100,14 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80, id_col
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
-    """All columns of the documents that contain no item."""
-    bad = materialize(contained_items(docs, items, percent).select("doc_id").distinct(), "leaks")
-    return select_ids(docs, bad, "left_anti")
+    """All columns of the rows whose text contains no item.
+
+    Every row and every item is judged by its own text, whatever their ids:
+    null and repeated ids make no difference, and rows that repeat a text go
+    or stay together. Null, empty and blank texts stay, such items match
+    nothing. Empty tables are allowed. The texts move at most once."""
+    names = docs.columns
+    rows, key = numbered(docs, "decontamination-rows")
+    asked, number = numbered(items.select("text"), "decontamination-items")
+    bad = contained_items(rows, asked.select(F.col(number).alias("item_id"), "text"), percent, id_col=key).select("doc_id").distinct()
+    return select_ids(rows, materialize(bad, "leaks"), "left_anti", key).select(*names)

@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, materialize, prepare, select_ids
+from sitelens.llm.common import attach_groups, materialize, numbered, prepare, select_ids
 from sitelens.session import scratch_path
 
 
@@ -115,20 +115,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (all columns) that stay; of rows that repeat id and
-    text one stays. The texts move at most once, to meet the ids to drop."""
-    decided = materialize(exact_dedup(docs).select("doc_id", "kept"), "exact-kept")
-    gone = materialize(decided.filter(~F.col("kept")).select("doc_id").distinct(), "exact-gone")
-    # an id can stand for several texts: only ids met more than once need the second look
-    many = (decided.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("any"))
-            .filter((F.col("n") > 1) & F.col("any")))
-    return select_ids(docs, gone, "left_anti") if many.isEmpty() else _drop_copies_of_shared_ids(docs)
-
-
-def _drop_copies_of_shared_ids(docs: DataFrame) -> DataFrame:
-    """The case of ids that aren't unique: decide by id and text."""
-    keyed = docs.withColumn("_digest", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    best = keyed.groupBy("_digest").agg(F.max("doc_id").alias("_keep"))
-    kept = keyed.join(best, "_digest").filter(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return kept.dropDuplicates(["_digest"]).select(*docs.columns)
+def drop_copies(docs: DataFrame, batches: int = 4) -> DataFrame:
+    """All columns of the rows that stay: of equal texts (null counts as empty)
+    the one with the largest doc_id (null first; of equal ids any one).
+
+    The rows meet one index in ``batches``, which tells the groups; every row is
+    known by a number of its own, so null and repeated ids make no difference.
+    An empty table gives no rows. The texts move at most once, to meet the
+    rows to drop."""
+    names = docs.columns
+    rows, key = numbered(docs, "exact-rows")
+    groups = exact_dedup(rows, id_col=key, batches=batches).select(F.col("doc_id").alias("_key"), "digest")
+    ids = rows.select(F.col(key).alias("_key"), F.col("doc_id").alias("_id"))
+    groups = materialize(groups.join(ids, "_key"), "exact-groups")
+    stay = groups.groupBy("digest").agg(F.max(F.struct("_id", "_key")).alias("best")).select(F.col("best._key").alias("_key"))
+    gone = materialize(groups.join(stay, "_key", "left_anti").select("_key"), "exact-gone")
+    return select_ids(rows, gone, "left_anti", key).select(*names)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.llm.common import attach_groups, binary_list, materialize, parts_for, prepare, release_shuffles, select_ids
+from sitelens.llm.common import attach_groups, binary_list, materialize, numbered, parts_for, prepare, release_shuffles, select_ids
 from sitelens.llm.components import components
 from sitelens.llm.meeting import HASH_BITS, shared_hashes
 from sitelens.llm.shingles import Hasher, mix, overlap
@@ -328,7 +328,19 @@ def _rest_pairs(open_members: DataFrame, marks: DataFrame, percent: int) -> Data
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """All columns of the documents that stand for their component. The texts
-    move at most once, to meet the ids to drop."""
-    gone = materialize(near_duplicates(docs, percent).filter(~F.col("kept")).select("doc_id").distinct(), "minhash-gone")
-    return select_ids(docs, gone, "left_anti")
+    """All columns of the rows that stay: of linked rows the one with the
+    smallest doc_id (null last; of equal ids any one).
+
+    Rows are linked by their own texts, whatever their ids: a row doesn't go
+    for a namesake, and of equal texts under null or repeated ids one stays.
+    Null, empty and blank texts link with nothing and stay. An empty table
+    gives no rows. The texts move at most once, to meet the rows to drop."""
+    names = docs.columns
+    rows, key = numbered(docs, "minhash-rows")
+    linked = near_duplicates(rows, percent, id_col=key).select(F.col("doc_id").alias("_key"), "component_id")
+    ids = rows.select(F.col(key).alias("_key"), F.col("doc_id").alias("_id"))
+    linked = materialize(linked.join(ids, "_key"), "minhash-linked")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("best")
+    stay = linked.groupBy("component_id").agg(first).select(F.col("best._key").alias("_key"))
+    gone = materialize(linked.join(stay, "_key", "left_anti").select("_key"), "minhash-gone")
+    return select_ids(rows, gone, "left_anti", key).select(*names)

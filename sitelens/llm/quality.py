@@ -84,8 +84,9 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, sample
     """Fit on a bounded sample: of either class the ``rows_per_class`` labelled
     documents that come first by a hash of the id (one half for the
     dictionary, one for the curve), dropping the longest while a class has
-    more than ``sample_bytes``; equal texts count once. Held-out rows and rows with a null id, label
-    or text are never read. A document with several labels counts with the
+    more than ``sample_bytes``; equal texts count once, and of an id with several
+    texts its shortest. Held-out rows and rows with a null id, label or text are
+    never read, and at most ``rows_per_class`` texts a class come to the driver. A document with several labels counts with the
     larger one. None if a class has fewer than 8 documents."""
     spark = docs.sparkSession
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id"))
@@ -95,19 +96,20 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, sample
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class).collect()]
     ids = spark.createDataFrame([(r["doc_id"], r["quality"]) for r in picked], "_id long, _quality int")
     texts = (docs.filter(F.col("text") != "").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
-             .select("_id", "_quality", F.octet_length("text").alias("_n")))
+             .groupBy("_id", "_quality").agg(F.min(F.struct(F.octet_length("text").alias("n"), F.xxhash64("text").alias("h"))).alias("t")))
     keep = []
     for q in (0, 1):
         total = 0
-        for r in sorted((r for r in texts.collect() if r["_quality"] == q), key=lambda r: (r["_n"], r["_id"])) if picked else []:
-            total += r["_n"]
+        for r in sorted((r for r in texts.collect() if r["_quality"] == q), key=lambda r: (r["t"]["n"], r["_id"])) if picked else []:
+            total += r["t"]["n"]
             if total <= sample_bytes:
-                keep.append((r["_id"], q))
-    ids = spark.createDataFrame(keep, "_id long, _quality int")
+                keep.append((r["_id"], q, r["t"]["n"], r["t"]["h"]))
+    ids = spark.createDataFrame(keep, "_id long, _quality int, _n int, _h long")
     sample = {0: [], 1: []}
     if keep:
-        for r in (docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).filter(F.col("text") != "")
-                  .select("_quality", F.xxhash64("_id").alias("_h"), "text").collect()):
+        chosen = docs.join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.octet_length("text") == F.col("_n")) & (F.xxhash64("text") == F.col("_h")))
+        # one row per id, however often it stands in the table
+        for r in chosen.groupBy("_id", "_quality").agg(F.max("text").alias("text")).select("_quality", F.xxhash64("_id").alias("_h"), "text").collect():
             sample[r["_quality"]].append((r["_h"], r["text"].encode("utf-8")))
     # copies of a text count once: a large group of them would be all that the dictionary learns
     good, bad = (list(dict.fromkeys(t for _, t in sorted(sample[q]))) for q in (1, 0))
