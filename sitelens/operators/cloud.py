@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.functions.scalar import deviation_color
 from sitelens.operators.ranking import top_k_per_group
-from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, box_candidates, knn_radius, nn_join, split_hot_cells, spread
+from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, argmin_per_key, box_candidates, knn_radius, nn_join, split_hot_cells, spread
 
 XYZ = ["x", "y", "z"]
 
@@ -165,9 +165,9 @@ TRI_AXES = [("ax", "bx", "cx"), ("ay", "by_", "cy"), ("az", "bz", "cz")]
 MANY_CELLS = 8
 
 
-def _grid_pairs(points: DataFrame, tri: DataFrame, lo: dict, hi: dict, side: float, rows_per_split: int) -> DataFrame:
-    """Triangles listed in every cell their box touches meet the points whose
-    bound reaches the cell, each pair in exactly one shared cell."""
+def _grid_pairs(points: DataFrame, tri: DataFrame, lo: dict, hi: dict, side: float, rows_per_split: int, by: Sequence[str]) -> DataFrame:
+    """Triangles listed in every cell their box touches meet the points of
+    their cloud whose bound reaches the cell, each pair in exactly one shared cell."""
     s = F.lit(side)
     gap = {a: F.greatest(F.lit(lo[a]) - F.col(a), F.col(a) - F.lit(hi[a]), F.lit(0.0)) for a in "xyz"}
     probe = points
@@ -179,33 +179,33 @@ def _grid_pairs(points: DataFrame, tri: DataFrame, lo: dict, hi: dict, side: flo
         c_hi = F.floor(F.least(F.col(a) + r, F.lit(hi[a])) / s).cast("long")
         probe = (probe.withColumn(f"_q{i}", c_lo)
                  .withColumn(f"_g{i}", F.explode(F.sequence(c_lo, F.greatest(c_lo, c_hi)))))
-    probe = probe.select("pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"), "ub",
+    probe = probe.select(*by, "pt_id", F.col("x").alias("px"), F.col("y").alias("py"), F.col("z").alias("pz"), "ub",
                          "_q0", "_q1", "_q2", "_g0", "_g1", "_g2")
     cells = tri
     for i, c in enumerate(TRI_AXES):
         t_lo = F.floor(F.least(*c) / s).cast("long")
         cells = cells.withColumn(f"_t{i}", t_lo).withColumn(
             f"_g{i}", F.explode(F.sequence(t_lo, F.floor(F.greatest(*c) / s).cast("long"))))
-    keys = ["_g0", "_g1", "_g2"]
+    keys = [*by, "_g0", "_g1", "_g2"]
     build, probe, jkeys = split_hot_cells(cells, probe, keys, "tri_id", rows_per_split)
     once = None
     for i in range(3):
         c = F.col(f"_g{i}") == F.greatest(F.col(f"_t{i}"), F.col(f"_q{i}"))
         once = c if once is None else once & c
-    return probe.join(build, jkeys).filter(once).select("pt_id", "px", "py", "pz", "ub", *tri.columns)
+    return probe.join(build, jkeys).filter(once).select("pt_id", "px", "py", "pz", "ub", *tri.columns)      # tri has ``by``
 
 
-def _descent_pairs(points: DataFrame, tri: DataFrame, side: float, extent: float, size_class=None) -> DataFrame:
+def _descent_pairs(points: DataFrame, tri: DataFrame, side: float, extent: float, by: Sequence[str], size_class=None) -> DataFrame:
     """Points and the triangles that can be their nearest, by descending the
     cells of the triangles' boxes (triangles of like size share cells)."""
     items = tri.withColumns({"_tid": F.col("tri_id"), "_class": F.lit(0) if size_class is None else size_class,
                              **{f"t_x{i}": F.col(c[0]) for i, c in enumerate(TRI_AXES)},
                              **{f"lo_x{i}": F.least(*c) for i, c in enumerate(TRI_AXES)},
                              **{f"hi_x{i}": F.greatest(*c) for i, c in enumerate(TRI_AXES)}})
-    q = points.select(F.col("pt_id").alias("_qid"), *[F.col(a).alias(f"q_x{i}") for i, a in enumerate(XYZ)])
-    met = box_candidates(q, items, 3, side, extent).withColumnsRenamed(
+    q = points.select(*by, F.col("pt_id").alias("_qid"), *[F.col(a).alias(f"q_x{i}") for i, a in enumerate(XYZ)])
+    met = box_candidates(q, items, 3, side, extent, by).withColumnsRenamed(
         {"_qid": "pt_id", **{f"q_x{i}": "p" + a for i, a in enumerate(XYZ)}})
-    return met.join(points.select("pt_id", "ub"), "pt_id").select("pt_id", "px", "py", "pz", "ub", *tri.columns)
+    return met.join(points.select(*by, "pt_id", "ub"), [*by, "pt_id"]).select("pt_id", "px", "py", "pz", "ub", *tri.columns)
 
 
 def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None = None,
@@ -222,12 +222,17 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
        that box), clamped to it. Far points, and all points with regard to
        triangles of many cells, descend the cell hierarchy instead;
     3. a box-distance lower bound drops triangles farther than ``ub`` before
-       the exact point-triangle distance, and one narrow (distance, id) min
-       picks the winner.
-    Output: pt_id, x, y, z, deviation_m, tri_id.
+       the exact point-triangle distance, and two narrow aggregates (least
+       distance, least id at it) pick the winner.
+
+    Where both tables have ``cloud_id``, points meet the triangles of their own
+    cloud only, and ids may repeat across clouds. A point whose cloud has no
+    triangles has a null distance.
+    Output: cloud_id (as above), pt_id, x, y, z, deviation_m, tri_id.
     """
-    tri = spread(_tri_constants(triangles.select("tri_id", *[F.col(c).cast("double").alias(c) for c in TRI])))
-    pts = spread(points.select("pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ]))
+    by = cloud_key(points, triangles)
+    tri = spread(_tri_constants(triangles.select(*by, "tri_id", *[F.col(c).cast("double").alias(c) for c in TRI])))
+    pts = spread(points.select(*by, "pt_id", *[F.col(a).cast("double").alias(a) for a in XYZ]))
     st = tri.agg(F.least(F.min("ax"), F.min("bx"), F.min("cx")).alias("lox"),
                  F.greatest(F.max("ax"), F.max("bx"), F.max("cx")).alias("hix"),
                  F.least(F.min("ay"), F.min("by_"), F.min("cy")).alias("loy"),
@@ -249,22 +254,22 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
     corners = [("ax", "ay", "az"), ("bx", "by_", "bz"), ("cx", "cy", "cz")]
     verts = None
     for cx_, cy_, cz_ in corners:
-        v = tri.select(F.col(cx_).alias("x"), F.col(cy_).alias("y"), F.col(cz_).alias("z"))
+        v = tri.select(*by, F.col(cx_).alias("x"), F.col(cy_).alias("y"), F.col(cz_).alias("z"))
         verts = v if verts is None else verts.unionByName(v)
     verts = verts.distinct().withColumn("pt_id", F.xxhash64("x", "y", "z"))
-    ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id", collapse_copies=False).select(
-        "pt_id", (F.col("nn_dist") * F.lit(1.0 + 1e-9) + F.lit(1e-12)).alias("ub"))
+    ub = nn_join(pts, verts, XYZ, q_id="pt_id", t_id="pt_id", collapse_copies=False, by=by).select(
+        *by, "pt_id", (F.col("nn_dist") * F.lit(1.0 + 1e-9) + F.lit(1e-12)).alias("ub"))
 
-    q = pts.join(ub, "pt_id").checkpoint()
+    q = pts.join(ub, [*by, "pt_id"]).checkpoint()
     size = F.greatest(*[F.greatest(*c) - F.least(*c) for c in TRI_AXES])
     tri = tri.withColumn("_size", size).checkpoint()
     small, large = tri.filter(F.col("_size") <= MANY_CELLS * side).drop("_size"), tri.filter(F.col("_size") > MANY_CELLS * side)
     near, far = q.filter(F.col("ub") <= MANY_CELLS * side), q.filter(F.col("ub") > MANY_CELLS * side)
-    cand = _grid_pairs(near, small, lo, hi, side, rows_per_split)
+    cand = _grid_pairs(near, small, lo, hi, side, rows_per_split, by)
     if not far.isEmpty():
-        cand = cand.unionByName(_descent_pairs(far, small, side, extent))
+        cand = cand.unionByName(_descent_pairs(far, small, side, extent, by))
     if not large.isEmpty():
-        cand = cand.unionByName(_descent_pairs(q, large.drop("_size"), side, extent, F.floor(F.log2(size / side)).cast("int")))
+        cand = cand.unionByName(_descent_pairs(q, large.drop("_size"), side, extent, by, F.floor(F.log2(size / side)).cast("int")))
 
     # cheap bound first, exact distance, narrow argmin
     lb2 = None
@@ -272,9 +277,9 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
         g = F.greatest(F.least(*c) - F.col(p_), F.col(p_) - F.greatest(*c), F.lit(0.0))
         lb2 = g * g if lb2 is None else lb2 + g * g
     pairs = _tri_dist_cols(cand.filter(lb2 <= F.col("ub") * F.col("ub")))
-    best = (pairs.groupBy("pt_id").agg(F.min(F.struct("tri_dist", "tri_id")).alias("m"))
-            .select("pt_id", F.col("m.tri_dist").alias("deviation_m"), F.col("m.tri_id").alias("tri_id")))
-    return pts.join(best, "pt_id")
+    best = argmin_per_key(pairs.select(*by, "pt_id", "tri_dist", "tri_id"), [*by, "pt_id"], "tri_dist", "tri_id")
+    return pts.join(best.withColumnRenamed("tri_dist", "deviation_m"), [*by, "pt_id"], "left").select(
+        *pts.columns, "deviation_m", "tri_id")
 
 
 # --------------------------------------------------------------------------
@@ -282,8 +287,9 @@ def mesh_distance(points: DataFrame, triangles: DataFrame, cell: float | None =
 # --------------------------------------------------------------------------
 
 def deviation_report(dist: DataFrame, threshold: float = 0.05, max_color_dist: float = 0.2) -> DataFrame:
-    """x, y, z, deviation_m, alert (d > threshold) and the colour."""
-    return dist.select("pt_id", "x", "y", "z", "deviation_m",
+    """x, y, z, deviation_m, alert (d > threshold) and the colour (C14, P15,
+    P16), with ``cloud_id`` where the distances have it."""
+    return dist.select(*cloud_key(dist), "pt_id", "x", "y", "z", "deviation_m",
                        (F.col("deviation_m") > F.lit(float(threshold))).alias("alert"),
                        *deviation_color("deviation_m", max_color_dist))
 
@@ -412,32 +418,9 @@ def _mesh_size(t: DataFrame) -> tuple[float, float, int]:
     return float(r[0] or 0.0), float(r[1] or 0.0), int(r[2] or 0)
 
 
-def mesh_sample_once(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float | None = None) -> DataFrame:
-    """About n points spread over the mesh surface, thinned at most once.
-
-    Each triangle gets floor(n * area share + u) points (u a seeded hash,
-    so the expected total is n), placed by seeded barycentric coordinates.
-    With ``thin_radius`` one pass of hash-priority thinning keeps a point
-    only if no neighbour within the radius has a smaller hash; the count then
-    drops below n, as points beaten by a dropped one are lost too.
-    ``mesh_sample`` gives exactly n.
-    """
-    t = _with_area(triangles)
-    total, largest, far = _mesh_size(t)
-    if total <= 0:
-        return t.sparkSession.createDataFrame([], "pt_id long, tri_id long, x double, y double, z double")
-    pts = _point_ids(_draw(t, total, largest, n, seed), n * largest / total + 1, far)
-    if thin_radius is None:
-        return pts
-    from sitelens.operators.spatial import eps_pairs
-    pts = pts.checkpoint()      # read five times below
-    pr = eps_pairs(pts, XYZ, thin_radius, id_col="pt_id", include_self=False)
-    h = pts.select(F.col("pt_id"), hash32("pt_id", seed).alias("h"))
-    beaten = (pr.join(h.withColumnsRenamed({"pt_id": "a", "h": "ha"}), "a")
-              .join(h.withColumnsRenamed({"pt_id": "b", "h": "hb"}), "b")
-              .filter((F.col("hb") < F.col("ha")) | ((F.col("hb") == F.col("ha")) & (F.col("b") < F.col("a"))))
-              .select(F.col("a").alias("pt_id")).distinct())
-    return pts.join(beaten, "pt_id", "left_anti")
+def _turn(p: str, seed: int) -> F.Column:
+    """The place of a point (tri_id, _i) in the order of its draw."""
+    return hash32(F.concat_ws(":", F.col(f"{p}.tri_id").cast("string"), F.col(f"{p}._i").cast("string")), seed)
 
 
 def _spaced(pts: DataFrame, radius: float, seed: int) -> DataFrame:
@@ -447,7 +430,7 @@ def _spaced(pts: DataFrame, radius: float, seed: int) -> DataFrame:
     from sitelens.operators.spatial import eps_pairs
 
     def turn(p: str) -> F.Column:
-        return F.struct(F.xxhash64(F.col(p), F.lit(seed)), F.col(p))
+        return F.struct(_turn(p, seed), F.col(p))
 
     edges = (eps_pairs(pts, XYZ, radius, id_col="_p", include_self=False).filter(turn("b") < turn("a"))
              .select(F.col("a").alias("loser"), F.col("b").alias("winner")).checkpoint())
@@ -463,9 +446,11 @@ def _spaced(pts: DataFrame, radius: float, seed: int) -> DataFrame:
 def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float | None = None) -> DataFrame:
     """Exactly n points on the mesh surface, no two within ``thin_radius``.
 
-    Points are drawn as in ``mesh_sample_once`` and thinned to a maximal set;
-    further draws, thinned against the kept points too, fill up to n, and what
-    the last draw has beyond n goes in hash order. Without a radius one is
+    Points are drawn in rounds: by floor(m * area share + u) per triangle (u a
+    seeded hash), where m is n at first and doubles with every round, placed by
+    seeded barycentric coordinates. Taken one by one, by round and then in the
+    order of a seeded hash, a point stays if none that stayed lies within the
+    radius; the first n that stay are the sample. Without a radius one is
     taken from n and the surface (0.7 of the root of area per point) and made
     smaller where n points don't find room, so there are always n. A given
     radius at which ``SAMPLE_TRIES * n`` candidates don't bring n points is an
@@ -478,9 +463,10 @@ def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float
         return t.sparkSession.createDataFrame([], "pt_id long, tri_id long, x double, y double, z double")
     radius = math.sqrt(total / n / 2) if thin_radius is None else thin_radius
     coords = {a: f"_x{i}" for i, a in enumerate(XYZ)}
-    kept, have, drawn, more, limit = None, 0, 0.0, float(n), float(SAMPLE_TRIES) * n
+    kept, have, drawn, limit = None, 0, 0.0, float(SAMPLE_TRIES) * n
     while have < n:
-        new = _draw(t, total, largest, drawn + more, seed, drawn).withColumn("_p", F.struct("tri_id", "_i")).checkpoint()
+        upto = max(2.0 * drawn, float(n))
+        new = _draw(t, total, largest, upto, seed, drawn).withColumn("_p", F.struct("tri_id", "_i")).checkpoint()
         if kept is not None:
             near = _pairs_within(new.select(F.col("_p").alias("_id"), *[F.col(a).alias(x) for a, x in coords.items()]),
                                  kept.select(F.col("_p").alias("_id"), *[F.col(a).alias(x) for a, x in coords.items()]),
@@ -489,15 +475,13 @@ def mesh_sample(triangles: DataFrame, n: int, seed: int = 42, thin_radius: float
         new = _spaced(new, radius, seed)
         found = new.count()
         if have + found > n:
-            new = (global_rank(new.withColumn("_h", F.struct(F.xxhash64("_p", F.lit(seed)), F.col("_p"))), "_h")
+            new = (global_rank(new.withColumn("_h", F.struct(_turn("_p", seed), F.col("_p"))), "_h")
                    .filter(F.col("_rank") < n - have).drop("_h", "_rank"))
             found = n - have
         kept = new if kept is None else kept.unionByName(new).checkpoint()
-        have, drawn = have + found, drawn + more
+        have, drawn = have + found, upto
         if have < n and drawn >= limit:
             if thin_radius is not None:
                 raise ValueError(f"{have} of {n} points found room at a distance of {radius} from each other")
             radius, limit = radius * 0.7, limit + SAMPLE_TRIES * n
-        # as many as the missing ones need by the last draw's yield, and half as many again
-        more = min(1.5 * (n - have) * more / max(found, 1), drawn) + 1
     return _point_ids(kept, drawn * largest / total + 1, far)

@@ -235,18 +235,26 @@ def q_estimate_normals(spark, sf):
     return n.select("pt_id", r6("nx"), r6("ny"), r6("nz"))
 
 
+SAMPLE_N, SAMPLE_RADIUS = 5000, 0.005
+
+
 def q_mesh_sample(spark, sf):
-    """One thinning pass, as the SQL states it; mesh_sample_even is the whole job."""
-    s = CL.mesh_sample_once(common.mesh_triangles(spark, sf), n=5000, thin_radius=0.005)
+    """5,000 points, no two within 5 mm."""
+    s = CL.mesh_sample(common.mesh_triangles(spark, sf), n=SAMPLE_N, thin_radius=SAMPLE_RADIUS)
     return s.select("pt_id", "tri_id", r6("x"), r6("y"), r6("z"))
 
 
 def q_mesh_sample_even(spark, sf):
-    s = CL.mesh_sample(common.mesh_triangles(spark, sf), n=5000, thin_radius=0.005)
+    """1,000 points as far apart as the operator's own radius."""
+    s = CL.mesh_sample(common.mesh_triangles(spark, sf), n=1000)
     return s.select("pt_id", "tri_id", r6("x"), r6("y"), r6("z"))
 
 
-def _mesh_sample_sql(n: int = 5000, thin: float = 0.005, seed: int = 42) -> str:
+def _mesh_sample_sql(n: int, radius: float | None, draws: int, rounds: int, seed: int = 42) -> str:
+    """The sample by rounds over the conflicts: a point is out once a
+    neighbour before it is in, and in once all neighbours before it are out.
+    An error if ``rounds`` leave a conflict open or ``draws`` draws (n, 2 n,
+    4 n, ... candidates) don't bring n points."""
     from sitelens.functions.hashing import unit_hash_sql
     cx_ = "(by_ - ay) * (cz - az) - (bz - az) * (cy - ay)"
     cy_ = "(bz - az) * (cx - ax) - (bx - ax) * (cz - az)"
@@ -254,24 +262,37 @@ def _mesh_sample_sql(n: int = 5000, thin: float = 0.005, seed: int = 42) -> str:
     key = "concat(CAST(tri_id AS VARCHAR), ':', CAST(i AS VARCHAR))"
     coord = {a: f"(1.0E0 - sqrt(r1)) * a{a} + sqrt(r1) * (1.0E0 - r2) * {'by_' if a == 'y' else 'b' + a} + sqrt(r1) * r2 * c{a}"
              for a in "xyz"}
+    counts = ", ".join(f"CAST(floor({float(n << d)!r} * area / total + {unit_hash_sql('tri_id', f'{seed}:n')}) AS INTEGER) AS k{d}" for d in range(draws))
+    draw = "CASE " + " ".join(f"WHEN i < k{d} THEN {d}" for d in range(draws)) + " END"
     d2 = " + ".join(f"(p.{a} - q.{a}) * (p.{a} - q.{a})" for a in "xyz")
+    steps, last = [], "r0"
+    for k in range(rounds):
+        steps.append(f"""i{k} AS MATERIALIZED (SELECT p FROM {last} WHERE fate IS NULL AND p NOT IN (SELECT a FROM e JOIN {last} ON b = p WHERE coalesce(fate, 1) = 1)),
+r{k + 1} AS MATERIALIZED (SELECT p, CASE WHEN fate IS NOT NULL THEN fate WHEN p IN (FROM i{k}) THEN 1
+   WHEN p IN (SELECT a FROM e JOIN i{k} ON b = p) THEN 0 END AS fate FROM {last})""")
+        last = f"r{k + 1}"
     return with_views(f""", tri AS (SELECT *, sqrt(({cx_}) * ({cx_}) + ({cy_}) * ({cy_}) + ({cz_}) * ({cz_})) / 2 AS area
    FROM mesh_triangles),
-tot AS (SELECT sum(area) AS total FROM tri),
-cnt AS (SELECT tri.*, CAST(floor({float(n)!r} * area / tot.total + {unit_hash_sql('tri_id', f'{seed}:n')}) AS INTEGER) AS k
-   FROM tri, tot),
-rep AS (SELECT cnt.*, i FROM cnt, range(0, k) r(i) WHERE k > 0),
-uv AS (SELECT *, {unit_hash_sql(key, f'{seed}:u')} AS r1, {unit_hash_sql(key, f'{seed}:v')} AS r2 FROM rep),
-pts AS (SELECT tri_id * {1 << 20} + i AS pt_id, tri_id, {coord['x']} AS x, {coord['y']} AS y, {coord['z']} AS z FROM uv),
-hp AS (SELECT *, {hash32_sql('pt_id', seed)} AS h FROM pts),
-beaten AS (SELECT DISTINCT p.pt_id FROM hp p JOIN hp q
-   ON abs(p.x - q.x) <= {thin} AND abs(p.y - q.y) <= {thin} AND p.pt_id <> q.pt_id
-   WHERE {d2} <= {thin * thin!r} AND (q.h < p.h OR (q.h = p.h AND q.pt_id < p.pt_id)))
-SELECT pt_id, tri_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM pts
-WHERE pt_id NOT IN (SELECT pt_id FROM beaten)""", "mesh_triangles")
-
-
-MESH_SAMPLE_SQL = _mesh_sample_sql()
+tot AS (SELECT sum(area) AS total, {f'{radius!r}' if radius else f'sqrt(sum(area) / {n} / 2)'} AS radius FROM tri),
+cnt AS (SELECT tri.*, {counts} FROM tri, tot),
+rep AS (SELECT cnt.*, i, {draw} AS draw FROM cnt, range(0, k{draws - 1}) r(i) WHERE k{draws - 1} > 0),
+uv AS (SELECT *, {unit_hash_sql(key, f'{seed}:u')} AS r1, {unit_hash_sql(key, f'{seed}:v')} AS r2, {hash32_sql(key, seed)} AS h FROM rep),
+pts AS MATERIALIZED (SELECT row_number() OVER (ORDER BY draw, h, tri_id, i) AS p, tri_id * {1 << 20} + i AS pt_id, tri_id,
+   {coord['x']} AS x, {coord['y']} AS y, {coord['z']} AS z, radius FROM uv, tot),
+near AS (SELECT *, CAST(floor(x / radius) AS BIGINT) AS gx, CAST(floor(y / radius) AS BIGINT) AS gy FROM pts),
+e AS MATERIALIZED (SELECT p.p AS a, q.p AS b FROM (SELECT *, gx + dx AS hx, gy + dy AS hy FROM near, range(-1, 2) u(dx), range(-1, 2) v(dy)) p
+   JOIN near q ON q.gx = p.hx AND q.gy = p.hy WHERE q.p < p.p AND {d2} <= p.radius * p.radius),
+r0 AS MATERIALIZED (SELECT DISTINCT p, NULL::INTEGER AS fate FROM (SELECT a AS p FROM e UNION ALL SELECT b FROM e) z),
+{', '.join(steps)},
+done AS (SELECT pts.*, CASE WHEN {last}.p IS NULL THEN 1 WHEN fate IS NULL THEN CAST(error('conflicts left open') AS INTEGER) ELSE fate END AS fate
+   FROM pts LEFT JOIN {last} ON {last}.p = pts.p),
+best AS (SELECT * FROM done WHERE fate = 1 ORDER BY p LIMIT {n})
+SELECT pt_id, tri_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM best
+WHERE CASE WHEN (SELECT count(*) FROM best) < {n} THEN CAST(error('too few points') AS BOOLEAN) ELSE true END""", "mesh_triangles")
+
+
+MESH_SAMPLE_SQL = _mesh_sample_sql(SAMPLE_N, SAMPLE_RADIUS, draws=2, rounds=8)
+MESH_SAMPLE_EVEN_SQL = _mesh_sample_sql(1000, None, draws=4, rounds=24)
 
 
 def q_knn_radius(spark, sf):
@@ -340,7 +361,7 @@ for _name, _fn, _sql in [
     ("union_vertices", q_union_vertices, UNION_SQL),
     ("estimate_normals", q_estimate_normals, None),
     ("mesh_sample", q_mesh_sample, MESH_SAMPLE_SQL),
-    ("mesh_sample_even", q_mesh_sample_even, None),
+    ("mesh_sample_even", q_mesh_sample_even, MESH_SAMPLE_EVEN_SQL),
     ("knn_radius", q_knn_radius, KNN_SQL),
     ("eps_pairs", q_eps_pairs, EPS_SQL),
     ("nn_join", q_nn_join, NN_JOIN_SQL),

@@ -299,7 +299,7 @@ def test_mesh_sample_keeps_points_dropped_ones_beat(spark):
     tris = _surface(spark, [(7, [[0, 0, 0], [1, 0, 0], [0, 1, 0]])])
     pts = CL._draw(CL._with_area(tris), 0.5, 0.5, 300, 42).withColumn("_p", F.struct("tri_id", "_i")).checkpoint()
     kept = {r["_i"] for r in CL._spaced(pts, 0.08, 42).collect()}
-    rows = pts.withColumn("h", F.xxhash64("_p", F.lit(42))).orderBy("h", "_p").collect()
+    rows = pts.withColumn("h", CL._turn("_p", 42)).orderBy("h", "_p").collect()
     want = []
     for r in rows:
         if all((r["x"] - q["x"]) ** 2 + (r["y"] - q["y"]) ** 2 > 0.08 ** 2 for q in want):
@@ -310,7 +310,22 @@ def test_mesh_sample_keeps_points_dropped_ones_beat(spark):
 def test_mesh_sample_ids_of_large_triangles(spark):
     """More than 2^20 points on one triangle, its neighbour's ids after them."""
     tris = _surface(spark, [(0, [[0, 0, 0], [19, 0, 0], [0, 1, 0]]), (1, [[0, 0, 1], [1, 0, 1], [0, 1, 1]])])
-    got = CL.mesh_sample_once(tris, 1_200_000).agg(F.count("pt_id"), F.countDistinct("pt_id"), F.countDistinct("tri_id")).first()
+    drawn = CL._draw(CL._with_area(tris), 10.0, 9.5, 1_200_000, 42)
+    got = CL._point_ids(drawn, 1_200_000, 1).agg(F.count("pt_id"), F.countDistinct("pt_id"), F.countDistinct("tri_id")).first()
     assert got[0] == got[1] and abs(got[0] - 1_200_000) <= 2 and got[2] == 2
     far = _surface(spark, [(2 ** 62, [[0, 0, 0], [1, 0, 0], [0, 1, 0]])])
-    assert {r["pt_id"] for r in CL.mesh_sample_once(far, 50).collect()} == set(range(50))
+    assert {r["pt_id"] for r in CL.mesh_sample(far, 50).collect()} == set(range(50))
+
+
+def test_mesh_distance_keeps_clouds_apart(spark):
+    """Equal point and triangle ids in two clouds, and a cloud without a mesh."""
+    tri = [[0.0, 0, 0], [1.0, 0, 0], [0.0, 1, 0]]
+    rows = [(c, 3, *[float(v + (dz if k == 2 else 0)) for p in tri for k, v in enumerate(p)]) for c, dz in ((1, 0.0), (2, 1.0))]
+    tris = spark.createDataFrame(rows, "cloud_id long, tri_id long, " + ", ".join(f"{c} double" for c in CL.TRI))
+    pts = spark.createDataFrame([(1, 7, .2, .2, 1.0), (2, 7, .2, .2, 1.0), (2, 8, .2, .2, 51.0), (3, 7, .2, .2, 1.0)],
+                                "cloud_id long, pt_id long, x double, y double, z double")
+    d = CL.mesh_distance(pts, tris)
+    got = {(r["cloud_id"], r["pt_id"]): (None if r["deviation_m"] is None else round(r["deviation_m"], 9), r["tri_id"]) for r in d.collect()}
+    assert got == {(1, 7): (1.0, 3), (2, 7): (0.0, 3), (2, 8): (50.0, 3), (3, 7): (None, None)}
+    report = {(r["cloud_id"], r["pt_id"]): r["alert"] for r in CL.deviation_report(d, 0.05).collect()}
+    assert report[(1, 7)] and not report[(2, 7)]
