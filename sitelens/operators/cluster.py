@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sitelens.functions.hashing import hash32, unit_hash
+from sitelens.functions.hashing import TWO_32, hash32, unit_hash
 from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, _offsets, right_size, split_hot_cells, spread
 
 def _debug(msg: str) -> None:
@@ -39,6 +39,8 @@ REGION_FEATURE_COLS = ["price_nis", "rating", "lat", "lng"]
 
 # k-means stops on its tolerance; this only bounds a run that doesn't.
 KMEANS_MAX_ITER = 300
+# A fixpoint: no centre moves farther than this along an axis of scaled features.
+KMEANS_TOLERANCE = 1e-9
 
 # --------------------------------------------------------------------------
 # M1 split, M2 scaling
@@ -174,60 +176,119 @@ def seeded_centers(df: DataFrame, z_cols: Sequence[str], k: int, id_col: str, se
     return [[float(r[c]) for c in z_cols] for r in rows]
 
 
-def seeded_model(train: DataFrame, cols: Sequence[str], k: int, id_col: str, seed: int = 42,
-                 lloyd_steps: int = 0) -> CentroidModel:
-    """Deterministic centroid model: hash-seeded centres, then ``lloyd_steps``
-    k-means updates (assign + grouped mean). Same result on any layout."""
-    scaler = Scaler.fit(train, cols)
-    z = scaler.transform(train)
-    centers = seeded_centers(z, scaler.z_cols(), k, id_col, seed)
-    for _ in range(lloyd_steps):
-        zc = z.withColumn("_c", nearest_center(scaler.z_cols(), centers))
-        rows = zc.groupBy("_c").agg(*[F.avg(c).alias(c) for c in scaler.z_cols()]).collect()
-        upd = {r["_c"]: [float(r[c]) for c in scaler.z_cols()] for r in rows}
-        centers = [upd.get(j, centers[j]) for j in range(len(centers))]
-    return CentroidModel(scaler, centers, algorithm="SeededCentroids")
+def race_centers(z: DataFrame, z_cols: Sequence[str], k: int, id_col: str, seed: int = 42) -> list[list[float]]:
+    """k-means++ start: the row with the smallest seeded hash, then k - 1 times a
+    row drawn with a chance in proportion to its squared distance to the centres
+    so far. The draw is a race of exponential clocks: the smallest
+    -ln(u) / distance wins, u a seeded hash of the row and the turn, so it is
+    the same on any layout and the start for k begins that for k + 1.
+    Fewer centres where there are fewer distinct rows."""
+    centers: list[list[float]] = []
+    for j in range(k):
+        h = hash32(id_col, f"{seed}:{j}")
+        if centers:
+            gaps = [_sq(z_cols, c) for c in centers]
+            gap = F.least(*gaps) if len(gaps) > 1 else gaps[0]
+            key = F.when(gap > 0, -F.log((h + 1) / F.lit(TWO_32 + 1)) / gap)
+        else:
+            key = h.cast("double")
+        win = z.select(F.struct(key.alias("key"), F.col(id_col).alias("id"), *z_cols).alias("s")).filter("s.key IS NOT NULL").agg(F.min("s").alias("s")).first()["s"]
+        if win is None:
+            break
+        centers.append([float(win[c]) for c in z_cols])
+    return centers
+
+
+def _sq(cols: Sequence[str], center: Sequence[float]) -> Column:
+    total = None
+    for c, v in zip(cols, center):
+        t = (F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v)))
+        total = t if total is None else total + t
+    return total
+
+
+def lloyd(z: DataFrame, z_cols: Sequence[str], starts: dict[int, list[list[float]]], max_iter: int = KMEANS_MAX_ITER,
+          tolerance: float = KMEANS_TOLERANCE) -> dict[int, tuple[list[list[float]], int, bool]]:
+    """k-means steps (assign, grouped mean) from each of ``starts`` until no
+    centre moves by more than ``tolerance`` along an axis: (centres, steps,
+    converged) per key. One pass over ``z`` serves all that still move; a
+    centre without rows stays."""
+    found = {k: (c, 0, False) for k, c in starts.items()}
+    for step in range(1, max_iter + 1):
+        moving = [k for k, f in found.items() if not f[2]]
+        if not moving:
+            break
+        near = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), nearest_center(z_cols, found[k][0]).alias("j")) for k in moving]))
+        rows = z.select(near.alias("_a"), *z_cols).groupBy("_a").agg(*[F.avg(c).alias(c) for c in z_cols]).collect()
+        means = {(r["_a"]["k"], r["_a"]["j"]): [float(r[c]) for c in z_cols] for r in rows}
+        for k in moving:
+            old = found[k][0]
+            new = [means.get((k, j), c) for j, c in enumerate(old)]
+            moved = max((abs(a - b) for x, y in zip(old, new) for a, b in zip(x, y)), default=0.0)
+            found[k] = (new, step, moved <= tolerance)
+    return found
 
 
 def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, scaler: Scaler | None = None,
-               max_iter: int = KMEANS_MAX_ITER) -> CentroidModel:
-    """k-means (k-means|| start) with pyspark.ml on scaled features (M3). It
-    stops on its tolerance; ``info`` holds the rounds taken and whether it
-    converged before ``max_iter``."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
+               max_iter: int = KMEANS_MAX_ITER, id_col: str = "row_id") -> CentroidModel:
+    """k-means on scaled features (M3): a k-means++ start drawn by seeded
+    hashes, then Lloyd steps to the fixpoint, so the model is the same on any
+    layout. ``info`` holds the steps taken and whether they converged before
+    ``max_iter``. Empty training data gives a model without centres."""
     scaler = scaler or Scaler.fit(train, cols)
-    z = scaler.transform(train)
-    vec = right_size(VectorAssembler(inputCols=scaler.z_cols(), outputCol="_features").transform(z).select("_features"))
-    model = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=max_iter).fit(vec)
-    centers = [[float(v) for v in c] for c in model.clusterCenters()]
-    return CentroidModel(scaler, centers, algorithm="KMeans", info={"cost": float(model.summary.trainingCost), "iterations": int(model.summary.numIter),
-                               "converged": int(model.summary.numIter) < max_iter})
+    z = right_size(scaler.transform(train).select(id_col, *scaler.z_cols()))
+    start = race_centers(z, scaler.z_cols(), k, id_col, seed)
+    centers, steps, converged = lloyd(z, scaler.z_cols(), {k: start}, max_iter)[k]
+    return CentroidModel(scaler, centers, algorithm="KMeans", info={"iterations": steps, "converged": converged})
 
 
 # --------------------------------------------------------------------------
 # M5 Euclidean silhouette, exact or sampled as the caller says
 # --------------------------------------------------------------------------
 
-_SUMS = "anchor long, own long, cluster long, dsum double, cnt long"
-
-
-def _distance_sums(ids, own, ax, x, clusters) -> pd.DataFrame:
-    """Per anchor and cluster: sum of distances to the rows x, and their number."""
-    out = []
-    step = max(1, 2_000_000 // max(1, len(ax)))
-    for c in np.unique(clusters):
-        rows = x[clusters == c]
-        total = np.zeros(len(ax))
-        for s in range(0, len(rows), step):
-            diff = ax[:, None, :] - rows[None, s:s + step, :]
-            total += np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)).sum(axis=1)
-        out.append(pd.DataFrame({"anchor": ids, "own": own, "cluster": np.int64(c), "dsum": total, "cnt": np.int64(len(rows))}))
-    return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _SUMS.split(", ")})
-
-
-def _exact_sums(data: DataFrame, cols: list[str], block_rows: int) -> DataFrame:
+_SUMS = "which int, anchor long, own long, cluster long, dsum double, cnt long"
+CELLS = 2_000_000     # distances that a task holds at a time
+
+
+class _DistanceSums:
+    """Per labelling, anchor and cluster: the sum of the distances from the
+    anchor to the cluster's rows, and their number, over any number of blocks
+    of rows. Distances are formed once for all labellings."""
+
+    def __init__(self, ids: np.ndarray, own: np.ndarray, at: np.ndarray):
+        self.ids, self.own, self.at = ids, own, at
+        self.sums: dict[tuple[int, int], np.ndarray] = {}
+        self.counts: dict[tuple[int, int], int] = {}
+
+    def add(self, x: np.ndarray, labels: np.ndarray) -> None:
+        """Rows ``x`` with a column of ``labels`` per labelling."""
+        slots, one = [], []
+        for which in range(labels.shape[1]):
+            found, at = np.unique(labels[:, which], return_inverse=True)
+            one.append(np.eye(len(found))[at])
+            slots += [(which, int(c)) for c in found]
+        hot = np.hstack(one)
+        step = max(1, CELLS // max(1, len(self.at)))
+        total = np.zeros((len(self.at), len(slots)))
+        for s in range(0, len(x), step):
+            part = x[s:s + step]
+            square = np.zeros((len(self.at), len(part)))
+            for j in range(x.shape[1]):
+                gap = self.at[:, j, None] - part[None, :, j]
+                gap *= gap
+                square += gap
+            total += np.sqrt(square, out=square) @ hot[s:s + step]
+        for i, (slot, n) in enumerate(zip(slots, hot.sum(axis=0))):
+            self.sums[slot] = self.sums.get(slot, 0.0) + total[:, i]
+            self.counts[slot] = self.counts.get(slot, 0) + int(n)
+
+    def rows(self) -> Iterator[pd.DataFrame]:
+        for (which, c), d in self.sums.items():
+            yield pd.DataFrame({"which": np.int32(which), "anchor": self.ids, "own": self.own[:, which], "cluster": np.int64(c), "dsum": d,
+                                "cnt": np.int64(self.counts[which, c])})
+
+
+def _exact_sums(data: DataFrame, cols: list[str], labels: list[str], block_rows: int) -> DataFrame:
     """All rows against all rows in blocks: chunk i meets chunk j in a task of
     its own, so no task or driver holds more than two chunks. Work is rows x
     rows, which the exact value needs."""
@@ -237,28 +298,35 @@ def _exact_sums(data: DataFrame, cols: list[str], block_rows: int) -> DataFrame:
     left, right = data.withColumn("i", chunk).withColumn("j", every), data.withColumn("j", chunk).withColumn("i", every)
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _distance_sums(a["_id"].to_numpy(), a["_c"].to_numpy(), a[cols].to_numpy(np.float64), b[cols].to_numpy(np.float64),
-                              b["_c"].to_numpy())
+        sums = _DistanceSums(a["_id"].to_numpy(), a[labels].to_numpy(), a[cols].to_numpy(np.float64))
+        if len(a) and len(b):
+            sums.add(b[cols].to_numpy(np.float64), b[labels].to_numpy())
+        out = list(sums.rows())
+        return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _SUMS.split(", ")})
 
     return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(meet, _SUMS)
 
 
-def _sampled_sums(data: DataFrame, cols: list[str], anchors: pd.DataFrame) -> DataFrame:
+def _sampled_sums(data: DataFrame, cols: list[str], labels: list[str], anchors: pd.DataFrame) -> DataFrame:
     """The anchors against all rows; the anchors are broadcast, their number
-    is a parameter."""
-    bc = data.sparkSession.sparkContext.broadcast((anchors["_id"].to_numpy(), anchors["_c"].to_numpy(), anchors[cols].to_numpy(np.float64)))
+    is a parameter. A task adds up all its rows and tells its sums once."""
+    bc = data.sparkSession.sparkContext.broadcast((anchors["_id"].to_numpy(), anchors[labels].to_numpy(), anchors[cols].to_numpy(np.float64)))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = _DistanceSums(*bc.value)
         for pdf in batches:
-            yield _distance_sums(*bc.value, pdf[cols].to_numpy(np.float64), pdf["_c"].to_numpy())
+            if len(pdf):
+                sums.add(pdf[cols].to_numpy(np.float64), pdf[labels].to_numpy())
+        yield from sums.rows()
 
-    return right_size(data).mapInPandas(partial, _SUMS)
+    return data.mapInPandas(partial, _SUMS)
 
 
-def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str, method: str = "exact",
-               sample_rows: int = 10_000, seed: int = 42, block_rows: int = 5_000) -> DataFrame:
+def silhouettes(df: DataFrame, cols: Sequence[str], cluster_cols: Sequence[str], id_col: str, method: str = "exact",
+                sample_rows: int = 10_000, seed: int = 42, block_rows: int = 5_000) -> DataFrame:
     """Mean silhouette with Euclidean distance (not ``ClusteringEvaluator``'s
-    squared distance), one row: silhouette, n_anchors, method, stderr.
+    squared distance) of several labellings of the same rows, one row each:
+    which (position in ``cluster_cols``), silhouette, n_anchors, method, stderr.
 
     The caller names the method, the number of rows never does. ``exact``
     compares all rows with all rows in blocks on the executors. ``sampled``
@@ -269,24 +337,31 @@ def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str
         raise ValueError(f"unknown silhouette method {method!r}")
     from sitelens.operators.ranking import sample_rows as _sample
 
-    fs = [f"_f{i}" for i in range(len(cols))]
-    data = df.select(F.col(id_col).alias("_id"), F.col(cluster_col).cast("long").alias("_c"),
+    fs, ls = [f"_f{i}" for i in range(len(cols))], [f"_c{i}" for i in range(len(cluster_cols))]
+    data = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("long").alias(x) for c, x in zip(cluster_cols, ls)],
                      *[F.col(c).cast("double").alias(f) for c, f in zip(cols, fs)])
     if method == "exact":
-        data = data.checkpoint()
-        sums = _exact_sums(data, fs, block_rows)
+        sums = _exact_sums(data.checkpoint(), fs, ls, block_rows)
     else:
-        sums = _sampled_sums(data, fs, _sample(data, sample_rows, id_col="_id", seed=seed).toPandas())
-    sums = sums.groupBy("anchor", "own", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
+        data = right_size(data)
+        sums = _sampled_sums(data, fs, ls, _sample(data, sample_rows, id_col="_id", seed=seed).toPandas())
+    sums = sums.groupBy("which", "anchor", "own", "cluster").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
     mine = F.col("cluster") == F.col("own")
-    per = sums.groupBy("anchor").agg(F.max(F.when(mine, F.col("cnt"))).alias("n_own"), F.max(F.when(mine, F.col("dsum"))).alias("d_own"),
-                                     F.min(F.when(~mine, F.col("dsum") / F.col("cnt"))).alias("b"))
+    per = sums.groupBy("which", "anchor").agg(F.max(F.when(mine, F.col("cnt"))).alias("n_own"), F.max(F.when(mine, F.col("dsum"))).alias("d_own"),
+                                              F.min(F.when(~mine, F.col("dsum") / F.col("cnt"))).alias("b"))
     a = F.col("d_own") / (F.col("n_own") - 1)
     s = (F.when((F.col("n_own") <= 1) | F.col("b").isNull(), F.lit(0.0)).when(F.greatest(a, F.col("b")) == 0, F.lit(0.0))
          .otherwise((F.col("b") - a) / F.greatest(a, F.col("b"))))
     stderr = F.stddev_samp("s") / F.sqrt(F.count(F.lit(1)))
-    return per.select(s.alias("s")).agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_anchors"), F.lit(method).alias("method"),
-                                        (F.lit(0.0) if method == "exact" else stderr).alias("stderr"))
+    return per.select("which", s.alias("s")).groupBy("which").agg(
+        F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_anchors"), F.lit(method).alias("method"),
+        (F.lit(0.0) if method == "exact" else stderr).alias("stderr"))
+
+
+def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str, id_col: str, method: str = "exact",
+               sample_rows: int = 10_000, seed: int = 42, block_rows: int = 5_000) -> DataFrame:
+    """The mean silhouette of one labelling, one row (see ``silhouettes``)."""
+    return silhouettes(df, cols, [cluster_col], id_col, method, sample_rows, seed, block_rows).drop("which")
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str], cluster_col: str) -> float:
@@ -326,18 +401,19 @@ def k_sweep(train_z: DataFrame, z_cols: Sequence[str], id_col: str, ks: Sequence
             seed: int = 42, method: str = "sampled", sample_rows: int = 10_000,
             max_iter: int = KMEANS_MAX_ITER) -> tuple[int, list[tuple[int, Score]]]:
     """Fit k-means for each k and score by the named silhouette; first best k
-    wins (M4)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    vec = VectorAssembler(inputCols=list(z_cols), outputCol="_features").transform(train_z)
-    vec = right_size(vec.select(id_col, *z_cols, "_features")).cache()
+    wins (M4). All k share the start, the passes of their steps and the
+    distances of their scores."""
+    z = right_size(train_z.select(id_col, *z_cols))
+    ks = list(ks)
+    start = race_centers(z, z_cols, max(ks), id_col, seed)
+    models = lloyd(z, z_cols, {k: start[:k] for k in ks}, max_iter)
+    names = [f"_k{k}" for k in ks]
+    labelled = z.withColumns({n: nearest_center(z_cols, models[k][0]) if models[k][0] else F.lit(0) for n, k in zip(names, ks)})
+    found = {r["which"]: r for r in silhouettes(labelled, z_cols, names, id_col, method, sample_rows, seed).collect()}
     scores = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cl", maxIter=max_iter).fit(vec)
-        labelled = model.transform(vec)
-        scores.append((k, silhouette_value(labelled, z_cols, "_cl", id_col, method, sample_rows)))
-    vec.unpersist()
+    for i, k in enumerate(ks):
+        r = found.get(i)
+        scores.append((k, Score(float(r["silhouette"] or 0.0), r["method"], r["n_anchors"], r["stderr"]) if r else Score(0.0, method, 0, None)))
     best = max(scores, key=lambda t: (t[1].value, -t[0]))[0]
     return best, scores
 

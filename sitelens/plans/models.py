@@ -2,10 +2,9 @@
 labels, prediction and baselines (sections 2.6-2.7), with oracles where a
 deterministic model makes SQL possible.
 
-Where an oracle must reproduce a fitted model, k-means starts at hash-seeded
-centres and takes ``LLOYD_STEPS`` update steps, which the SQL unrolls; labels
-come from that model's centres. The k-means plans with a random start are
-checked by invariants (tests) and rows-only at the driver.
+k-means draws its start by seeded hashes and steps to its fixpoint; the SQL
+draws the same start and takes the same steps in a recursive CTE, so every plan
+that fits or serves a model is compared by value.
 """
 
 from __future__ import annotations
@@ -31,7 +30,6 @@ from sitelens.sources.fixtures import with_views
 SEED = 42
 TEST_FRACTION = 0.30
 K_VENUES = 4
-LLOYD_STEPS = 5
 K_POINTS = 6
 PT_COLS = ["f0", "f1", "f2"]
 
@@ -60,16 +58,15 @@ def haifa_venues(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def venue_model(spark: SparkSession, sf: str, venues: DataFrame | None = None) -> tuple[K.CentroidModel, DataFrame]:
-    """Deterministic venue model: train-split scaler, k-means from hash-seeded
-    centres."""
+    """The venue model: train-split scaler and k-means at its fixpoint."""
     split = venue_split(spark, sf, venues=venues)
     train = split.filter(F.col("split") == "train")
-    return K.seeded_model(train, K.FEATURE_COLS, K_VENUES, "row_id", SEED, LLOYD_STEPS), split
+    return K.kmeans_fit(train, K.FEATURE_COLS, K_VENUES, SEED), split
 
 
-def region_model_seeded(spark: SparkSession, sf: str) -> tuple[K.CentroidModel, DataFrame]:
+def region_model_fitted(spark: SparkSession, sf: str) -> tuple[K.CentroidModel, DataFrame]:
     v = K.split_train_test(C.eligible(haifa_venues(spark, sf), K.REGION_FEATURE_COLS), "row_id", TEST_FRACTION, SEED)
-    return K.seeded_model(v.filter(F.col("split") == "train"), K.REGION_FEATURE_COLS, K_VENUES, "row_id", SEED, LLOYD_STEPS), v
+    return K.kmeans_fit(v.filter(F.col("split") == "train"), K.REGION_FEATURE_COLS, K_VENUES, SEED), v
 
 
 def venue_labels(spark: SparkSession, sf: str, fitted=None, venues: DataFrame | None = None) -> DataFrame:
@@ -80,7 +77,7 @@ def venue_labels(spark: SparkSession, sf: str, fitted=None, venues: DataFrame |
 
 
 def region_labels_df(spark: SparkSession, sf: str, fitted=None) -> DataFrame:
-    model, _ = fitted or region_model_seeded(spark, sf)
+    model, _ = fitted or region_model_fitted(spark, sf)
     cents = model.centroid_frame(spark).select("cluster", "price_nis", "rating", "lat").withColumn("area", sub_area("lat"))
     th = P.label_thresholds(haifa_venues(spark, sf)).first().asDict()
     return K.cluster_labels(cents, th, area_col="area")
@@ -128,8 +125,9 @@ def q_k_sweep(spark, sf):
     train = split.filter(F.col("split") == "train")
     sc = K.Scaler.fit(train, K.FEATURE_COLS)
     best, scores = K.k_sweep(sc.transform(train), sc.z_cols(), "row_id", range(3, 9), SEED)
-    return spark.createDataFrame([(k, s.value, s.method, s.anchors, s.stderr, k == best) for k, s in scores],
-                                 f"k int, {SCORE_COLS.format('silhouette')}, best boolean")
+    out = spark.createDataFrame([(k, s.value, s.method, s.anchors, s.stderr, k == best) for k, s in scores],
+                                f"k int, {SCORE_COLS.format('silhouette')}, best boolean")
+    return out.withColumns({c: F.round(c, 6) for c in ("silhouette", "silhouette_stderr")})
 
 
 def q_silhouette_exact(spark, sf):
@@ -250,8 +248,9 @@ def q_region_model(spark, sf):
     te = sc.transform(model.predict(test))
     row = ("KMeans-Haifa", best, *K.silhouette_value(tr, sc.z_cols(), "cluster", "row_id"),
            *K.silhouette_value(te, sc.z_cols(), "cluster", "row_id"))
-    return spark.createDataFrame([row], f"algorithm string, k int, {SCORE_COLS.format('train_silhouette')}, "
-                                        f"{SCORE_COLS.format('test_silhouette')}")
+    out = spark.createDataFrame([row], f"algorithm string, k int, {SCORE_COLS.format('train_silhouette')}, "
+                                       f"{SCORE_COLS.format('test_silhouette')}")
+    return out.withColumns({c: F.round(c, 6) for p in ("train", "test") for c in (f"{p}_silhouette", f"{p}_silhouette_stderr")})
 
 
 def predict_candidates(queries: DataFrame, venues: DataFrame, model: K.CentroidModel,
@@ -289,7 +288,7 @@ def q_predict(spark, sf):
 
 
 def q_predict_region(spark, sf):
-    fitted = region_model_seeded(spark, sf)
+    fitted = region_model_fitted(spark, sf)
     out = predict(common.clicks(spark, sf), haifa_venues(spark, sf), fitted[0], region_labels_df(spark, sf, fitted))
     return display_round(out).select("query_id", "rank", "row_id", "distance_km", "score",
                                      F.col("cluster").cast("int").alias("cluster"), "label")
@@ -408,33 +407,56 @@ def _split_sql(table: str, id_col: str) -> str:
     return f"{unit_hash_sql(id_col, SEED)} < {1.0 - TEST_FRACTION!r}"
 
 
-def model_ctes(src: str, cols: list[str], k: int, prefix: str, fill_zero: bool = True) -> str:
+def kmeans_ctes(points: str, id_col: str, zs: list[str], ks: list[int], prefix: str) -> str:
+    """CTEs {prefix}s0.. (the k-means++ start), {prefix}steps (Lloyd steps of
+    every k until its centres rest) and {prefix}fit (k, j, c0..)."""
+    p, top = prefix, max(ks)
+    at = ", ".join(f"{z} AS c{i}" for i, z in enumerate(zs))
+    seeds = [f"{p}s0 AS (SELECT {at} FROM {points} ORDER BY {hash32_sql(id_col, f'{SEED}:0')}, {id_col} LIMIT 1)"]
+    for j in range(1, top):
+        gaps = [" + ".join(f"({z} - s{m}.c{i}) * ({z} - s{m}.c{i})" for i, z in enumerate(zs)) for m in range(j)]
+        gap = f"least({', '.join(gaps)})" if j > 1 else gaps[0]
+        seeds.append(f"""{p}s{j} AS MATERIALIZED (SELECT {at} FROM (SELECT {points}.*, {gap} AS gap FROM {points}, {', '.join(f'{p}s{m} s{m}' for m in range(j))}) t
+   WHERE gap > 0 ORDER BY -ln(({hash32_sql(id_col, f'{SEED}:{j}')} + 1) / 4294967297.0E0) / gap, {id_col} LIMIT 1)""")
+    start = " UNION ALL ".join(f"SELECT 0 AS it, {k} AS k, {j} AS j, *, 1.0E0 AS moved FROM {p}s{j}" for k in ks for j in range(k))
+    cs = [f"c{i}" for i in range(len(zs))]
+    dist = " + ".join(f"(p.{z} - l.{c}) * (p.{z} - l.{c})" for z, c in zip(zs, cs))
+    means = ", ".join(f"coalesce(avg(t.{z}), any_value(l.{c})) AS n{c}" for z, c in zip(zs, cs))
+    gone = "greatest(" + ", ".join(f"abs(n{c} - {c})" for c in cs) + ")" if len(cs) > 1 else f"abs(n{cs[0]} - {cs[0]})"
+    return ",\n".join(seeds) + f""",
+{p}steps AS (SELECT * FROM (WITH RECURSIVE r(it, k, j, {', '.join(cs)}, moved) AS (
+  SELECT * FROM ({start}) z
+  UNION ALL
+  SELECT it + 1, k, j, {', '.join('n' + c for c in cs)}, max({gone}) OVER (PARTITION BY k) FROM (
+    SELECT l.it, l.k, l.j, {', '.join('any_value(l.' + c + ') AS ' + c for c in cs)}, {means}
+    FROM r l LEFT JOIN (SELECT k, (m).j AS j, {', '.join(zs)} FROM (
+        SELECT l.k, min({{'d': {dist}, 'j': l.j}}) AS m, {', '.join(f'any_value(p.{z}) AS {z}' for z in zs)}
+        FROM {points} p, r l WHERE l.moved > {K.KMEANS_TOLERANCE!r} GROUP BY p.{id_col}, l.k) n) t ON t.k = l.k AND t.j = l.j
+    WHERE l.moved > {K.KMEANS_TOLERANCE!r} AND l.it < {K.KMEANS_MAX_ITER} GROUP BY l.it, l.k, l.j) c)
+  SELECT * FROM r)),
+{p}fit AS MATERIALIZED (SELECT k, j, {', '.join(cs)} FROM {p}steps QUALIFY it = max(it) OVER (PARTITION BY k))"""
+
+
+def model_ctes(src: str, cols: list[str], k: int, prefix: str, fill_zero: bool = True, ks: list[int] | None = None) -> str:
     """CTEs: {prefix}train, {prefix}st (scaler), {prefix}z (all src rows
-    scaled), {prefix}cen0 (seeded centres), {prefix}cen1.. (after each Lloyd
-    step over the train rows), {prefix}cen (the last), {prefix}asg (row_id,
-    cluster) and {prefix}orig (centres in original units)."""
+    scaled), {prefix}tz (the train rows among them), those of ``kmeans_ctes``
+    for ``ks``, {prefix}cen (the centres for k), {prefix}asg (row_id, cluster)
+    and {prefix}orig (centres in original units)."""
     def v(c):
         return f"coalesce({c}, 0.0E0)" if fill_zero else c
     stats = ", ".join(f"avg({v(c)}) AS m{i}, CASE WHEN coalesce(stddev_pop({v(c)}), 0) = 0 THEN 1.0E0 "
                       f"ELSE stddev_pop({v(c)}) END AS s{i}" for i, c in enumerate(cols))
     zs = ", ".join(f"({v(c)} - st.m{i}) / st.s{i} AS z{i}" for i, c in enumerate(cols))
-    cz = ", ".join(f"z{i} AS c{i}" for i in range(len(cols)))
     dist = " + ".join(f"(z.z{i} - cen.c{i}) * (z.z{i} - cen.c{i})" for i in range(len(cols)))
     p = prefix
-    cs = ", ".join(f"coalesce(avg(t.z{i}), any_value(c.c{i})) AS c{i}" for i in range(len(cols)))
-    zcols = ", ".join(f"z.z{i}" for i in range(len(cols)))
-    steps = ",\n".join(
-        f"""{p}a{s} AS (SELECT * FROM (SELECT {zcols}, cen.j, row_number() OVER (PARTITION BY z.row_id ORDER BY {dist}, cen.j) AS rn
-   FROM {p}z z, {p}cen{s} cen WHERE {_split_sql(src, 'z.row_id')}) t WHERE rn = 1),
-{p}cen{s + 1} AS (SELECT c.j, {cs} FROM {p}cen{s} c LEFT JOIN {p}a{s} t ON t.j = c.j GROUP BY c.j)""" for s in range(LLOYD_STEPS))
     orig = ", ".join(f"cen.c{i} * st.s{i} + st.m{i} AS {c}" for i, c in enumerate(cols))
+    zn = [f"z{i}" for i in range(len(cols))]
     return f"""{p}train AS (SELECT * FROM {src} WHERE {_split_sql(src, 'row_id')}),
 {p}st AS (SELECT {stats} FROM {p}train),
-{p}z AS (SELECT s.*, {zs} FROM {src} s, {p}st st),
-{p}cen0 AS (SELECT row_number() OVER (ORDER BY h, row_id) - 1 AS j, {cz} FROM
-   (SELECT *, {hash32_sql('row_id', SEED)} AS h FROM {p}z WHERE {_split_sql(src, 'row_id')} ORDER BY h, row_id LIMIT {k}) t),
-{steps},
-{p}cen AS (SELECT * FROM {p}cen{LLOYD_STEPS}),
+{p}z AS MATERIALIZED (SELECT s.*, {zs} FROM {src} s, {p}st st),
+{p}tz AS MATERIALIZED (SELECT row_id, {', '.join(zn)} FROM {p}z WHERE {_split_sql(src, 'row_id')}),
+{kmeans_ctes(f'{p}tz', 'row_id', zn, ks or [k], p)},
+{p}cen AS (SELECT * FROM {p}fit WHERE k = {k}),
 {p}orig AS (SELECT cen.j AS cluster, {orig} FROM {p}cen cen, {p}st st),
 {p}asg AS (SELECT row_id, j AS cluster FROM (SELECT z.row_id, cen.j,
    row_number() OVER (PARTITION BY z.row_id ORDER BY {dist}, cen.j) AS rn FROM {p}z z, {p}cen cen) t WHERE rn = 1)"""
@@ -555,6 +577,56 @@ SELECT pt_id, nn_id, cluster FROM (SELECT t.pt_id, c.pt_id AS nn_id, c.cluster,
   row_number() OVER (PARTITION BY t.pt_id ORDER BY {_pd}, c.pt_id) AS rn FROM ptest t, ptrain c) x WHERE rn = 1""",
                              "cluster_points")
 
+KMEANS_ASSIGN_SQL = with_views(f""", {ELIG}, {model_ctes('elig', K.FEATURE_COLS, K_VENUES, 'v_')}
+SELECT z.row_id, CASE WHEN {_split_sql('z', 'z.row_id')} THEN 'train' ELSE 'test' END AS split, CAST(a.cluster AS INTEGER) AS cluster
+FROM v_z z JOIN v_asg a ON a.row_id = z.row_id""", "venues")
+
+
+SWEEP_KS = list(range(3, 9))
+ANCHORS = 10_000
+
+
+def scores_ctes(rows: str, dims: int, prefix: str) -> str:
+    """CTE {prefix}score (k, silhouette, anchors, stderr) of ``rows`` (row_id, k, cluster, z0..), as sampled."""
+    d = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(dims))
+    p = prefix
+    return f"""{p}anchor AS MATERIALIZED (SELECT row_id FROM (SELECT DISTINCT row_id FROM {rows}) u ORDER BY {hash32_sql('row_id', SEED)}, row_id LIMIT {ANCHORS}),
+{p}flat AS MATERIALIZED (SELECT row_id, {', '.join(f'any_value(z{i}) AS z{i}' for i in range(dims))}, list(cluster ORDER BY k) AS cl, list(k ORDER BY k) AS ks FROM {rows} GROUP BY row_id),
+{p}pair AS (SELECT a.row_id, a.cl AS own, a.ks, b.cl AS other, sqrt({d}) AS dist FROM {p}flat a, {p}flat b WHERE a.row_id IN (FROM {p}anchor)),
+{p}per AS (SELECT row_id, own, ks, other, sum(dist) AS ds, count(*) AS n FROM {p}pair GROUP BY ALL),
+{p}un AS (SELECT row_id, unnest(ks) AS k, unnest(own) AS own, unnest(other) AS other, ds, n FROM {p}per),
+{p}sums AS (SELECT row_id, k, own, other, sum(ds) AS ds, sum(n) AS n FROM {p}un GROUP BY ALL),
+{p}agg AS (SELECT row_id, k, max(CASE WHEN other = own THEN n END) AS n_own, max(CASE WHEN other = own THEN ds END) AS d_own,
+   min(CASE WHEN other <> own THEN ds / n END) AS b FROM {p}sums GROUP BY row_id, k),
+{p}sv AS (SELECT k, CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0E0 WHEN greatest(d_own / (n_own - 1), b) = 0 THEN 0.0E0
+   ELSE (b - d_own / (n_own - 1)) / greatest(d_own / (n_own - 1), b) END AS s FROM {p}agg),
+{p}score AS MATERIALIZED (SELECT k, avg(s) AS silhouette, count(*) AS anchors, stddev_samp(s) / sqrt(count(*)) AS stderr FROM {p}sv GROUP BY k)"""
+
+
+def sweep_ctes(src: str, cols: list[str], prefix: str, fill_zero: bool = True) -> str:
+    """CTEs {prefix}lab (row_id, k, cluster, z0.. of the train rows) and {prefix}score for all k of the sweep."""
+    p, dims = prefix, len(cols)
+    dist = " + ".join(f"(z.z{i} - f.c{i}) * (z.z{i} - f.c{i})" for i in range(dims))
+    return f"""{model_ctes(src, cols, SWEEP_KS[0], p, fill_zero, SWEEP_KS)},
+{p}all AS MATERIALIZED (SELECT z.row_id, f.k, (min({{'d': {dist}, 'j': f.j}})).j AS cluster, {', '.join(f'any_value(z.z{i}) AS z{i}' for i in range(dims))}
+   FROM {p}z z, {p}fit f GROUP BY z.row_id, f.k),
+{p}lab AS (SELECT * FROM {p}all WHERE {_split_sql('', 'row_id')}),
+{scores_ctes(f'{p}lab', dims, p)}"""
+
+
+K_SWEEP_SQL = with_views(f""", {ELIG}, {sweep_ctes('elig', K.FEATURE_COLS, 'v_')}
+SELECT CAST(k AS INTEGER) AS k, round(silhouette, 6) AS silhouette, 'sampled' AS silhouette_method, anchors AS silhouette_anchors,
+  round(stderr, 6) AS silhouette_stderr, k = (SELECT k FROM v_score ORDER BY silhouette DESC, k LIMIT 1) AS best FROM v_score""", "venues")
+
+REGION_MODEL_SQL = with_views(f""", {HAIFA}, {sweep_ctes('helig', K.REGION_FEATURE_COLS, 'h_', fill_zero=False)},
+best AS MATERIALIZED (SELECT k FROM h_score ORDER BY silhouette DESC, k LIMIT 1),
+tlab AS (SELECT * FROM h_all WHERE NOT ({_split_sql('', 'row_id')}) AND k = (SELECT k FROM best)),
+{scores_ctes('tlab', len(K.REGION_FEATURE_COLS), 't_')}
+SELECT 'KMeans-Haifa' AS algorithm, CAST(a.k AS INTEGER) AS k, round(a.silhouette, 6) AS train_silhouette, 'sampled' AS train_silhouette_method,
+  a.anchors AS train_silhouette_anchors, round(a.stderr, 6) AS train_silhouette_stderr, round(b.silhouette, 6) AS test_silhouette,
+  'sampled' AS test_silhouette_method, b.anchors AS test_silhouette_anchors, round(b.stderr, 6) AS test_silhouette_stderr
+FROM h_score a, t_score b WHERE a.k = (SELECT k FROM best)""", "venues")
+
 CLUSTER_LABELS_SQL = with_views(f""", {VENUE_MODEL}
 SELECT CAST(cluster AS INTEGER) AS cluster, label, round(price_nis, 6) AS price_nis, round(rating, 6) AS rating FROM v_lab""",
                                 "venues")
@@ -630,8 +702,8 @@ for _name, _fn, _sql in [
     ("split_stratified", q_split_stratified, SPLIT_STRATIFIED_SQL),
     ("standard_scale", q_standard_scale, SCALE_SQL),
     ("centroid_assign", q_centroid_assign, CENTROID_ASSIGN_SQL),
-    ("kmeans_assign", q_kmeans_assign, None),
-    ("k_sweep", q_k_sweep, None),
+    ("kmeans_assign", q_kmeans_assign, KMEANS_ASSIGN_SQL),
+    ("k_sweep", q_k_sweep, K_SWEEP_SQL),
     ("silhouette_exact", q_silhouette_exact, SIL_EXACT_SQL),
     ("silhouette_sampled", q_silhouette_sampled, SIL_SAMPLED_SQL),
     ("silhouette_squared", q_silhouette_squared, SIL_SQUARED_SQL),
@@ -641,7 +713,7 @@ for _name, _fn, _sql in [
     ("ward_assign", q_ward_assign, WARD_ASSIGN_SQL),
     ("compare_algorithms", q_compare_algorithms, None),
     ("cluster_labels", q_cluster_labels, CLUSTER_LABELS_SQL),
-    ("region_model", q_region_model, None),
+    ("region_model", q_region_model, REGION_MODEL_SQL),
     ("region_labels", q_region_labels, REGION_LABELS_SQL),
     ("predict", q_predict, PREDICT_SQL),
     ("predict_region", q_predict_region, PREDICT_REGION_SQL),
