@@ -9,6 +9,7 @@ Ward micro-centroids (``micro`` x features).
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 from collections.abc import Iterator, Sequence
@@ -41,6 +42,7 @@ REGION_FEATURE_COLS = ["price_nis", "rating", "lat", "lng"]
 KMEANS_MAX_ITER = 300
 # A fixpoint: no centre moves farther than this along an axis of scaled features.
 KMEANS_TOLERANCE = 1e-9
+LLOYD_COLLECT_TASKS = 256
 
 # --------------------------------------------------------------------------
 # M1 split, M2 scaling
@@ -214,13 +216,26 @@ def lloyd(z: DataFrame, z_cols: Sequence[str], starts: dict[int, list[list[float
     converged) per key. One pass over ``z`` serves all that still move; a
     centre without rows stays."""
     found = {k: (c, 0, False) for k, c in starts.items()}
+    rows = z.select(*[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(z_cols)])
+    sums = [f"s{i}" for i in range(len(z_cols))]
+    schema = "k int, j int, n long, " + ", ".join(f"{s} double" for s in sums)
+    # sums of few tasks come to the driver as they are (a row per task and centre), others are added up by a shuffle
+    few_tasks = rows.rdd.getNumPartitions() <= LLOYD_COLLECT_TASKS
     for step in range(1, max_iter + 1):
-        moving = [k for k, f in found.items() if not f[2]]
+        # models of equal centres (fewer distinct rows than k) and those at rest aren't moved
+        moving = {k: np.array(f[0]) for k, f in found.items() if not f[2] and len(f[0])}
         if not moving:
             break
-        near = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), nearest_center(z_cols, found[k][0]).alias("j")) for k in moving]))
-        rows = z.select(near.alias("_a"), *z_cols).groupBy("_a").agg(*[F.avg(c).alias(c) for c in z_cols]).collect()
-        means = {(r["_a"]["k"], r["_a"]["j"]): [float(r[c]) for c in z_cols] for r in rows}
+        # the centres travel with the function, not in the plan, so no step compiles new code
+        parts = rows.mapInPandas(functools.partial(_step_sums, centers=moving), schema)
+        if few_tasks:
+            total: dict[tuple, np.ndarray] = {}
+            for r in parts.collect():
+                total[r["k"], r["j"]] = total.get((r["k"], r["j"]), 0.0) + np.array(r[2:])
+        else:
+            total = {(r["k"], r["j"]): np.array(r[2:]) for r in
+                     parts.groupBy("k", "j").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums]).collect()}
+        means = {at: [float(v) for v in t[1:] / t[0]] for at, t in total.items()}
         for k in moving:
             old = found[k][0]
             new = [means.get((k, j), c) for j, c in enumerate(old)]
@@ -229,6 +244,20 @@ def lloyd(z: DataFrame, z_cols: Sequence[str], starts: dict[int, list[list[float
     return found
 
 
+def _step_sums(batches: Iterator[pd.DataFrame], centers: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
+    """A task's rows per model and nearest centre: their number and sums."""
+    total = {k: np.zeros((len(c), c.shape[1] + 1)) for k, c in centers.items()}
+    for pdf in batches:
+        x = pdf.to_numpy(np.float64)
+        one = np.hstack([np.ones((len(x), 1)), x])
+        for k, c in centers.items():
+            square = sum((x[:, i, None] - c[None, :, i]) ** 2 for i in range(x.shape[1]))
+            np.add.at(total[k], square.argmin(axis=1), one)
+    for k, t in total.items():
+        j = np.flatnonzero(t[:, 0])
+        yield pd.DataFrame({"k": np.int32(k), "j": j.astype(np.int32), "n": t[j, 0].astype(np.int64), **{f"s{i}": t[j, i + 1] for i in range(t.shape[1] - 1)}})
+
+
 def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, scaler: Scaler | None = None,
                max_iter: int = KMEANS_MAX_ITER, id_col: str = "row_id") -> CentroidModel:
     """k-means on scaled features (M3): a k-means++ start drawn by seeded
