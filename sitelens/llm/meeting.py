@@ -107,11 +107,13 @@ def _send(hs: list[np.ndarray], nodes: list[np.ndarray], digits: int, lot: int,
 
 
 def shared_hashes(texts: DataFrame, hasher: Callable[[], Callable[[bytes], np.ndarray]], digits: int,
-                  count: bool = False) -> DataFrame:
+                  count: bool = False, parts: int | None = None) -> DataFrame:
     """(node, hashes): a document's values that another document has too, as
     64-bit integers, each in one row of the document; with ``count`` (node, n)
     with their numbers instead.
 
+    A digit is settled at a time, so ``digits`` bound what a task holds; they lie
+    in ``parts`` partitions (as many as digits).
     ``texts`` has node (one row each) and text; ``hasher`` makes a function
     from the text's bytes to its sorted distinct values of HASH_BITS bits."""
 
@@ -164,5 +166,5 @@ def shared_hashes(texts: DataFrame, hasher: Callable[[], Callable[[bytes], np.nd
             yield from settle(blocks)
 
     sent = texts.select("node", "text").mapInArrow(send, _ASK)
-    return (sent.repartition(digits, "digit").sortWithinPartitions("digit")
+    return (sent.repartition(parts or digits, "digit").sortWithinPartitions("digit")
             .mapInArrow(meet, "node long, n long" if count else "node long, hashes binary"))
