@@ -9,8 +9,11 @@ proposal was too small: such phrases join it, and a further pass counts the
 border that grew from them, until no new border phrase is frequent. Then no
 frequent phrase can have been missed, whatever the sample.
 
+Passes count 64-bit digests of (language, phrase), so nothing but numbers is
+shuffled; a last pass finds the texts of the frequent ones, and a second digest
+tells whether two of them met in one (then they are counted by their texts).
 Proposed phrases are held as a hashed bitmap of bounded size. A false member
-only makes more phrases be counted; every count is exact, by the phrase's text.
+only makes more phrases be counted.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +29,16 @@ from pyspark.sql.window import Window
 
 from sitelens.llm.common import binary_list, materialize, prepare, text_list
 from sitelens.llm.shingles import mix
-from sitelens.llm.wordids import Words, byte_set, gather, number_pairs
+from sitelens.llm.wordids import Tokens, byte_set, gather
 
 MAX_WORDS = 4
 SAMPLE = 8               # one document of so many, by a hash of its id
 SAMPLE_COUNT = 2         # occurrences in the sample that propose a phrase
-BITS = 16                # bits of the bitmap per proposed phrase
-LARGEST = 28             # at most 2 ** 28 bits (32 MB); a fuller bitmap prunes less
-COUNTS = "lang string, k int, phrase string, n long"
+# Bits of a bitmap per member. Two of them are asked, so of other phrases one in
+# 250 passes as proposed, one in 250,000 as failed and one in 1,000 to be told.
+PROPOSED_BITS, FAILED_BITS, TOLD_BITS = 32, 1024, 64
+LARGEST = 28             # at most 2 ** 28 bits (32 MB); a fuller bitmap lets more pass
+TOLD = 1 << 21           # digests that a worker remembers to have told the text of
 # Characters that end a piece, and blanks between words.
 BREAKS = (*b".,;:!?", *range(0x0A, 0x0E))
 BLANKS = (0x20, 0x09)
@@ -43,150 +47,181 @@ _BREAK = byte_set(*BREAKS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _extend(digest: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The digest of a phrase with one more word."""
-    return mix(digest * _STEP + word)
+class Bitmap:
+    """A set of digests, each as two of 2 ** ``power`` bits: by its highest bits
+    and by those from the eighth on."""
 
+    def __init__(self, power: int, data: np.ndarray):
+        self.power, self.data = power, data
 
-def _first(word: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    return mix(word ^ mix(lang))
+    def _bit(self, at: np.ndarray) -> np.ndarray:
+        return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
+    def has(self, digest: np.ndarray) -> np.ndarray:
+        out = self._bit(digest >> np.uint64(64 - self.power))
+        maybe = np.flatnonzero(out)
+        out[maybe] = self._bit((digest[maybe] >> np.uint64(8)) & np.uint64((1 << self.power) - 1))
+        return out
+
+
+def bitmap(digests: DataFrame, bits: int) -> Bitmap:
+    """The bitmap of a written table of digests ``d``. Spark sets the bits, 4 KB at
+    a time, and the driver lays the pieces side by side: at most 32 MB."""
+    power = int(np.clip(np.ceil(np.log2(max(1, digests.count()) * bits)), 18, LARGEST))
+    low = F.shiftrightunsigned("d", 8).bitwiseAND(F.lit((1 << power) - 1).cast("long"))
+    at = digests.select(F.explode(F.array(F.shiftrightunsigned("d", 64 - power), low)).alias("at")).select((F.col("at") + 1).alias("at"))
+    pieces = at.groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    data = np.zeros(1 << (power - 3), np.uint8)
+    for r in pieces.collect():
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        data[(r["piece"] - 1) * 4096:][:len(part)] = part
+    return Bitmap(power, data)
 
-def _lang_seeds(langs: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(s) for s in langs], np.uint64)
 
+class _Batch:
+    """The words of some texts and the digests of the phrases that start at them."""
 
-class Bitmap:
-    """A set of phrase digests, hashed to 2 ** ``power`` bits."""
+    def __init__(self, texts: list[bytes], langs: list[str], bits: int):
+        self.names, kind = np.unique(np.array(langs, object), return_inverse=True)
+        self.seeds = np.array([xxhash.xxh3_64_intdigest(s) for s in self.names], np.uint64)
+        self.tokens = Tokens(texts, _IN_WORD, lower=True)
+        self.kind = kind[self.tokens.row]
+        self.piece = np.cumsum(_BREAK[self.tokens.bytes], dtype=np.int32)[self.tokens.lo]
+        self.word, self.second = self.tokens.digests()
+        self.mask = np.uint64((1 << 64) - (1 << 64 - bits))
+        self.first = mix(self.word ^ mix(self.seeds)[self.kind]) & self.mask
 
-    def __init__(self, power: int, data: np.ndarray):
-        self.power, self.data = power, data
+    def fits(self, k: int) -> np.ndarray:
+        """Where phrases of k words lie in one piece."""
+        return self.piece[k - 1:] == self.piece[:len(self.piece) - k + 1]
 
-    def has(self, digest: np.ndarray) -> np.ndarray:
-        at = digest >> np.uint64(64 - self.power)
-        return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    def longer(self, digest: np.ndarray, k: int) -> np.ndarray:
+        """The digests of phrases of k words from those of k - 1."""
+        return mix(digest[:-1] * _STEP + self.word[k - 1:]) & self.mask
 
+    def longer_second(self, digest: np.ndarray, k: int) -> np.ndarray:
+        return mix(digest[:-1] * _STEP + self.second[k - 1:])
 
-def _digests(batch: pa.RecordBatch) -> np.ndarray:
-    """The digests of (lang, phrase) rows."""
-    w = Words(binary_list(batch.column(1)), _IN_WORD, lower=False)
-    word = w.digest[w.ids]
-    ends = np.searchsorted(w.row, np.arange(batch.num_rows + 1))
-    seeds = _lang_seeds(text_list(batch.column(0)))
-    out = _first(word[ends[:-1]], seeds)
-    for k in range(1, MAX_WORDS):
-        more = np.flatnonzero(np.diff(ends) > k)
-        out[more] = _extend(out[more], word[ends[more] + k])
-    return out
-
-
-def bitmap(phrases: DataFrame, base: Bitmap | None = None) -> Bitmap:
-    """The bitmap of a written table of (lang, phrase), together with ``base``,
-    whose size it then has. Tasks set the bits, 4 KB at a time, and the driver
-    lays the pieces side by side: at most 32 MB."""
-    power = base.power if base else int(np.clip(np.ceil(np.log2(max(1, phrases.count()) * BITS)), 18, LARGEST))
-
-    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                at = (_digests(batch) >> np.uint64(64 - power)).astype(np.int64) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
-
-    pieces = (phrases.select("lang", "phrase").mapInArrow(places, "at long")
-              .groupBy(F.bitmap_bucket_number("at").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
-    data = base.data.copy() if base else np.zeros(1 << (power - 3), np.uint8)
-    for r in pieces.collect():
-        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
-        data[(r["piece"] - 1) * 4096:][:len(bits)] |= bits
-    return Bitmap(power, data)
+    def text(self, at: np.ndarray, k: int) -> list[str]:
+        t = self.tokens
+        return [b" ".join(t.data[lo:hi] for lo, hi in zip(t.lo[i:i + k], t.hi[i:i + k])).decode("utf-8") for i in at.tolist()]
 
 
-def _grams(texts: list[bytes], langs: list[str], new: Bitmap | None, old: Bitmap | None, levels: range, totals: bool):
-    """(k, lang, phrase, count) columns of the phrases to count in a batch: of
-    ``levels`` words, with both shorter parts in ``new`` and not both in ``old``."""
-    names, kind = np.unique(np.array(langs, object), return_inverse=True)
-    w = Words(texts, _IN_WORD, lower=True, kind=kind)
-    if not w.n:
-        return
-    if totals:
-        n = np.bincount(kind[w.row], minlength=len(names))
-        yield 0, names, pa.array([""] * len(names)), n
-    piece = np.cumsum(_BREAK[w.bytes])[w.lo]
-    lang = kind[w.row[w.of]]
-    word, ids, count = w.texts(), w.ids, np.bincount(w.ids)
-    digest, text = _first(w.digest, _lang_seeds(list(names))[lang]), word
-    at = np.arange(w.n)      # where the phrases of this level start
-    known = np.full(w.n, old is not None)
+def _border(batch: _Batch, levels: range, proposed: Bitmap | None) -> Iterator[np.ndarray]:
+    """The digests of the phrases of ``levels`` words whose shorter parts are both proposed."""
+    digest, able = batch.first, np.ones(batch.tokens.n, bool)
     for k in range(1, levels.stop):
-        fresh = None
         if k > 1:
-            member = new.has(digest)[ids]
-            # a longer phrase starts where this level has members side by side in a piece
-            pair = np.flatnonzero((at[1:] == at[:-1] + 1) & member[1:] & member[:-1])
-            pair = pair[piece[at[pair]] == piece[at[pair] + k - 1]]
-            if not len(pair):
-                return
-            # counted by an earlier pass: both parts were, and had been proposed
-            known = known & old.has(digest)[ids] if old else known
-            known = known[pair] & known[pair + 1]
-            last = w.ids[at[pair] + k - 1]
-            longer, of, count = number_pairs(ids[pair], last, len(word))
-            fresh = ~known[of]
-            text = pc.binary_join_element_wise(text.take(pa.array(ids[pair][of])), word.take(pa.array(last[of])), " ")
-            digest = _extend(digest[ids[pair][of]], w.digest[last[of]])
-            lang, at, ids = lang[ids[pair][of]], at[pair], longer
-        if k >= levels.start:
-            keep = np.arange(len(count)) if fresh is None else np.flatnonzero(fresh)
-            yield k, names[lang[keep]], text.take(pa.array(keep)), count[keep]
-
-
-def _counted(docs: DataFrame, levels: range, new: Bitmap | None = None, old: Bitmap | None = None, totals: bool = False) -> DataFrame:
-    """(lang, k, phrase, n) over all of ``docs`` (lang, text); with ``totals`` also all
-    words of a language, as k = 0. Tasks add up a few megabytes of text at a
-    time, Spark the rest, with a map-side combine."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((new, old))
+            member = able & proposed.has(digest)
+            able = member[1:] & member[:-1] & batch.fits(k)
+            digest = batch.longer(digest, k)
+        if k in levels:
+            yield digest[able]
+
+
+def _around(batch: _Batch, failed: Bitmap) -> Iterator[np.ndarray]:
+    """The digests of all phrases that contain a failed one."""
+    digest, holds = batch.first, np.zeros(batch.tokens.n + 1, bool)
+    for k in range(1, MAX_WORDS + 1):
+        fits = batch.fits(k)
+        digest = batch.longer(digest, k) if k > 1 else digest
+        holds = fits & (holds[:-1] | holds[1:] | failed.has(digest))
+        yield digest[holds]
+
+
+def _counted(docs: DataFrame, bits: int, phrases, *shared) -> DataFrame:
+    """(d, n): how often ``phrases(batch, *shared)`` yields a digest over all of ``docs``
+    (lang, text). Tasks add up a few megabytes of text at a time, Spark the
+    rest, map-side first."""
+    sent = docs.sparkSession.sparkContext.broadcast(shared)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, old = shared.value
         for rows in gather(batches, 1):
-            langs = text_list(rows.column(0))
-            for k, lang, phrase, n in _grams(binary_list(rows.column(1)), langs, new, old, levels, totals):
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(np.full(len(n), k, np.int32)), phrase,
-                                                  pa.array(n.astype(np.int64))], ["lang", "k", "phrase", "n"])
+            batch = _Batch(binary_list(rows.column(1)), text_list(rows.column(0)), bits)
+            out = [np.unique(d, return_counts=True) for d in phrases(batch, *sent.value)]
+            d, n = (np.concatenate([np.zeros(0, t), *c]) for t, c in zip((np.uint64, np.int64), zip(*out)))
+            yield pa.RecordBatch.from_arrays([pa.array(d.view(np.int64)), pa.array(n.astype(np.int64))], ["d", "n"])
+
+    return docs.mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n"))
 
-    return docs.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
+def _told(docs: DataFrame, bits: int, members: Bitmap, recount: bool = False) -> DataFrame:
+    """(d, d2, k, lang, phrase, n): the texts of the phrases in ``members``, and as
+    k = 0 the languages with their words. A worker tells a phrase once, with n =
+    0, or again after TOLD others; to ``recount``, all occurrences are told."""
+    sent = docs.sparkSession.sparkContext.broadcast(members)
 
-def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE, sample_count: int = SAMPLE_COUNT) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members, told = sent.value, np.zeros(0, np.uint64)
+        for rows in gather(batches, 1):
+            batch = _Batch(binary_list(rows.column(1)), text_list(rows.column(0)), bits)
+            words = np.bincount(batch.kind, minlength=len(batch.names))
+            out = [(batch.seeds, batch.seeds, 0, batch.names, [""] * len(words), words)]
+            digest, second = batch.first, batch.second
+            for k in range(1, MAX_WORDS + 1):
+                if k > 1:
+                    digest, second = batch.longer(digest, k), batch.longer_second(second, k)
+                at = np.flatnonzero(batch.fits(k) & members.has(digest))
+                if recount:
+                    _, of, n = np.unique(np.stack([digest[at], second[at]], 1), axis=0, return_index=True, return_counts=True)
+                    at = at[of]
+                else:
+                    both, of = np.unique(mix(digest[at]) ^ second[at], return_index=True)
+                    at = at[of[~np.isin(both, told, assume_unique=True)]]
+                    told = np.union1d(told, both) if len(told) < TOLD else both
+                    n = np.zeros(len(at), np.int64)
+                out.append((digest[at], second[at], k, batch.names[batch.kind[at]], batch.text(at, k), n))
+            d, d2 = (np.concatenate([o[i] for o in out]).view(np.int64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d), pa.array(d2), pa.array(np.repeat([o[2] for o in out], [len(o[0]) for o in out]).astype(np.int32)),
+                 pa.array(np.concatenate([o[3] for o in out]), pa.string()), pa.array([t for o in out for t in o[4]], pa.string()),
+                 pa.array(np.concatenate([o[5] for o in out]).astype(np.int64))], ["d", "d2", "k", "lang", "phrase", "n"])
+
+    found = docs.mapInArrow(run, "d long, d2 long, k int, lang string, phrase string, n long")
+    return found.groupBy("d", "d2", "k", "lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE, sample_count: int = SAMPLE_COUNT,
+                     bits: int = 64) -> DataFrame:
     """(lang, k, phrase, n): all phrases of 1 to 4 words with n >= ``least``
     occurrences, and per language the number of all words as k = 0, whatever it is.
 
     ``docs`` has doc_id, lang, text. A null lang is ``und``, a null text is
-    empty. The sample decides how many passes are made, never the result; an
-    empty sample only means that more is found by later passes."""
+    empty. The sample decides how much is counted and ``bits``
+    how many phrases meet in a digest, never the result.
+
+    One expansion closes: a frequent phrase that the first pass didn't count has
+    a shortest such part, one of whose own parts is frequent, counted and not
+    proposed. So it contains a failed phrase, and the expansion counts all of those."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text", "doc_id")
     part = materialize(rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0).select("lang", "text"), "phrase-sample")
     rows = rows.select("lang", "text")
     proposed, members = None, None
     for k in range(1, MAX_WORDS):
-        found = _counted(part, range(k, k + 1), members).filter(F.col("n") >= sample_count)
-        found = materialize(found.select("lang", "k", "phrase"), "phrases-proposed")
+        found = _counted(part, bits, _border, range(k, k + 1), members).filter(F.col("n") >= sample_count)
+        found = materialize(found.select("d"), "phrases-proposed")
         proposed = found if proposed is None else proposed.unionByName(found)
-        members = bitmap(proposed)
-    counts = materialize(_counted(rows, range(1, MAX_WORDS + 1), members, totals=True)
-                         .filter((F.col("n") >= least) | (F.col("k") == 0)), "phrases-counted")
-    latest = counts
-    while True:
-        # frequent phrases of the border whose own border hasn't been counted
-        failed = latest.filter(F.col("k").between(1, MAX_WORDS - 1)).select("lang", "k", "phrase")
-        failed = materialize(failed.join(proposed, ["lang", "k", "phrase"], "left_anti"), "phrases-failed")
-        if failed.isEmpty():
-            return counts
-        proposed = proposed.unionByName(failed)
-        grown = bitmap(failed, members)
-        latest = materialize(_counted(rows, range(2, MAX_WORDS + 1), grown, members).filter(F.col("n") >= least), "phrases-counted")
-        counts, members = counts.unionByName(latest), grown
+        members = bitmap(proposed, PROPOSED_BITS)
+    counts = materialize(_counted(rows, bits, _border, range(1, MAX_WORDS + 1), members).filter(F.col("n") >= least), "phrases-counted")
+    failed = materialize(counts.join(proposed, "d", "left_anti").select("d"), "phrases-failed")
+    if not failed.isEmpty():
+        more = materialize(_counted(rows, bits, _around, bitmap(failed, FAILED_BITS)).filter(F.col("n") >= least), "phrases-counted")
+        counts = materialize(counts.unionByName(more).distinct(), "phrases-counted")
+    return _named(rows, bits, counts, least)
+
+
+def _named(rows: DataFrame, bits: int, counts: DataFrame, least: int) -> DataFrame:
+    """(lang, k, phrase, n) of the counted digests (d, n)."""
+    told = materialize(_told(rows, bits, bitmap(counts, TOLD_BITS)), "phrases-told")
+    totals = told.filter("k = 0").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    texts = materialize(told.filter("k > 0").groupBy("d").agg(F.count(F.lit(1)).alias("m")), "phrases-texts")
+    # digests that several phrases share, or whose text was taken for one told before
+    shared = materialize(counts.join(texts, "d", "left").filter("coalesce(m, 0) <> 1").select("d"), "phrases-shared")
+    out = told.filter("k > 0").drop("n").join(counts, "d").join(shared, "d", "left_anti").select("lang", "k", "phrase", "n")
+    if not shared.isEmpty():
+        again = _told(rows, bits, bitmap(shared, TOLD_BITS), recount=True).filter("k > 0").join(shared, "d", "left_semi")
+        out = out.unionByName(again.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
+    return materialize(totals.unionByName(out), "phrases-frequent")
 
 
 def _wide(name: str) -> F.Column:

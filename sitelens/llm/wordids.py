@@ -50,13 +50,11 @@ def gather(batches: Iterable[pa.RecordBatch], column: int, limit: int = BATCH_BY
         yield pa.Table.from_batches(held)
 
 
-class Words:
-    """The words of ``texts``: ``lo`` and ``hi`` (byte positions in ``data``),
-    ``row`` (text), ``ids`` (numbers of equal words), ``of`` (a token of every
-    number) and ``digest`` (64 bits for every number). ``kind`` (a
-    small number per text) keeps equal words of different kinds apart."""
+class Tokens:
+    """The words of ``texts``: ``lo`` and ``hi`` (byte positions in ``data``) and
+    ``row`` (the text)."""
 
-    def __init__(self, texts: list[bytes], in_word: np.ndarray, lower: bool, kind: np.ndarray | None = None):
+    def __init__(self, texts: list[bytes], in_word: np.ndarray, lower: bool):
         data = b"\n".join(texts)
         self.data = data.translate(LOWER) if lower else data
         self.bytes = np.frombuffer(self.data, np.uint8)
@@ -65,9 +63,8 @@ class Words:
         starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]]) if texts else np.zeros(0, np.int64)
         self.row = np.searchsorted(starts, self.lo, "right") - 1
         self.n = len(self.lo)
-        self._number(kind)
 
-    def _keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(a, b, length): equal for equal words; the bytes themselves up to 16."""
         n = self.hi - self.lo
         padded = b"\0" * 8 + self.data + b"\0" * 8
@@ -80,8 +77,23 @@ class Words:
             a[i], b[i] = d >> 64, d & (2 ** 64 - 1)
         return a, b, n.astype(np.uint64)
 
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent 64-bit digests of every word."""
+        a, b, n = self.keys()
+        return mix(a + _K1 * mix(b + _K2 * n)), mix(b + _K3 * mix(a + _K1 * n))
+
+
+class Words(Tokens):
+    """Tokens with ``ids`` (numbers of equal words) and ``of`` (a token of every
+    number). ``kind`` (a small number per text) keeps equal words of different
+    kinds apart."""
+
+    def __init__(self, texts: list[bytes], in_word: np.ndarray, lower: bool, kind: np.ndarray | None = None):
+        super().__init__(texts, in_word, lower)
+        self._number(kind)
+
     def _number(self, kind: np.ndarray | None) -> None:
-        a, b, n = self._keys()
+        a, b, n = self.keys()
         k = kind[self.row].astype(np.uint64) if kind is not None else np.zeros(self.n, np.uint64)
         plain = mix(a + _K1 * mix(b + _K2 * n))
         salt = np.uint64(0)
@@ -94,8 +106,6 @@ class Words:
             salt += np.uint64(1)
             plain = mix(a ^ mix(b + _K2 * n + salt))
         self.ids, self.of = ids.astype(np.int64), of
-        self.digest = mix(a + _K1 * mix(b + _K2 * n))[of]
-        self.a, self.b, self.length = a[of], b[of], n[of]
 
     def texts(self) -> pa.Array:
         """Every number's word."""

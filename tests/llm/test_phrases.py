@@ -78,22 +78,22 @@ def test_sample_never_changes_the_result(spark):
     assert all(f == found[0] for f in found) and ("en", 4, "only here rarely seen", 24) in found[0]
 
 
-def test_border_needs_several_passes(spark):
-    """With an empty sample every level is found by a pass of its own."""
+def test_border_failures_are_expanded(spark, monkeypatch):
+    """With an empty sample all words fail; one expansion finds all levels."""
     seen = []
     real = P._counted
-
-    def spy(*a, **k):
-        seen.append(a[1])
-        return real(*a, **k)
-
-    P._counted = spy
-    try:
-        rs = [(i, "alpha beta gamma delta", "en") for i in range(30)]
-        got = collect(P.frequent_phrases(table(spark, rs), 30, sample=10 ** 9), "k", "phrase", "n")
-    finally:
-        P._counted = real
-    assert (4, "alpha beta gamma delta", 30) in got and len([r for r in seen if r.stop == 5]) == 4
+    monkeypatch.setattr(P, "_counted", lambda docs, bits, phrases, *shared: seen.append(phrases) or real(docs, bits, phrases, *shared))
+    rs = [(i, "alpha beta gamma delta", "en") for i in range(30)]
+    got = collect(P.frequent_phrases(table(spark, rs), 30, sample=10 ** 9), "k", "phrase", "n")
+    assert (4, "alpha beta gamma delta", 30) in got and seen[3:] == [P._border, P._around]
+
+
+def test_digests_that_meet(spark):
+    """Phrases whose digests are equal are told apart and counted by their texts."""
+    rs = rows(60, 5, lang=("en",))
+    want = collect(P.frequent_phrases(table(spark, rs), 5), "lang", "k", "phrase", "n")
+    assert len(want) > 60
+    assert collect(P.frequent_phrases(table(spark, rs), 5, bits=4), "lang", "k", "phrase", "n") == want
 
 
 def test_one_group_holds_most_rows(spark):
