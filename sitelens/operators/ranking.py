@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 
 from sitelens.functions.geo import EARTH_RADIUS_KM
 from sitelens.functions.hashing import hash32
-from sitelens.operators.spatial import (DEFAULT_ROWS_PER_SPLIT, SALT, build_cells, circle_holds_cell, default_cell_deg, probe_cells,
-                                        radius_join, salt_build, salt_probe, within_radius)
+from sitelens.operators.spatial import (CELL_KEYS, DEFAULT_ROWS_PER_SPLIT, build_cells, circle_holds_cell, default_cell_deg,
+                                        circle_level, held_probe, hot_keys, probe_cells, radius_join, split_both, within_radius)
 
 # Persona weights (rating, price, distance). Unknown personas
 # use the student row.
@@ -149,7 +149,8 @@ def rank_candidates(scored: DataFrame, k: int = 10, extra_cols: Sequence[str] =
 
 @dataclass(frozen=True)
 class VenueGrid:
-    """Eligible venues by grid cell, ready for any number of query tables.
+    """Eligible venues by cell of every level, ready for any number of query
+    tables.
 
     ``every`` holds all of them. ``best`` holds per persona those that can be
     among the top ``k`` of a query whose circle holds their whole cell: two
@@ -160,36 +161,32 @@ class VenueGrid:
     cell_deg: float
     k: int
     extra_cols: tuple[str, ...]
+    levels: tuple[int, ...]
     every: DataFrame
     every_hot: DataFrame | None
     best: DataFrame
     best_hot: DataFrame | None
-
-
-def _hot(build: DataFrame, keys: Sequence[str], rows_per_split: int) -> DataFrame | None:
-    hot = (build.groupBy(*keys).count().filter(F.col("count") > rows_per_split)
-           .select(*keys, F.ceil(F.col("count") / F.lit(rows_per_split)).cast("int").alias("_nsplit"))).checkpoint()
-    return hot if hot.count() else None
+    rows_per_split: int
 
 
 def venue_grid(venues: DataFrame, cell_deg: float, k: int = 10, extra_cols: Sequence[str] = (),
-               rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> VenueGrid:
+               rows_per_split: int = DEFAULT_ROWS_PER_SPLIT, levels: Sequence[int] = (0, 1, 2, 3)) -> VenueGrid:
     """Grid the venues once; both tables are checkpointed."""
     v = venues.select("row_id", "lat", "lng", "name", "city", "rating", "price_nis", "google_maps_url", *extra_cols)
-    every = build_cells(v.filter(F.col("price_nis").isNotNull() & F.col("rating").isNotNull()), cell_deg).checkpoint()
-    diagonal_km = math.sqrt(2.0) * math.radians(cell_deg) * EARTH_RADIUS_KM
+    every = build_cells(v.filter(F.col("price_nis").isNotNull() & F.col("rating").isNotNull()), cell_deg, levels=levels).checkpoint()
+    side = F.pow(F.lit(4.0), F.col("_lv")) * F.lit(cell_deg)
+    diagonal_km = F.lit(math.sqrt(2.0)) * F.radians(side) * F.lit(EARTH_RADIUS_KM)
     personas = F.array(*[F.lit(p) for p in PERSONA_WEIGHTS])
     static = every.withColumn("_persona", F.explode(personas)).withColumn(
         "_static", persona_score("_persona", distance=F.lit(0.0)))
-    cell = ["_cy", "_cx", "_persona"]
+    cell = [*CELL_KEYS, "_persona"]
     kth = (top_k_per_group(static.select(*cell, "row_id", "_static"), cell, [F.col("_static").desc(), F.col("row_id")], k, "_r")
            .filter(F.col("_r") == k).select(*cell, F.col("_static").alias("_kth")))
-    slack = F.abs(persona_weight("_persona", "distance_km")) * F.lit(diagonal_km) * (1 + 1e-9) + 1e-9
+    slack = F.abs(persona_weight("_persona", "distance_km")) * diagonal_km * (1 + 1e-9) + 1e-9
     best = (static.join(kth, cell, "left").filter(F.col("_kth").isNull() | (F.col("_static") >= F.col("_kth") - slack))
             .drop("_static", "_kth")).checkpoint()
-    every_hot, best_hot = _hot(every, cell[:2], rows_per_split), _hot(best, cell, rows_per_split)
-    return VenueGrid(cell_deg, k, tuple(extra_cols), salt_build(every, every_hot, cell[:2], "row_id"), every_hot,
-                     salt_build(best, best_hot, cell, "row_id"), best_hot)
+    return VenueGrid(cell_deg, k, tuple(extra_cols), tuple(levels), every, hot_keys(every, CELL_KEYS, rows_per_split),
+                     best, hot_keys(best, cell, rows_per_split), rows_per_split)
 
 
 def recommend_on_grid(queries: DataFrame, grid: VenueGrid) -> DataFrame:
@@ -198,11 +195,18 @@ def recommend_on_grid(queries: DataFrame, grid: VenueGrid) -> DataFrame:
     known = F.col("persona").isin(*PERSONA_WEIGHTS)
     q = queries.select("query_id", "lat", "lng", "persona", "max_dist_km").withColumn(
         "_persona", F.when(known, F.col("persona")).otherwise(F.lit(DEFAULT_PERSONA)))
-    probe = probe_cells(q, grid.cell_deg).withColumn("_held", F.coalesce(circle_holds_cell(grid.cell_deg), F.lit(False)))
-    inside, across = probe.filter("_held").drop("_held"), probe.filter("NOT _held").drop("_held", "_persona")
-    cell = ["_cy", "_cx", "_persona"]
-    pairs = within_radius(salt_probe(inside, grid.best_hot, cell), grid.best, [*cell, SALT]).drop("_persona").unionByName(
-        within_radius(salt_probe(across, grid.every_hot, cell[:2]), grid.every, [*cell[:2], SALT]))
+    probe = probe_cells(q, grid.cell_deg, max_level=max(grid.levels)).withColumn("_held", F.coalesce(circle_holds_cell(grid.cell_deg), F.lit(False)))
+    cell = [*CELL_KEYS, "_persona"]
+    probe, levels, probe_hot = held_probe(probe, grid.rows_per_split, cell)
+    used = F.col("_lv").isin(levels)
+
+    def met(side: DataFrame, venues: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
+        asked = None if probe_hot is None else hot_keys(side, keys, grid.rows_per_split)
+        build, side, on = split_both(venues.filter(used), side, keys, hot, asked)
+        return within_radius(side, build, on)
+
+    pairs = met(probe.filter("_held").drop("_held"), grid.best, cell, grid.best_hot).drop("_persona").unionByName(
+        met(probe.filter("NOT _held").drop("_held", "_persona"), grid.every, CELL_KEYS, grid.every_hot))
     return rank_candidates(score_candidates(pairs), grid.k, grid.extra_cols)
 
 
@@ -213,7 +217,10 @@ def recommend(queries: DataFrame, venues: DataFrame, k: int = 10, *, cell_deg: f
     city, rating, price_nis, distance_km, score, google_maps_url."""
     if cell_deg is None:
         cell_deg = default_cell_deg(queries, "max_dist_km")
-    return recommend_on_grid(queries, venue_grid(venues, cell_deg, k, extra_cols, rows_per_split))
+    level = circle_level(cell_deg, "max_dist_km")
+    found = queries.select(F.col("lat").alias("q_lat"), "max_dist_km").select(level.alias("lv")).distinct().collect()
+    used = sorted({x for r in found if r["lv"] is not None for x in (r["lv"], r["lv"] + (r["lv"] > 0))}) or [0]
+    return recommend_on_grid(queries, venue_grid(venues, cell_deg, k, extra_cols, rows_per_split, used))
 
 
 def display_round(df: DataFrame) -> DataFrame:

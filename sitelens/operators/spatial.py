@@ -65,28 +65,46 @@ def split_hot_cells(build: DataFrame, probe: DataFrame, keys: Sequence[str], sal
     hot = (counts.filter(F.col("count") > rows_per_split)
            .select(*keys, F.ceil(F.col("count") / F.lit(rows_per_split)).cast("int").alias("_nsplit")))
     hot = hot.checkpoint()
-    hot = hot if hot.count() else None
-    return salt_build(build, hot, keys, salt_source), salt_probe(probe, hot, keys), [*keys, SALT]
+    if not hot.count():
+        return build.withColumn(SALT, F.lit(0)), probe.withColumn(SALT, F.lit(0)), [*keys, SALT]
+    split = F.when(F.col("_nsplit").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsplit")).cast("int"))
+    build = build.join(_beside(hot), keys, "left").withColumn(SALT, split).drop("_nsplit")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nsplit"), F.lit(1)) - 1))
+    return build, probe.join(_beside(hot), keys, "left").withColumn(SALT, every).drop("_nsplit"), [*keys, SALT]
 
 
 def _beside(hot: DataFrame) -> DataFrame:
     return F.broadcast(hot) if hot.count() <= MAX_BROADCAST_HOT_CELLS else hot
 
 
-def salt_build(build: DataFrame, hot: DataFrame | None, keys: Sequence[str], salt_source: str) -> DataFrame:
-    """Build rows of hot cells dealt to their splits by a hash of the id."""
-    if hot is None:
-        return build.withColumn(SALT, F.lit(0))
-    split = F.when(F.col("_nsplit").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(F.col(salt_source)), F.col("_nsplit")).cast("int"))
-    return build.join(_beside(hot), list(keys), "left").withColumn(SALT, split).drop("_nsplit")
+def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_split: int = DEFAULT_ROWS_PER_SPLIT) -> DataFrame | None:
+    """The keys with more than ``rows_per_split`` rows and the number of shares
+    that theirs are dealt to (``_n``): fewer than rows / ``rows_per_split``.
+    None if there are none."""
+    n = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_split)
+    hot = n.select(*keys, F.ceil(F.col("n") / F.lit(rows_per_split)).cast("int").alias("_n")).checkpoint()
+    return hot if hot.count() else None
 
 
-def salt_probe(probe: DataFrame, hot: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Probe rows of hot cells repeated for every split."""
-    if hot is None:
-        return probe.withColumn(SALT, F.lit(0))
-    return (probe.join(_beside(hot), list(keys), "left")
-            .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nsplit"), F.lit(1)) - 1))).drop("_nsplit"))
+def split_both(build: DataFrame, probe: DataFrame, keys: Sequence[str], build_hot: DataFrame | None,
+               probe_hot: DataFrame | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Deal the rows of hot keys on both sides: each side's rows go to shares by
+    a hash of the row and are repeated for the other side's shares, so a pair
+    still meets exactly once, and neither many venues nor many queries of one
+    cell are one task's work. Returns (build, probe, join keys)."""
+    keys = list(keys)
+    if build_hot is None and probe_hot is None:
+        return build, probe, keys
+
+    def deal(df: DataFrame, own: DataFrame | None, other: DataFrame | None, own_salt: str, other_salt: str) -> DataFrame:
+        columns = df.columns
+        for hot, name in ((own, "_mine"), (other, "_theirs")):
+            df = df.withColumn(name, F.lit(1)) if hot is None else (
+                df.join(_beside(hot.withColumnRenamed("_n", name)), keys, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1))))
+        return df.select(*columns, F.pmod(F.xxhash64(*columns), F.col("_mine")).cast("int").alias(own_salt),
+                         F.explode(F.sequence(F.lit(0), F.col("_theirs") - 1)).alias(other_salt))
+
+    return deal(build, build_hot, probe_hot, "_sb", "_sp"), deal(probe, probe_hot, build_hot, "_sp", "_sb"), [*keys, "_sb", "_sp"]
 
 
 # --------------------------------------------------------------------------
@@ -112,53 +130,124 @@ def _lng_cell(lng: Column, cell: float, n_lng: int) -> Column:
     return F.pmod(F.floor((lng + F.lit(180.0)) / F.lit(cell)).cast("long"), F.lit(n_lng))
 
 
+# A circle spans at most so many cells of its level on either side of its
+# centre; cells of the next level are CELL_STEP times as wide.
+CELL_REACH = 8
+CELL_STEP = 4
+# Levels beyond this are never used: their cells would be wider than the globe.
+MAX_CELL_LEVEL = 12
+
+
+def _power(level: Column) -> Column:
+    return F.pow(F.lit(float(CELL_STEP)), level).cast("long")
+
+
+def circle_level(cell_deg: float, radius_col: str, max_level: int = MAX_CELL_LEVEL) -> Column:
+    """The level of cells that a query's circle is covered with."""
+    dlat = F.least(lat_radius_deg(F.col(radius_col)), F.lit(90.0))
+    dlng = F.coalesce(lng_radius_deg(F.col("q_lat"), F.col(radius_col)), F.lit(180.0))
+    span = F.sqrt(dlat * dlng) / F.lit(CELL_REACH * cell_deg)
+    return F.greatest(F.lit(0), F.least(F.lit(max_level), F.ceil(F.log(float(CELL_STEP), F.greatest(span, F.lit(1e-9)))).cast("int")))
+
+
 def probe_cells(queries: DataFrame, cell_deg: float, radius_col: str = "max_dist_km", q_lat: str = "lat",
-                q_lng: str = "lng") -> DataFrame:
-    """Every query once per grid cell that its circle's box touches (``_cy``,
-    ``_cx``); queries without a position or radius drop out. The position comes
-    out as ``q_lat`` / ``q_lng``."""
+                q_lng: str = "lng", max_level: int = MAX_CELL_LEVEL) -> DataFrame:
+    """Every query once per cell (``_lv``, ``_cy``, ``_cx``) of a cover of its
+    circle; queries without a position or radius drop out. The position comes
+    out as ``q_lat`` / ``q_lng``.
+
+    Cells follow the radius: the wider the circle, the wider the cells at its
+    rim, so a query has at most some hundred rows whatever its radius. Of wide
+    circles (level 1 and up), blocks of cells that lie inside the circle become
+    one cell of the next level."""
     n_lng, n_lat = int(math.ceil(360.0 / cell_deg)), int(math.floor(180.0 / cell_deg))
-    margin = 1e-6  # degrees; widens the box only, the exact filter decides
+    margin = 1e-6  # degrees; widens the cover only, the exact filter decides
     q = queries.withColumnsRenamed({q_lat: "q_lat", q_lng: "q_lng"})
+    names = q.columns
+    q = q.filter(F.col(radius_col).isNotNull() & F.col("q_lat").isNotNull() & F.col("q_lng").isNotNull())
+    q = q.withColumns({"_lv": circle_level(cell_deg, radius_col, max_level), "_r": F.radians(lat_radius_deg(F.col(radius_col))),
+                       "_dlng": lng_radius_deg(F.col("q_lat"), F.col(radius_col))}).withColumn("_f", _power(F.col("_lv")))
     dlat = lat_radius_deg(F.col(radius_col)) + F.lit(margin)
-    dlng = lng_radius_deg(F.col("q_lat"), F.col(radius_col)) + F.lit(margin)
-    lat_lo = F.greatest(_lat_cell(F.col("q_lat") - dlat, cell_deg), F.lit(0))
-    lat_hi = F.least(_lat_cell(F.col("q_lat") + dlat, cell_deg), F.lit(n_lat))
-    lng_lo = F.floor((F.col("q_lng") - dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
-    lng_hi = F.floor((F.col("q_lng") + dlng + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
-    all_lng = dlng.isNull() | ((lng_hi - lng_lo + 1) >= n_lng)
-    lng_cells = F.when(all_lng, F.sequence(F.lit(0).cast("long"), F.lit(n_lng - 1).cast("long"))).otherwise(
-        F.transform(F.sequence(lng_lo, lng_hi), lambda x: F.pmod(x, F.lit(n_lng))))
-    return (q.filter(F.col(radius_col).isNotNull() & F.col("q_lat").isNotNull() & F.col("q_lng").isNotNull())
-            .withColumn("_cy", F.explode(F.sequence(lat_lo, lat_hi)))
-            .withColumn("_cx", F.explode(lng_cells)))
-
-
-def build_cells(venues: DataFrame, cell_deg: float, v_lat: str = "lat", v_lng: str = "lng") -> DataFrame:
-    """Venues with a position and their grid cell."""
-    return (venues.filter(F.col(v_lat).isNotNull() & F.col(v_lng).isNotNull())
-            .withColumns({"_cy": _lat_cell(F.col(v_lat), cell_deg),
-                          "_cx": _lng_cell(F.col(v_lng), cell_deg, int(math.ceil(360.0 / cell_deg)))}))
-
-
-def circle_holds_cell(cell_deg: float, radius_col: str = "max_dist_km") -> Column:
+    lo = F.greatest(_lat_cell(F.col("q_lat") - dlat, cell_deg), F.lit(0))
+    hi = F.least(_lat_cell(F.col("q_lat") + dlat, cell_deg), F.lit(n_lat))
+    q = q.withColumn("_cy", F.explode(F.sequence(F.floor(lo / F.col("_f")), F.floor(hi / F.col("_f")))))
+    # how far the circle reaches east and west within this row of cells
+    south = F.col("_cy") * F.col("_f") * F.lit(cell_deg) - F.lit(90.0)
+    north = south + F.col("_f") * F.lit(cell_deg)
+    widest = F.degrees(F.asin(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.sin(F.radians("q_lat")) / F.cos("_r")))))
+
+    def reach(lat: Column) -> Column:
+        at = F.radians(F.greatest(F.least(lat, F.col("q_lat") + F.degrees("_r")), F.col("q_lat") - F.degrees("_r")))
+        c = (F.cos("_r") - F.sin(at) * F.sin(F.radians("q_lat"))) / (F.cos(at) * F.cos(F.radians("q_lat")))
+        return F.degrees(F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), c))))
+
+    band = F.when((widest >= south - margin) & (widest <= north + margin), F.col("_dlng")).otherwise(F.greatest(reach(south), reach(north)))
+    q = q.withColumn("_east", F.when(F.col("_dlng").isNotNull(), F.least(F.col("_dlng"), band) + F.lit(2 * margin)))
+    west = F.floor((F.col("q_lng") - F.col("_east") + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
+    east = F.floor((F.col("q_lng") + F.col("_east") + F.lit(180.0)) / F.lit(cell_deg)).cast("long")
+    q = q.withColumns({"_w": west, "_e": east})
+    around = F.col("_east").isNull() | (F.col("_e") - F.col("_w") + 1 >= n_lng)
+
+    def cells(a: Column, b: Column) -> Column:
+        return F.sequence(F.floor(a / F.col("_f")), F.floor(b / F.col("_f")))
+
+    first, last = F.pmod(F.col("_w"), F.lit(n_lng)), F.pmod(F.col("_e"), F.lit(n_lng))
+    end = F.lit(n_lng - 1).cast("long")
+    zero = F.lit(0).cast("long")
+    spread_out = F.when(around, cells(zero, end)).when(first <= last, cells(first, last)).otherwise(
+        F.array_union(cells(first, end), cells(zero, last)))
+    q = q.withColumn("_cx", F.explode(spread_out)).select(*names, "_lv", "_cy", "_cx")
+    # a block inside the circle is told by its first cell, under the next level
+    block = {"_lv": F.col("_lv") + 1, "_cy": F.floor(F.col("_cy") / CELL_STEP), "_cx": F.floor(F.col("_cx") / CELL_STEP)}
+    wide = (F.col("_lv") > 0) & (F.col("_lv") < max_level)
+    q = q.withColumn("_block", F.struct(*[c.alias(n) for n, c in block.items()]))
+    held = F.coalesce(wide & circle_holds_cell(cell_deg, radius_col, "_block."), F.lit(False))
+    q = q.withColumn("_held", held)
+    lead = (F.col("_cy") % CELL_STEP == 0) & (F.col("_cx") % CELL_STEP == 0)
+    q = q.filter(~F.col("_held") | lead)
+    return q.select(*names, *[F.when(F.col("_held"), F.col(f"_block.{n}")).otherwise(F.col(n)).alias(n) for n in block])
+
+
+def held_probe(probe: DataFrame, rows_per_split: int, keys: Sequence[str] | None = None) -> tuple[DataFrame, list[int], DataFrame | None]:
+    """(checkpointed probe rows, the levels they have, their hot keys)."""
+    probe = probe.checkpoint()
+    n, levels = probe.agg(F.count(F.lit(1)), F.collect_set("_lv")).first()
+    return probe, sorted(levels), hot_keys(probe, keys or CELL_KEYS, rows_per_split) if n > rows_per_split else None
+
+
+def build_cells(venues: DataFrame, cell_deg: float, v_lat: str = "lat", v_lng: str = "lng", levels: Sequence[int] = (0,)) -> DataFrame:
+    """Venues with a position, once per level of cells asked for."""
+    n_lng = int(math.ceil(360.0 / cell_deg))
+    v = venues.filter(F.col(v_lat).isNotNull() & F.col(v_lng).isNotNull()).withColumn("_lv", F.explode(F.array(*[F.lit(x) for x in levels])))
+    f = _power(F.col("_lv"))
+    return v.withColumns({"_cy": F.floor(_lat_cell(F.col(v_lat), cell_deg) / f), "_cx": F.floor(_lng_cell(F.col(v_lng), cell_deg, n_lng) / f)})
+
+
+def circle_holds_cell(cell_deg: float, radius_col: str = "max_dist_km", prefix: str = "") -> Column:
     """Whether a probe's circle holds its whole cell: all four corners lie
-    within the radius. Never for cells over a degree, where a side can lie
-    farther off than the corners, nor at the last column of the grid."""
-    if cell_deg > 1.0:
-        return F.lit(False)
-    south, west = F.col("_cy") * F.lit(cell_deg) - F.lit(90.0), F.col("_cx") * F.lit(cell_deg) - F.lit(180.0)
-    held = (F.abs(south) < 85.0) & (F.col("_cx") < F.lit(int(math.ceil(360.0 / cell_deg)) - 1))
-    for lat in (south, south + F.lit(cell_deg)):
-        for lng in (west, west + F.lit(cell_deg)):
+    within the radius. Along a parallel the distance grows with the difference
+    in longitude, and along a meridian it has its maximum at an end as long as
+    it stays within a quarter of the globe, so the corners decide; cells over
+    a degree are left out for circles beyond that or around a pole. Never at
+    the last column of the grid."""
+    lv, cy, cx = (F.col(prefix + n) for n in ("_lv", "_cy", "_cx"))
+    side = _power(lv) * F.lit(cell_deg)
+    south, west = cy * side - F.lit(90.0), cx * side - F.lit(180.0)
+    plain = lng_radius_deg(F.col("q_lat"), F.col(radius_col)).isNotNull() & (F.col(radius_col) <= 9000.0) & (side <= 45.0)
+    held = ((side <= 1.0) | plain) & (F.abs(south) < 85.0) & (F.abs(south + side) < 85.0) & (west + side < F.lit(180.0))
+    for lat in (south, south + side):
+        for lng in (west, west + side):
             held = held & (haversine_km("q_lat", "q_lng", lat, lng) <= F.col(radius_col) * F.lit(1 - 1e-9))
     return held
 
 
+CELL_KEYS = ["_lv", "_cy", "_cx"]
+
+
 def within_radius(probe: DataFrame, build: DataFrame, keys: Sequence[str], radius_col: str = "max_dist_km",
                   v_lat: str = "lat", v_lng: str = "lng", distance_col: str = "distance_km") -> DataFrame:
     """The pairs of a cell join that lie within the query's radius."""
-    pairs = probe.join(build, list(keys), "inner").drop("_cy", "_cx", SALT)
+    pairs = probe.join(build, list(keys), "inner").drop(*CELL_KEYS, *keys)
     return (pairs.withColumn(distance_col, haversine_km("q_lat", "q_lng", v_lat, v_lng))
             .filter(F.col(distance_col) <= F.col(radius_col)))
 
@@ -175,8 +264,9 @@ def radius_join(queries: DataFrame, venues: DataFrame, *, radius_col: str = "max
     """
     if cell_deg is None:
         cell_deg = default_cell_deg(queries, radius_col)
-    probe = probe_cells(queries, cell_deg, radius_col, q_lat, q_lng)
-    build, probe, keys = split_hot_cells(build_cells(venues, cell_deg, v_lat, v_lng), probe, ["_cy", "_cx"], v_id, rows_per_split)
+    probe, levels, probe_hot = held_probe(probe_cells(queries, cell_deg, radius_col, q_lat, q_lng), rows_per_split)
+    build = build_cells(venues, cell_deg, v_lat, v_lng, levels or [0])
+    build, probe, keys = split_both(build, probe, CELL_KEYS, hot_keys(build, CELL_KEYS, rows_per_split), probe_hot)
     return within_radius(probe, build, keys, radius_col, v_lat, v_lng, distance_col)
 
 

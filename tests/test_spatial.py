@@ -329,3 +329,35 @@ def test_mesh_distance_keeps_clouds_apart(spark):
     assert got == {(1, 7): (1.0, 3), (2, 7): (0.0, 3), (2, 8): (50.0, 3), (3, 7): (None, None)}
     report = {(r["cloud_id"], r["pt_id"]): r["alert"] for r in CL.deviation_report(d, 0.05).collect()}
     assert report[(1, 7)] and not report[(2, 7)]
+
+
+def test_cover_of_wide_circles(spark):
+    """Rows a click, whatever the radius, and every pair found: wide circles,
+    at the poles and across the antimeridian, over venues all around."""
+    from sitelens.operators.spatial import held_probe, probe_cells
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(2500)] + [(90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -180.0)]
+    qs = [(32.8, 35.0, 500.0), (0.0, 179.9, 3000.0), (89.0, 0.0, 400.0), (-89.9, 100.0, 2500.0), (10.0, -179.99, 900.0), (45.0, 7.0, 19_000.0),
+          (60.0, 170.0, 1500.0), (32.0, 35.0, 1.0), (-75.0, -170.0, 5000.0), (5.0, 5.0, 25_000.0)]
+    q, v = _queries(spark, qs), _venues(spark, pts)
+    got = {(r.query_id, r.row_id) for r in radius_join(q, v, cell_deg=0.015).select("query_id", "row_id").collect()}
+    assert got == _brute_radius(pts, qs)
+    per = {r["query_id"]: r["count"] for r in probe_cells(q, 0.015).groupBy("query_id").count().collect()}
+    assert max(per.values()) <= 400 and per[0] <= 250
+    # blocks inside the circle became one cell: two levels for one query
+    assert len(held_probe(probe_cells(q.filter("query_id = 1"), 0.015), 10 ** 6)[1]) == 2
+
+
+def test_many_clicks_at_one_place_are_dealt_out(spark):
+    """A third of all clicks at one spot: no key of the join holds them all."""
+    from sitelens.operators.spatial import CELL_KEYS, build_cells, held_probe, hot_keys, probe_cells, split_both
+    rnd = random.Random(12)
+    pts = [(32.8 + rnd.gauss(0, 0.02), 35.0 + rnd.gauss(0, 0.02)) for _ in range(300)]
+    qs = [(32.8, 35.0, 1.5)] * 200 + [(32.8 + rnd.gauss(0, 0.05), 35.0 + rnd.gauss(0, 0.05), 1.5) for _ in range(100)]
+    q, v = _queries(spark, qs), _venues(spark, pts)
+    probe, levels, asked = held_probe(probe_cells(q, 0.015), 40)
+    build = build_cells(v, 0.015, levels=levels)
+    build, probe, keys = split_both(build, probe, CELL_KEYS, hot_keys(build, CELL_KEYS, 40), asked)
+    assert probe.groupBy(*keys).count().agg(F.max("count")).first()[0] < 120
+    pairs = {(r.query_id, r.row_id) for r in radius_join(q, v, cell_deg=0.015, rows_per_split=40).select("query_id", "row_id").collect()}
+    assert pairs == _brute_radius(pts, qs)
