@@ -16,6 +16,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -29,7 +30,9 @@ DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "name string, temp string, shard int, roll int, records long, bytes long, sha256 string"
 PAGES = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
-ID_BINS = 10_000
+ID_BINS = 10_000         # bins of the first cut
+LEAST_PARTS = 64         # parts of a bin that is cut again, at least
+MAX_CUTS = 12            # 64 ** 12 parts tell any two ids apart
 _SPACE = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -84,24 +87,66 @@ def mark_copies(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     return attach_groups(rows, groups, "digest", "n", n_rows, how="left")
 
 
+def _pieces(rows: DataFrame, level: int, cuts: list[tuple]) -> DataFrame:
+    """Adds column ``_b{level}``: which part of its bin (columns ``_b0`` to the
+    level before) a row is in. A bin that ``cuts`` doesn't name stays whole
+    (0); others are cut by id (from ``lo`` in steps of ``width``) or by a hash
+    of the digest or URL."""
+    names = [f"_p{i}" for i in range(level)]
+    side = rows.sparkSession.createDataFrame(cuts, ", ".join([*(f"{n} long" for n in names), _CUTS]))
+    if level:
+        rows = rows.join(F.broadcast(side), [F.col(f"_b{i}") == F.col(n) for i, n in enumerate(names)], "left")
+    else:
+        rows = rows.withColumns({f.name: F.lit(v).cast(f.dataType) for f, v in zip(side.schema, cuts[0])})
+    step = F.expr("(CAST(page_id AS DECIMAL(20,0)) - lo) div width")
+    part = F.when(F.col("how") == "id", F.coalesce(step, F.lit(-1)))
+    for how in ("digest", "url"):       # another hash at every level
+        part = part.when(F.col("how") == how, F.pmod(F.xxhash64(how, F.lit(level)), F.col("parts")))
+    return rows.withColumn(f"_b{level}", F.coalesce(part, F.lit(0)).cast("long")).drop(*names, "lo", "width", "parts", "how")
+
+
+_CUTS = "lo decimal(20,0), width decimal(20,0), parts long, how string"
+
+
 def _shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Adds ``shard``: contiguous page-id ranges of about ``shard_bytes``,
-    from exact sizes over at most ID_BINS id bins, so reruns agree."""
-    lo, hi = rows.agg(F.min("page_id"), F.max("page_id")).first()
+    """Adds ``shard``: contiguous ranges of ids of about
+    ``shard_bytes``, from exact sizes, so reruns agree. Ids are binned by equal
+    widths; a bin with more bytes than a shard is binned again between its own
+    least and largest id, a single id (or null) by digest, and equal digests of
+    one id by URL. So outlying, repeated and null ids don't fill a shard, and
+    bins follow the bytes, not the number of ids."""
+    spark = rows.sparkSession
+    sizes = materialize(rows.select("page_id", "digest", "url", (F.octet_length("payload") + 600).alias("size")), "warc-sizes")
+    lo, hi = sizes.agg(F.min("page_id"), F.max("page_id")).first()
     lo, hi = lo or 0, hi or 0
-    width = max(1, -(-(hi - lo + 1) // ID_BINS))
-    binned = F.coalesce(F.expr(f"(page_id - ({lo}L)) div {width}L"), F.lit(0)).cast("int")
-    rows = rows.withColumn("_bin", binned)
-    sizes = sorted((r["_bin"], r["n"]) for r in rows.groupBy("_bin").agg(
-        F.sum(F.octet_length("payload") + 600).alias("n")).collect())
+    cuts, steps, bins = [(Decimal(lo), Decimal(-(-(hi - lo + 1) // ID_BINS)), 1, "id")], [], {}
+    while cuts:
+        sizes = _pieces(sizes, len(steps), cuts)
+        steps.append(cuts)
+        of, cuts, bins = [f"_b{i}" for i in range(len(steps))], [], {}
+        for r in sizes.groupBy(*of).agg(F.sum("size").alias("n"), *[f(c).alias(a + c) for c in ("page_id", "digest", "url")
+                                                                    for a, f in (("lo_", F.min), ("hi_", F.max))]).collect():
+            path = tuple(r[c] for c in of)
+            bins[path] = r["n"]
+            parts = max(LEAST_PARTS, 2 * -(-r["n"] // shard_bytes))
+            if r["n"] <= shard_bytes or len(steps) > MAX_CUTS:
+                continue
+            if r["lo_page_id"] != r["hi_page_id"]:
+                cuts.append((*path, Decimal(r["lo_page_id"]), Decimal(-(-(r["hi_page_id"] - r["lo_page_id"] + 1) // parts)), parts, "id"))
+            elif r["lo_digest"] != r["hi_digest"]:
+                cuts.append((*path, None, None, parts, "digest"))
+            elif r["lo_url"] != r["hi_url"]:
+                cuts.append((*path, None, None, parts, "url"))
     shard, filled, out = 0, 0, []
-    for b, n in sizes:
-        if filled and filled + n > shard_bytes:
+    for path in sorted(bins):
+        if filled and filled + bins[path] > shard_bytes:
             shard, filled = shard + 1, 0
-        filled += n
-        out.append((b, shard))
-    bins = rows.sparkSession.createDataFrame(out, "_bin int, shard int")
-    return rows.join(F.broadcast(bins), "_bin").drop("_bin")
+        filled += bins[path]
+        out.append((*path, shard))
+    for level, step in enumerate(steps):
+        rows = _pieces(rows, level, step)
+    named = spark.createDataFrame(out, ", ".join(f"{c} long" for c in of) + ", shard int")
+    return rows.join(F.broadcast(named), of).drop(*of)
 
 
 def write_archives(rows: DataFrame, out: str, shard_bytes: int = 64 << 20, roll_bytes: int = 16 << 20, level: int = 4) -> DataFrame:

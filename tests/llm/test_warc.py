@@ -4,6 +4,7 @@ import hashlib
 
 import pytest
 
+from pyspark.sql import functions as F
 from conftest_llm import collect
 from sitelens.llm import warc
 from sitelens.session import scratch_path
@@ -89,3 +90,21 @@ def test_wrong_digest_and_cut_file_raise(spark):
 def test_empty_table(spark):
     manifest, out = warc.archive_pages(pages(spark, []))
     assert manifest.count() == 0 and warc.read_archives(manifest, out).count() == 0
+
+
+def test_shards_follow_bytes_whatever_the_ids(spark, tmp_path):
+    """Dense ids with one far off, a third of all rows without an id, one id
+    on many rows: shards stay near their size, and nothing is lost."""
+    html = "x" * 1000
+    far = [(i, f"http://a/{i}", f"{i} {html}") for i in range(400)] + [(2 ** 60, "http://far", "far"), (-2 ** 62, "http://near", "near")]
+    null = [(None, f"http://n/{i}", f"n{i} {html}") for i in range(200)]
+    same = [(7, f"http://s/{i}", f"s{i % 90} {html}") for i in range(200)] + [(7, f"http://u/{i}", html) for i in range(100)]
+    pages = spark.createDataFrame(far + null + same, "page_id long, url string, html string").repartition(4)
+    rows = warc._shards(warc.mark_copies(pages), 20_000)
+    sizes = {r["shard"]: r["n"] for r in rows.groupBy("shard").agg(F.sum(F.octet_length("payload") + 600).alias("n")).collect()}
+    assert max(sizes.values()) <= 20_000 and len(sizes) <= 3 * sum(sizes.values()) / 20_000
+    ranges = sorted((r["shard"], r["lo"], r["hi"]) for r in rows.filter("page_id IS NOT NULL").groupBy("shard").agg(
+        F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).collect())
+    assert all(a[2] <= b[1] for a, b in zip(ranges, ranges[1:]))
+    manifest, out = warc.archive_pages(pages, str(tmp_path / "w"), shard_bytes=20_000, roll_bytes=8_000)
+    assert warc.read_archives(manifest, out).count() == len(far + null + same)
