@@ -103,7 +103,8 @@ def q_stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "clicks-stream")
     clicks = common.clicks(spark, sf).select(*[f.name for f in jobs.CLICK_SCHEMA.fields])
     clicks.repartitionByRange(3, "ts", "query_id").write.mode("overwrite").parquet(f"{base}/in")
-    q = jobs.start_recommend_stream(spark, f"{base}/in", common.venues(spark, sf), f"{base}/out", f"{base}/ckpt")
+    q = jobs.start_recommend_stream(spark, f"{base}/in", common.venues(spark, sf), f"{base}/out", f"{base}/ckpt",
+                                    remember="3650 days")
     q.awaitTermination()
     return display_round(jobs.read_recommend_sink(spark, f"{base}/out"))
 

@@ -1,10 +1,15 @@
 """Structured Streaming jobs.
 
-R1: a stream of map clicks is ranked against the static venue table. Ranking
-(row_number per click) is not allowed on a plain stream, so each micro-batch
-runs the batch plan inside ``foreachBatch`` and overwrites its own output
-folder (``batch_id=N``): a replayed batch after a failure rewrites the same
-rows, so the sink is idempotent. R2: landed API pages are flattened and
+R1: a stream of map clicks is ranked against the static venue table. A click
+delivered again is dropped by event-time state (its query_id is remembered for
+``remember`` of event time). Ranking (row_number per click) is not allowed on
+a plain stream, so each micro-batch runs the batch plan inside
+``foreachBatch`` and overwrites its own version of the sink
+(``run=ID/version=N``, the ID being that of the checkpoint): a replayed batch
+after a failure rewrites the same rows. The sink is keyed by query_id: reading
+it gives each query_id its first version, so a click that the state no longer
+knows (after a start without the old checkpoint) doesn't get a second list
+either. R2: landed API pages are flattened and
 appended to a parquet sink with a checkpoint (exactly-once file sink).
 """
 
@@ -27,17 +32,25 @@ PAGE_FILE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.Struc
 
 def start_recommend_stream(spark: SparkSession, clicks_dir: str, venues: DataFrame, sink_dir: str,
                            checkpoint_dir: str, k: int = 10, files_per_trigger: int = 1,
-                           available_now: bool = True, cell_deg: float = 0.015):
+                           available_now: bool = True, cell_deg: float = 0.015, remember: str = "30 days"):
     """Start R1; returns the StreamingQuery. ``venues`` is the static clean
-    table: it is gridded, salted and checkpointed once, and every micro-batch
-    probes that. ``cell_deg`` (degrees) is fixed for the run."""
+    table: it is gridded and checkpointed once, and every micro-batch probes
+    that. ``cell_deg`` (degrees) is fixed for the run.
+
+    ``remember`` is the event time for which a query_id is known; a click older
+    than that against the newest one is late and dropped, so a replay of
+    history in any order needs a span as long as the history. Clicks without a
+    query_id share one list; a click without a time counts as of now."""
     grid = venue_grid(venues, cell_deg, k)
     stream = (spark.readStream.schema(CLICK_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(clicks_dir))
+    timed = stream.withColumn("_at", F.coalesce(F.col("ts").cast("timestamp"), F.current_timestamp())).withWatermark("_at", remember)
+    stream = timed.dropDuplicatesWithinWatermark(["query_id"]).drop("_at")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = recommend_on_grid(batch, grid)
-        out.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        out = recommend_on_grid(batch.checkpoint(), grid)
+        out.write.mode("overwrite").parquet(f"{sink_dir}/run={run}/version={batch_id}")
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
@@ -57,4 +70,7 @@ def start_places_stream(spark: SparkSession, pages_dir: str, sink_dir: str, chec
 
 
 def read_recommend_sink(spark: SparkSession, sink_dir: str) -> DataFrame:
-    return spark.read.parquet(sink_dir).drop("batch_id")
+    """The list of every query_id: the rows of its first version."""
+    rows = spark.read.parquet(sink_dir).withColumn("_at", F.struct("version", "run"))
+    first = rows.groupBy(F.col("query_id").alias("_q")).agg(F.min("_at").alias("_first"))
+    return rows.join(first, F.col("query_id").eqNullSafe(F.col("_q")) & (F.col("_at") == F.col("_first"))).drop("_q", "_at", "_first", "version", "run")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tables import SF_SMALL
 from sitelens.operators import clean as C
 from sitelens.operators.cluster import CentroidModel
+from sitelens.operators.ranking import recommend
 from sitelens.plans import common
 from sitelens.plans import io_plans
 from sitelens.plans.recommend import recommend_topk
@@ -65,6 +66,35 @@ def test_stream_replay_equals_batch(spark):
     assert stream.select(cols).exceptAll(batch.select(cols)).count() == 0
 
 
+def test_a_click_gets_one_list_however_often_it_comes(spark, tmp_path):
+    """The same click in two files, a late one, a restart on the same
+    checkpoint, and a start without it: one list per query_id, as in batch."""
+    from sitelens.streaming import jobs
+    venues = common.venues(spark, SF_SMALL)
+    clicks = common.clicks(spark, SF_SMALL).select(*[f.name for f in jobs.CLICK_SCHEMA.fields]).orderBy("ts", "query_id").limit(60).toPandas()
+    schema = jobs.CLICK_SCHEMA
+    files, sink = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def deliver(pdf):
+        spark.createDataFrame(pdf, schema).coalesce(1).write.mode("append").parquet(files)
+
+    def run(checkpoint):
+        jobs.start_recommend_stream(spark, files, venues, sink, str(tmp_path / checkpoint), remember="3650 days").awaitTermination()
+
+    deliver(clicks[20:45])
+    deliver(clicks[30:50])              # again, and new ones
+    run("ckpt")
+    deliver(clicks[:25])                # late ones, and again
+    deliver(clicks[40:])
+    run("ckpt")                         # restart
+    cols = ["query_id", "rank", "row_id"]
+    want = sorted(map(tuple, recommend(spark.createDataFrame(clicks, schema), venues, cell_deg=0.015).select(*cols).collect()))
+    got = sorted(map(tuple, jobs.read_recommend_sink(spark, sink).select(*cols).collect()))
+    assert got == want and len(want) > 50
+    run("other")                        # everything once more, the state lost
+    assert sorted(map(tuple, jobs.read_recommend_sink(spark, sink).select(*cols).collect())) == want
+
+
 def test_places_defaults(spark):
     out = io_plans.q_places_flatten(spark, SF_SMALL)
     second = out.filter(F.col("pos") == 1).collect()
