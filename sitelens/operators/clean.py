@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.geo import HAIFA_BBOX, haversine_km
 from sitelens.functions.scalar import PRICE_COLS, row_mean, text_to_bool, to_double
+from sitelens.operators.grouping import attach
 from sitelens.operators.quantiles import group_quantiles
 
-# Group medians up to this many rows (a key and a number each) are broadcast.
-BROADCAST_GROUPS = 100_000
 
 CLEAN_COLUMNS = [
     "row_id", "lat", "lng", "city", "name", "rating", "reviews_count", *PRICE_COLS,
@@ -116,16 +115,13 @@ def impute_group_median(df: DataFrame, col: str, group_cols: Sequence[str]) -> D
     """Fill nulls in ``col`` with the median of its group, with a flag.
 
     The medians are one row per group, found over range-partitioned values
-    (no task holds a whole group). Up to ``BROADCAST_GROUPS`` of them are
-    broadcast, so the table isn't shuffled on a key that may be skewed;
-    beyond that no group can hold much of the table's shuffle by itself and
-    AQE splits the ones that do. Rows with a null group key stay as they are.
+    (no task holds a whole group), and reach the rows by ``attach``, which
+    doesn't shuffle the rows of large groups. Rows with a null group key stay as
+    they are.
     """
-    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group_cols)]
-    med = group_quantiles(df, group_cols, col, {"_median": 0.5}).select(*keys, "_median").checkpoint()
-    if med.count() <= BROADCAST_GROUPS:
-        med = F.broadcast(med)
-    out = df.join(med, [F.col(g) == F.col(f"_g{i}") for i, g in enumerate(group_cols)], "left").drop(*[f"_g{i}" for i in range(len(group_cols))])
+    keys = [f"_g{i}" for i in range(len(group_cols))]
+    med = group_quantiles(df, group_cols, col, {"_median": 0.5}).select(*[F.col(g).alias(k) for g, k in zip(group_cols, keys)], "_median")
+    out = attach(df.withColumns({k: F.col(g) for k, g in zip(keys, group_cols)}), med.na.drop(subset=keys), keys, "left").drop(*keys)
     return out.withColumns({
         f"{col}_imputed": F.col(col).isNull() & F.col("_median").isNotNull(),
         col: F.coalesce(F.col(col), F.col("_median")),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.functions.scalar import deviation_color
+from sitelens.operators.grouping import attach
 from sitelens.operators.ranking import top_k_per_group
 from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, argmin_per_key, box_candidates, knn_radius, nn_join, split_hot_cells, spread
 
@@ -45,12 +46,13 @@ def cloud_sample(cloud: DataFrame, n: int, seed: int = 42) -> DataFrame:
 def voxel_downsample(cloud: DataFrame, voxel: float = 0.05) -> DataFrame:
     """Mean point of each occupied voxel (C4). Voxels are counted from the
     cloud's minimum corner less half a voxel; the per-cloud minimum is one
-    grouped aggregate joined back (one row per cloud)."""
+    grouped aggregate (one row per cloud) that points of large clouds learn
+    where they are."""
     c = with_cloud(cloud)
     lo = c.groupBy("cloud_id").agg(*[F.min(a).alias(f"_lo_{a}") for a in XYZ])
     v = F.lit(float(voxel))
     idx = {f"v{a}": F.floor((F.col(a) - (F.col(f"_lo_{a}") - v / 2)) / v).cast("long") for a in XYZ}
-    g = c.join(lo, "cloud_id").withColumns(idx)
+    g = attach(c, lo, ["cloud_id"]).withColumns(idx)
     return g.groupBy("cloud_id", "vx", "vy", "vz").agg(
         *[F.avg(a).alias(a) for a in XYZ], F.count(F.lit(1)).alias("n_points"))
 

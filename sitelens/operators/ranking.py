@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 
 from sitelens.functions.geo import EARTH_RADIUS_KM
 from sitelens.functions.hashing import hash32
+from sitelens.operators.grouping import attach
 from sitelens.operators.spatial import (CELL_KEYS, DEFAULT_ROWS_PER_SPLIT, build_cells, circle_holds_cell, default_cell_deg,
                                         circle_level, held_probe, hot_keys, probe_cells, radius_join, split_both, within_radius)
 
@@ -102,16 +103,18 @@ def sample_per_group(df: DataFrame, group: str, n: int, id_col: str, seed: int =
     """min(n, group size) rows per group by smallest seeded hash (C1). Per
     group the same hash bound is applied first (group sizes come from one
     grouped count, one row per group), groups whose candidates fall short
-    keep all their rows, and the per-group top-n then runs on candidates."""
+    keep all their rows, and the per-group top-n then runs on candidates.
+    Groups' numbers reach rows by ``attach``: a group with a third of all rows
+    isn't one task's work. Rows with a null group are left out."""
     d = df.withColumn("_h", hash32(id_col, seed))
     sizes = d.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     want = 1.2 * n + 6.0 * math.sqrt(n) + 100.0
     bound = F.least(F.lit(1.0), F.lit(want) / F.col("_n")) * F.lit(float(1 << 32))
-    sized = d.join(sizes, group).withColumn("_b", bound)
+    sized = attach(d, sizes, [group]).withColumn("_b", bound)
     cand_n = sized.filter(F.col("_h") < F.col("_b")).groupBy(group).agg(F.count(F.lit(1)).alias("_c"))
     short = sizes.join(cand_n, group, "left").filter(F.coalesce(F.col("_c"), F.lit(0)) < F.least(F.col("_n"), F.lit(n)))
     keep_all = short.select(group, F.lit(True).alias("_all"))
-    cand = (sized.join(keep_all, group, "left")
+    cand = (attach(sized, keep_all, [group], "left")
             .filter(F.col("_all").isNotNull() | (F.col("_h") < F.col("_b"))))
     out = top_k_per_group(cand, group, [F.col("_h"), F.col(id_col)], n, rank_col="_r")
     return out.drop("_r", "_h", "_n", "_b", "_all")

@@ -162,3 +162,16 @@ def test_impute_group_median_keeps_rows(spark):
                                "row_id long, city string, price double")
     got = {r["row_id"]: (r["price"], r["price_imputed"]) for r in C.impute_group_median(df, "price", ["city"]).collect()}
     assert got == {1: (1.0, False), 2: (3.0, False), 3: (2.0, True), 4: (None, False), 5: (None, False), 6: (9.0, False)}
+
+
+def test_attach_is_a_join_whatever_the_group_sizes(spark):
+    """Small and many groups, a hot one, hot and small ones without a row, null keys."""
+    from sitelens.operators.grouping import attach
+    rows = [(i, "hot" if i % 3 == 0 else "lost" if i % 3 == 1 and i < 1500 else f"g{i % 700}", i % 2) for i in range(6000)] + [(9000 + i, None, 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, a string, b int")
+    groups = spark.createDataFrame([("hot", 0, 1.0), ("hot", 1, 2.0)] + [(f"g{i}", 0, float(i)) for i in range(650)], "a string, b int, v double")
+    for how in ("inner", "left"):
+        want = sorted(map(tuple, df.join(groups, ["a", "b"], how).select("id", "a", "b", "v").collect()), key=str)
+        for limit in (100_000, 0):
+            got = sorted(map(tuple, attach(df, groups, ["a", "b"], how, limit).select("id", "a", "b", "v").collect()), key=str)
+            assert got == want and len(want) > 2000
