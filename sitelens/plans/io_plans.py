@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitelens.operators import cluster as K
-from sitelens.operators.cloud import apply_transform
+from sitelens.operators.cloud import TRI, apply_transform
 from sitelens.plans import common
 from sitelens.plans.clouds import REPORT_SQL, TRANSFORM, TRANSFORM_SQL, _report
 from sitelens.plans.models import VENUE_MODEL, venue_labels, venue_model
@@ -16,7 +16,7 @@ from sitelens.operators.ranking import display_round
 from sitelens.plans.recommend import RECOMMEND_TOPK_SQL
 from sitelens.plans.registry import add
 from sitelens.session import scratch_path
-from sitelens.sources import io
+from sitelens.sources import io, meshfiles
 from sitelens.sources.fixtures import with_views
 from sitelens.streaming import jobs
 
@@ -98,6 +98,26 @@ def q_transform_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("pt_id", *[F.round(a, 6).alias(a) for a in "xyz"])
 
 
+def q_ply_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The scan written as PLY files and read back in byte ranges."""
+    path = scratch_path(spark, "ply")
+    meshfiles.write_ply(common.cloud_source(spark, sf).select("pt_id", "x", "y", "z").repartition(4), path)
+    return meshfiles.read_ply(spark, path, range_bytes=1 << 16).select("pt_id", *[F.round(a, 6).alias(a) for a in "xyz"])
+
+
+PLY_SQL = with_views("SELECT pt_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM cloud_source", "cloud_source")
+
+
+def q_obj_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The mesh written as OBJ files and read back."""
+    path = scratch_path(spark, "obj")
+    meshfiles.write_obj(common.mesh_triangles(spark, sf).repartition(4, "tri_id"), path)
+    return meshfiles.read_obj(spark, path, range_bytes=1 << 18).select(*[F.round(c, 6).alias(c) for c in TRI])
+
+
+OBJ_SQL = with_views("SELECT " + ", ".join(f"round({c}, 6) AS {c}" for c in TRI) + " FROM mesh_triangles", "mesh_triangles")
+
+
 def q_stream_recommend(spark: SparkSession, sf: str) -> DataFrame:
     """Replay the clicks as three files in time order through R1."""
     base = scratch_path(spark, "clicks-stream")
@@ -125,6 +145,8 @@ for _name, _fn, _sql in [
     ("places_flatten", q_places_flatten, PLACES_SQL),
     ("model_roundtrip", q_model_roundtrip, MODEL_ROUNDTRIP_SQL),
     ("transform_roundtrip", q_transform_roundtrip, TRANSFORM_SQL),
+    ("ply_roundtrip", q_ply_roundtrip, PLY_SQL),
+    ("obj_roundtrip", q_obj_roundtrip, OBJ_SQL),
     ("stream_recommend", q_stream_recommend, RECOMMEND_TOPK_SQL),
     ("stream_places", q_stream_places, PLACES_SQL),
 ]:
