@@ -105,54 +105,174 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
 # Mutual nearest neighbours in feature space
 # --------------------------------------------------------------------------
 
-def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000) -> DataFrame:
-    """Exact nearest target feature of every source row (ties: smallest id).
-
-    High-dimensional features defeat grids, so the search is blocked: sources
-    in A chunks and targets in B blocks (by hash), each (chunk, block) cell
-    co-grouped and solved in NumPy, then a hash argmin over the B partial
-    results. Group size is bounded by ``block_rows`` on each side; the work
-    is the inherent sources x targets distance count, never collected.
-    Output: src_id, tgt_id, fdist. (Both sides' group keys must have the
-    same types, or co-grouping pairs the wrong groups.)"""
-    n_s, n_t = src.count(), tgt.count()
-    a_n = max(1, math.ceil(n_s / block_rows))
-    b_n = max(1, math.ceil(n_t / block_rows))
-    s = (src.select(F.col("pt_id").alias("id"), F.col(feat).alias("f"))
-         .withColumn("ca", F.pmod(hash32("id", "chunk"), F.lit(a_n)).cast("int"))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(b_n - 1)))))
-    t = (tgt.select(F.col("pt_id").alias("id"), F.col(feat).alias("f"))
-         .withColumn("cb", F.pmod(hash32("id", "block"), F.lit(b_n)).cast("int"))
-         .withColumn("ca", F.explode(F.sequence(F.lit(0), F.lit(a_n - 1)))))
+# Pivots of the feature index, and the features they are chosen among.
+PIVOTS, PIVOT_SAMPLE = 32, 2_000
+RINGS = 8                # rings around a pivot
+_NEAR = "side int, id long, other long, fdist double"
+
+
+def _choose_pivots(tgt: DataFrame, feat: str) -> np.ndarray:
+    """Features far from each other, out of a bounded sample by hash."""
+    rows = tgt.select(feat, "pt_id").orderBy(hash32("pt_id", "pivot"), "pt_id").limit(PIVOT_SAMPLE).collect()
+    x = np.array([r[feat] for r in rows], np.float64)
+    chosen, gap = [0], np.sqrt(((x - x[0]) ** 2).sum(1))
+    while len(chosen) < min(PIVOTS, len(x)) and gap.max() > 0:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, np.sqrt(((x - x[chosen[-1]]) ** 2).sum(1)))
+    return x[chosen]
+
+
+def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * x @ pivots.T, 0.0))
+
+
+class FeatureIndex:
+    """Rings around pivots. A cell's distances to all pivots lie in intervals
+    (``lo``, ``hi``); the largest gap between a point's distances and them, or
+    between two cells' intervals, bounds the distances from below (triangle
+    inequality), less ``slack`` for rounding."""
+
+    def __init__(self, pivots: np.ndarray, width: float):
+        self.pivots, self.width = pivots, width
+        self.slack = 1e-5 * (1.0 + float(np.abs(pivots).max(initial=0.0)))
+
+    def cells(self, d: np.ndarray) -> np.ndarray:
+        near = d.argmin(axis=1)
+        ring = np.minimum(d[np.arange(len(d)), near] / self.width, RINGS - 1).astype(np.int64)
+        return near * RINGS + ring
+
+    def add(self, rows: DataFrame, side: int, feat: str) -> DataFrame:
+        """id, f, cell, side of every row."""
+        index = self
+
+        def run(batches):
+            for pdf in batches:
+                if len(pdf):
+                    f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
+                    yield pd.DataFrame({"id": pdf["id"], "f": pdf["f"], "cell": index.cells(_to_pivots(f, index.pivots)), "side": np.int32(side)})
+
+        return rows.select(F.col("pt_id").alias("id"), F.col(feat).alias("f")).mapInPandas(run, "id long, f array<double>, cell long, side int")
+
+    def intervals(self, rows: DataFrame) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray, int]]:
+        """(lo, hi, rows) per (side, cell): at most 2 x PIVOTS x RINGS."""
+        index = self
+
+        def run(batches):
+            for pdf in batches:
+                for (side, cell), g in pdf.groupby(["side", "cell"]):
+                    d = _to_pivots(np.stack(g["f"].to_numpy()).astype(np.float64), index.pivots)
+                    yield pd.DataFrame({"side": [side], "cell": [cell], "lo": [d.min(0)], "hi": [d.max(0)], "n": [len(g)]})
+
+        out: dict = {}
+        for r in rows.select("side", "cell", "f").mapInPandas(run, "side int, cell long, lo array<double>, hi array<double>, n long").toLocalIterator():
+            lo, hi, n = out.get((r["side"], r["cell"]), (np.inf, -np.inf, 0))
+            out[r["side"], r["cell"]] = np.minimum(lo, r["lo"]), np.maximum(hi, r["hi"]), n + r["n"]
+        return out
+
+
+def _meet(rows: DataFrame, index: FeatureIndex, wanted, block_rows: int, sizes: dict, compared=None) -> DataFrame:
+    """_NEAR: the best partners, in both directions, among the pairs of source
+    rows with the target cells that ``wanted`` names for them. Distances of a
+    block of sources to a block of a cell's targets are formed once for both."""
+    splits = {c: max(1, math.ceil(n / block_rows)) for (side, c), (_, _, n) in sizes.items() if side == 1}
+    shares = max(1, math.ceil(max((n for (side, _), (_, _, n) in sizes.items() if side == 0), default=1) / block_rows))
+
+    def send(batches):
+        for pdf in batches:
+            out = []
+            if len(pdf):
+                f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
+                for i, cell in wanted(pdf["cell"].to_numpy(), _to_pivots(f, index.pivots), pdf["ub"].to_numpy()):
+                    for split in range(splits[cell]):
+                        out.append((cell, split, int(pdf["id"].iloc[i]) % shares, int(pdf["id"].iloc[i]), pdf["f"].iloc[i]))
+            yield pd.DataFrame(out, columns=["cell", "split", "share", "id", "f"])
+
+    def keep(batches):
+        for pdf in batches:
+            out = [(int(c), int(i) % splits[c], s, int(i), f) for i, c, f in zip(pdf["id"], pdf["cell"], pdf["f"]) for s in range(shares)]
+            yield pd.DataFrame(out, columns=["cell", "split", "share", "id", "f"])
 
     def solve(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
         if ps.empty or pt.empty:
-            return pd.DataFrame({"src_id": pd.Series([], dtype="int64"), "tgt_id": pd.Series([], dtype="int64"),
-                                 "fdist": pd.Series([], dtype="float64")})
-        xs = np.stack(ps["f"].to_numpy()).astype(np.float64)
-        order = np.argsort(pt["id"].to_numpy(), kind="stable")
-        xt = np.stack(pt["f"].to_numpy()[order]).astype(np.float64)
-        ids = pt["id"].to_numpy()[order]
+            return pd.DataFrame({c.split()[0]: [] for c in _NEAR.split(", ")})
+        ps, pt = ps.sort_values("id"), pt.sort_values("id")
+        xs, xt = (np.stack(p["f"].to_numpy()).astype(np.float64) for p in (ps, pt))
+        if compared is not None:
+            compared.add(len(xs) * len(xt))
         d2 = (xs * xs).sum(1)[:, None] + (xt * xt).sum(1)[None, :] - 2.0 * xs @ xt.T
-        j = np.argmin(d2, axis=1)
-        # the expanded form rounds: near ties are decided by exact distances, then the smaller id
-        close = d2 <= d2[np.arange(len(xs)), j][:, None] + 1e-6 * (1.0 + (xs * xs).sum(1))[:, None]
-        for i in np.flatnonzero(close.sum(axis=1) > 1):
-            c = np.flatnonzero(close[i])
-            j[i] = c[np.argmin(((xt[c] - xs[i]) ** 2).sum(axis=1))]
-        best = np.sqrt(np.maximum(((xs - xt[j]) ** 2).sum(1), 0.0))
-        return pd.DataFrame({"src_id": ps["id"].to_numpy(), "tgt_id": ids[j], "fdist": best})
-
-    part = s.groupBy("ca", "cb").cogroup(t.groupBy("ca", "cb")).applyInPandas(
-        solve, "src_id long, tgt_id long, fdist double").checkpoint()   # the argmin reads it twice
-    return argmin_per_key(part, "src_id", "fdist", "tgt_id")
-
-
-def mutual_matches(src_feat: DataFrame, tgt_feat: DataFrame, block_rows: int = 4_000) -> DataFrame:
-    """Pairs that are each other's nearest feature."""
-    fwd = feature_nn(src_feat, tgt_feat, block_rows=block_rows)
-    bwd = feature_nn(tgt_feat, src_feat, block_rows=block_rows).select(
-        F.col("tgt_id").alias("src_id"), F.col("src_id").alias("tgt_id"))
+        out = []
+        for side, (a, b, own, other, d) in enumerate(((xs, xt, ps, pt, d2), (xt, xs, pt, ps, d2.T))):
+            j = d.argmin(axis=1)
+            # the expanded form rounds: near ties are decided by exact distances, then the smaller id
+            close = d <= d[np.arange(len(a)), j][:, None] + 1e-6 * (1.0 + (a * a).sum(1))[:, None]
+            for i in np.flatnonzero(close.sum(axis=1) > 1):
+                c = np.flatnonzero(close[i])
+                j[i] = c[np.argmin(((b[c] - a[i]) ** 2).sum(axis=1))]
+            out.append(pd.DataFrame({"side": np.int32(side), "id": own["id"].to_numpy(), "other": other["id"].to_numpy()[j],
+                                     "fdist": np.sqrt(((a - b[j]) ** 2).sum(1))}))
+        return pd.concat(out)
+
+    schema = "cell long, split int, share int, id long, f array<double>"
+    key = ["cell", "split", "share"]
+    s = rows.filter("side = 0").select("id", "f", "cell", "ub").mapInPandas(send, schema)
+    t = rows.filter("side = 1").select("id", "f", "cell").mapInPandas(keep, schema)
+    return s.groupBy(*key).cogroup(t.groupBy(*key)).applyInPandas(solve, _NEAR).checkpoint()
+
+
+def nearest_both_ways(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000, compared=None) -> DataFrame:
+    """_NEAR: the exact nearest feature of the other side for every source (side
+    0) and target row (side 1), ties to the smaller id.
+
+    Rows meet those of their own cell first, which bounds their nearest; then a
+    source meets the other cells whose intervals of pivot distances let
+    them hold its nearest, or hold targets whose nearest it may be. All other
+    pairs are ruled out by the triangle inequality. Cells are cut into blocks
+    of ``block_rows`` on both sides. ``compared``, an accumulator, counts pairs."""
+    spark = src.sparkSession
+    empty = spark.createDataFrame([], _NEAR)
+    if src.isEmpty() or tgt.isEmpty():
+        return empty
+    pivots = _choose_pivots(tgt, feat)
+    sample = np.array([r[feat] for r in src.select(feat, "pt_id").orderBy(hash32("pt_id", "width"), "pt_id").limit(PIVOT_SAMPLE).collect()], np.float64)
+    index = FeatureIndex(pivots, max(float(np.median(_to_pivots(sample, pivots).min(axis=1))) / (RINGS / 4), 1e-9))
+    far = F.lit(float("inf"))
+    rows = index.add(src, 0, feat).unionByName(index.add(tgt, 1, feat)).withColumn("ub", far).checkpoint()
+    sizes = index.intervals(rows)
+    held = sorted(c for side, c in sizes if side == 1)
+
+    def own(cells, d, ub):
+        return [(i, c) for i, c in enumerate(cells.tolist()) if (1, c) in sizes]
+
+    first = _meet(rows, index, own, block_rows, sizes, compared)
+    near = argmin_per_key(first, ["side", "id"], "fdist", "other").select("side", "id", F.col("fdist").alias("_d"))
+    rows = rows.join(near, ["side", "id"], "left").withColumn("ub", F.coalesce("_d", far)).drop("_d").checkpoint()
+    # how far the nearest source of a cell's targets can be; one that has met none yet may be anywhere
+    most = {r["cell"]: r["m"] for r in rows.filter("side = 1").groupBy("cell").agg(F.max("ub").alias("m")).collect()}
+    lo, hi = (np.array([sizes[1, c][k] for c in held]) for k in (0, 1))
+    limit = np.array([most[c] for c in held])
+
+    def others(cells, d, ub):
+        gap = np.zeros((len(d), len(held)))
+        for k in range(d.shape[1]):
+            gap = np.maximum(gap, np.maximum(lo[None, :, k] - d[:, k, None], d[:, k, None] - hi[None, :, k]))
+        ok = (gap - index.slack <= np.maximum(ub[:, None], limit[None, :])) & (np.array(held)[None, :] != cells[:, None])
+        return [(int(i), held[j]) for i, j in zip(*np.nonzero(ok))]
+
+    return first.unionByName(_meet(rows, index, others, block_rows, sizes, compared))
+
+
+def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000) -> DataFrame:
+    """src_id, tgt_id, fdist: the exact nearest target feature of every source
+    row (ties: smallest id)."""
+    best = argmin_per_key(nearest_both_ways(src, tgt, feat, block_rows).filter("side = 0"), "id", "fdist", "other")
+    return best.select(F.col("id").alias("src_id"), F.col("other").alias("tgt_id"), "fdist")
+
+
+def mutual_matches(src_feat: DataFrame, tgt_feat: DataFrame, block_rows: int = 4_000, compared=None) -> DataFrame:
+    """Pairs that are each other's nearest feature (C7, J8), from one pass."""
+    best = argmin_per_key(nearest_both_ways(src_feat, tgt_feat, "fpfh", block_rows, compared), ["side", "id"], "fdist", "other").checkpoint()
+    fwd = best.filter("side = 0").select(F.col("id").alias("src_id"), F.col("other").alias("tgt_id"), "fdist")
+    bwd = best.filter("side = 1").select(F.col("other").alias("src_id"), F.col("id").alias("tgt_id"))
     return fwd.join(bwd, ["src_id", "tgt_id"])
 
 

@@ -70,3 +70,21 @@ def test_ordinals_contiguous(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     o = sorted(r.ord for r in RG.with_ordinal(df, "k").collect())
     assert o == list(range(1000))
+
+
+def test_feature_index_is_exact_and_compares_few_pairs(spark):
+    """Both directions against brute force on clustered features with copies and
+    a far-off target cluster; most pairs are ruled out."""
+    g = np.random.default_rng(3)
+    centres = g.normal(size=(12, 33)) * 40
+    xs = np.concatenate([centres[g.integers(0, 12, 900)] + g.normal(size=(900, 33)), centres[:2] * 0 + 500])
+    xt = np.concatenate([centres[g.integers(0, 11, 800)] + g.normal(size=(800, 33)), xs[:20]])
+    df = lambda x: spark.createDataFrame([(int(i) * 3 + 1, [float(v) for v in r]) for i, r in enumerate(x)], "pt_id long, fpfh array<double>").repartition(3)
+    count = spark.sparkContext.accumulator(0)
+    best = RG.argmin_per_key(RG.nearest_both_ways(df(xs), df(xt), block_rows=150, compared=count), ["side", "id"], "fdist", "other").collect()
+    d = np.sqrt(((xs[:, None] - xt[None]) ** 2).sum(2))
+    got = {(r["side"], r["id"]): r["other"] for r in best}
+    assert got == {**{(0, i * 3 + 1): int(j) * 3 + 1 for i, j in enumerate(d.argmin(1))}, **{(1, j * 3 + 1): int(i) * 3 + 1 for j, i in enumerate(d.argmin(0))}}
+    assert count.value < 0.5 * d.size
+    none = spark.createDataFrame([], "pt_id long, fpfh array<double>")
+    assert RG.mutual_matches(df(xs), none).count() == 0 == RG.mutual_matches(none, df(xt)).count()
