@@ -18,6 +18,7 @@ only makes more phrases be counted.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -78,6 +79,26 @@ def bitmap(digests: DataFrame, bits: int) -> Bitmap:
     return Bitmap(power, data)
 
 
+# What this Python worker has told in the latest pass: (the pass, sorted digests).
+_TOLD: list = ["", np.zeros(0, np.uint64)]
+
+
+def _start_telling(mark: str) -> None:
+    if _TOLD[0] != mark:
+        _TOLD[:] = [mark, np.zeros(0, np.uint64)]
+
+
+def _untold(both: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``both`` haven't been told; they count as told then."""
+    told = _TOLD[1]
+    at = np.searchsorted(told, both)
+    new = np.ones(len(both), bool)
+    inside = at < len(told)
+    new[inside] = told[at[inside]] != both[inside]
+    _TOLD[1] = np.sort(np.concatenate([told, both[new]]), kind="stable") if len(told) < TOLD else both
+    return new
+
+
 class _Batch:
     """The words of some texts and the digests of the phrases that start at them."""
 
@@ -99,8 +120,12 @@ class _Batch:
         """The digests of phrases of k words from those of k - 1."""
         return mix(digest[:-1] * _STEP + self.word[k - 1:]) & self.mask
 
-    def longer_second(self, digest: np.ndarray, k: int) -> np.ndarray:
-        return mix(digest[:-1] * _STEP + self.second[k - 1:])
+    def seconds(self, at: np.ndarray, k: int) -> np.ndarray:
+        """The second digests of the phrases of k words that start at ``at``."""
+        out = self.second[at]
+        for i in range(1, k):
+            out = mix(out * _STEP + self.second[at + i])
+        return out
 
     def text(self, at: np.ndarray, k: int) -> list[str]:
         t = self.tokens
@@ -148,29 +173,30 @@ def _counted(docs: DataFrame, bits: int, phrases, *shared) -> DataFrame:
 def _told(docs: DataFrame, bits: int, members: Bitmap, recount: bool = False) -> DataFrame:
     """(d, d2, k, lang, phrase, n): the texts of the phrases in ``members``, and as
     k = 0 the languages with their words. A worker tells a phrase once, with n =
-    0, or again after TOLD others; to ``recount``, all occurrences are told."""
-    sent = docs.sparkSession.sparkContext.broadcast(members)
+    0, or again after TOLD others, so a phrase told by a task that fails later
+    may be missing; to ``recount``, all occurrences are told."""
+    sent, mark = docs.sparkSession.sparkContext.broadcast(members), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, told = sent.value, np.zeros(0, np.uint64)
+        members = sent.value
+        _start_telling(mark)
         for rows in gather(batches, 1):
             batch = _Batch(binary_list(rows.column(1)), text_list(rows.column(0)), bits)
             words = np.bincount(batch.kind, minlength=len(batch.names))
             out = [(batch.seeds, batch.seeds, 0, batch.names, [""] * len(words), words)]
-            digest, second = batch.first, batch.second
+            digest = batch.first
             for k in range(1, MAX_WORDS + 1):
-                if k > 1:
-                    digest, second = batch.longer(digest, k), batch.longer_second(second, k)
+                digest = batch.longer(digest, k) if k > 1 else digest
                 at = np.flatnonzero(batch.fits(k) & members.has(digest))
+                second = batch.seconds(at, k)
                 if recount:
-                    _, of, n = np.unique(np.stack([digest[at], second[at]], 1), axis=0, return_index=True, return_counts=True)
-                    at = at[of]
+                    _, of, n = np.unique(np.stack([digest[at], second], 1), axis=0, return_index=True, return_counts=True)
                 else:
-                    both, of = np.unique(mix(digest[at]) ^ second[at], return_index=True)
-                    at = at[of[~np.isin(both, told, assume_unique=True)]]
-                    told = np.union1d(told, both) if len(told) < TOLD else both
-                    n = np.zeros(len(at), np.int64)
-                out.append((digest[at], second[at], k, batch.names[batch.kind[at]], batch.text(at, k), n))
+                    both, of = np.unique(mix(digest[at]) ^ second, return_index=True)
+                    of = of[_untold(both)]
+                    n = np.zeros(len(of), np.int64)
+                at, second = at[of], second[of]
+                out.append((digest[at], second, k, batch.names[batch.kind[at]], batch.text(at, k), n))
             d, d2 = (np.concatenate([o[i] for o in out]).view(np.int64) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(d), pa.array(d2), pa.array(np.repeat([o[2] for o in out], [len(o[0]) for o in out]).astype(np.int32)),
