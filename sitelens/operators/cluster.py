@@ -259,11 +259,13 @@ def _step_sums(batches: Iterator[pd.DataFrame], centers: dict[int, np.ndarray])
 
 
 def kmeans_fit(train: DataFrame, cols: Sequence[str], k: int, seed: int = 42, scaler: Scaler | None = None,
-               max_iter: int = KMEANS_MAX_ITER, id_col: str = "row_id") -> CentroidModel:
+               max_iter: int = KMEANS_MAX_ITER, id_col: str | None = None) -> CentroidModel:
     """k-means on scaled features (M3): a k-means++ start drawn by seeded
     hashes, then Lloyd steps to the fixpoint, so the model is the same on any
     layout. ``info`` holds the steps taken and whether they converged before
-    ``max_iter``. Empty training data gives a model without centres."""
+    ``max_iter``. Empty training data gives a model without centres. ``id_col``
+    is row_id where there is one, else pt_id."""
+    id_col = id_col or ("row_id" if "row_id" in train.columns else "pt_id")
     scaler = scaler or Scaler.fit(train, cols)
     z = right_size(scaler.transform(train).select(id_col, *scaler.z_cols()))
     start = race_centers(z, scaler.z_cols(), k, id_col, seed)
