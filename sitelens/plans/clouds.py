@@ -291,7 +291,7 @@ SELECT pt_id, tri_id, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM
 WHERE CASE WHEN (SELECT count(*) FROM best) < {n} THEN CAST(error('too few points') AS BOOLEAN) ELSE true END""", "mesh_triangles")
 
 
-MESH_SAMPLE_SQL = _mesh_sample_sql(SAMPLE_N, SAMPLE_RADIUS, draws=2, rounds=8)
+MESH_SAMPLE_SQL = _mesh_sample_sql(SAMPLE_N, SAMPLE_RADIUS, draws=4, rounds=24)
 MESH_SAMPLE_EVEN_SQL = _mesh_sample_sql(1000, None, draws=4, rounds=24)
 
 
