@@ -17,6 +17,7 @@ from sitelens.functions.hashing import hash32_sql, unit_hash_sql
 from sitelens.operators import clean as C
 from sitelens.operators import cluster as K
 from sitelens.operators import profile as P
+from sitelens.operators import ward as W
 from sitelens.operators.ranking import (DEFAULT_PERSONA, PERSONA_WEIGHTS, candidates, display_round, label_order_key, persona_score,
                                         rank_candidates, recommend, top_k_per_group)
 from sitelens.operators.spatial import nn_join, radius_join
@@ -164,6 +165,18 @@ def q_dbscan_assign(spark, sf):
 
 
 def q_ward_cluster(spark, sf):
+    train = points_split(spark, sf).filter(F.col("split") == "train")
+    return W.ward(train, PT_COLS, K_POINTS, "pt_id").select("pt_id", "cluster")
+
+
+def q_ward_tree(spark, sf):
+    """Every merge of exact Ward: hi joins lo (smallest ids) at height."""
+    train = points_split(spark, sf).filter(F.col("split") == "train")
+    reps = W.representatives(train, PT_COLS, "pt_id").checkpoint()
+    return W.ward_tree(reps, len(PT_COLS)).select("lo", "hi", r6("height"))
+
+
+def q_ward_micro(spark, sf):
     sp = points_split(spark, sf).filter(F.col("split") == "train")
     out, info = K.ward_micro(sp, PT_COLS, K_POINTS, micro=64, seed=SEED, id_col="pt_id")
     return out.select("pt_id", "cluster", F.lit(info["method"]).alias("method"), F.lit(info["micro"]).alias("micro"))
@@ -570,6 +583,40 @@ corepts AS (SELECT p.*, l.cluster FROM ptrain p JOIN dblab l ON l.pt_id = p.pt_i
 SELECT pt_id, cluster FROM (SELECT t.pt_id, c.cluster, row_number() OVER (PARTITION BY t.pt_id ORDER BY {_pd}, c.pt_id) AS rn
   FROM ptest t, corepts c) x WHERE rn = 1""", "cluster_points")
 
+
+
+def ward_sql(src: str, cols: list[str], k: int, id_col: str = "pt_id") -> str:
+    """CTEs: wtree (lo, hi, height), the merges of greedy Ward over the distinct
+    positions of ``src``, all reciprocal nearest pairs of a round at once, and
+    wlab (id, cluster), the k clusters of the positions' smallest ids."""
+    xs = [f"x{i}" for i in range(len(cols))]
+    gap = " + ".join(f"(a.{x} - b.{x}) * (a.{x} - b.{x})" for x in xs)
+    mean = ", ".join(f"CASE WHEN o.id IS NULL THEN c.{x} ELSE (c.n * c.{x} + o.n * o.{x}) / (c.n + o.n) END" for x in xs)
+    return f"""wpos AS (SELECT min({id_col}) AS id, CAST(count(*) AS DOUBLE) AS n, {', '.join(f'{c} AS {x}' for c, x in zip(cols, xs))}
+   FROM {src} GROUP BY {', '.join(cols)}),
+wtree AS MATERIALIZED (SELECT lo, id AS hi, h AS height FROM (WITH RECURSIVE r(id, n, {', '.join(xs)}, lo, h) AS (
+  SELECT id, n, {', '.join(xs)}, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM wpos
+  UNION ALL
+  (WITH c AS (SELECT * FROM r WHERE lo IS NULL),
+   near AS (SELECT min({{'d': a.n * b.n / (a.n + b.n) * ({gap}), 'lo': least(a.id, b.id), 'hi': greatest(a.id, b.id)}}) AS p
+      FROM c a, c b WHERE a.id <> b.id GROUP BY a.id),
+   both_ways AS (SELECT (p).lo AS lo, (p).hi AS hi, (p).d AS d FROM near GROUP BY p HAVING count(*) = 2)
+   SELECT c.id, c.n + coalesce(o.n, 0), {mean}, g.lo, g.d
+   FROM c LEFT JOIN both_ways l ON l.lo = c.id LEFT JOIN c o ON o.id = l.hi LEFT JOIN both_ways g ON g.hi = c.id
+   WHERE (SELECT count(*) FROM c) > 1)) SELECT * FROM r) t WHERE lo IS NOT NULL),
+wkept AS (SELECT lo, hi FROM (SELECT *, row_number() OVER (ORDER BY height DESC, lo DESC, hi DESC) AS rn FROM wtree) t WHERE rn >= {k}),
+wroot AS (SELECT * FROM (WITH RECURSIVE u(id, root) AS (
+  SELECT id, id FROM wpos WHERE id NOT IN (SELECT hi FROM wkept)
+  UNION ALL SELECT e.hi, u.root FROM u JOIN wkept e ON e.lo = u.id) SELECT * FROM u) t),
+wlab AS (SELECT id, CAST(dense_rank() OVER (ORDER BY root) - 1 AS INTEGER) AS cluster FROM wroot)"""
+
+
+_ward = f"ptrain AS (SELECT * FROM cluster_points WHERE {_split_sql('', 'pt_id')}),\n{ward_sql('ptrain', PT_COLS, K_POINTS)}"
+WARD_CLUSTER_SQL = with_views(f""", {_ward}
+SELECT p.pt_id, l.cluster FROM ptrain p JOIN wpos w ON w.x0 = p.f0 AND w.x1 = p.f1 AND w.x2 = p.f2 JOIN wlab l ON l.id = w.id""",
+                              "cluster_points")
+WARD_TREE_SQL = with_views(f", {_ward}\nSELECT lo, hi, round(height, 6) AS height FROM wtree", "cluster_points")
+
 WARD_ASSIGN_SQL = with_views(f""", {PT_ASSIGN_CTE},
 ptrain AS (SELECT * FROM passg WHERE {_split_sql('', 'pt_id')}),
 ptest AS (SELECT * FROM passg WHERE NOT ({_split_sql('', 'pt_id')}))
@@ -709,7 +756,9 @@ for _name, _fn, _sql in [
     ("silhouette_squared", q_silhouette_squared, SIL_SQUARED_SQL),
     ("dbscan", q_dbscan, DBSCAN_SQL),
     ("dbscan_assign", q_dbscan_assign, DBSCAN_ASSIGN_SQL),
-    ("ward_cluster", q_ward_cluster, None),
+    ("ward_cluster", q_ward_cluster, WARD_CLUSTER_SQL),
+    ("ward_tree", q_ward_tree, WARD_TREE_SQL),
+    ("ward_micro", q_ward_micro, None),
     ("ward_assign", q_ward_assign, WARD_ASSIGN_SQL),
     ("compare_algorithms", q_compare_algorithms, None),
     ("cluster_labels", q_cluster_labels, CLUSTER_LABELS_SQL),
