@@ -36,6 +36,8 @@ PAIRS_PER_CLUSTER = 32
 # The threshold grows by this factor when fewer than one merge comes to four clusters.
 GROWTH = 4.0
 MARGIN = 1 + 1e-9
+# Modulus and factor that mix the ids of a pair, to order pairs of equal cost.
+MIX, FACTOR = 1_000_003, 618_035
 TREE = "round int, lo long, hi long, height double, size long"
 
 
@@ -99,9 +101,10 @@ def _pairs(clusters: DataFrame, d: int, t: float, n: int, rows_per_split: int) -
 
 
 def _reciprocal(pairs: DataFrame) -> DataFrame:
-    """Pairs that are the nearest of both their clusters. Equal costs go to the
-    smaller lo, then the smaller hi."""
-    order = F.struct("height", "lo", "hi")
+    """Pairs that are the nearest of both their clusters. Equal costs go by the
+    ids, mixed first: by plain ids a row of equal gaps would merge one pair a round."""
+    mixed = (F.col("lo") % MIX) * (F.col("hi") % MIX) % MIX * FACTOR % MIX
+    order = F.struct("height", mixed.alias("mixed"), "lo", "hi")
     ends = pairs.select(F.explode(F.array("lo", "hi")).alias("id"), order.alias("p"))
     best = ends.groupBy("id").agg(F.min("p").alias("p")).select("p.*")
     return best.groupBy("lo", "hi", "height").agg(F.count(F.lit(1)).alias("c")).filter("c = 2").drop("c")
@@ -123,9 +126,11 @@ def _finish(ids: np.ndarray, n: np.ndarray, x: np.ndarray) -> list[tuple[int, in
     sq = sum((x[:, None, i] - x[None, :, i]) ** 2 for i in range(x.shape[1]))
     cost = n[:, None] * n[None, :] / (n[:, None] + n[None, :]) * sq
     cost[np.tril_indices(len(ids))] = np.inf
+    mixed = np.fmod(np.fmod(np.fmod(ids, MIX)[:, None] * np.fmod(ids, MIX)[None, :], MIX) * FACTOR, MIX)
     out = []
     for _ in range(len(ids) - 1):
-        a, b = divmod(int(np.argmin(cost)), len(ids))       # a before b, so lo and hi
+        ties = np.argwhere(cost == cost.min())      # a before b, so lo and hi
+        a, b = min(map(tuple, ties), key=lambda p: (mixed[p], p))
         out.append((int(ids[a]), int(ids[b]), float(cost[a, b]), int(n[a] + n[b])))
         x[a] = (n[a] * x[a] + n[b] * x[b]) / (n[a] + n[b])
         n[a] += n[b]
@@ -173,8 +178,8 @@ def ward_tree(reps: DataFrame, d: int, k: int = 1, finish: int = FINISH, rows_pe
             if merged:
                 clusters = _merge(clusters, merges, d).checkpoint()
                 n -= merged
-            if merged * 4 < n:
-                t *= GROWTH
+            if merged * 4 < n:      # nothing merged: no two clusters lie within t
+                t *= GROWTH if merged else GROWTH ** 2
             rounds += 1
         found = (spark.read.schema("lo long, hi long, height double, round int").parquet(path)
                  .select("round", "lo", "hi", "height", F.lit(None).cast("long").alias("size")))
@@ -198,7 +203,7 @@ def cut_tree(tree: DataFrame, reps: DataFrame, k: int) -> DataFrame:
 
 def ward(points: DataFrame, cols: Sequence[str], k: int, id_col: str = "row_id", finish: int = FINISH) -> DataFrame:
     """``points`` with ``cluster``: Ward's clustering into k groups, equal to
-    greedy Ward on all rows where no two costs tie (ties: smaller ids first).
+    greedy Ward on all rows, where equal costs go by the mixed ids of the pair.
 
     Equal positions merge first, at no cost, so copies always share a cluster and
     fewer than k positions give fewer clusters. Clusters are numbered by their

@@ -194,8 +194,8 @@ def q_ward_assign(spark, sf):
 
 
 def compare_algorithms(split: DataFrame, cols, id_col: str = "row_id", eps: float = 0.5, min_samples: int = 5,
-                       ks=range(3, 9), method: str = "sampled", sample_rows: int = 10_000, micro: int = 256) -> DataFrame:
-    """KMeans, DBSCAN and micro-cluster Ward on one split, one metrics row each
+                       ks=range(3, 9), method: str = "sampled", sample_rows: int = 10_000) -> DataFrame:
+    """KMeans, DBSCAN and exact Ward on one split, one metrics row each
     (M10). ``method`` names the silhouette that scores all of them."""
     spark = split.sparkSession
     train = split.filter(F.col("split") == "train")
@@ -225,12 +225,11 @@ def compare_algorithms(split: DataFrame, cols, id_col: str = "row_id", eps: floa
     else:
         db_test = K.Score(0.0, method, 0, None)
     rows.append(("DBSCAN", None, *score(db_tr), *db_test, noise_pct))
-    ward_tr, _ = K.ward_micro(tr_z, zc, best_k, micro=micro, id_col=id_col)
-    ward_tr = ward_tr.cache()
+    ward_tr = W.ward(tr_z, zc, best_k, id_col).checkpoint()
     nn = nn_join(te_z, ward_tr, zc, q_id=id_col, t_id=id_col)
     ward_te = te_z.join(nn.join(ward_tr.select(F.col(id_col).alias("nn_id"), "cluster"), "nn_id")
                         .select(id_col, "cluster"), id_col)
-    rows.append((f"Agglomerative (micro={micro})", best_k, *score(ward_tr), *score(ward_te), None))
+    rows.append(("Agglomerative", best_k, *score(ward_tr), *score(ward_te), None))
     out = spark.createDataFrame(rows, f"algorithm string, k int, {SCORE_COLS.format('train_silhouette')}, "
                                       f"{SCORE_COLS.format('test_silhouette')}, noise_pct double")
     return out.withColumn("kpi_pass", F.col("test_silhouette") >= 0.45)
@@ -598,7 +597,8 @@ wtree AS MATERIALIZED (SELECT lo, id AS hi, h AS height FROM (WITH RECURSIVE r(i
   SELECT id, n, {', '.join(xs)}, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM wpos
   UNION ALL
   (WITH c AS (SELECT * FROM r WHERE lo IS NULL),
-   near AS (SELECT min({{'d': a.n * b.n / (a.n + b.n) * ({gap}), 'lo': least(a.id, b.id), 'hi': greatest(a.id, b.id)}}) AS p
+   near AS (SELECT min({{'d': a.n * b.n / (a.n + b.n) * ({gap}),
+        'mixed': least(a.id, b.id) % {W.MIX} * (greatest(a.id, b.id) % {W.MIX}) % {W.MIX} * {W.FACTOR} % {W.MIX}, 'lo': least(a.id, b.id), 'hi': greatest(a.id, b.id)}}) AS p
       FROM c a, c b WHERE a.id <> b.id GROUP BY a.id),
    both_ways AS (SELECT (p).lo AS lo, (p).hi AS hi, (p).d AS d FROM near GROUP BY p HAVING count(*) = 2)
    SELECT c.id, c.n + coalesce(o.n, 0), {mean}, g.lo, g.d
