@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.hashing import hash32
 from sitelens.operators.cloud import XYZ, apply_transform, cloud_key
-from sitelens.operators.spatial import argmin_per_key, knn_radius, right_size
+from sitelens.operators.spatial import apart, argmin_per_key, knn_radius, right_size
 
 N_BINS = 11
 
@@ -80,7 +80,7 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
     values = [*XYZ, "nx", "ny", "nz"]
     a = cloud.select(*by, F.col("pt_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in values])
     b = cloud.select(*by, F.col("pt_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in values])
-    pf = pair_features(nb.join(a, [*by, "a"]).join(b, [*by, "b"]))
+    pf = pair_features(nb.join(apart(a), [*by, "a"]).join(apart(b), [*by, "b"]))
     pf = pf.withColumns({"h1": _bin(F.col("f1"), -math.pi, math.pi), "h2": _bin(F.col("f2"), -1.0, 1.0),
                          "h3": _bin(F.col("f3"), -1.0, 1.0)}).select(*by, "a", "b", "dist", "h1", "h2", "h3")
     pf = pf.checkpoint()
@@ -89,14 +89,14 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
     spfh = pf.groupBy(*by, F.col("a").alias("pt_id")).agg(F.count(F.lit(1)).alias("_n"), *aggs)
     spfh = spfh.select(*by, "pt_id", *[(F.col(f"s{j}") * F.lit(100.0) / F.col("_n")).alias(f"s{j}") for j in range(33)])
     spfh = spfh.checkpoint()
-    wsum = (pf.filter(F.col("dist") > 0).join(spfh.withColumnRenamed("pt_id", "b"), [*by, "b"])
+    wsum = (pf.filter(F.col("dist") > 0).join(apart(spfh.withColumnRenamed("pt_id", "b")), [*by, "b"])
             .groupBy(*by, F.col("a").alias("pt_id"))
             .agg(*[F.sum(F.col(f"s{j}") / F.col("dist")).alias(f"w{j}") for j in range(33)]))
     blocks = [sum((F.col(f"w{k * N_BINS + j}") for j in range(N_BINS)), F.lit(0.0)) for k in range(3)]
     scaled = wsum.select(*by, "pt_id", *[F.when(blocks[j // N_BINS] != 0, F.col(f"w{j}") * F.lit(100.0) / blocks[j // N_BINS])
                                     .otherwise(0.0).alias(f"w{j}") for j in range(33)])
     key = [*by, "pt_id"]
-    out = cloud.select(*key).join(spfh, key, "left").join(scaled, key, "left")
+    out = cloud.select(*key).join(apart(spfh), key, "left").join(apart(scaled), key, "left")
     feat = F.array(*[F.coalesce(F.col(f"s{j}"), F.lit(0.0)) + F.coalesce(F.col(f"w{j}"), F.lit(0.0)) for j in range(33)])
     return out.select(*key, feat.alias("fpfh"))
 
@@ -245,7 +245,7 @@ def nearest_both_ways(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_
 
     first = _meet(rows, index, own, block_rows, sizes, compared)
     near = argmin_per_key(first, ["side", "id"], "fdist", "other").select("side", "id", F.col("fdist").alias("_d"))
-    rows = rows.join(near, ["side", "id"], "left").withColumn("ub", F.coalesce("_d", far)).drop("_d").checkpoint()
+    rows = rows.join(apart(near), ["side", "id"], "left").withColumn("ub", F.coalesce("_d", far)).drop("_d").checkpoint()
     # how far the nearest source of a cell's targets can be; one that has met none yet may be anywhere
     most = {r["cell"]: r["m"] for r in rows.filter("side = 1").groupBy("cell").agg(F.max("ub").alias("m")).collect()}
     lo, hi = (np.array([sizes[1, c][k] for c in held]) for k in (0, 1))
@@ -273,7 +273,7 @@ def mutual_matches(src_feat: DataFrame, tgt_feat: DataFrame, block_rows: int = 4
     best = argmin_per_key(nearest_both_ways(src_feat, tgt_feat, "fpfh", block_rows, compared), ["side", "id"], "fdist", "other").checkpoint()
     fwd = best.filter("side = 0").select(F.col("id").alias("src_id"), F.col("other").alias("tgt_id"), "fdist")
     bwd = best.filter("side = 1").select(F.col("other").alias("src_id"), F.col("id").alias("tgt_id"))
-    return fwd.join(bwd, ["src_id", "tgt_id"])
+    return fwd.join(apart(bwd), ["src_id", "tgt_id"])
 
 
 # --------------------------------------------------------------------------
@@ -326,7 +326,7 @@ def _hypotheses(m: DataFrame, n_m: int, lo: int, hi: int, edge_ratio: float, see
         hyp = hyp.withColumn(f"o{k}", F.pmod(hash32(draw, seed), F.lit(n_m)))
     for k in range(4):
         side = m.select(F.col("ord").alias(f"o{k}"), *[F.col(s + c).alias(f"{s}{c}{k}") for s in "st" for c in XYZ])
-        hyp = hyp.join(F.broadcast(side) if n_m <= BROADCAST_MATCHES else side, f"o{k}")
+        hyp = hyp.join(F.broadcast(side) if n_m <= BROADCAST_MATCHES else apart(side), f"o{k}")
         for j in range(k):
             ds, dt = (F.sqrt(sum((F.pow(F.col(f"{s}{c}{j}") - F.col(f"{s}{c}{k}"), 2) for c in XYZ), F.lit(0.0))) for s in "st")
             hyp = hyp.filter((F.col(f"o{j}") != F.col(f"o{k}")) & (ds >= dt * edge_ratio) & (dt >= ds * edge_ratio))
@@ -346,8 +346,8 @@ def coarse_align(src: DataFrame, tgt: DataFrame, matches: DataFrame, max_corr: f
     n_matches, hypotheses; without a fit the identity with fitness 0."""
     spark = src.sparkSession
     origin = cloud_origin(tgt)
-    m = (matches.join(src.select(F.col("pt_id").alias("src_id"), *[(F.col(c) - o).alias("s" + c) for c, o in zip(XYZ, origin)]), "src_id")
-         .join(tgt.select(F.col("pt_id").alias("tgt_id"), *[(F.col(c) - o).alias("t" + c) for c, o in zip(XYZ, origin)]), "tgt_id"))
+    m = (matches.join(apart(src.select(F.col("pt_id").alias("src_id"), *[(F.col(c) - o).alias("s" + c) for c, o in zip(XYZ, origin)])), "src_id")
+         .join(apart(tgt.select(F.col("pt_id").alias("tgt_id"), *[(F.col(c) - o).alias("t" + c) for c, o in zip(XYZ, origin)])), "tgt_id"))
     m = with_ordinal(m, "src_id").checkpoint()
     n_m = m.count()
     best, done = None, 0
@@ -474,7 +474,7 @@ def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None
     for it in range(1, max_iter + 1):
         moved = apply_transform(base, t.tolist())
         probe = moved.withColumn("_o", F.explode(steps)).select("pt_id", *XYZ, *[(cell(c) + F.col(f"_o.{k}")).alias(k) for k, c in zip(g, XYZ)])
-        near = (probe.join(tq, g).withColumn("d2", sq).filter(F.col("d2") <= float(max_corr) ** 2)
+        near = (probe.join(apart(tq), g).withColumn("d2", sq).filter(F.col("d2") <= float(max_corr) ** 2)
                 .groupBy("pt_id").agg(F.min(F.struct("d2", "nn_id", *XYZ, *["q" + c for c in XYZ], "nx", "ny", "nz")).alias("m")))
         row = near.select("m.*").agg(*aggs).first()
         cnt = row["cnt"] or 0

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sitelens.operators import cloud as CL
 from sitelens.operators import registration as RG
+from sitelens.operators.spatial import apart
 from sitelens.plans import common
 from sitelens.sources.fixtures import read_table
 
@@ -53,7 +54,7 @@ def prepared(cloud: DataFrame, voxel: float = VOXEL) -> DataFrame:
     """Voxel grid, normals (2v, 30), FPFH (5v, 100): the preprocessing step."""
     down = downsample(cloud, voxel).checkpoint()
     normals = CL.estimate_normals(down, 2 * voxel, 30).checkpoint()
-    return normals.join(RG.fpfh_features(normals, 5 * voxel, 100), "pt_id").checkpoint()
+    return normals.join(apart(RG.fpfh_features(normals, 5 * voxel, 100)), "pt_id").checkpoint()
 
 
 def pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -82,7 +83,7 @@ def q_normals(spark, sf):
     a = CL.estimate_normals(tgt, 2 * VOXEL, 30).select("pt_id", "nx", "ny", "nz")
     b = CL.estimate_normals(near, 2 * VOXEL, 30).select("pt_id", *[F.col(c).alias("o" + c) for c in ("nx", "ny", "nz")])
     dot = sum((F.col(c) * F.col("o" + c) for c in ("nx", "ny", "nz")), F.lit(0.0))
-    return a.join(b, "pt_id").select("pt_id", (F.abs(dot) > 1 - 1e-9).alias("same_direction"))
+    return a.join(apart(b), "pt_id").select("pt_id", (F.abs(dot) > 1 - 1e-9).alias("same_direction"))
 
 
 def q_fpfh_features(spark, sf):
