@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.hashing import hash32, unit_hash
 from sitelens.functions.scalar import deviation_color
 from sitelens.operators.grouping import attach
+from sitelens.operators.neighbourhood import over_neighbours
 from sitelens.operators.ranking import top_k_per_group
 from sitelens.operators.spatial import DEFAULT_ROWS_PER_SPLIT, apart, box_candidates, knn_radius, nn_join, split_hot_cells, spread
 
@@ -321,25 +322,42 @@ def check_report_columns(df: DataFrame) -> DataFrame:
 # C5 normals
 # --------------------------------------------------------------------------
 
-def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataFrame:
-    """Unit normals from the covariance of each point's hybrid neighbourhood
-    (C5): neighbour pairs (J4) -> second moments of the differences to the
-    point by grouped ``avg`` ->
-    eigenvector of the smallest eigenvalue, batched NumPy ``eigh`` in
-    ``mapInPandas``. Orientation: nz >= 0 (then ny, nx) for repeatability."""
-    by = cloud_key(cloud)
-    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id", by=by)
-    pts = cloud.select(*by, "pt_id", *XYZ)
+MOMENTS = ["mx", "my", "mz", "sxx", "sxy", "sxz", "syy", "syz", "szz"]
+
+
+def _block_moments(rows: pd.DataFrame, x: np.ndarray, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> tuple[np.ndarray, dict]:
+    """Neighbours and moments of the differences to the point, per point."""
+    at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    k = np.diff(np.r_[at, len(a)])
+    d = x[b] - x[a]
+    terms = [d[:, 0], d[:, 1], d[:, 2], *[d[:, i] * d[:, j] for i in range(3) for j in range(i, 3)]]
+    return a[at], {"k": k, **{m: np.add.reduceat(t, at) / k for m, t in zip(MOMENTS, terms)}}
+
+
+def _pair_moments(pts: DataFrame, radius: float, max_nn: int, by: Sequence[str]) -> DataFrame:
+    """The same from a table of pairs."""
+    nb = knn_radius(pts, XYZ, radius, max_nn, id_col="pt_id", by=by)
     j = (nb.join(apart(pts.withColumnsRenamed({"pt_id": "b", **{a: "q" + a for a in XYZ}})), [*by, "b"])
          .join(apart(pts.withColumnsRenamed({"pt_id": "a", **{a: "p" + a for a in XYZ}})), [*by, "a"]))
     # moments of the differences: raw coordinates can be millions of metres
     j = j.select(*by, "a", *[(F.col("q" + a) - F.col("p" + a)).alias("n" + a) for a in XYZ])
-    mom = j.groupBy(*by, F.col("a").alias("pt_id")).agg(
+    return j.groupBy(*by, F.col("a").alias("pt_id")).agg(
         F.count(F.lit(1)).alias("k"),
         *[F.avg("n" + a).alias("m" + a) for a in XYZ],
         *[F.avg(F.col("n" + a) * F.col("n" + b)).alias(f"s{a}{b}") for a, b in
           [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]])
 
+
+def estimate_normals(cloud: DataFrame, radius: float, max_nn: int = 30) -> DataFrame:
+    """Unit normals from the covariance of each point's hybrid neighbourhood
+    (C5): second moments of the differences to the point, summed in blocks
+    (``over_neighbours``) -> eigenvector of the smallest eigenvalue, batched NumPy ``eigh`` in
+    ``mapInPandas``. Orientation: nz >= 0 (then ny, nx) for repeatability."""
+    by = cloud_key(cloud)
+    pts = cloud.select(*by, "pt_id", *XYZ)
+    mom = over_neighbours(pts, radius, max_nn, by, _block_moments, "k long, " + ", ".join(f"{m} double" for m in MOMENTS),
+                          lambda p: _pair_moments(p, radius, max_nn, by))
+
     def eig(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             mx, my, mz = pdf["mx"].to_numpy(), pdf["my"].to_numpy(), pdf["mz"].to_numpy()

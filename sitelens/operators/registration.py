@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.hashing import hash32
 from sitelens.operators.cloud import XYZ, apply_transform, cloud_key
+from sitelens.operators.neighbourhood import over_neighbours
 from sitelens.operators.spatial import apart, argmin_per_key, knn_radius, right_size
 
 N_BINS = 11
@@ -46,8 +47,9 @@ def pair_features(pairs: DataFrame) -> DataFrame:
     n2 = [F.col(f"b_n{c}") for c in XYZ]
     d = [q[i] - p[i] for i in range(3)]
     dist = F.sqrt(_dot(d, d))
-    ang1 = _dot(n1, d) / dist
-    ang2 = _dot(n2, d) / dist
+    apart_by = F.nullif(dist, F.lit(0.0))       # copies have no line between them
+    ang1 = _dot(n1, d) / apart_by
+    ang2 = _dot(n2, d) / apart_by
     swap = F.acos(F.least(F.abs(ang1), F.lit(1.0))) > F.acos(F.least(F.abs(ang2), F.lit(1.0)))
     u = [F.when(swap, n2[i]).otherwise(n1[i]) for i in range(3)]
     nt = [F.when(swap, n1[i]).otherwise(n2[i]) for i in range(3)]
@@ -55,7 +57,7 @@ def pair_features(pairs: DataFrame) -> DataFrame:
     f3 = F.when(swap, -ang2).otherwise(ang1)
     v = _cross(dd, u)
     vn = F.sqrt(_dot(v, v))
-    v = [v[i] / vn for i in range(3)]
+    v = [v[i] / F.nullif(vn, F.lit(0.0)) for i in range(3)]
     w = _cross(u, v)
     f2 = _dot(v, nt)
     f1 = F.atan2(_dot(w, nt), _dot(u, nt))
@@ -69,36 +71,87 @@ def _bin(x: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(b, F.lit(0)), F.lit(N_BINS - 1))
 
 
+def _pair_hists(points: DataFrame, radius: float, max_nn: int, by: list[str]) -> DataFrame:
+    """pt_id, hist (neighbours per bin) from a table of pairs."""
+    nb = knn_radius(points, XYZ, radius, max_nn, id_col="pt_id", by=by).filter(F.col("a") != F.col("b"))
+    values = [*XYZ, "nx", "ny", "nz"]
+    a = points.select(*by, F.col("pt_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in values])
+    b = points.select(*by, F.col("pt_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in values])
+    pf = pair_features(nb.join(apart(a), [*by, "a"]).join(apart(b), [*by, "b"]))
+    pf = pf.withColumns({"h1": _bin(F.col("f1"), -math.pi, math.pi), "h2": _bin(F.col("f2"), -1.0, 1.0),
+                         "h3": _bin(F.col("f3"), -1.0, 1.0)}).select(*by, "a", "h1", "h2", "h3")
+    bins = [F.count(F.when(F.col(h) == j, 1)).cast("int") for h in ("h1", "h2", "h3") for j in range(N_BINS)]
+    return pf.groupBy(*by, F.col("a").alias("pt_id")).agg(F.count(F.lit(1)).alias("n"), F.array(*bins).alias("hist"))
+
+
+def _block_hists(rows: pd.DataFrame, x: np.ndarray, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> tuple[np.ndarray, dict]:
+    """The same of a block's pairs (``pair_features`` on arrays)."""
+    ids, normal = rows["pt_id"].to_numpy(), rows[["nx", "ny", "nz"]].to_numpy(np.float64)
+    other = ids[a] != ids[b]
+    a, b, dist = a[other], b[other], dist[other]
+    if not len(a):
+        return a, {"n": [], "hist": []}
+    n1, n2, d = normal[a], normal[b], x[b] - x[a]
+    with np.errstate(all="ignore"):
+        dist = np.sqrt((d * d).sum(1))
+        ang1, ang2 = (n1 * d).sum(1) / dist, (n2 * d).sum(1) / dist
+        swap = np.arccos(np.minimum(np.abs(ang1), 1.0)) > np.arccos(np.minimum(np.abs(ang2), 1.0))
+        u, nt = np.where(swap[:, None], n2, n1), np.where(swap[:, None], n1, n2)
+        v = np.cross(np.where(swap[:, None], -d, d), u)
+        vn = np.sqrt((v * v).sum(1))
+        v = v / vn[:, None]
+        f = [np.arctan2((np.cross(u, v) * nt).sum(1), (u * nt).sum(1)), (v * nt).sum(1), np.where(swap, -ang2, ang1)]
+    ok = (dist > 0) & (vn > 0)
+    at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    which = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(a)]))
+    hist = np.zeros((len(at), 3 * N_BINS), np.int64)
+    for k, (c, lo, hi) in enumerate(zip(f, (-math.pi, -1.0, -1.0), (math.pi, 1.0, 1.0))):
+        h = np.clip(np.floor(float(N_BINS) * (np.where(ok, c, 0.0) - lo) / (hi - lo)), 0, N_BINS - 1).astype(np.int64)
+        hist += np.bincount(which * 3 * N_BINS + k * N_BINS + h, minlength=hist.size).reshape(hist.shape)
+    return a[at], {"n": np.diff(np.r_[at, len(a)]), "hist": list(hist.astype(np.int32))}
+
+
+def _pair_fpfh(points: DataFrame, radius: float, max_nn: int, by: list[str]) -> DataFrame:
+    """pt_id, w (the neighbours' SPFH over distance) from a table of pairs."""
+    nb = knn_radius(points, XYZ, radius, max_nn, id_col="pt_id", by=by).filter((F.col("a") != F.col("b")) & (F.col("dist") > 0))
+    spfh = points.filter(F.col("n") > 0).select(*by, F.col("pt_id").alias("b"), "n", "hist")
+    near = nb.join(apart(spfh), [*by, "b"])
+    share = [F.sum(F.col("hist")[j] * F.lit(100.0) / F.col("n") / F.col("dist")) for j in range(3 * N_BINS)]
+    return near.groupBy(*by, F.col("a").alias("pt_id")).agg(F.array(*share).alias("w"))
+
+
+def _block_fpfh(rows: pd.DataFrame, x: np.ndarray, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> tuple[np.ndarray, dict]:
+    """The same of a block's pairs."""
+    ids, n = rows["pt_id"].to_numpy(), rows["n"].to_numpy()
+    near = (ids[a] != ids[b]) & (dist > 0) & (n[b] > 0)
+    a, b, dist = a[near], b[near], dist[near]
+    if not len(a):
+        return a, {"w": []}
+    used, slot = np.unique(b, return_inverse=True)
+    spfh = np.stack(rows["hist"].to_numpy()[used]) * 100.0 / n[used, None]
+    at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+    return a[at], {"w": list(np.add.reduceat(spfh[slot] / dist[:, None], at))}
+
+
 def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFrame:
     """33-bin FPFH of every point of a cloud with normals (pt_id, x, y, z,
     nx, ny, nz). SPFH: 11 bins for each of f1, f2, f3 over the hybrid
     neighbourhood, scaled to 100 per block; FPFH = SPFH(p) + the neighbours'
-    SPFH weighted by 1/distance, each block rescaled to 100. Output:
-    (cloud_id,) pt_id, fpfh array<double> (33)."""
+    SPFH weighted by 1/distance, each block rescaled to 100. Both passes over
+    the neighbours run in blocks (``over_neighbours``), so no pairs are
+    shuffled. Output: (cloud_id,) pt_id, fpfh array<double> (33)."""
     by = cloud_key(cloud)
-    nb = knn_radius(cloud, XYZ, radius, max_nn, id_col="pt_id", by=by).filter(F.col("a") != F.col("b"))
-    values = [*XYZ, "nx", "ny", "nz"]
-    a = cloud.select(*by, F.col("pt_id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in values])
-    b = cloud.select(*by, F.col("pt_id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in values])
-    pf = pair_features(nb.join(apart(a), [*by, "a"]).join(apart(b), [*by, "b"]))
-    pf = pf.withColumns({"h1": _bin(F.col("f1"), -math.pi, math.pi), "h2": _bin(F.col("f2"), -1.0, 1.0),
-                         "h3": _bin(F.col("f3"), -1.0, 1.0)}).select(*by, "a", "b", "dist", "h1", "h2", "h3")
-    pf = pf.checkpoint()
-    aggs = [F.count(F.when(F.col(h) == j, 1)).alias(f"s{k * N_BINS + j}")
-            for k, h in enumerate(["h1", "h2", "h3"]) for j in range(N_BINS)]
-    spfh = pf.groupBy(*by, F.col("a").alias("pt_id")).agg(F.count(F.lit(1)).alias("_n"), *aggs)
-    spfh = spfh.select(*by, "pt_id", *[(F.col(f"s{j}") * F.lit(100.0) / F.col("_n")).alias(f"s{j}") for j in range(33)])
-    spfh = spfh.checkpoint()
-    wsum = (pf.filter(F.col("dist") > 0).join(apart(spfh.withColumnRenamed("pt_id", "b")), [*by, "b"])
-            .groupBy(*by, F.col("a").alias("pt_id"))
-            .agg(*[F.sum(F.col(f"s{j}") / F.col("dist")).alias(f"w{j}") for j in range(33)]))
-    blocks = [sum((F.col(f"w{k * N_BINS + j}") for j in range(N_BINS)), F.lit(0.0)) for k in range(3)]
-    scaled = wsum.select(*by, "pt_id", *[F.when(blocks[j // N_BINS] != 0, F.col(f"w{j}") * F.lit(100.0) / blocks[j // N_BINS])
-                                    .otherwise(0.0).alias(f"w{j}") for j in range(33)])
     key = [*by, "pt_id"]
-    out = cloud.select(*key).join(apart(spfh), key, "left").join(apart(scaled), key, "left")
-    feat = F.array(*[F.coalesce(F.col(f"s{j}"), F.lit(0.0)) + F.coalesce(F.col(f"w{j}"), F.lit(0.0)) for j in range(33)])
-    return out.select(*key, feat.alias("fpfh"))
+    points = cloud.select(*key, *XYZ, "nx", "ny", "nz")
+    hists = over_neighbours(points, radius, max_nn, by, _block_hists, "n long, hist array<int>",
+                            lambda p: _pair_hists(p, radius, max_nn, by)).checkpoint()
+    known = cloud.select(*key, *XYZ).join(apart(hists), key, "left").withColumn("n", F.coalesce("n", F.lit(0))).checkpoint()
+    near = over_neighbours(known, radius, max_nn, by, _block_fpfh, "w array<double>", lambda p: _pair_fpfh(p, radius, max_nn, by))
+    out = cloud.select(*key).join(apart(hists), key, "left").join(apart(near), key, "left")
+    blocks = [sum((F.col("w")[k * N_BINS + j] for j in range(N_BINS)), F.lit(0.0)) for k in range(3)]
+    own = [F.coalesce(F.col("hist")[j] * F.lit(100.0) / F.col("n"), F.lit(0.0)) for j in range(3 * N_BINS)]
+    sums = [F.coalesce(F.when(blocks[j // N_BINS] != 0, F.col("w")[j] * F.lit(100.0) / blocks[j // N_BINS]), F.lit(0.0)) for j in range(3 * N_BINS)]
+    return out.select(*key, F.array(*[s + w for s, w in zip(own, sums)]).alias("fpfh"))
 
 
 # --------------------------------------------------------------------------
@@ -170,51 +223,91 @@ class FeatureIndex:
         return out
 
 
+# Rows of a side that meet in one task, in blocks of ``block_rows``.
+BLOCKS_TOGETHER = 16
+
+
 def _meet(rows: DataFrame, index: FeatureIndex, wanted, block_rows: int, sizes: dict, compared=None) -> DataFrame:
     """_NEAR: the best partners, in both directions, among the pairs of source
-    rows with the target cells that ``wanted`` names for them. Distances of a
-    block of sources to a block of a cell's targets are formed once for both."""
-    splits = {c: max(1, math.ceil(n / block_rows)) for (side, c), (_, _, n) in sizes.items() if side == 1}
-    shares = max(1, math.ceil(max((n for (side, _), (_, _, n) in sizes.items() if side == 0), default=1) / block_rows))
+    rows with the target cells that ``wanted`` names for them. A source goes to a
+    pivot's targets once, with the rings it asks for; only what exceeds
+    ``block_rows`` x BLOCKS_TOGETHER rows on the other side repeats it. Distances
+    of a block of sources to a block of a cell's targets are formed once for both
+    directions."""
+    together = block_rows * BLOCKS_TOGETHER
+    held: dict[int, int] = {}
+    for (side, c), (_, _, n) in sizes.items():
+        if side == 1:
+            held[c // RINGS] = held.get(c // RINGS, 0) + n
+    splits = {p: math.ceil(n / together) for p, n in held.items()}
+
+    def asks(pdf: pd.DataFrame) -> dict[tuple[int, int], int]:
+        """Rings (bits) that a row asks of a pivot's targets."""
+        f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
+        out: dict[tuple[int, int], int] = {}
+        for i, cell in wanted(pdf["cell"].to_numpy(), _to_pivots(f, index.pivots), pdf["ub"].to_numpy()):
+            at = (i, cell // RINGS)
+            out[at] = out.get(at, 0) | 1 << cell % RINGS
+        return out
+
+    def tell(batches):
+        for pdf in batches:
+            pivots = [p for _, p in asks(pdf)] if len(pdf) else []
+            found, n = np.unique(np.array(pivots, np.int64), return_counts=True)
+            yield pd.DataFrame({"pivot": found, "n": n})
+
+    sources = rows.filter("side = 0").select("id", "f", "cell", "ub")
+    # at most a row per pivot
+    told = sources.mapInPandas(tell, "pivot long, n long").groupBy("pivot").agg(F.sum("n").alias("n")).collect()
+    shares = {r["pivot"]: math.ceil(r["n"] / together) for r in told}
 
     def send(batches):
         for pdf in batches:
-            out = []
-            if len(pdf):
-                f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
-                for i, cell in wanted(pdf["cell"].to_numpy(), _to_pivots(f, index.pivots), pdf["ub"].to_numpy()):
-                    for split in range(splits[cell]):
-                        out.append((cell, split, int(pdf["id"].iloc[i]) % shares, int(pdf["id"].iloc[i]), pdf["f"].iloc[i]))
-            yield pd.DataFrame(out, columns=["cell", "split", "share", "id", "f"])
+            ids, f = pdf["id"].to_numpy(), pdf["f"].to_numpy()
+            out = [(p, split, int(ids[i]) % shares[p], int(ids[i]), f[i], rings)
+                   for (i, p), rings in (asks(pdf) if len(pdf) else {}).items() for split in range(splits[p])]
+            yield pd.DataFrame(out, columns=["pivot", "split", "share", "id", "f", "rings"])
 
     def keep(batches):
         for pdf in batches:
-            out = [(int(c), int(i) % splits[c], s, int(i), f) for i, c, f in zip(pdf["id"], pdf["cell"], pdf["f"]) for s in range(shares)]
-            yield pd.DataFrame(out, columns=["cell", "split", "share", "id", "f"])
+            out = [(int(c) // RINGS, int(i) % splits[int(c) // RINGS], s, int(i), f, 1 << int(c) % RINGS)
+                   for i, c, f in zip(pdf["id"], pdf["cell"], pdf["f"]) for s in range(shares.get(int(c) // RINGS, 0))]
+            yield pd.DataFrame(out, columns=["pivot", "split", "share", "id", "f", "rings"])
+
+    def blocks(p: pd.DataFrame, ring: int):
+        at = np.flatnonzero(p["rings"].to_numpy() & 1 << ring)
+        return [at[i:i + block_rows] for i in range(0, len(at), block_rows)]
 
     def solve(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
         if ps.empty or pt.empty:
             return pd.DataFrame({c.split()[0]: [] for c in _NEAR.split(", ")})
-        ps, pt = ps.sort_values("id"), pt.sort_values("id")
-        xs, xt = (np.stack(p["f"].to_numpy()).astype(np.float64) for p in (ps, pt))
-        if compared is not None:
-            compared.add(len(xs) * len(xt))
-        d2 = (xs * xs).sum(1)[:, None] + (xt * xt).sum(1)[None, :] - 2.0 * xs @ xt.T
-        out = []
-        for side, (a, b, own, other, d) in enumerate(((xs, xt, ps, pt, d2), (xt, xs, pt, ps, d2.T))):
-            j = d.argmin(axis=1)
-            # the expanded form rounds: near ties are decided by exact distances, then the smaller id
-            close = d <= d[np.arange(len(a)), j][:, None] + 1e-6 * (1.0 + (a * a).sum(1))[:, None]
-            for i in np.flatnonzero(close.sum(axis=1) > 1):
-                c = np.flatnonzero(close[i])
-                j[i] = c[np.argmin(((b[c] - a[i]) ** 2).sum(axis=1))]
-            out.append(pd.DataFrame({"side": np.int32(side), "id": own["id"].to_numpy(), "other": other["id"].to_numpy()[j],
-                                     "fdist": np.sqrt(((a - b[j]) ** 2).sum(1))}))
-        return pd.concat(out)
-
-    schema = "cell long, split int, share int, id long, f array<double>"
-    key = ["cell", "split", "share"]
-    s = rows.filter("side = 0").select("id", "f", "cell", "ub").mapInPandas(send, schema)
+        sides = [p.sort_values("id") for p in (ps, pt)]
+        feats = [np.stack(p["f"].to_numpy()).astype(np.float64) for p in sides]
+        ids = [p["id"].to_numpy() for p in sides]
+        best = [(np.full(len(i), np.inf), np.zeros(len(i), np.int64), np.zeros(len(i), bool)) for i in ids]
+        for ring in range(RINGS):
+            for s, t in itertools.product(blocks(sides[0], ring), blocks(sides[1], ring)):
+                if compared is not None:
+                    compared.add(len(s) * len(t))
+                xs, xt = feats[0][s], feats[1][t]
+                d2 = (xs * xs).sum(1)[:, None] + (xt * xt).sum(1)[None, :] - 2.0 * xs @ xt.T
+                for a, b, own, other, d, (least, whose, met) in ((xs, xt, s, ids[1][t], d2, best[0]), (xt, xs, t, ids[0][s], d2.T, best[1])):
+                    j = d.argmin(axis=1)
+                    # the expanded form rounds: near ties are decided by exact distances, then the smaller id
+                    close = d <= d[np.arange(len(a)), j][:, None] + 1e-6 * (1.0 + (a * a).sum(1))[:, None]
+                    for i in np.flatnonzero(close.sum(axis=1) > 1):
+                        c = np.flatnonzero(close[i])
+                        j[i] = c[np.argmin(((b[c] - a[i]) ** 2).sum(axis=1))]
+                    far = np.sqrt(((a - b[j]) ** 2).sum(1))
+                    nearer = ~met[own] | (far < least[own]) | ((far == least[own]) & (other[j] < whose[own]))
+                    at = own[nearer]
+                    least[at], whose[at], met[at] = far[nearer], other[j][nearer], True
+        return pd.concat([pd.DataFrame({"side": np.int32(side), "id": ids[side][met], "other": whose[met], "fdist": least[met]})
+                          for side, (least, whose, met) in enumerate(best)])
+
+    schema = "pivot long, split int, share int, id long, f array<double>, rings int"
+    key = ["pivot", "split", "share"]
+    s = sources.mapInPandas(send, schema)
     t = rows.filter("side = 1").select("id", "f", "cell").mapInPandas(keep, schema)
     return s.groupBy(*key).cogroup(t.groupBy(*key)).applyInPandas(solve, _NEAR).checkpoint()
 
