@@ -11,7 +11,7 @@ from sitelens.operators import cluster as K
 from sitelens.operators.cloud import TRI, apply_transform
 from sitelens.plans import common
 from sitelens.plans.clouds import REPORT_SQL, TRANSFORM, TRANSFORM_SQL, _report
-from sitelens.plans.models import VENUE_MODEL, venue_labels, venue_model
+from sitelens.plans.models import VENUE_MODEL, model_venues, venue_labels, venue_model
 from sitelens.operators.ranking import display_round
 from sitelens.plans.recommend import RECOMMEND_TOPK_SQL
 from sitelens.plans.registry import add
@@ -76,8 +76,9 @@ FROM (SELECT page_id, from_json(body, '{{"places":[{{"displayName":{{"text":"VAR
 
 def q_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The fitted model with its labels, saved and loaded again."""
-    model, split = fitted = venue_model(spark, sf)
-    model.info["labels"] = {str(r["cluster"]): r["label"] for r in venue_labels(spark, sf, fitted).collect()}
+    venues = model_venues(spark, sf)
+    model, split = fitted = venue_model(spark, sf, venues)
+    model.info["labels"] = {str(r["cluster"]): r["label"] for r in venue_labels(spark, sf, fitted, venues).collect()}
     path = scratch_path(spark, "model")
     model.save(spark, path)
     loaded = K.CentroidModel.load(spark, path)
