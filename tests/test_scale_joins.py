@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sitelens.operators import cloud as CL
+from sitelens.operators import spatial as SP
 from sitelens.operators.cluster import dbscan
 from sitelens.operators.ranking import candidates, rank_candidates, recommend, venue_grid
 from sitelens.operators.registration import icp_align
@@ -92,3 +93,21 @@ def test_baseline_distance_meets_few_of_many_venues(town, monkeypatch):
     want = _rows(candidates(queries, venues).withColumn("rank", w).filter("rank <= 10"), "distance_km")
     assert got == want
     assert sum(df.count() for df in met) < 6000
+
+
+def test_nearest_neighbours_of_crowded_cells(spark, monkeypatch):
+    """Queries that share cells meet the targets through the cells: their rows are not listed in others."""
+    rnd = np.random.default_rng(5)
+    q = [(i, *map(float, p)) for i, p in enumerate(rnd.uniform(0, 1, (600, 3)) * [1, 1, 0.2])] + [(600, None, 0.5, 0.1), (601, 9.0, 9.0, 0.0)]
+    t = [(i, float(x), float(y), 0.0) for i, (x, y) in enumerate((a / 4, b / 4) for a in range(5) for b in range(80))]
+    schema = "pt_id long, x double, y double, z double"
+    probes, split = [], SP.split_hot_cells
+    monkeypatch.setattr(SP, "split_hot_cells", lambda b, p, *a: probes.append((p.count(), b.count())) or split(b, p, *a))
+    got = {r["pt_id"]: r for r in SP.nn_join(spark.createDataFrame(q, schema), spark.createDataFrame(t, schema), ["x", "y", "z"]).collect()}
+    assert probes[0][0] <= 602 and probes[0][1] < 5_000
+    tx = np.array([r[1:] for r in t])
+    assert set(got) == {r[0] for r in q if r[1] is not None}
+    for i, *at in q:
+        if at[0] is not None:
+            d = np.sqrt(((tx - at) ** 2).sum(1))
+            assert got[i]["nn_dist"] == pytest.approx(d.min()) and d[got[i]["nn_id"]] == pytest.approx(d.min())
