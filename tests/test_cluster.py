@@ -152,3 +152,63 @@ def test_dbscan_link_only_through_boundary_pair(spark, gap):
     assert [got[i][0] for i in range(len(pts))] == lab
     assert [got[i][1] for i in range(len(pts))] == core
     assert len(set(lab) - {-1}) == (1 if gap < 0.1 else 2)
+
+
+def _plain_lloyd(x, centers, tolerance=K.KMEANS_TOLERANCE):
+    for step in range(1, K.KMEANS_MAX_ITER + 1):
+        near = ((x[:, None, :] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([x[near == j].mean(axis=0) if (near == j).any() else c for j, c in enumerate(centers)])
+        moved, centers = np.abs(new - centers).max(), new
+        if moved <= tolerance:
+            return centers, step
+    return centers, step
+
+
+@pytest.mark.parametrize("shell_rows", [0, 40, 400, 10_000])
+def test_lloyd_shares_passes_and_takes_the_steps_of_plain_kmeans(spark, monkeypatch, shell_rows):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 2)) + rng.integers(0, 2, (4000, 1))
+    z = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "row_id long, f0 double, f1 double").repartition(4).cache()
+    starts = {k: x[:k].tolist() for k in (3, 5)}
+    passes, kind = [], type(z)
+    pass_over = kind.mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, *a, **b: passes.append(1) or pass_over(self, *a, **b))
+    found = K.lloyd(z, ["f0", "f1"], starts, shell_rows=shell_rows)
+    for k, start in starts.items():
+        centers, steps = _plain_lloyd(x, np.array(start))
+        assert found[k][1:] == (steps, True)
+        assert np.allclose(found[k][0], centers, rtol=0, atol=1e-9)
+    most = max(f[1] for f in found.values())
+    assert len(passes) == most if shell_rows == 0 else len(passes) < most
+
+
+def test_lloyd_sums_of_many_tasks(spark, monkeypatch):
+    """Far places, a centre without rows, sums that a shuffle adds up."""
+    monkeypatch.setattr(K, "LLOYD_COLLECT_TASKS", 1)
+    x = np.array([[0.0], [0.1], [0.2], [10.0], [10.3], [50.0]] * 5)
+    z = spark.createDataFrame([(i, float(r[0])) for i, r in enumerate(x)], "row_id long, f0 double").repartition(3).cache()
+    start = [[0.0], [11.0], [-900.0]]
+    centers, steps, still = K.lloyd(z, ["f0"], {3: start}, shell_rows=6)[3]
+    want, n = _plain_lloyd(x, np.array(start))
+    assert still and steps == n and np.allclose(centers, want) and centers[2] == [-900.0]
+
+
+def test_fit_from_a_sweeps_centres_is_at_rest(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(600, 2)))], "row_id long, f0 double, f1 double").cache()
+    sc = K.Scaler.fit(df, ["f0", "f1"])
+    best, _, swept = K.k_sweep_models(sc.transform(df), sc.z_cols(), "row_id", range(3, 5))
+    plain, rested = K.kmeans_fit(df, ["f0", "f1"], best, scaler=sc), K.kmeans_fit(df, ["f0", "f1"], best, scaler=sc, start=swept[best])
+    assert np.allclose(plain.centers, rested.centers, rtol=0, atol=1e-9)
+    assert rested.info == {"iterations": 1, "converged": True} and plain.info["iterations"] > 1
+
+
+def test_scores_of_several_labellings_are_each_ones_score(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, *map(float, r), i % 3, i % 2, 0) for i, r in enumerate(rng.normal(size=(90, 2)))],
+                               "row_id long, f0 double, f1 double, a int, b int, one int").cache()
+    got = K.silhouette_values(df, ["f0", "f1"], ["a", "one", "b"], "row_id", sample_rows=40)
+    for label, score in zip(["a", "one", "b"], got):
+        alone = K.silhouette_value(df, ["f0", "f1"], label, "row_id", sample_rows=40)
+        assert np.isclose(score.value, alone.value) and score[1:3] == alone[1:3]
+    assert got[1] == (0.0, "sampled", 0, None)
