@@ -8,6 +8,7 @@ tables stay distributed.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -533,44 +534,202 @@ def _small_transform(x: np.ndarray) -> np.ndarray:
     return t
 
 
-def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None, max_iter: int = 200,
-              rel_tol: float = 1e-6) -> dict:
-    """Point-to-plane ICP (C9). The target is put on a grid of side
-    ``max_corr`` once. Each round moves the source, finds each point's nearest
-    target within ``max_corr`` (its own and the 26 neighbouring cells), sums
-    the 6x6 normal equations of the linearised residual (p - q).n in one
-    aggregate and solves them on the driver. Coordinates are taken about the
-    target's centre, so the equations stay well-conditioned anywhere. Stops
-    when fitness and RMSE change by less than ``rel_tol`` (relative), or after
-    ``max_iter`` rounds (``converged`` is then false)."""
-    origin = cloud_origin(tgt_normals)
-    t = local_transform(init if init is not None else np.eye(4), origin)
-    g = [f"g{c}" for c in XYZ]
+# A round's equations: matches, their squared distances, the upper triangle of J'J, and J'r.
+_UPPER = [(i, j) for i in range(6) for j in range(i, 6)]
+_EQUATIONS = ["cnt", "sq", *[f"a{i}{j}" for i, j in _UPPER], *[f"b{i}" for i in range(6)]]
 
+ICP_BLOCK = 8              # side of a block of points, in reaches (how far beside it its targets may lie)
+ICP_SLACK = 2.0            # how far points may move within their blocks at first, in ``max_corr``
+ICP_BLOCK_ROWS = 100_000   # points of blocks with more rows meet their targets in a join of cells, every round
+ICP_GROUP_ROWS = 20_000    # rows of blocks that are packed together, on average
+ICP_TASK_ROWS = 1_000_000  # rows that a task of a round passes over, on average
+ICP_CELLS = 1 << 20        # cells along an axis that a key has room for
+ICP_CANDIDATES = 500_000   # candidate pairs formed at a time
+ICP_COLLECT_TASKS = 256    # sums of more tasks are added up by a shuffle
+_G = [f"g{c}" for c in XYZ]
+
+
+def _pair_equations(base: DataFrame, tq: DataFrame, t: np.ndarray, max_corr: float) -> np.ndarray:
+    """The equations by a join of cells of side ``max_corr``: each source id's
+    nearest target within it (in its own and the 26 neighbouring cells)."""
     def cell(c: str) -> Column:
         return F.floor(F.col(c) / F.lit(float(max_corr))).cast("long")
 
-    tq = tgt_normals.select(F.col("pt_id").alias("nn_id"), *[(F.col(c) - o).alias("q" + c) for c, o in zip(XYZ, origin)], "nx", "ny", "nz")
-    tq = right_size(tq.withColumns({k: cell("q" + c) for k, c in zip(g, XYZ)}))
-    base = right_size(src.select("pt_id", *[(F.col(c) - o).alias(c) for c, o in zip(XYZ, origin)]))
-    n_src = base.count()
-    steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(g, off)]) for off in itertools.product((-1, 0, 1), repeat=3)])
+    steps = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(_G, off)]) for off in itertools.product((-1, 0, 1), repeat=3)])
     p, n = [F.col(a) for a in XYZ], [F.col(a) for a in ("nx", "ny", "nz")]
     q = [F.col("q" + a) for a in XYZ]
     sq = sum((F.pow(a - b, 2) for a, b in zip(p, q)), F.lit(0.0))
     r = sum(((a - b) * c for a, b, c in zip(p, q, n)), F.lit(0.0))
     jv = _cross(p, n) + n
-    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum("d2").alias("sq")]
-    aggs += [F.sum(jv[i] * jv[j]).alias(f"a{i}{j}") for i in range(6) for j in range(i, 6)]
-    aggs += [F.sum(jv[i] * r).alias(f"b{i}") for i in range(6)]
+    aggs = [F.count(F.lit(1)).alias("cnt"), F.sum("d2").alias("sq"), *[F.sum(jv[i] * jv[j]).alias(f"a{i}{j}") for i, j in _UPPER],
+            *[F.sum(jv[i] * r).alias(f"b{i}") for i in range(6)]]
+    moved = apply_transform(base, t.tolist())
+    probe = moved.withColumn("_o", F.explode(steps)).select("pt_id", *XYZ, *[(cell(c) + F.col(f"_o.{k}")).alias(k) for k, c in zip(_G, XYZ)])
+    near = (probe.join(apart(tq.withColumns({k: cell("q" + c) for k, c in zip(_G, XYZ)})), _G)
+            .withColumn("d2", sq).filter(F.col("d2") <= float(max_corr) ** 2)
+            .groupBy("pt_id").agg(F.min(F.struct("d2", "nn_id", *XYZ, *["q" + c for c in XYZ], "nx", "ny", "nz")).alias("m")))
+    row = near.select("m.*").agg(*aggs).first()
+    return np.array([row[k] or 0 for k in _EQUATIONS], np.float64)
+
+
+def _cell_keys(cells: np.ndarray) -> np.ndarray:
+    return (cells[:, 0] << 42) + (cells[:, 1] << 21) + cells[:, 2]
+
+
+def _near_equations(p: np.ndarray, tgt: np.ndarray, keys: np.ndarray, order: np.ndarray, lo: np.ndarray, max_corr: float) -> np.ndarray:
+    """The same of points ``p`` and targets ``tgt`` (position and normal, by id)
+    of a group of blocks; ``keys``: the targets' cells from ``lo`` on, in order,
+    ``order``: the targets in that order."""
+    total = np.zeros(len(_EQUATIONS))
+    cells = np.floor(p / max_corr) - lo
+    asked = np.flatnonzero(((cells >= -1) & (cells <= ICP_CELLS)).all(axis=1))
+    centre = _cell_keys(cells[asked].astype(np.int64))[:, None] + np.array([(i << 42) + (j << 21) for i in (-1, 0, 1) for j in (-1, 0, 1)])[None, :]
+    first, last = np.searchsorted(keys, centre - 1, "left"), np.searchsorted(keys, centre + 1, "right")
+    upto = np.cumsum((last - first).sum(axis=1))
+    start = 0
+    while start < len(asked):
+        end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + ICP_CANDIDATES, "right")))
+        n = (last[start:end] - first[start:end]).ravel()
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[start:end].ravel(), n)
+        a, b = np.repeat(np.repeat(asked[start:end], 9), n), order[at]
+        start = end
+        gap = p[a] - tgt[b, :3]
+        d2 = gap[:, 0] * gap[:, 0] + gap[:, 1] * gap[:, 1] + gap[:, 2] * gap[:, 2]
+        hit = d2 <= max_corr ** 2
+        a, b, d2 = a[hit], b[hit], d2[hit]
+        if len(a):
+            begin = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+            least = np.minimum.reduceat(d2, begin)
+            b = np.minimum.reduceat(np.where(d2 == np.repeat(least, np.diff(np.r_[begin, len(a)])), b, len(tgt)), begin)
+            at, normal = p[a[begin]], tgt[b, 3:]
+            r = ((at - tgt[b, :3]) * normal).sum(axis=1)
+            jv = np.hstack([np.cross(at, normal), normal])
+            square = jv.T @ jv
+            total += np.r_[len(least), least.sum(), [square[i] for i in _UPPER], jv.T @ r]
+    return total
+
+
+def _round_equations(batches: Iterator[pd.DataFrame], t: np.ndarray, lo: np.ndarray, max_corr: float) -> Iterator[pd.DataFrame]:
+    """A task's equations of a round: its groups' points moved by ``t``."""
+    total = np.zeros(len(_EQUATIONS))
+    for pdf in batches:
+        for src, tgt, keys, order in zip(pdf["src"], pdf["tgt"], pdf["keys"], pdf["order"]):
+            x = np.frombuffer(src).reshape(-1, 3)
+            p = np.stack([x[:, 0] * t[i, 0] + t[i, 3] + x[:, 1] * t[i, 1] + x[:, 2] * t[i, 2] for i in range(3)], axis=1)
+            total += _near_equations(p, np.frombuffer(tgt).reshape(-1, 6), np.frombuffer(keys, np.int64), np.frombuffer(order, np.int64), lo, max_corr)
+    yield pd.DataFrame([total], columns=_EQUATIONS)
+
+
+class IcpRounds:
+    """The equations of ICP's rounds. Source points are dealt to spatial blocks
+    with the targets within reach, packed once, and a round passes over these:
+    nothing is shuffled. That holds until a point may have moved by more than the
+    blocks' slack (the corners of the source's box tell); then they are dealt
+    again, with more slack. Points whose id repeats, or whose blocks hold more
+    than ``ICP_BLOCK_ROWS`` rows, go by ``_pair_equations``; so do all where
+    targets lack an id or a normal or span more than ``ICP_CELLS`` cells."""
+
+    def __init__(self, base: DataFrame, tq: DataFrame, max_corr: float):
+        self.max_corr, self.tq, self.loose, self.dense, self.packed = float(max_corr), tq, None, None, None
+        self.alone = base.filter(" AND ".join(f"abs({c}) < double('infinity')" for c in XYZ))       # others are near nothing
+        near = tq.filter(" AND ".join(f"abs(q{c}) < double('infinity')" for c in XYZ))
+        whole = " AND ".join(["nn_id IS NOT NULL", *[f"abs(n{c}) < double('infinity')" for c in XYZ]])
+        ends = near.agg(F.count_if(~F.coalesce(F.expr(whole), F.lit(False))).alias("bad"), F.count(F.lit(1)).alias("n"),
+                        *[f("q" + c).alias(k + c) for c in XYZ for f, k in ((F.min, "lo"), (F.max, "hi"))]).first()
+        box = self.alone.agg(*[f(c).alias(k + c) for c in XYZ for f, k in ((F.min, "lo"), (F.max, "hi"))]).first()
+        if ends["n"] and box["lox"] is not None:
+            self.lo = np.array([math.floor(ends["lo" + c] / self.max_corr) for c in XYZ], np.float64)
+            if ends["bad"] or max(math.floor(ends["hi" + c] / self.max_corr) - o for c, o in zip(XYZ, self.lo)) >= ICP_CELLS - 2:
+                self.loose, self.alone = base, None
+                return
+            self.lo -= 1        # targets' cells count from 1
+            self.corners = np.array(list(itertools.product(*[(box["lo" + c], box["hi" + c]) for c in XYZ])))
+            self.near, self.slack = near, ICP_SLACK * self.max_corr
+            repeated = base.groupBy("pt_id").count().filter("count > 1").select(F.col("pt_id").alias("_again")).checkpoint()
+            if not repeated.isEmpty():
+                same = F.col("pt_id").eqNullSafe(F.col("_again"))
+                self.loose = base.join(apart(repeated), same, "left_semi").checkpoint()
+                self.alone = self.alone.join(apart(repeated), same, "left_anti").checkpoint()
+        else:
+            self.alone = None
+
+    def _deal(self, t: np.ndarray) -> None:
+        self.at, least = t, ICP_SLACK * self.max_corr
+        moved = apply_transform(self.alone.withColumns({"_" + c: F.col(c) for c in XYZ}), t.tolist())
+        while True:
+            reach = self.max_corr + self.slack
+            side = ICP_BLOCK * reach
+            src = moved.select("pt_id", *[F.col("_" + c).alias(c) for c in XYZ], *[F.floor(F.col(c) / F.lit(side)).alias(g) for c, g in zip(XYZ, _G)])
+            tgt = self.near
+            for c, g in zip(XYZ, _G):
+                # a little wider: the exact distance decides
+                wide = F.lit(reach * (1 + 1e-6)) + F.abs(F.col("q" + c)) * F.lit(1e-9)
+                tgt = tgt.withColumn(g, F.explode(F.sequence(F.floor((F.col("q" + c) - wide) / F.lit(side)), F.floor((F.col("q" + c) + wide) / F.lit(side)))))
+            sizes = (src.groupBy(*_G).agg(F.count(F.lit(1)).alias("n"))
+                     .join(apart(tgt.groupBy(*_G).agg(F.count(F.lit(1)).alias("m"))), _G).checkpoint())
+            hot = sizes.filter(F.greatest("n", "m") > ICP_BLOCK_ROWS).select(*_G).checkpoint()
+            if self.slack <= least or hot.isEmpty():
+                break
+            self.slack = max(self.slack / 2, least)
+        self.dense = None
+        if not hot.isEmpty():
+            self.dense = src.join(apart(hot), _G, "left_semi").drop(*_G).checkpoint()
+            src, tgt = (d.join(apart(hot), _G, "left_anti") for d in (src, tgt))
+        rows = sizes.agg(F.sum(F.col("n") + F.col("m")).alias("rows")).first()["rows"] or 0
+        par = src.sparkSession.sparkContext.defaultParallelism
+        groups, lo, max_corr = max(8 * par, math.ceil(rows / ICP_GROUP_ROWS)), self.lo, self.max_corr
+        group = F.pmod(F.xxhash64(*_G), F.lit(groups)).cast("int").alias("_t")
+
+        def pack(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
+            if ps.empty or pt.empty:
+                return pd.DataFrame({c: [] for c in ("src", "tgt", "keys", "order")})
+            columns = [*["q" + c for c in XYZ], "nx", "ny", "nz"]
+            tgt = pt.sort_values(["nn_id", *columns], kind="stable").drop_duplicates(["nn_id", *columns])[columns].to_numpy(np.float64)
+            keys = _cell_keys((np.floor(tgt[:, :3] / max_corr) - lo).astype(np.int64))
+            order = np.argsort(keys, kind="stable")
+            return pd.DataFrame({"src": [ps[XYZ].to_numpy(np.float64).tobytes()], "tgt": [tgt.tobytes()], "keys": [keys[order].tobytes()], "order": [order.tobytes()]})
+
+        # a number of tasks that isn't made smaller: the rows are few, the search is the work
+        src, tgt = (d.select("*", group).repartition(min(groups, 16 * par), "_t") for d in (src.select(*XYZ, *_G), tgt))
+        packed = src.groupBy("_t").cogroup(tgt.groupBy("_t")).applyInPandas(pack, "src binary, tgt binary, keys binary, order binary")
+        self.packed = packed.repartition(max(par, math.ceil(rows / ICP_TASK_ROWS))).checkpoint()
+
+    def at_transform(self, t: np.ndarray) -> dict:
+        """cnt, sq, a00 .. a55, b0 .. b5 of the source under ``t``."""
+        total = np.zeros(len(_EQUATIONS))
+        if self.alone is not None:
+            drift = math.inf if self.packed is None else np.linalg.norm(self.corners @ (t - self.at)[:3, :3].T + (t - self.at)[:3, 3], axis=1).max()
+            if drift * (1 + 1e-9) > self.slack:
+                self.slack = self.slack if self.packed is None else max(self.slack, 2 * drift)
+                self._deal(t)
+            parts = self.packed.mapInPandas(functools.partial(_round_equations, t=t, lo=self.lo, max_corr=self.max_corr), ", ".join(f"{c} double" for c in _EQUATIONS))
+            if self.packed.rdd.getNumPartitions() > ICP_COLLECT_TASKS:
+                parts = parts.agg(*[F.sum(c).alias(c) for c in _EQUATIONS])
+            total += parts.toArrow().to_pandas().to_numpy(np.float64).sum(axis=0)
+        for rest in (self.loose, self.dense):
+            if rest is not None:
+                total += _pair_equations(rest, self.tq, t, self.max_corr)
+        return dict(zip(_EQUATIONS, total.tolist()))
+
+
+def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None, max_iter: int = 200,
+              rel_tol: float = 1e-6) -> dict:
+    """Point-to-plane ICP (C9). Each round moves the source, finds each point's
+    nearest target within ``max_corr``, sums the 6x6 normal equations of the
+    linearised residual (p - q).n (``IcpRounds``) and solves them on the driver.
+    Coordinates are taken about the target's centre, so the equations stay
+    well-conditioned anywhere. Stops when fitness and RMSE change by less than
+    ``rel_tol`` (relative), or after ``max_iter`` rounds (``converged`` is then
+    false)."""
+    origin = cloud_origin(tgt_normals)
+    t = local_transform(init if init is not None else np.eye(4), origin)
+    tq = right_size(tgt_normals.select(F.col("pt_id").alias("nn_id"), *[(F.col(c) - o).alias("q" + c) for c, o in zip(XYZ, origin)], "nx", "ny", "nz"))
+    base = right_size(src.select("pt_id", *[(F.col(c) - o).alias(c) for c, o in zip(XYZ, origin)]))
+    n_src, rounds = base.count(), IcpRounds(base, tq, max_corr)
     prev, fitness, rmse, it, converged = None, 0.0, 0.0, 0, False
     for it in range(1, max_iter + 1):
-        moved = apply_transform(base, t.tolist())
-        probe = moved.withColumn("_o", F.explode(steps)).select("pt_id", *XYZ, *[(cell(c) + F.col(f"_o.{k}")).alias(k) for k, c in zip(g, XYZ)])
-        near = (probe.join(apart(tq), g).withColumn("d2", sq).filter(F.col("d2") <= float(max_corr) ** 2)
-                .groupBy("pt_id").agg(F.min(F.struct("d2", "nn_id", *XYZ, *["q" + c for c in XYZ], "nx", "ny", "nz")).alias("m")))
-        row = near.select("m.*").agg(*aggs).first()
-        cnt = row["cnt"] or 0
+        row = rounds.at_transform(t)
+        cnt = row["cnt"]
         if cnt < 6:
             break
         fitness, rmse = cnt / n_src, math.sqrt(row["sq"] / cnt)
@@ -580,9 +739,8 @@ def icp_align(src: DataFrame, tgt_normals: DataFrame, max_corr: float, init=None
             break
         prev = (fitness, rmse)
         a = np.zeros((6, 6))
-        for i in range(6):
-            for j in range(i, 6):
-                a[i, j] = a[j, i] = row[f"a{i}{j}"]
+        for i, j in _UPPER:
+            a[i, j] = a[j, i] = row[f"a{i}{j}"]
         b = np.array([row[f"b{i}"] for i in range(6)])
         t = _small_transform(np.linalg.lstsq(a, -b, rcond=None)[0]) @ t
     return {"transform": about(t, origin).tolist(), "fitness": fitness, "inlier_rmse": rmse, "iterations": it, "converged": converged}

@@ -88,3 +88,46 @@ def test_feature_index_is_exact_and_compares_few_pairs(spark):
     assert count.value < 0.5 * d.size
     none = spark.createDataFrame([], "pt_id long, fpfh array<double>")
     assert RG.mutual_matches(df(xs), none).count() == 0 == RG.mutual_matches(none, df(xt)).count()
+
+
+def test_icp_rounds_equal_cell_joins(spark, monkeypatch):
+    """Rounds over packed blocks give the equations of the join of cells, however far
+    the source has moved since it was dealt, with repeated and null ids, points
+    without a position and blocks that are too full."""
+    g = np.random.default_rng(5)
+    tgt, src = _shape(900, 1), _shape(700, 2)
+    normals = g.normal(size=(900, 3))
+    q = [(i // 2 * 3, *map(float, x), *map(float, n)) for i, (x, n) in enumerate(zip(tgt, normals))]      # target ids repeat
+    q += [(1, *q[7][1:]), (7, None, 0.1, 0.1, 0.0, 0.0, 1.0), (8, float("nan"), 0.1, 0.1, 0.0, 0.0, 1.0)]
+    tq = spark.createDataFrame(q, "nn_id long, qx double, qy double, qz double, nx double, ny double, nz double").checkpoint()
+    p = [(i if i > 30 else i // 3, *map(float, x)) for i, x in enumerate(src)] + [(None, 0.5, 0.4, 0.0), (900, None, 0.0, 0.0), (901, float("nan"), 0.0, 0.0)]
+    base = spark.createDataFrame(p, "pt_id long, x double, y double, z double").checkpoint()
+    moves = [RG._small_transform(np.array([0.0, 0.0, a, a, 0.0, -a])) for a in (0.0, 0.004, 0.3)]
+    expected = [RG._pair_equations(base, tq, t, 0.06) for t in moves]
+    for rows in (100_000, 40):
+        monkeypatch.setattr(RG, "ICP_BLOCK_ROWS", rows)
+        rounds = RG.IcpRounds(base, tq, 0.06)
+        for t, e in zip(moves, expected):
+            assert e[0] > 50
+            assert np.allclose(list(rounds.at_transform(t).values()), e, rtol=1e-9, atol=1e-9)
+        assert (rounds.dense is not None) == (rows == 40)
+    # targets without a normal, or too far apart for the cells' keys
+    for more in ([(5, 0.5, 0.4, 0.0, None, 0.0, 1.0)], [(5, 1e6, 0.4, 0.0, 1.0, 0.0, 1.0)]):
+        odd = tq.unionByName(spark.createDataFrame(more, tq.schema)).checkpoint()
+        assert np.allclose(list(RG.IcpRounds(base, odd, 0.06).at_transform(moves[1]).values()), RG._pair_equations(base, odd, moves[1], 0.06))
+    none = RG.IcpRounds(base.limit(0), tq, 0.06).at_transform(moves[0]), RG.IcpRounds(base, tq.limit(0), 0.06).at_transform(moves[0])
+    assert [r["cnt"] for r in none] == [0, 0]
+
+
+def test_icp_round_is_one_job(spark):
+    """A round passes over the packed blocks: one job of one stage, no shuffle."""
+    tgt = _shape()
+    tgt_n = CL.estimate_normals(_df(spark, tgt), 0.08, 30).checkpoint()
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    took = []
+    for rounds in (3, 9):
+        before = jobs()
+        res = RG.icp_align(_df(spark, _move(tgt, -0.002, (0.002, -0.0015, 0.001))), tgt_n, max_corr=0.1, max_iter=rounds, rel_tol=-1.0)
+        assert res["iterations"] == rounds and not res["converged"]
+        took.append(jobs() - before)
+    assert took[1] - took[0] == 6
