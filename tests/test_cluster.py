@@ -212,3 +212,14 @@ def test_scores_of_several_labellings_are_each_ones_score(spark):
         alone = K.silhouette_value(df, ["f0", "f1"], label, "row_id", sample_rows=40)
         assert np.isclose(score.value, alone.value) and score[1:3] == alone[1:3]
     assert got[1] == (0.0, "sampled", 0, None)
+
+
+def test_components_rounds_start_at_written_tables(spark, monkeypatch):
+    """A long chain takes several rounds; their plans don't build on each other."""
+    n, plans, apart = 300, [], K.apart
+    monkeypatch.setattr(K, "apart", lambda df: plans.append(len(df._jdf.queryExecution().toString())) or apart(df))
+    edges = spark.createDataFrame([((i * 7) % n, ((i + 1) * 7) % n) for i in range(n - 1)] + [(1000, 1001)], "src long, dst long")
+    nodes = spark.createDataFrame([(i,) for i in [*range(n), 1000, 1001, 2000]], "node long")
+    got = {r["node"]: r["comp"] for r in K.connected_components(edges, nodes).collect()}
+    assert got == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000, 2000: 2000}
+    assert len(plans) > 9 and max(plans[6:]) <= 2 * max(plans[:3])
