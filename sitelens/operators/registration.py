@@ -159,200 +159,168 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
 # Mutual nearest neighbours in feature space
 # --------------------------------------------------------------------------
 
-# Pivots of the feature index, and the features they are chosen among.
-PIVOTS, PIVOT_SAMPLE = 32, 2_000
-RINGS = 8                # rings around a pivot
 _NEAR = "side int, id long, other long, fdist double"
+AXES_SAMPLE = 2_000          # features that the index's axes are fitted to; they change no result
+GAP_AXES = 12                # leading axes along which rows are told from boxes
+FEATURE_GROUP = 120_000      # rows of a side that meet in one task, at most about
+LEAST_FEATURE_GROUP = 2_000  # groups are not made smaller than this to keep the cores busy
+FEATURE_TILE = 512, 1_024    # source and target rows whose distances are formed at a time
 
 
-def _choose_pivots(tgt: DataFrame, feat: str) -> np.ndarray:
-    """Features far from each other, out of a bounded sample by hash."""
-    rows = tgt.select(feat, "pt_id").orderBy(hash32("pt_id", "pivot"), "pt_id").limit(PIVOT_SAMPLE).collect()
+def _axes(tgt: DataFrame, feat: str) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and principal axes (columns) of a bounded sample by hash."""
+    rows = tgt.select(feat, "pt_id").orderBy(hash32("pt_id", "axes"), "pt_id").limit(AXES_SAMPLE).collect()
     x = np.array([r[feat] for r in rows], np.float64)
-    chosen, gap = [0], np.sqrt(((x - x[0]) ** 2).sum(1))
-    while len(chosen) < min(PIVOTS, len(x)) and gap.max() > 0:
-        chosen.append(int(gap.argmax()))
-        gap = np.minimum(gap, np.sqrt(((x - x[chosen[-1]]) ** 2).sum(1)))
-    return x[chosen]
-
-
-def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * x @ pivots.T, 0.0))
-
-
-class FeatureIndex:
-    """Rings around pivots. A cell's distances to all pivots lie in intervals
-    (``lo``, ``hi``); the largest gap between a point's distances and them, or
-    between two cells' intervals, bounds the distances from below (triangle
-    inequality), less ``slack`` for rounding."""
-
-    def __init__(self, pivots: np.ndarray, width: float):
-        self.pivots, self.width = pivots, width
-        self.slack = 1e-5 * (1.0 + float(np.abs(pivots).max(initial=0.0)))
+    return x.mean(axis=0), np.linalg.svd(x - x.mean(axis=0), full_matrices=True)[2].T
+
+
+def _tiles(x: np.ndarray, size: int) -> list[np.ndarray]:
+    """The rows cut along their widest axis, at its mean (its median, if a part would be
+    small), and so on down to ``size``."""
+    parts, out = [np.arange(len(x))], []
+    while parts:
+        part = parts.pop()
+        if len(part) <= size:
+            out.append(part)
+            continue
+        v = x[part, int(x[part].var(axis=0).argmax())]
+        low = v < v.mean()
+        if not len(part) <= 8 * low.sum() <= 7 * len(part):
+            low = np.zeros(len(part), bool)
+            low[np.argpartition(v, len(part) // 2)[:len(part) // 2]] = True
+        parts += [part[~low], part[low]]
+    return out
+
+
+class _Side:
+    """A side's rows of a task in tiles of like features: ``x`` exact, ``y``
+    along the axes (single precision, for bounds and to choose what is
+    compared exactly), and the nearest partner so far."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, centre: np.ndarray, axes: np.ndarray, size: int):
+        y = (x - centre) @ axes
+        tiles = _tiles(y, size)
+        order = np.concatenate(tiles)
+        self.ids, self.x, self.y = ids[order], x[order], y[order].astype(np.float32)
+        ends = np.cumsum([len(t) for t in tiles])
+        self.tiles = [slice(e - len(t), e) for e, t in zip(ends, tiles)]
+        self.square = (self.y.astype(np.float64) ** 2).sum(axis=1)
+        self.lo, self.hi = (np.array([f(self.y[t], axis=0) for t in self.tiles]) for f in (np.min, np.max))
+        self.most = np.array([self.square[t].max() for t in self.tiles])
+        self.dist, self.other = np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
+
+    def nearer(self, rows: np.ndarray, of: "_Side", cols: np.ndarray) -> None:
+        """The pairs (rows[i], cols[i]) compared exactly; of equal distances the smaller id."""
+        for at in range(0, len(rows), 100_000):
+            r, c = rows[at:at + 100_000], cols[at:at + 100_000]
+            far, other = np.sqrt(((self.x[r] - of.x[c]) ** 2).sum(axis=1)), of.ids[c]
+            order = np.lexsort((other, far, r))
+            first = order[np.r_[True, r[order][1:] != r[order][:-1]]]
+            r, far, other = r[first], far[first], other[first]
+            better = (far < self.dist[r]) | ((far == self.dist[r]) & (other < self.other[r])) | np.isinf(self.dist[r])
+            self.dist[r[better]], self.other[r[better]] = far[better], other[better]
+
+    def reaches(self, tile: slice, of: "_Side", box: int) -> np.ndarray:
+        """The rows of a tile whose nearest may lie in a box of the other side."""
+        y = self.y[tile, :GAP_AXES]
+        gap = np.maximum(np.maximum(of.lo[box, :GAP_AXES] - y, y - of.hi[box, :GAP_AXES]), 0)
+        slack = 1e-4 * (1.0 + np.sqrt(self.square[tile]) + math.sqrt(of.most[box]))
+        return np.flatnonzero(np.sqrt(np.einsum("ij,ij->i", gap, gap)) - slack <= self.dist[tile])
+
+
+def _compare(a: _Side, r: np.ndarray, b: _Side, c: np.ndarray) -> None:
+    """Rows ``r`` of one side against ``c`` of the other, for both. Distances in
+    single precision pick the pairs that can be nearest within their rounding."""
+    left = np.hstack([-2 * a.y[r], np.ones((len(r), 1), np.float32), a.square[r, None].astype(np.float32)])
+    right = np.hstack([b.y[c], b.square[c, None].astype(np.float32), np.ones((len(c), 1), np.float32)])
+    d = left @ right.T
+    for one, rows, two, cols, axis in ((a, r, b, c, 1), (b, c, a, r, 0)):
+        least, error = d.min(axis=axis), 1e-5 * (one.square[rows] + two.square[cols].max() + 1.0)
+        bound = np.minimum(least + 2 * error, one.dist[rows] ** 2 + error)
+        asked = np.flatnonzero(least <= bound)
+        if len(asked):
+            part = d[asked] if axis else d[:, asked].T
+            i, j = np.nonzero(part <= bound[asked, None].astype(np.float64))
+            one.nearer(rows[asked[i]], two, cols[j])
+
+
+def _meet(a: _Side, b: _Side, compared=None) -> None:
+    """Each row's nearest of the other side, exactly. Pairs of tiles come by the
+    distance of their boxes; only rows that may find a nearer partner in the other's
+    box are compared."""
+    gap = np.zeros((len(a.tiles), len(b.tiles)))
+    for k in range(a.y.shape[1]):
+        apart_by = np.maximum(np.maximum(b.lo[None, :, k] - a.hi[:, None, k], a.lo[:, None, k] - b.hi[None, :, k]), 0).astype(np.float64)
+        gap += apart_by * apart_by
+    gap = np.sqrt(gap) - 1e-4 * (1.0 + np.sqrt(a.most)[:, None] + np.sqrt(b.most)[None, :])
+    for i, j in zip(*np.unravel_index(np.argsort(gap, axis=None, kind="stable"), gap.shape)):
+        s, t = a.tiles[i], b.tiles[j]
+        if gap[i, j] > max(a.dist[s].max(), b.dist[t].max()):
+            continue
+        of_a, of_b = a.reaches(s, b, j), b.reaches(t, a, i)
+        n, m = s.stop - s.start, t.stop - t.start
+        rows, cols = np.arange(s.start, s.stop), np.arange(t.start, t.stop)
+        if len(of_a) * m + len(of_b) * n < 0.8 * n * m:
+            # rows that ask against the whole other tile, then the other tile's that ask against the rest
+            rest = np.delete(rows, of_a)
+            parts = [(rows[of_a], cols), (rest, cols[of_b])]
+        else:
+            parts = [(rows, cols)]
+        for r, c in parts:
+            if len(r) and len(c):
+                _compare(a, r, b, c)
+                if compared is not None:
+                    compared.add(len(r) * len(c))
 
-    def cells(self, d: np.ndarray) -> np.ndarray:
-        near = d.argmin(axis=1)
-        ring = np.minimum(d[np.arange(len(d)), near] / self.width, RINGS - 1).astype(np.int64)
-        return near * RINGS + ring
 
-    def add(self, rows: DataFrame, side: int, feat: str) -> DataFrame:
-        """id, f, cell, side of every row."""
-        index = self
+def nearest_both_ways(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000, compared=None) -> DataFrame:
+    """_NEAR: the exact nearest feature of the other side for every source (side
+    0) and target row (side 1), ties to the smaller id; a row per group of the
+    other side, the least of which is the answer.
 
-        def run(batches):
-            for pdf in batches:
-                if len(pdf):
-                    f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
-                    yield pd.DataFrame({"id": pdf["id"], "f": pdf["f"], "cell": index.cells(_to_pivots(f, index.pivots)), "side": np.int32(side)})
+    Both sides are dealt to groups, and every two groups meet in a task of their
+    own, which cuts them to tiles of like features (at most ``block_rows`` rows) and
+    rules out what is too far from a tile's box. A pair of rows is compared
+    once for both directions. ``compared``, an accumulator, counts pairs."""
+    spark = src.sparkSession
+    if src.isEmpty() or tgt.isEmpty():
+        return spark.createDataFrame([], _NEAR)
+    centre, axes = _axes(tgt, feat)
+    par = spark.sparkContext.defaultParallelism
 
-        return rows.select(F.col("pt_id").alias("id"), F.col(feat).alias("f")).mapInPandas(run, "id long, f array<double>, cell long, side int")
+    def groups(n: int) -> int:
+        return max(math.ceil(n / FEATURE_GROUP), min(math.ceil(math.sqrt(2 * par)), math.ceil(n / LEAST_FEATURE_GROUP)))
 
-    def intervals(self, rows: DataFrame) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray, int]]:
-        """(lo, hi, rows) per (side, cell): at most 2 x PIVOTS x RINGS."""
-        index = self
+    n_src, n_tgt = groups(src.count()), groups(tgt.count())
+    sizes = [min(block_rows, t) for t in FEATURE_TILE]
 
+    def packed(rows: DataFrame, n: int, own: str, other: str, others: int) -> DataFrame:
+        """The rows of a group in each task's batch as one row, for every group of the other side."""
         def run(batches):
             for pdf in batches:
-                for (side, cell), g in pdf.groupby(["side", "cell"]):
-                    d = _to_pivots(np.stack(g["f"].to_numpy()).astype(np.float64), index.pivots)
-                    yield pd.DataFrame({"side": [side], "cell": [cell], "lo": [d.min(0)], "hi": [d.max(0)], "n": [len(g)]})
-
-        out: dict = {}
-        for r in rows.select("side", "cell", "f").mapInPandas(run, "side int, cell long, lo array<double>, hi array<double>, n long").toLocalIterator():
-            lo, hi, n = out.get((r["side"], r["cell"]), (np.inf, -np.inf, 0))
-            out[r["side"], r["cell"]] = np.minimum(lo, r["lo"]), np.maximum(hi, r["hi"]), n + r["n"]
-        return out
-
-
-# Rows of a side that meet in one task, in blocks of ``block_rows``.
-BLOCKS_TOGETHER = 16
-
-
-def _meet(rows: DataFrame, index: FeatureIndex, wanted, block_rows: int, sizes: dict, compared=None) -> DataFrame:
-    """_NEAR: the best partners, in both directions, among the pairs of source
-    rows with the target cells that ``wanted`` names for them. A source goes to a
-    pivot's targets once, with the rings it asks for; only what exceeds
-    ``block_rows`` x BLOCKS_TOGETHER rows on the other side repeats it. Distances
-    of a block of sources to a block of a cell's targets are formed once for both
-    directions."""
-    together = block_rows * BLOCKS_TOGETHER
-    held: dict[int, int] = {}
-    for (side, c), (_, _, n) in sizes.items():
-        if side == 1:
-            held[c // RINGS] = held.get(c // RINGS, 0) + n
-    splits = {p: math.ceil(n / together) for p, n in held.items()}
-
-    def asks(pdf: pd.DataFrame) -> dict[tuple[int, int], int]:
-        """Rings (bits) that a row asks of a pivot's targets."""
-        f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
-        out: dict[tuple[int, int], int] = {}
-        for i, cell in wanted(pdf["cell"].to_numpy(), _to_pivots(f, index.pivots), pdf["ub"].to_numpy()):
-            at = (i, cell // RINGS)
-            out[at] = out.get(at, 0) | 1 << cell % RINGS
-        return out
-
-    def tell(batches):
-        for pdf in batches:
-            pivots = [p for _, p in asks(pdf)] if len(pdf) else []
-            found, n = np.unique(np.array(pivots, np.int64), return_counts=True)
-            yield pd.DataFrame({"pivot": found, "n": n})
-
-    sources = rows.filter("side = 0").select("id", "f", "cell", "ub")
-    # at most a row per pivot
-    told = sources.mapInPandas(tell, "pivot long, n long").groupBy("pivot").agg(F.sum("n").alias("n")).collect()
-    shares = {r["pivot"]: math.ceil(r["n"] / together) for r in told}
-
-    def send(batches):
-        for pdf in batches:
-            ids, f = pdf["id"].to_numpy(), pdf["f"].to_numpy()
-            out = [(p, split, int(ids[i]) % shares[p], int(ids[i]), f[i], rings)
-                   for (i, p), rings in (asks(pdf) if len(pdf) else {}).items() for split in range(splits[p])]
-            yield pd.DataFrame(out, columns=["pivot", "split", "share", "id", "f", "rings"])
-
-    def keep(batches):
-        for pdf in batches:
-            out = [(int(c) // RINGS, int(i) % splits[int(c) // RINGS], s, int(i), f, 1 << int(c) % RINGS)
-                   for i, c, f in zip(pdf["id"], pdf["cell"], pdf["f"]) for s in range(shares.get(int(c) // RINGS, 0))]
-            yield pd.DataFrame(out, columns=["pivot", "split", "share", "id", "f", "rings"])
-
-    def blocks(p: pd.DataFrame, ring: int):
-        at = np.flatnonzero(p["rings"].to_numpy() & 1 << ring)
-        return [at[i:i + block_rows] for i in range(0, len(at), block_rows)]
-
-    def solve(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
+                ids = pdf["id"].to_numpy(np.int64)
+                group = (((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+                x = np.stack(pdf["f"].to_numpy()).astype(np.float64) if len(pdf) else np.empty((0, 1))
+                found = np.unique(group)
+                yield pd.DataFrame({own: found.astype(np.int32), "ids": [ids[group == k].tobytes() for k in found], "f": [x[group == k].tobytes() for k in found]})
+
+        rows = rows.select(F.col("pt_id").alias("id"), F.col(feat).alias("f")).mapInPandas(run, f"{own} int, ids binary, f binary")
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        # a number of tasks that isn't made smaller: meeting is the work
+        return rows.repartition(3 * n * others, "i", "j").groupBy("i", "j")
+
+    def meet(ps: pd.DataFrame, pt: pd.DataFrame) -> pd.DataFrame:
         if ps.empty or pt.empty:
             return pd.DataFrame({c.split()[0]: [] for c in _NEAR.split(", ")})
-        sides = [p.sort_values("id") for p in (ps, pt)]
-        feats = [np.stack(p["f"].to_numpy()).astype(np.float64) for p in sides]
-        ids = [p["id"].to_numpy() for p in sides]
-        best = [(np.full(len(i), np.inf), np.zeros(len(i), np.int64), np.zeros(len(i), bool)) for i in ids]
-        for ring in range(RINGS):
-            for s, t in itertools.product(blocks(sides[0], ring), blocks(sides[1], ring)):
-                if compared is not None:
-                    compared.add(len(s) * len(t))
-                xs, xt = feats[0][s], feats[1][t]
-                d2 = (xs * xs).sum(1)[:, None] + (xt * xt).sum(1)[None, :] - 2.0 * xs @ xt.T
-                for a, b, own, other, d, (least, whose, met) in ((xs, xt, s, ids[1][t], d2, best[0]), (xt, xs, t, ids[0][s], d2.T, best[1])):
-                    j = d.argmin(axis=1)
-                    # the expanded form rounds: near ties are decided by exact distances, then the smaller id
-                    close = d <= d[np.arange(len(a)), j][:, None] + 1e-6 * (1.0 + (a * a).sum(1))[:, None]
-                    for i in np.flatnonzero(close.sum(axis=1) > 1):
-                        c = np.flatnonzero(close[i])
-                        j[i] = c[np.argmin(((b[c] - a[i]) ** 2).sum(axis=1))]
-                    far = np.sqrt(((a - b[j]) ** 2).sum(1))
-                    nearer = ~met[own] | (far < least[own]) | ((far == least[own]) & (other[j] < whose[own]))
-                    at = own[nearer]
-                    least[at], whose[at], met[at] = far[nearer], other[j][nearer], True
-        return pd.concat([pd.DataFrame({"side": np.int32(side), "id": ids[side][met], "other": whose[met], "fdist": least[met]})
-                          for side, (least, whose, met) in enumerate(best)])
-
-    schema = "pivot long, split int, share int, id long, f array<double>, rings int"
-    key = ["pivot", "split", "share"]
-    s = sources.mapInPandas(send, schema)
-    t = rows.filter("side = 1").select("id", "f", "cell").mapInPandas(keep, schema)
-    return s.groupBy(*key).cogroup(t.groupBy(*key)).applyInPandas(solve, _NEAR).checkpoint()
-
-
-def nearest_both_ways(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000, compared=None) -> DataFrame:
-    """_NEAR: the exact nearest feature of the other side for every source (side
-    0) and target row (side 1), ties to the smaller id.
-
-    Rows meet those of their own cell first, which bounds their nearest; then a
-    source meets the other cells whose intervals of pivot distances let
-    them hold its nearest, or hold targets whose nearest it may be. All other
-    pairs are ruled out by the triangle inequality. Cells are cut into blocks
-    of ``block_rows`` on both sides. ``compared``, an accumulator, counts pairs."""
-    spark = src.sparkSession
-    empty = spark.createDataFrame([], _NEAR)
-    if src.isEmpty() or tgt.isEmpty():
-        return empty
-    pivots = _choose_pivots(tgt, feat)
-    sample = np.array([r[feat] for r in src.select(feat, "pt_id").orderBy(hash32("pt_id", "width"), "pt_id").limit(PIVOT_SAMPLE).collect()], np.float64)
-    index = FeatureIndex(pivots, max(float(np.median(_to_pivots(sample, pivots).min(axis=1))) / (RINGS / 4), 1e-9))
-    far = F.lit(float("inf"))
-    rows = index.add(src, 0, feat).unionByName(index.add(tgt, 1, feat)).withColumn("ub", far).checkpoint()
-    sizes = index.intervals(rows)
-    held = sorted(c for side, c in sizes if side == 1)
-
-    def own(cells, d, ub):
-        return [(i, c) for i, c in enumerate(cells.tolist()) if (1, c) in sizes]
-
-    first = _meet(rows, index, own, block_rows, sizes, compared)
-    near = argmin_per_key(first, ["side", "id"], "fdist", "other").select("side", "id", F.col("fdist").alias("_d"))
-    rows = rows.join(apart(near), ["side", "id"], "left").withColumn("ub", F.coalesce("_d", far)).drop("_d").checkpoint()
-    # how far the nearest source of a cell's targets can be; one that has met none yet may be anywhere
-    most = {r["cell"]: r["m"] for r in rows.filter("side = 1").groupBy("cell").agg(F.max("ub").alias("m")).collect()}
-    lo, hi = (np.array([sizes[1, c][k] for c in held]) for k in (0, 1))
-    limit = np.array([most[c] for c in held])
-
-    def others(cells, d, ub):
-        gap = np.zeros((len(d), len(held)))
-        for k in range(d.shape[1]):
-            gap = np.maximum(gap, np.maximum(lo[None, :, k] - d[:, k, None], d[:, k, None] - hi[None, :, k]))
-        ok = (gap - index.slack <= np.maximum(ub[:, None], limit[None, :])) & (np.array(held)[None, :] != cells[:, None])
-        return [(int(i), held[j]) for i, j in zip(*np.nonzero(ok))]
-
-    return first.unionByName(_meet(rows, index, others, block_rows, sizes, compared))
+        sides = []
+        for p, size in zip((ps, pt), sizes):
+            ids = np.frombuffer(b"".join(p["ids"]), np.int64)
+            sides.append(_Side(ids, np.frombuffer(b"".join(p["f"])).reshape(len(ids), -1), centre, axes, size))
+        _meet(*sides, compared)
+        return pd.concat([pd.DataFrame({"side": np.int32(k), "id": s.ids, "other": s.other, "fdist": s.dist}) for k, s in enumerate(sides)])
+
+    met = packed(src, n_src, "i", "j", n_tgt).cogroup(packed(tgt, n_tgt, "j", "i", n_src))
+    return met.applyInPandas(meet, _NEAR).checkpoint()
 
 
 def feature_nn(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_rows: int = 4_000) -> DataFrame:

@@ -131,3 +131,25 @@ def test_icp_round_is_one_job(spark):
         assert res["iterations"] == rounds and not res["converged"]
         took.append(jobs() - before)
     assert took[1] - took[0] == 6
+
+
+def test_feature_groups_meet_once(spark, monkeypatch):
+    """Several groups a side: copies give the smaller id, far-off features cost no
+    precision, and no pair of rows is compared twice."""
+    g = np.random.default_rng(6)
+    xs, xt = g.normal(size=(500, 33)) * 3, g.normal(size=(300, 33)) * 3
+    xt[100:140] = xs[:40]
+    xt[140:180] = xs[:40]
+    xs[490:], xt[290:] = xs[490:] * 1e-3 + 2_000.0, xt[290:] * 1e-3 + 2_000.0
+    df = lambda x: spark.createDataFrame([(int(i) * 5 - 700, [float(v) for v in r]) for i, r in enumerate(x)], "pt_id long, fpfh array<double>").repartition(3)
+    count = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(RG, "FEATURE_GROUP", 120)
+    near = RG.nearest_both_ways(df(xs), df(xt), block_rows=64, compared=count)
+    assert near.filter("side = 0").count() == 500 * 3 and near.filter("side = 1").count() == 300 * 5
+    assert count.value <= 500 * 300
+    got = {(r["side"], r["id"]): (r["other"], r["fdist"]) for r in RG.argmin_per_key(near, ["side", "id"], "fdist", "other").collect()}
+    d = np.sqrt(((xs[:, None] - xt[None]) ** 2).sum(2))
+    for side, m in ((0, d), (1, d.T)):
+        for i, row in enumerate(m):
+            j = int(row.argmin())
+            assert got[side, i * 5 - 700] == (j * 5 - 700, pytest.approx(row[j], abs=1e-12))
