@@ -161,10 +161,10 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
 
 _NEAR = "side int, id long, other long, fdist double"
 AXES_SAMPLE = 2_000          # features that the index's axes are fitted to; they change no result
-GAP_AXES = 12                # leading axes along which rows are told from boxes
+GAP_AXES = 8                 # leading axes along which rows are told from boxes
 FEATURE_GROUP = 120_000      # rows of a side that meet in one task, at most about
 LEAST_FEATURE_GROUP = 2_000  # groups are not made smaller than this to keep the cores busy
-FEATURE_TILE = 512, 1_024    # source and target rows whose distances are formed at a time
+FEATURE_TILE = 1_024, 2_048  # source and target rows whose distances are formed at a time
 
 
 def _axes(tgt: DataFrame, feat: str) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +205,13 @@ class _Side:
         ends = np.cumsum([len(t) for t in tiles])
         self.tiles = [slice(e - len(t), e) for e, t in zip(ends, tiles)]
         self.square = (self.y.astype(np.float64) ** 2).sum(axis=1)
+        self.norm = np.sqrt(self.square)
         self.lo, self.hi = (np.array([f(self.y[t], axis=0) for t in self.tiles]) for f in (np.min, np.max))
         self.most = np.array([self.square[t].max() for t in self.tiles])
+        # the product of a left and a right row is their squared distance
+        one, square = np.ones((len(ids), 1), np.float32), self.square[:, None].astype(np.float32)
+        self.left, self.right = np.hstack([-2 * self.y, one, square]), np.hstack([self.y, square, one])
+        self.near = np.ascontiguousarray(self.y[:, :GAP_AXES].T)
         self.dist, self.other = np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
 
     def nearer(self, rows: np.ndarray, of: "_Side", cols: np.ndarray) -> None:
@@ -222,18 +227,19 @@ class _Side:
 
     def reaches(self, tile: slice, of: "_Side", box: int) -> np.ndarray:
         """The rows of a tile whose nearest may lie in a box of the other side."""
-        y = self.y[tile, :GAP_AXES]
-        gap = np.maximum(np.maximum(of.lo[box, :GAP_AXES] - y, y - of.hi[box, :GAP_AXES]), 0)
-        slack = 1e-4 * (1.0 + np.sqrt(self.square[tile]) + math.sqrt(of.most[box]))
-        return np.flatnonzero(np.sqrt(np.einsum("ij,ij->i", gap, gap)) - slack <= self.dist[tile])
+        gap = np.zeros(tile.stop - tile.start, np.float32)
+        for y, lo, hi in zip(self.near[:, tile], of.lo[box], of.hi[box]):
+            beside = np.maximum(lo - y, y - hi)
+            np.maximum(beside, 0, out=beside)
+            gap += beside * beside
+        slack = 1e-4 * (1.0 + self.norm[tile] + math.sqrt(of.most[box]))
+        return np.flatnonzero(np.sqrt(gap) - slack <= self.dist[tile])
 
 
 def _compare(a: _Side, r: np.ndarray, b: _Side, c: np.ndarray) -> None:
     """Rows ``r`` of one side against ``c`` of the other, for both. Distances in
     single precision pick the pairs that can be nearest within their rounding."""
-    left = np.hstack([-2 * a.y[r], np.ones((len(r), 1), np.float32), a.square[r, None].astype(np.float32)])
-    right = np.hstack([b.y[c], b.square[c, None].astype(np.float32), np.ones((len(c), 1), np.float32)])
-    d = left @ right.T
+    d = a.left[r] @ b.right[c].T
     for one, rows, two, cols, axis in ((a, r, b, c, 1), (b, c, a, r, 0)):
         least, error = d.min(axis=axis), 1e-5 * (one.square[rows] + two.square[cols].max() + 1.0)
         bound = np.minimum(least + 2 * error, one.dist[rows] ** 2 + error)
@@ -440,6 +446,9 @@ def coarse_align(src: DataFrame, tgt: DataFrame, matches: DataFrame, max_corr: f
     return {"transform": about(best[2], origin).tolist(), "fitness": best[0] / n_m, "inlier_rmse": best[1], "n_matches": n_m, "hypotheses": done}
 
 
+COUNT_TILE = 128, 1_024     # hypotheses and matches that a task tries at a time
+
+
 def _count_inliers(m: DataFrame, ids: np.ndarray, mats: np.ndarray, max_corr: float) -> tuple[int, float, np.ndarray]:
     """(inliers, rmse, local 4x4) of the best fitted hypothesis, in one pass
     over the matches."""
@@ -449,12 +458,16 @@ def _count_inliers(m: DataFrame, ids: np.ndarray, mats: np.ndarray, max_corr: fl
         ts = bc.value
         inl, sq = np.zeros(len(ts), np.int64), np.zeros(len(ts))
         for pdf in batches:
-            ps, pt = pdf[["sx", "sy", "sz"]].to_numpy(), pdf[["tx", "ty", "tz"]].to_numpy()
-            for i, t in enumerate(ts):
-                d2 = ((ps @ t[:, :3].T + t[:, 3] - pt) ** 2).sum(1)
+            ps, pt = (np.ascontiguousarray(pdf[[s + c for c in XYZ]].to_numpy(np.float64).T) for s in "st")
+            for r, i in itertools.product(range(0, ps.shape[1], COUNT_TILE[1]), range(0, len(ts), COUNT_TILE[0])):
+                rows, some = slice(r, r + COUNT_TILE[1]), slice(i, i + COUNT_TILE[0])
+                d2 = 0.0
+                for k in range(3):
+                    gap = ts[some, k, :3] @ ps[:, rows] + ts[some, k, 3:] - pt[k, rows]
+                    d2 = d2 + gap * gap
                 hit = d2 <= max_corr * max_corr
-                inl[i] += int(hit.sum())
-                sq[i] += float(d2[hit].sum())
+                inl[some] += hit.sum(axis=1)
+                sq[some] += np.where(hit, d2, 0.0).sum(axis=1)
         yield pd.DataFrame({"i": np.arange(len(ts)), "h": ids, "inl": inl, "sq": sq})
 
     r = (m.select(*[s + c for s in "st" for c in XYZ]).mapInPandas(count, "i long, h long, inl long, sq double")

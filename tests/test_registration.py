@@ -153,3 +153,17 @@ def test_feature_groups_meet_once(spark, monkeypatch):
         for i, row in enumerate(m):
             j = int(row.argmin())
             assert got[side, i * 5 - 700] == (j * 5 - 700, pytest.approx(row[j], abs=1e-12))
+
+
+def test_inliers_are_counted_in_tiles(spark, monkeypatch):
+    """Hypotheses meet the matches in tiles: a task forms no product per hypothesis."""
+    monkeypatch.setattr(RG, "COUNT_TILE", (4, 16))
+    g = np.random.default_rng(7)
+    ps = g.normal(size=(150, 3))
+    mats = np.stack([RG._small_transform(v)[:3] for v in g.normal(size=(11, 6)) * 0.2])
+    pt = ps @ mats[6, :, :3].T + mats[6, :, 3] + g.normal(size=ps.shape) * 0.03
+    m = spark.createDataFrame([tuple(map(float, np.r_[a, b])) for a, b in zip(ps, pt)], ", ".join(f"{s}{c} double" for s in "st" for c in "xyz")).repartition(3)
+    inl, rmse, t = RG._count_inliers(m, np.arange(11) * 10, mats, 0.06)
+    d2 = ((ps @ mats[6, :, :3].T + mats[6, :, 3] - pt) ** 2).sum(1)
+    assert inl == (d2 <= 0.06 ** 2).sum() and rmse == pytest.approx(math.sqrt(d2[d2 <= 0.06 ** 2].mean()))
+    assert np.array_equal(t[:3], mats[6])
