@@ -162,7 +162,7 @@ def fpfh_features(cloud: DataFrame, radius: float, max_nn: int = 100) -> DataFra
 _NEAR = "side int, id long, other long, fdist double"
 AXES_SAMPLE = 2_000          # features that the index's axes are fitted to; they change no result
 GAP_AXES = 8                 # leading axes along which rows are told from boxes
-FEATURE_GROUP = 120_000      # rows of a side that meet in one task, at most about
+BLOCKS_TOGETHER = 30         # blocks of ``block_rows`` rows of a side that meet in one task, at most about
 LEAST_FEATURE_GROUP = 2_000  # groups are not made smaller than this to keep the cores busy
 FEATURE_TILE = 1_024, 2_048  # source and target rows whose distances are formed at a time
 
@@ -295,7 +295,7 @@ def nearest_both_ways(src: DataFrame, tgt: DataFrame, feat: str = "fpfh", block_
     par = spark.sparkContext.defaultParallelism
 
     def groups(n: int) -> int:
-        return max(math.ceil(n / FEATURE_GROUP), min(math.ceil(math.sqrt(2 * par)), math.ceil(n / LEAST_FEATURE_GROUP)))
+        return max(math.ceil(n / (block_rows * BLOCKS_TOGETHER)), min(math.ceil(math.sqrt(2 * par)), math.ceil(n / LEAST_FEATURE_GROUP)))
 
     n_src, n_tgt = groups(src.count()), groups(tgt.count())
     sizes = [min(block_rows, t) for t in FEATURE_TILE]

@@ -143,9 +143,9 @@ def test_feature_groups_meet_once(spark, monkeypatch):
     xs[490:], xt[290:] = xs[490:] * 1e-3 + 2_000.0, xt[290:] * 1e-3 + 2_000.0
     df = lambda x: spark.createDataFrame([(int(i) * 5 - 700, [float(v) for v in r]) for i, r in enumerate(x)], "pt_id long, fpfh array<double>").repartition(3)
     count = spark.sparkContext.accumulator(0)
-    monkeypatch.setattr(RG, "FEATURE_GROUP", 120)
+    monkeypatch.setattr(RG, "BLOCKS_TOGETHER", 2)
     near = RG.nearest_both_ways(df(xs), df(xt), block_rows=64, compared=count)
-    assert near.filter("side = 0").count() == 500 * 3 and near.filter("side = 1").count() == 300 * 5
+    assert near.filter("side = 0").count() == 500 * 3 and near.filter("side = 1").count() == 300 * 4
     assert count.value <= 500 * 300
     got = {(r["side"], r["id"]): (r["other"], r["fdist"]) for r in RG.argmin_per_key(near, ["side", "id"], "fdist", "other").collect()}
     d = np.sqrt(((xs[:, None] - xt[None]) ** 2).sum(2))
